@@ -96,7 +96,7 @@ def adjacency_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     the input. The graph jobs work on edge rows.
     """
     lists = (supplies(spark, sf_dir).groupBy("src")
-             .agg(F.array_join(F.array_sort(F.collect_list(F.col("dst").cast("string"))),
+             .agg(F.array_join(F.transform(F.array_sort(F.collect_list("dst")), lambda x: x.cast("string")),
                                S.FRIEND_SEP).alias("friends")))
     parts = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("src"))
     return (parts.join(lists, "src", "left")
