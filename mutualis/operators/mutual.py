@@ -4,12 +4,12 @@ For ``a < b`` with ``b`` on a's list and ``a`` on b's list:
 ``n(a, b) = |(N(a) ∩ N(b)) minus {a, b}|``, kept when ``n > 0``. A shared id need not list ``a`` or
 ``b`` back, so this is not triangle counting on the reciprocated graph.
 
-Two exact ways, routed per pair by the larger degree of its two ends:
+Two exact ways, routed per pair by the degrees of its two ends:
 
-* **arrays** (both ends have at most ``hub_degree`` ids): each end's id set is gathered once, joined
+* **arrays** (both ends have at most ``hub_degree`` ids, and of like number): each end's id set is gathered once, joined
   to its pairs and intersected in generated code. Moves ``deg(a) + deg(b)`` ids per pair, in compact
   arrays; no array is ever longer than ``hub_degree``.
-* **probe** (an end above ``hub_degree``): the list of the *smaller* end is expanded to rows and each
+* **probe** (an end above ``hub_degree``, or lists of very unequal length): the list of the *smaller* end is expanded to rows and each
   row is checked against the other end's edges with an equi semi-join on ``(other, id)``. Moves
   ``min(deg(a), deg(b))`` rows per pair, whatever the hub's size, and never gathers a hub's list.
 
@@ -22,23 +22,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize as materialize_df
 from .edges import clean_edges, out_degrees, reciprocal_pairs
 
 # Largest list length gathered into one array. Above it a pair goes to the probe way.
 DEFAULT_HUB_DEGREE = 1000
+# Arrays move deg(a) + deg(b) ids per pair, the probe min(deg) rows (a row costs several ids), so
+# lists of very unequal length go the probe way too.
+DEFAULT_BALANCE = 4.0
 STRATEGIES = ("auto", "arrays", "probe")
 
 
-def _prepare(edges: DataFrame):
+def degree_edges(edges: DataFrame, materialize: bool = True) -> DataFrame:
+    """Clean edges with the source's degree, ``(src, dst, deg)``.
+
+    Every later step reads this table several times (pairs, arrays, both probe joins). With
+    ``materialize`` it is written once as parquet to the shared checkpoint folder, so the distinct
+    over the raw edges runs once and lineage is cut there; a lost executor then re-reads files
+    instead of recomputing the scan and the two shuffles behind them.
+    """
     e = clean_edges(edges)
-    e_deg = e.join(out_degrees(e), "src")              # (src, dst, deg of src)
-    pairs = reciprocal_pairs(e_deg, with_degrees=True)  # (id1, id2, deg1, deg2)
-    return e, e_deg, pairs
+    e_deg = e.join(out_degrees(e), "src")
+    return materialize_df(e_deg, "degree_edges") if materialize else e_deg
 
 
 def _by_arrays(e_deg: DataFrame, pairs: DataFrame, hub_degree: int | None) -> DataFrame:
     small = e_deg if hub_degree is None else e_deg.where(F.col("deg") <= hub_degree)
-    nbrs = small.groupBy("src").agg(F.collect_set("dst").alias("nbrs"))
+    nbrs = small.groupBy("src").agg(F.collect_list("dst").alias("nbrs"))  # rows already distinct
     n1 = nbrs.select(F.col("src").alias("id1"), F.col("nbrs").alias("n1"))
     n2 = nbrs.select(F.col("src").alias("id2"), F.col("nbrs").alias("n2"))
     # Self-listings are gone, so neither a nor b can be in both sets: no exclusion needed.
@@ -58,27 +68,44 @@ def _by_probe(e: DataFrame, pairs: DataFrame) -> DataFrame:
     return hits.groupBy("id1", "id2").agg(F.count(F.lit(1)).alias("n"))
 
 
-def mutual_counts(edges: DataFrame, strategy: str = "auto",
-                  hub_degree: int = DEFAULT_HUB_DEGREE, keep_zero: bool = False) -> DataFrame:
+def mutual_counts(edges: DataFrame, strategy: str = "auto", hub_degree: int = DEFAULT_HUB_DEGREE,
+                  balance: float = DEFAULT_BALANCE, keep_zero: bool = False,
+                  materialize: bool = True) -> DataFrame:
     """``(id1, id2, n)`` for reciprocated pairs of a directed edge table ``(src, dst)``.
 
-    ``strategy``: ``auto`` routes by ``hub_degree``; ``arrays`` / ``probe`` force one way
-    (``arrays`` gathers every list, so keep it for graphs whose degrees are known to be bounded).
+    ``strategy``: ``auto`` sends a pair the arrays way when both lists are short
+    (``max(deg) <= hub_degree``) and of like size (``max(deg) <= balance * min(deg)``), else the
+    probe way; ``arrays`` / ``probe`` force one way (``arrays`` gathers every list, so keep it for
+    graphs whose degrees are known to be bounded).
     ``keep_zero`` keeps pairs that share nobody (``n = 0``); the default drops them (F1).
+    ``materialize`` writes the degree-annotated edges and the routed pairs once to the shared
+    checkpoint folder (each is read by several later steps) and reads two scalars (pairs per way)
+    so that an empty way is not planned; the call runs those jobs before returning the lazy result.
     """
     if strategy not in STRATEGIES:
         raise ValueError(f"strategy must be one of {STRATEGIES}")
-    e, e_deg, pairs = _prepare(edges)
-    if strategy == "arrays":
-        counts = _by_arrays(e_deg, pairs, None)
-    elif strategy == "probe":
-        counts = _by_probe(e, pairs)
+    e_deg = degree_edges(edges, materialize)
+    e = e_deg.select("src", "dst")
+    hi, lo = F.greatest("deg1", "deg2"), F.least("deg1", "deg2")
+    if strategy == "auto":
+        light = (hi <= hub_degree) & (hi <= lo * balance)
     else:
-        heavy = F.greatest("deg1", "deg2") > hub_degree
-        counts = _by_arrays(e_deg, pairs.where(~heavy), hub_degree).unionByName(
-            _by_probe(e, pairs.where(heavy)))
+        light = F.lit(strategy == "arrays")
+    pairs = reciprocal_pairs(e_deg, with_degrees=True).withColumn("light", light)
+    n_light = n_heavy = None
+    if materialize:
+        pairs = materialize_df(pairs, "pairs")
+        row = pairs.agg(F.count(F.when(F.col("light"), 1)).alias("a"),
+                        F.count(F.when(~F.col("light"), 1)).alias("b")).first()
+        n_light, n_heavy = row["a"], row["b"]
+    parts = []
+    if n_light is None or n_light > 0 or n_heavy == 0:
+        cap = None if strategy == "arrays" else hub_degree
+        parts.append(_by_arrays(e_deg, pairs.where(F.col("light")), cap))
+    if n_heavy is None or n_heavy > 0:
+        parts.append(_by_probe(e, pairs.where(~F.col("light"))))
+    counts = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     if keep_zero:
-        counts = (pairs.select("id1", "id2").join(counts, ["id1", "id2"], "left")
-                  .select("id1", "id2", F.coalesce("n", F.lit(0)).cast("bigint").alias("n")))
-        return counts
+        return (pairs.select("id1", "id2").join(counts, ["id1", "id2"], "left")
+                .select("id1", "id2", F.coalesce("n", F.lit(0)).cast("bigint").alias("n")))
     return counts.where(F.col("n") > 0).select("id1", "id2", F.col("n").cast("bigint").alias("n"))

@@ -11,16 +11,15 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the jobs are tuned for. AQE re-plans joins from runtime sizes (broadcast only when the
-# measured shuffle output is under the threshold), coalesces small partitions and splits skewed ones.
+# measured shuffle output is under Spark's default 10 MB threshold), coalesces small partitions and
+# splits skewed ones.
 TUNING = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 * 1024),
     "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
     "spark.sql.session.timeZone": "UTC",
 }
@@ -60,5 +59,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/scratch-{uuid.uuid4().hex[:12]}/{name}"
 
 
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as parquet below the shared checkpoint folder and read it back.
+
+    Used for an intermediate that several later steps read: it is computed once, lineage is cut
+    (a lost executor re-reads files, nothing upstream re-runs), and the planner sees real file
+    sizes for its join choices.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
