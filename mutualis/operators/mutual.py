@@ -58,14 +58,15 @@ def _by_arrays(e_deg: DataFrame, pairs: DataFrame, hub_degree: int | None) -> Da
 
 def _by_probe(e: DataFrame, pairs: DataFrame) -> DataFrame:
     small_first = F.col("deg1") <= F.col("deg2")
+    # The pair is (least, greatest) of its two ends, so rows carry only (s, o, c).
     sides = pairs.select(
-        "id1", "id2",
         F.when(small_first, F.col("id1")).otherwise(F.col("id2")).alias("s"),
         F.when(small_first, F.col("id2")).otherwise(F.col("id1")).alias("o"))
     expanded = sides.join(e.select(F.col("src").alias("s"), F.col("dst").alias("c")), "s")
     other = e.select(F.col("src").alias("o"), F.col("dst").alias("c"))
     hits = expanded.join(other, ["o", "c"], "left_semi")
-    return hits.groupBy("id1", "id2").agg(F.count(F.lit(1)).alias("n"))
+    return (hits.groupBy("s", "o").agg(F.count(F.lit(1)).alias("n"))
+            .select(F.least("s", "o").alias("id1"), F.greatest("s", "o").alias("id2"), "n"))
 
 
 def mutual_counts(edges: DataFrame, strategy: str = "auto", hub_degree: int = DEFAULT_HUB_DEGREE,
