@@ -48,7 +48,11 @@ def degree_edges(edges: DataFrame, materialize: bool = True) -> DataFrame:
 
 def _by_arrays(e_deg: DataFrame, pairs: DataFrame, hub_degree: int | None) -> DataFrame:
     small = e_deg if hub_degree is None else e_deg.where(F.col("deg") <= hub_degree)
-    nbrs = small.groupBy("src").agg(F.collect_list("dst").alias("nbrs"))  # rows already distinct
+    # Gather lists only for users that are in a pair going this way (the semi-join keys on src,
+    # the partitioning the grouping needs anyway).
+    members = pairs.select(F.explode(F.array("id1", "id2")).alias("src"))
+    nbrs = (small.join(members, "src", "left_semi")
+            .groupBy("src").agg(F.collect_list("dst").alias("nbrs")))  # rows already distinct
     n1 = nbrs.select(F.col("src").alias("id1"), F.col("nbrs").alias("n1"))
     n2 = nbrs.select(F.col("src").alias("id2"), F.col("nbrs").alias("n2"))
     # Self-listings are gone, so neither a nor b can be in both sets: no exclusion needed.

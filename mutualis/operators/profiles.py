@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from ..sources.schemas import DEFAULT_TOP_K
 from .topk import top_k
 
@@ -36,24 +37,31 @@ def attach_profiles(pairs: DataFrame, profiles: DataFrame, how: str = "inner",
 
     ``inner`` keeps a pair only when both members have a profile; ``left`` keeps every pair with
     nulls for a missing member (D8). A member with several profile lines gets the smallest one.
+    One broadcast join (the 2k member rows against the streamed profiles) and one aggregation
+    over at most 2k rows plus matches.
     """
     if how not in HOW:
         raise ValueError(f"how must be one of {HOW}")
+    if how == "left":
+        # The pairs are read twice below; write the (at most k) rows once so the ranking upstream
+        # runs once.
+        pairs = materialize(pairs, "ranked_pairs")
     members = pair_members(pairs)
-    prof = profiles.select("userid", *fields)
-    found = (prof.join(F.broadcast(members), "userid")
-             .groupBy("id1", "id2", "n", "pos")
-             .agg(F.min(F.struct(*fields)).alias("p")))
-    rows = members.join(found, ["id1", "id2", "n", "pos"], "left")
-    out = []
-    for side, pos in (("a", 0), ("b", 1)):
-        for src, dst in zip(fields, OUT_FIELDS):
-            out.append(F.max(F.when(F.col("pos") == pos, F.col(f"p.{src}"))).alias(f"{side}_{dst}"))
-    have = F.sum(F.when(F.col("p").isNotNull(), 1).otherwise(0)).alias("have")
-    res = rows.groupBy("id1", "id2", "n").agg(*out, have)
+    prof = profiles.select("userid", F.struct(*fields).alias("p"))
+    found = prof.join(F.broadcast(members), "userid").select("id1", "id2", "n", "pos", "p")
+    if how == "left":
+        # The pairs themselves, with no profile, so that a pair whose members both lack one survives.
+        bare = pairs.select("id1", "id2", "n", F.lit(None).cast("int").alias("pos"),
+                            F.lit(None).cast(prof.schema["p"].dataType).alias("p"))
+        found = found.unionByName(bare)
+    res = (found.groupBy("id1", "id2", "n")
+           .agg(F.min(F.when(F.col("pos") == 0, F.col("p"))).alias("a"),
+                F.min(F.when(F.col("pos") == 1, F.col("p"))).alias("b")))
     if how == "inner":
-        res = res.where(F.col("have") == 2)
-    return res.drop("have")
+        res = res.where(F.col("a").isNotNull() & F.col("b").isNotNull())
+    out = [F.col(f"{side}.{src}").alias(f"{side}_{dst}")
+           for side in ("a", "b") for src, dst in zip(fields, OUT_FIELDS)]
+    return res.select("id1", "id2", "n", *out)
 
 
 def top_pairs_with_profiles(counts: DataFrame, profiles: DataFrame, k: int = DEFAULT_TOP_K,

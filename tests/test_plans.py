@@ -43,3 +43,14 @@ def test_profile_lookup_broadcasts_only_the_pairs(spark):
     p = plan(df)
     assert "BroadcastExchange" in p
     assert "BroadcastNestedLoopJoin" not in p
+
+
+@pytest.mark.parametrize("name", ["q2_top_pairs", "q4_top_rated", "q4_top_by_key", "join_lookup_broadcast"])
+def test_ranking_runs_once(spark, name):
+    assert plan(QUERIES[name](spark, SF_SMALL)).count("TakeOrderedAndProject") == 1
+
+
+def test_counts_read_materialized_edges_once_per_use(spark):
+    # The raw edge scan happens only inside the materialization; the plan reads written files.
+    p = plan(QUERIES["q1_mutual_counts"](spark, SF_SMALL))
+    assert "lineitem.parquet" not in p
