@@ -56,8 +56,12 @@ def lines(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def adjacency(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Parsed adjacency lines of ``supplies``: ``(userid, friend_list)``, one row per part."""
-    return text.parse_adjacency(lines(spark, sf_dir, "adjacency"))
+    """Parsed adjacency lines of ``supplies``: ``(userid, friend_list, blk)``, one row per line.
+
+    ``blk`` is the id block the line covers (null for an empty list); see ``tables.adjacency_lines``.
+    """
+    adj = text.parse_adjacency(lines(spark, sf_dir, "adjacency"))
+    return adj.withColumn("blk", F.expr(f"get(friend_list, 0) div {tables.LIST_BLOCK}"))
 
 
 def ids_text(arr: Column | str, sep: str = ",") -> Column:

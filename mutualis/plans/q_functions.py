@@ -15,13 +15,22 @@ from .q_jobs import PATTERN
 _ADJ = f"WITH a AS ({S.ADJACENCY})"
 
 
-def _pairs_with_lists(spark, sf_dir):
-    """Reciprocated pairs of the parsed adjacency, each with both parsed lists."""
+def _pair_blocks(spark, sf_dir):
+    """Reciprocated pairs of the parsed adjacency, one row per id block both members have a line
+    in: ``(id1, id2, blk, l1, l2)``. Lines hold one block of ids each, so a pair's shared ids are
+    the union over blocks of the per-block intersections, and no row holds a whole long list."""
     adj = adjacency(spark, sf_dir)
     pairs = reciprocal_pairs(clean_edges(edges_from_adjacency(adj)))
-    l1 = adj.select(F.col("userid").alias("id1"), F.col("friend_list").alias("l1"))
-    l2 = adj.select(F.col("userid").alias("id2"), F.col("friend_list").alias("l2"))
-    return pairs.join(l1, "id1").join(l2, "id2")
+    l1 = adj.select(F.col("userid").alias("id1"), "blk", F.col("friend_list").alias("l1"))
+    l2 = adj.select(F.col("userid").alias("id2"), "blk", F.col("friend_list").alias("l2"))
+    return pairs.join(l1, "id1").join(l2, ["id2", "blk"]), pairs
+
+
+def _sum_by_pair(per_block, pairs, col):
+    """Per-block counts summed per pair; pairs with no common block get 0."""
+    sums = per_block.groupBy("id1", "id2").agg(F.sum(col).cast("bigint").alias("n"))
+    return pairs.join(sums, ["id1", "id2"], "left").select(
+        "id1", "id2", F.coalesce("n", F.lit(0)).cast("bigint").alias("n"))
 
 
 # Shared ids for every reciprocated pair, zeros included.
@@ -112,13 +121,18 @@ def array_contains(spark, sf_dir):
         "userid", F.array_contains("friend_list", F.col("p_size").cast("bigint")).alias("lists_size"))
 
 
-@query("array_distinct", f"""{_ADJ}
-SELECT userid, array_to_string(list_sort(list_distinct(friend_list)), ',') AS ids,
-       CAST(len(list_distinct(friend_list)) AS BIGINT) AS n_distinct FROM a""")
+_PAIR_BLOCKS = f"""{S.mutual()}, a AS ({S.ADJACENCY}),
+pb AS (SELECT p.id1, p.id2, x.blk, x.friend_list AS l1, y.friend_list AS l2
+       FROM p JOIN a x ON x.userid = p.id1 JOIN a y ON y.userid = p.id2 AND y.blk = x.blk)"""
+
+
+@query("array_distinct", f"""{_PAIR_BLOCKS}
+SELECT id1, id2, blk, CAST(len(list_distinct(list_concat(l1, l2))) AS BIGINT) AS n_union FROM pb""")
 def array_distinct(spark, sf_dir):
-    d = F.array_distinct("friend_list")
-    return adjacency(spark, sf_dir).select("userid", ids_text(F.array_sort(d)).alias("ids"),
-                                           F.size(d).cast("bigint").alias("n_distinct"))
+    """List → set; here the ids listed by either member of a pair, per id block."""
+    pb, _ = _pair_blocks(spark, sf_dir)
+    return pb.select("id1", "id2", "blk", F.size(F.array_distinct(F.concat("l1", "l2"))).cast("bigint")
+                     .alias("n_union"))
 
 
 @query("array_size", f"{_ADJ} SELECT userid, CAST(len(friend_list) AS BIGINT) AS n_friends FROM a")
@@ -160,9 +174,11 @@ def array_build(spark, sf_dir):
 
 @query("array_intersect_size", _ALL_COUNTS)
 def array_intersect_size(spark, sf_dir):
-    """A2/X8 in row form: both lists on the pair's row, intersect, members left out, zeros kept."""
-    pl = _pairs_with_lists(spark, sf_dir)
-    return pl.select("id1", "id2", shared_count("l1", "l2", exclude=["id1", "id2"]).alias("n"))
+    """A2/X8 in row form: both lists on one row (per id block), intersect, members left out,
+    summed per pair; zeros kept."""
+    pb, pairs = _pair_blocks(spark, sf_dir)
+    per_block = pb.select("id1", "id2", shared_count("l1", "l2", exclude=["id1", "id2"]).alias("k"))
+    return _sum_by_pair(per_block, pairs, "k")
 
 
 @query("pred_boolean", """
@@ -181,10 +197,24 @@ def pred_boolean(spark, sf_dir):
 
 @query("udf_scalar_int", _ALL_COUNTS)
 def udf_scalar_int(spark, sf_dir):
-    """The reciprocity test and the shared count as vectorized UDFs returning INT."""
-    pl = _pairs_with_lists(spark, sf_dir)
-    ok = pl.where(reciprocal_udf("id1", "l1", "id2", "l2") == 1)
-    return ok.select("id1", "id2", shared_count_udf("l1", "l2", "id1", "id2").cast("bigint").alias("n"))
+    """The reciprocity test and the shared count as vectorized UDFs returning INT.
+
+    Candidates are the canonical keys of the listed links; the test reads the one line of each
+    member that covers the other's id block; the count is summed over common blocks."""
+    adj = adjacency(spark, sf_dir)
+    e = clean_edges(edges_from_adjacency(adj))
+    cand = e.select(F.least("src", "dst").alias("id1"), F.greatest("src", "dst").alias("id2")).distinct()
+    blk = tables.LIST_BLOCK
+    l1 = adj.select(F.col("userid").alias("id1"), F.col("blk").alias("b2"), F.col("friend_list").alias("l1"))
+    l2 = adj.select(F.col("userid").alias("id2"), F.col("blk").alias("b1"), F.col("friend_list").alias("l2"))
+    rows = (cand.withColumn("b1", F.expr(f"id1 div {blk}")).withColumn("b2", F.expr(f"id2 div {blk}"))
+            .join(l1, ["id1", "b2"]).join(l2, ["id2", "b1"]))
+    pairs = rows.where(reciprocal_udf("id1", "l1", "id2", "l2") == 1).select("id1", "id2")
+    lb1 = adj.select(F.col("userid").alias("id1"), "blk", F.col("friend_list").alias("m1"))
+    lb2 = adj.select(F.col("userid").alias("id2"), "blk", F.col("friend_list").alias("m2"))
+    per_block = (pairs.join(lb1, "id1").join(lb2, ["id2", "blk"])
+                 .select("id1", "id2", shared_count_udf("m1", "m2", "id1", "id2").alias("k")))
+    return _sum_by_pair(per_block, pairs, "k")
 
 
 @query("udf_scalar_string", f"""WITH b AS ({S.BUSINESSES}), r AS ({S.REVIEWS})

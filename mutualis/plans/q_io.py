@@ -30,7 +30,7 @@ def src_profile_records(spark, sf_dir):
 
 @query("src_adjacency_lines", f"""WITH a AS ({S.ADJACENCY})
 SELECT userid, array_to_string(friend_list, ',') AS friends, CAST(len(friend_list) AS BIGINT) AS n_friends
-FROM a""")
+FROM a""")  # one row per line; a part's list may span lines (one per id block)
 def src_adjacency_lines(spark, sf_dir):
     adj = text.parse_adjacency(lines(spark, sf_dir, "adjacency"))
     return adj.select("userid", ids_text("friend_list").alias("friends"),

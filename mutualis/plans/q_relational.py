@@ -24,9 +24,9 @@ def proj_map_rows(spark, sf_dir):
     return tables.reviews(spark, sf_dir).select("businessid", "userid", "stars")
 
 
-@query("proj_explode_edges", S.SUPPLIES)
+@query("proj_explode_edges", "SELECT DISTINCT l_partkey AS src, l_suppkey AS dst FROM lineitem")
 def proj_explode_edges(spark, sf_dir):
-    """Parsed adjacency lists → one row per listed id (repeats and self-listings kept)."""
+    """Parsed adjacency lines → one row per listed id (self-listings kept)."""
     return edges_from_adjacency(adjacency(spark, sf_dir))
 
 
@@ -107,15 +107,18 @@ def filter_pair_order(spark, sf_dir):
 
 @query("filter_reciprocal", f"WITH e AS ({S.EDGES}) {S.PAIRS}")
 def filter_reciprocal(spark, sf_dir):
-    """F3 in its row form: candidate pairs are the distinct canonical keys of the edges (never a
-    Cartesian product), each row carries both lists, and the two membership tests filter."""
+    """F3 in its row form: candidate pairs are the distinct canonical keys of the listed links
+    (never a Cartesian product); each candidate row carries, for each member, the one line that
+    covers the other member's id block; the two membership tests filter."""
     adj = adjacency(spark, sf_dir)
     e = clean_edges(edges_from_adjacency(adj))
     lo, hi = canonical_pair("src", "dst")
-    cand = e.select(lo.alias("id1"), hi.alias("id2")).distinct()
-    l1 = adj.select(F.col("userid").alias("id1"), F.col("friend_list").alias("l1"))
-    l2 = adj.select(F.col("userid").alias("id2"), F.col("friend_list").alias("l2"))
-    return (cand.join(l1, "id1").join(l2, "id2")
+    blk = tables.LIST_BLOCK
+    cand = (e.select(lo.alias("id1"), hi.alias("id2")).distinct()
+            .withColumn("b1", F.expr(f"id1 div {blk}")).withColumn("b2", F.expr(f"id2 div {blk}")))
+    l1 = adj.select(F.col("userid").alias("id1"), F.col("blk").alias("b2"), F.col("friend_list").alias("l1"))
+    l2 = adj.select(F.col("userid").alias("id2"), F.col("blk").alias("b1"), F.col("friend_list").alias("l2"))
+    return (cand.join(l1, ["id1", "b2"]).join(l2, ["id2", "b1"])
             .where(is_reciprocal("id1", "l1", "id2", "l2")).select("id1", "id2"))
 
 

@@ -48,10 +48,11 @@ REVIEWS = f"SELECT {_REVIEW_COLS} FROM lineitem"
 
 REVIEWS_DUP = f"{REVIEWS} UNION ALL SELECT {_REVIEW_COLS} FROM lineitem WHERE l_returnflag = 'R'"
 
-# Adjacency lists as parsed from the text form: every part, its supplier ids sorted (repeats kept).
+# Adjacency lines as parsed from the text form: one per part and block of 1024 supplier ids,
+# distinct ids sorted; a part with no lineitem has one line with an empty list.
 ADJACENCY = """
-SELECT p_partkey AS userid,
-       COALESCE(list(l_suppkey ORDER BY l_suppkey) FILTER (WHERE l_suppkey IS NOT NULL),
+SELECT p_partkey AS userid, l_suppkey // 1024 AS blk,
+       COALESCE(list_sort(list(DISTINCT l_suppkey) FILTER (WHERE l_suppkey IS NOT NULL)),
                 CAST([] AS BIGINT[])) AS friend_list
 FROM part LEFT JOIN lineitem ON l_partkey = p_partkey
-GROUP BY p_partkey"""
+GROUP BY p_partkey, l_suppkey // 1024"""

@@ -22,6 +22,10 @@ from ..session import table_path
 from . import schemas as S
 
 
+# Fixed parameter: ids per line block in the adjacency text form.
+LIST_BLOCK = 1024
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
@@ -90,18 +94,20 @@ def profile_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def adjacency_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``part<TAB>sorted supplier list``; parts with no lineitem get an empty list.
+    """``part<TAB>sorted supplier ids``, one line per part and block of ``LIST_BLOCK`` ids.
 
-    A line holds a whole list, as the reference's format does; this is only the text form of
-    the input. The graph jobs work on edge rows.
+    A part's list is split over lines by id block (``id div LIST_BLOCK``), so no line holds more
+    than ``LIST_BLOCK`` distinct ids however many suppliers a part has; the parser unions a user's
+    lines. Parts with no lineitem get one line with an empty list.
     """
-    lists = (supplies(spark, sf_dir).groupBy("src")
-             .agg(F.array_join(F.transform(F.array_sort(F.collect_list("dst")), lambda x: x.cast("string")),
-                               S.FRIEND_SEP).alias("friends")))
+    blocks = (supplies(spark, sf_dir)
+              .groupBy("src", F.expr(f"dst div {LIST_BLOCK}").alias("blk"))
+              .agg(F.array_sort(F.collect_set("dst")).alias("ids")))
     parts = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("src"))
-    return (parts.join(lists, "src", "left")
+    ids_text = F.array_join(F.transform(F.col("ids"), lambda x: x.cast("string")), S.FRIEND_SEP)
+    return (parts.join(blocks, "src", "left")
             .select(F.concat(F.col("src").cast("string"), F.lit(S.ADJACENCY_SEP),
-                             F.coalesce(F.col("friends"), F.lit(""))).alias("value")))
+                             F.coalesce(ids_text, F.lit(""))).alias("value")))
 
 
 def business_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
