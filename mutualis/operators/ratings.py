@@ -32,10 +32,13 @@ def ratings_for(businesses: DataFrame, reviews: DataFrame, pattern: str = DEFAUL
     gave the same stars to two matching businesses appears twice); ``False`` keeps one row per
     distinct ``(user, stars)``. The matching businesses are a semi-join filter: repeated business
     lines never multiply reviews, and the planner may broadcast them when the filter leaves few.
-    The distinct key always includes the user, so a hot business is spread over many tasks.
     """
     hits = businesses.where(address_match(pattern, match)).select("businessid")
     matched = reviews.join(hits, "businessid", "left_semi")
+    # With the usual broadcast of the few matching ids, the distinct is the only shuffle, keyed on
+    # (business, user, stars) after a map-side de-duplication. When the ids are too many to
+    # broadcast, the semi-join is partitioned by business; AQE then splits a hot business's
+    # partition (``forceOptimizeSkewedJoin``) and adds the shuffle the distinct needs.
     if per_business:
         return matched.select("businessid", "userid", "stars").distinct().select("userid", "stars")
     return matched.select("userid", "stars").distinct()

@@ -20,6 +20,8 @@ TUNING = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a skewed join partition even when that costs a shuffle after the join.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
     "spark.sql.session.timeZone": "UTC",
 }
