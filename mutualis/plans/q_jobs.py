@@ -1,14 +1,12 @@
-"""The four questions, on the table-backed inputs (and Q1 once more from its text form)."""
+"""The four questions on the table-backed inputs, and once more from their text forms."""
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from ..functions import pair_line, tab_line
 from ..operators import edges_from_adjacency, mutual_counts, ratings_for, top_pairs_with_profiles, top_rated
-from ..sources import tables
+from ..sources import tables, text
 from . import sql as S
-from .catalog import adjacency, query
+from .catalog import adjacency, lines, query
 
 K = 10
 PATTERN = "red"  # address text picked on the test tables (part names)
@@ -127,3 +125,48 @@ AS value FROM q""")
 def q4_top_rated_lines(spark, sf_dir):
     r = q4_top_rated(spark, sf_dir)
     return r.select(tab_line("businessid", "address", "categories", "avg_stars").alias("value"))
+
+
+@query("q1_arrays", f"{S.mutual()} SELECT id1, id2, n FROM c")
+def q1_arrays(spark, sf_dir):
+    """C1 with every pair the arrays way (lists here are short: supplier ids per part)."""
+    return q1_counts(spark, sf_dir, strategy="arrays")
+
+
+@query("q1_probe", f"{S.mutual()} SELECT id1, id2, n FROM c")
+def q1_probe(spark, sf_dir):
+    """C1 with every pair the probe way."""
+    return q1_counts(spark, sf_dir, strategy="probe")
+
+
+@query("q2_top_pairs_left", f"""{S.mutual()},
+t AS (SELECT id1, id2, n FROM c ORDER BY n DESC, id1, id2 LIMIT {K}), pr AS ({S.PROFILES})
+SELECT t.n, a.firstname AS a_first, a.lastname AS a_last, a.address AS a_address,
+       b.firstname AS b_first, b.lastname AS b_last, b.address AS b_address
+FROM t LEFT JOIN pr a ON a.userid = t.id1 LEFT JOIN pr b ON b.userid = t.id2""")
+def q2_top_pairs_left(spark, sf_dir):
+    """C3 keeping pairs whose members lack a profile (D8 ``left``)."""
+    res = top_pairs_with_profiles(q1_counts(spark, sf_dir), tables.profiles(spark, sf_dir), K, how="left")
+    return res.select("n", "a_first", "a_last", "a_address", "b_first", "b_last", "b_address")
+
+
+def _text_inputs(spark, sf_dir):
+    return (text.parse_businesses(lines(spark, sf_dir, "businesses")),
+            text.parse_reviews(lines(spark, sf_dir, "reviews")))
+
+
+@query("q3_from_text", f"""WITH b AS ({S.BUSINESSES}), r AS ({S.REVIEWS})
+SELECT userid, stars FROM (
+  SELECT DISTINCT r.businessid, r.userid, r.stars FROM r JOIN b ON b.businessid = r.businessid
+  WHERE b.address LIKE '%{PATTERN}%') d""")
+def q3_from_text(spark, sf_dir):
+    """C4 as the reference runs it: business and review text records parsed, then matched."""
+    b, r = _text_inputs(spark, sf_dir)
+    return ratings_for(b, r, PATTERN, per_business=True, match="like")
+
+
+@query("q4_from_text", _q4_sql(S.REVIEWS, False, "avg_stars DESC, businessid"))
+def q4_from_text(spark, sf_dir):
+    """C6 from the parsed text records."""
+    b, r = _text_inputs(spark, sf_dir)
+    return top_rated(r, b, K)
