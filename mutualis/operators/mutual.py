@@ -6,12 +6,13 @@ For ``a < b`` with ``b`` on a's list and ``a`` on b's list:
 
 Two exact ways, routed per pair by the degrees of its two ends:
 
-* **arrays** (both ends have at most ``hub_degree`` ids, and of like number): each end's id set is gathered once, joined
-  to its pairs and intersected in generated code. Moves ``deg(a) + deg(b)`` ids per pair, in compact
-  arrays; no array is ever longer than ``hub_degree``.
-* **probe** (an end above ``hub_degree``, or lists of very unequal length): the list of the *smaller* end is expanded to rows and each
-  row is checked against the other end's edges with an equi semi-join on ``(other, id)``. Moves
-  ``min(deg(a), deg(b))`` rows per pair, whatever the hub's size, and never gathers a hub's list.
+* **arrays** (both ends have at most ``hub_degree`` ids, and of like number): each end's id set
+  is gathered once, joined to its pairs and intersected in generated code. Moves
+  ``deg(a) + deg(b)`` ids per pair, in compact arrays; no array is longer than ``hub_degree``.
+* **probe** (an end above ``hub_degree``, or lists of very unequal length): the list of the
+  *smaller* end is expanded to rows and each row is checked against the other end's edges with an
+  equi semi-join on ``(other, id)``. Moves ``min(deg(a), deg(b))`` rows per pair, whatever the
+  hub's size, and never gathers a hub's list.
 
 The routed union equals either way alone (tests check all three). No step is a Cartesian or
 nested-loop join, and no step emits all pairs within a group.

@@ -1,7 +1,6 @@
 """Driver contract: entry runs, every query has a known oracle status, and results agree with
 DuckDB on the smallest tables."""
 
-import math
 import os
 import sys
 
