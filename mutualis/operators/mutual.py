@@ -85,8 +85,9 @@ def mutual_counts(edges: DataFrame, strategy: str = "auto", hub_degree: int = DE
     graphs whose degrees are known to be bounded).
     ``keep_zero`` keeps pairs that share nobody (``n = 0``); the default drops them (F1).
     ``materialize`` writes the degree-annotated edges and the routed pairs once to the shared
-    checkpoint folder (each is read by several later steps) and reads two scalars (pairs per way)
-    so that an empty way is not planned; the call runs those jobs before returning the lazy result.
+    checkpoint folder (each is read by several later steps), counting the pairs per way during the
+    write so that an empty way is not planned; the call runs those two jobs before returning the
+    lazy result.
     """
     if strategy not in STRATEGIES:
         raise ValueError(f"strategy must be one of {STRATEGIES}")
@@ -100,10 +101,9 @@ def mutual_counts(edges: DataFrame, strategy: str = "auto", hub_degree: int = DE
     pairs = reciprocal_pairs(e_deg, with_degrees=True).withColumn("light", light)
     n_light = n_heavy = None
     if materialize:
-        pairs = materialize_df(pairs, "pairs")
-        row = pairs.agg(F.count(F.when(F.col("light"), 1)).alias("a"),
-                        F.count(F.when(~F.col("light"), 1)).alias("b")).first()
-        n_light, n_heavy = row["a"], row["b"]
+        pairs, seen = materialize_df(pairs, "pairs", metrics={
+            "light": F.count(F.when(F.col("light"), 1)), "heavy": F.count(F.when(~F.col("light"), 1))})
+        n_light, n_heavy = seen["light"], seen["heavy"]
     parts = []
     if n_light is None or n_light > 0 or n_heavy == 0:
         cap = None if strategy == "arrays" else hub_degree

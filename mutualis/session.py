@@ -11,7 +11,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 # Settings the jobs are tuned for. AQE re-plans joins from runtime sizes (broadcast only when the
 # measured shuffle output is under Spark's default 10 MB threshold), coalesces small partitions and
@@ -61,16 +61,22 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/scratch-{uuid.uuid4().hex[:12]}/{name}"
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, metrics: dict | None = None):
     """Write ``df`` once as parquet below the shared checkpoint folder and read it back.
 
     Used for an intermediate that several later steps read: it is computed once, lineage is cut
     (a lost executor re-reads files, nothing upstream re-runs), and the planner sees real file
-    sizes for its join choices.
+    sizes for its join choices. ``metrics`` (name → aggregate column) are observed during the same
+    write (``DataFrame.observe``), with no extra job; then ``(df, values)`` is returned.
     """
     path = scratch_path(df.sparkSession, name)
+    obs = None
+    if metrics:
+        obs = Observation(name)
+        df = df.observe(obs, *[c.alias(k) for k, c in metrics.items()])
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    out = df.sparkSession.read.parquet(path)
+    return (out, obs.get) if obs is not None else out
 
 
 def table_path(sf_dir: str, name: str) -> str:

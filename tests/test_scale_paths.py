@@ -64,3 +64,18 @@ def test_command_line_friends_job(tmp_path):
     for f in sorted((out / "top_pairs").glob("part-*")):
         lines += f.read_text().splitlines()
     assert lines == ["2\tAnn\tLee\t1 First St\tBob\tKim\t2 Second St"]
+
+
+def test_empty_and_pairless_graphs(spark):
+    empty = spark.createDataFrame([], "src bigint, dst bigint")
+    assert mutual_counts(empty).collect() == []
+    assert mutual_counts(empty, keep_zero=True).collect() == []
+    one_sided = spark.createDataFrame([(1, 2), (3, 4), (5, 5)], "src bigint, dst bigint")
+    assert mutual_counts(one_sided).collect() == []
+
+
+def test_materialize_observes_metrics_in_the_same_write(spark):
+    df = spark.range(100)
+    out, seen = materialize(df, "observed", metrics={"n": F.count(F.lit(1)), "top": F.max("id")})
+    assert seen == {"n": 100, "top": 99}
+    assert out.count() == 100
