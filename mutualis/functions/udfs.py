@@ -1,6 +1,6 @@
 """The scalar-UDF surface (U1-U3): user functions with a stated return type.
 
-The jobs never need these (every reference helper has a built-in equivalent, see ``pairs`` and
+The jobs never need these (every original helper has a built-in equivalent, see ``pairs`` and
 ``lines``); they exist for callers who bring Python logic. All are Pandas UDFs, so rows cross to
 Python in Arrow batches, not one at a time.
 """
@@ -33,7 +33,7 @@ def shared_count_udf(list1: pd.Series, list2: pd.Series, id1: pd.Series, id2: pd
 
 
 def _py_text(s: pd.Series) -> pd.Series:
-    """Python ``str()`` of each value (``None`` for null), as the reference's format helpers give."""
+    """Python ``str()`` of each value (``None`` for null), as the original format helpers give."""
     return s.map(lambda v: "None" if v is None or (isinstance(v, float) and pd.isna(v)) else str(v))
 
 

@@ -1,6 +1,6 @@
 """The top-k pairs with both members' profiles.
 
-The reference attaches profiles with a join on ``userid = id1 OR userid = id2`` (a nested-loop
+The original attaches profiles with a join on ``userid = id1 OR userid = id2`` (a nested-loop
 plan) or with one lookup job per id. Here the k pairs become 2k member rows
 (``posexplode(array(id1, id2))``) and meet the profiles in one equi-join. Only those 2k rows are
 broadcast (bounded by ``k``); the profile table is streamed once and never shuffled.

@@ -1,4 +1,4 @@
-"""End-to-end jobs on the reference's text inputs: the two scripts' work, one lazy plan each.
+"""End-to-end jobs on the original text inputs: each pair of questions as one lazy plan.
 
 ``friends_job``: user profiles + adjacency lines → Q1 lines (``id1, id2<TAB>n``) and Q2 lines
 (``n`` and both members' first name, last name, address, tab-separated).

@@ -29,7 +29,7 @@ def q1_mutual_counts_cosupply(spark, sf_dir):
 
 @query("q1_from_text", f"{S.mutual()} SELECT id1, id2, n FROM c")
 def q1_from_text(spark, sf_dir):
-    """Q1 as the reference runs it: adjacency text lines → parsed lists → edges → counts."""
+    """Q1 end to end from text: adjacency text lines → parsed lists → edges → counts."""
     return mutual_counts(edges_from_adjacency(adjacency(spark, sf_dir)))
 
 
@@ -160,7 +160,7 @@ SELECT userid, stars FROM (
   SELECT DISTINCT r.businessid, r.userid, r.stars FROM r JOIN b ON b.businessid = r.businessid
   WHERE b.address LIKE '%{PATTERN}%') d""")
 def q3_from_text(spark, sf_dir):
-    """C4 as the reference runs it: business and review text records parsed, then matched."""
+    """C4 end to end from text: business and review text records parsed, then matched."""
     b, r = _text_inputs(spark, sf_dir)
     return ratings_for(b, r, PATTERN, per_business=True, match="like")
 

@@ -1,3 +1,3 @@
-"""Sinks: text lines (the reference's only output form)."""
+"""Sinks: text lines (the only output form of the original jobs)."""
 
 from .text import write_lines  # noqa: F401

@@ -1,4 +1,4 @@
-"""Inputs built from the driver's parquet tables, standing for the reference's text files.
+"""Inputs built from the driver's parquet tables, standing for the original text files.
 
 All are lazy projections of single-table scans, so filters and column pruning reach the parquet
 reader and the work grows with the tables:

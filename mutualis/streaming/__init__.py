@@ -1,6 +1,6 @@
 """Streaming: intentionally empty.
 
-The reference is bounded batch only: no stream sources or sinks, watermarks, windows or state. So
-there is nothing to rebuild with Structured Streaming here; the package exists so the layout stays
-the same as the other rebuilds, and is where such operators would go.
+The original work is bounded batch only: no stream sources or sinks, watermarks, windows or
+state, so there is nothing to rebuild with Structured Streaming. The package keeps the standard
+layout and is where such operators would go.
 """

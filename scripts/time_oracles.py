@@ -1,7 +1,7 @@
 """Time the DuckDB oracle SQL of the headline queries on one machine, for comparison with bench.py.
 
 Usage: python scripts/time_oracles.py [sf_dir]. Prints one JSON line like bench.py (best of three
-after one untimed run). DuckDB runs in-process on all cores; it is a single-node reference point,
+after one untimed run). DuckDB runs in-process on all cores; it is a single-node comparison point,
 not part of the rebuild.
 """
 

@@ -28,7 +28,7 @@ PROFILES = [
 
 @pytest.fixture(scope="module")
 def edges(spark, tmp_path_factory):
-    path = write_lines_file(tmp_path_factory.mktemp("graph"), "soc.txt", GRAPH)
+    path = write_lines_file(tmp_path_factory.mktemp("graph"), "friends.txt", GRAPH)
     return edges_from_adjacency(parse_adjacency(read_lines(spark, path)))
 
 

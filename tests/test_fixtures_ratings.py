@@ -21,8 +21,8 @@ REVIEWS = ["r1::u1::b1::4.0", "r1::u1::b1::4.0", "r2::u1::b2::4.0", "r3::u2::b1:
 @pytest.fixture(scope="module")
 def data(spark, tmp_path_factory):
     d = tmp_path_factory.mktemp("ratings")
-    b = parse_businesses(read_lines(spark, write_lines_file(d, "business.csv", BUSINESS)))
-    r = parse_reviews(read_lines(spark, write_lines_file(d, "review.csv", REVIEWS)))
+    b = parse_businesses(read_lines(spark, write_lines_file(d, "businesses.txt", BUSINESS)))
+    r = parse_reviews(read_lines(spark, write_lines_file(d, "reviews.txt", REVIEWS)))
     return b, r
 
 

@@ -1,4 +1,4 @@
-"""The end-to-end text jobs on the FIXTURES.md inputs: output lines as the reference writes them."""
+"""The end-to-end text jobs on the FIXTURES.md inputs: output lines as the original jobs write them."""
 
 import glob
 import os
@@ -18,8 +18,8 @@ def read_dir(path):
 
 
 def test_friends_job(spark, tmp_path):
-    users = write_lines_file(tmp_path, "userdata.txt", PROFILES + ["4,Di,Ox,4 Fourth St,T,S,4,US,di,x"])
-    soc = write_lines_file(tmp_path, "soc.txt", GRAPH)
+    users = write_lines_file(tmp_path, "users.txt", PROFILES + ["4,Di,Ox,4 Fourth St,T,S,4,US,di,x"])
+    soc = write_lines_file(tmp_path, "friends.txt", GRAPH)
     out = friends_job(spark, users, soc, str(tmp_path / "out"), k=3)
     q1 = sorted(read_dir(out["mutual_friends"]))
     assert q1 == sorted(["1, 2\t2", "1, 3\t1", "1, 4\t2", "2, 3\t1", "2, 4\t2", "9, 10\t1", "9, 11\t1",
@@ -31,8 +31,8 @@ def test_friends_job(spark, tmp_path):
 
 
 def test_ratings_job(spark, tmp_path):
-    b = write_lines_file(tmp_path, "business.csv", BUSINESS)
-    r = write_lines_file(tmp_path, "review.csv", REVIEWS)
+    b = write_lines_file(tmp_path, "businesses.txt", BUSINESS)
+    r = write_lines_file(tmp_path, "reviews.txt", REVIEWS)
     out = ratings_job(spark, b, r, str(tmp_path / "out"))
     assert sorted(read_dir(out["ratings"])) == ["u1\t4.0", "u1\t4.0", "u2\t5.0"]
     assert read_dir(out["top_rated"]) == [
@@ -43,8 +43,8 @@ def test_ratings_job(spark, tmp_path):
 
 
 def test_ratings_job_key_order_over_distinct_lines(spark, tmp_path):
-    b = write_lines_file(tmp_path, "business.csv", BUSINESS)
-    r = write_lines_file(tmp_path, "review.csv", REVIEWS)
+    b = write_lines_file(tmp_path, "businesses.txt", BUSINESS)
+    r = write_lines_file(tmp_path, "reviews.txt", REVIEWS)
     out = ratings_job(spark, b, r, str(tmp_path / "out2"), per_business=False, dedup=True, by="key")
     assert sorted(read_dir(out["ratings"])) == ["u1\t4.0", "u2\t5.0"]
     top = read_dir(out["top_rated"])

@@ -51,8 +51,8 @@ def test_intermediates_live_in_the_checkpoint_folder(spark):
 
 
 def test_command_line_friends_job(tmp_path):
-    users = write_lines_file(tmp_path, "userdata.txt", PROFILES)
-    soc = write_lines_file(tmp_path, "soc.txt", GRAPH)
+    users = write_lines_file(tmp_path, "users.txt", PROFILES)
+    soc = write_lines_file(tmp_path, "friends.txt", GRAPH)
     out = tmp_path / "out"
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     env = dict(os.environ, PYTHONPATH=root)
