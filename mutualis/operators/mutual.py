@@ -27,7 +27,7 @@ from ..session import materialize as materialize_df
 from .edges import clean_edges, out_degrees, reciprocal_pairs
 
 # Largest list length gathered into one array. Above it a pair goes to the probe way.
-DEFAULT_HUB_DEGREE = 1000
+DEFAULT_HUB_DEGREE = 256
 # Arrays move deg(a) + deg(b) ids per pair, the probe min(deg) rows (a row costs several ids), so
 # lists of very unequal length go the probe way too.
 DEFAULT_BALANCE = 4.0
