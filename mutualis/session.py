@@ -75,7 +75,7 @@ def materialize(df: DataFrame, name: str, metrics: dict | None = None):
         obs = Observation(name)
         df = df.observe(obs, *[c.alias(k) for k, c in metrics.items()])
     df.write.parquet(path)
-    out = df.sparkSession.read.parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)  # known schema: no footer-reading job
     return (out, obs.get) if obs is not None else out
 
 
