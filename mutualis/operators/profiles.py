@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..session import materialize
 from ..sources.schemas import DEFAULT_TOP_K
-from .topk import top_k
+from .topk import sort_bounded, top_k
 
 PROFILE_FIELDS = ("firstname", "lastname", "address")
 OUT_FIELDS = ("first", "last", "address")
@@ -68,4 +68,4 @@ def top_pairs_with_profiles(counts: DataFrame, profiles: DataFrame, k: int = DEF
                             how: str = "inner") -> DataFrame:
     """``(n, a_first, a_last, a_address, b_first, b_last, b_address)`` plus the ids, ranked."""
     res = attach_profiles(top_pairs(counts, k), profiles, how)
-    return res.orderBy(F.col("n").desc(), "id1", "id2")
+    return sort_bounded(res, [F.col("n").desc()], ["id1", "id2"])  # at most k rows

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.schemas import DEFAULT_ADDRESS_PATTERN, DEFAULT_TOP_K
-from .topk import top_k
+from .topk import sort_bounded, top_k
 
 MATCH = ("contains", "like")
 RANK_BY = ("mean", "key")
@@ -72,4 +72,5 @@ def top_rated(reviews: DataFrame, businesses: DataFrame, k: int = DEFAULT_TOP_K,
             .join(F.broadcast(top), "businessid").distinct())
     order = ([F.col("avg_stars").desc(), F.col("businessid")] if by == "mean"
              else [F.col("businessid").desc()])
-    return rows.orderBy(*order, "address", "categories")
+    # At most k ids, each with its distinct business lines: ordered in one partition.
+    return sort_bounded(rows, order, ["address", "categories"])

@@ -26,3 +26,12 @@ def top_k(df: DataFrame, k: int, by: list[Column | str], ties: list[str] = ()) -
     if k < 0:
         raise ValueError("k must be >= 0")
     return df.orderBy(*_order(by, list(ties))).limit(k)
+
+
+def sort_bounded(df: DataFrame, by: list[Column | str], ties: list[str] = ()) -> DataFrame:
+    """Order a result already bounded by k rows (after ``top_k``) in one partition.
+
+    ``coalesce(1)`` is a narrow step, so this costs no range-partition shuffle; use it only where
+    the row count has a proven bound.
+    """
+    return df.coalesce(1).sortWithinPartitions(*_order(by, list(ties)))
