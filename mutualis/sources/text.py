@@ -30,6 +30,11 @@ def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return spark.read.text(path)
 
 
+def _records(lines: DataFrame) -> DataFrame:
+    """Blank (or whitespace-only) lines are not records."""
+    return lines.where(F.trim(F.col("value")) != F.lit(""))
+
+
 def split_fields(value: Column, sep: str) -> Column:
     """Split on a literal separator, keeping trailing empty fields (limit -1)."""
     return F.split(value, _literal_sep(sep), -1)
@@ -47,7 +52,7 @@ def parse_profiles(lines: DataFrame, permissive: bool = False) -> DataFrame:
     parts = split_fields(F.col("value"), S.PROFILE_SEP)
     cols = [_cast(F.get(parts, 0), "bigint", permissive).alias("userid")]
     cols += [F.get(parts, i).alias(name) for i, name in enumerate(S.PROFILE_COLUMNS[1:], start=1)]
-    return lines.select(*cols)
+    return _records(lines).select(*cols)
 
 
 def parse_adjacency(lines: DataFrame, permissive: bool = False) -> DataFrame:
@@ -57,7 +62,7 @@ def parse_adjacency(lines: DataFrame, permissive: bool = False) -> DataFrame:
     and is removed when edges are made distinct.
     """
     parts = split_fields(F.col("value"), S.ADJACENCY_SEP)
-    return lines.select(
+    return _records(lines).select(
         _cast(F.get(parts, 0), "bigint", permissive).alias("userid"),
         id_list(F.get(parts, 1), permissive=permissive).alias("friend_list"))
 
@@ -68,7 +73,7 @@ def parse_records(lines: DataFrame, names: list[str], sep: str = S.RECORD_SEP) -
     ``split`` keeps an empty last field as ``''`` (the CSV reader would make it null).
     """
     parts = split_fields(F.col("value"), sep)
-    return lines.select(*[F.get(parts, i).alias(n) for i, n in enumerate(names)])
+    return _records(lines).select(*[F.get(parts, i).alias(n) for i, n in enumerate(names)])
 
 
 def parse_businesses(lines: DataFrame) -> DataFrame:

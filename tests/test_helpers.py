@@ -80,3 +80,16 @@ def test_scalar_udf_wrapper(spark):
     df = spark.createDataFrame([(1, 2), (5, 3)], "a bigint, b bigint")
     bigger = scalar_udf(lambda a, b: int(a > b), T.IntegerType())
     assert [r.x for r in df.select(bigger("a", "b").alias("x")).collect()] == [0, 1]
+
+
+def test_blank_lines_are_skipped(spark, tmp_path):
+    from mutualis.sources import parse_adjacency, parse_businesses, parse_profiles, read_lines
+    p = tmp_path / "blank.txt"
+    p.write_text("1\t2,3\n\n   \n2\t1\n")
+    assert sorted(r.userid for r in parse_adjacency(read_lines(spark, str(p))).collect()) == [1, 2]
+    q = tmp_path / "b.txt"
+    q.write_text("b1::a::c\n\n")
+    assert parse_businesses(read_lines(spark, str(q))).count() == 1
+    u = tmp_path / "u.txt"
+    u.write_text("7,A,B,C,D,E,F,G,H,I\n\n")
+    assert [r.userid for r in parse_profiles(read_lines(spark, str(u))).collect()] == [7]
