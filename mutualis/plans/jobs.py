@@ -6,8 +6,8 @@
 (``businessid<TAB>address<TAB>categories<TAB>mean``).
 
 Outputs are text directories (one part file per task). Nothing passes through the driver; the
-only intermediate read twice (the pair counts behind Q1 and Q2) is written once to the shared
-checkpoint folder.
+intermediates read more than once (degree-annotated edges, routed pairs, the pair counts behind Q1
+and Q2) are written once to the shared checkpoint folder and deleted when the outputs are written.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from pyspark.sql import SparkSession
 
 from ..functions import pair_line, tab_line
 from ..operators import edges_from_adjacency, mutual_counts, ratings_for, top_pairs_with_profiles, top_rated
-from ..session import materialize
+from ..session import materialize, scratch_scope
 from ..sinks import write_lines
 from ..sources import parse_adjacency, parse_businesses, parse_profiles, parse_reviews, read_lines
 from ..sources.schemas import DEFAULT_ADDRESS_PATTERN, DEFAULT_TOP_K
@@ -29,14 +29,15 @@ Q2_FIELDS = ["n", "a_first", "a_last", "a_address", "b_first", "b_last", "b_addr
 def friends_job(spark: SparkSession, users_path: str, friends_path: str, out_dir: str,
                 k: int = DEFAULT_TOP_K, how: str = "inner", strategy: str = "auto",
                 mode: str = "errorifexists") -> dict[str, str]:
-    """Q1 and Q2. Returns the two output directories."""
+    """Q1 and Q2. Returns the two output directories; the intermediates are deleted after."""
     profiles = parse_profiles(read_lines(spark, users_path))
     edges = edges_from_adjacency(parse_adjacency(read_lines(spark, friends_path)))
-    counts = materialize(mutual_counts(edges, strategy=strategy), "mutual_counts")
     out = {"mutual_friends": f"{out_dir}/mutual_friends", "top_pairs": f"{out_dir}/top_pairs"}
-    write_lines(counts, out["mutual_friends"], line=pair_line("id1", "id2", "n"), mode=mode)
-    top = top_pairs_with_profiles(counts, profiles, k=k, how=how)
-    write_lines(top.coalesce(1), out["top_pairs"], line=tab_line(*Q2_FIELDS), mode=mode)
+    with scratch_scope(spark):
+        counts = materialize(mutual_counts(edges, strategy=strategy), "mutual_counts")
+        write_lines(counts, out["mutual_friends"], line=pair_line("id1", "id2", "n"), mode=mode)
+        top = top_pairs_with_profiles(counts, profiles, k=k, how=how)
+        write_lines(top.coalesce(1), out["top_pairs"], line=tab_line(*Q2_FIELDS), mode=mode)
     return out
 
 

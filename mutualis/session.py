@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 
@@ -55,10 +56,41 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or current
 
 
+_CREATED: list[str] = []  # scratch folders made by this process, in order
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared checkpoint folder (never reused, never cleared by us)."""
-    base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/scratch-{uuid.uuid4().hex[:12]}/{name}"
+    """A fresh path below the shared checkpoint folder (never reused)."""
+    folder = f"{checkpoint_dir(spark).rstrip('/')}/scratch-{uuid.uuid4().hex[:12]}"
+    _CREATED.append(folder)
+    return f"{folder}/{name}"
+
+
+def drop_scratch(spark: SparkSession, since: int = 0) -> int:
+    """Delete the scratch folders made since position ``since`` (see ``scratch_scope``).
+
+    Only for intermediates whose DataFrames are no longer used; returns how many were deleted.
+    """
+    sc = spark.sparkContext
+    jvm, conf = sc._jvm, sc._jsc.hadoopConfiguration()
+    done = 0
+    for folder in _CREATED[since:]:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        if path.getFileSystem(conf).delete(path, True):
+            done += 1
+    del _CREATED[since:]
+    return done
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """Intermediates written inside the block are deleted when it ends (outputs written inside
+    the block are not intermediates and stay)."""
+    mark = len(_CREATED)
+    try:
+        yield
+    finally:
+        drop_scratch(spark, mark)
 
 
 def materialize(df: DataFrame, name: str, metrics: dict | None = None):

@@ -79,3 +79,31 @@ def test_materialize_observes_metrics_in_the_same_write(spark):
     out, seen = materialize(df, "observed", metrics={"n": F.count(F.lit(1)), "top": F.max("id")})
     assert seen == {"n": 100, "top": 99}
     assert out.count() == 100
+
+
+def test_friends_job_leaves_no_intermediates(spark, tmp_path):
+    from mutualis import session
+    from mutualis.plans.jobs import friends_job
+    users = write_lines_file(tmp_path, "users.txt", PROFILES)
+    soc = write_lines_file(tmp_path, "friends.txt", GRAPH)
+    before = len(session._CREATED)
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    seen = []
+    real_scratch = session.scratch_path
+
+    def spy(s, name):
+        p = real_scratch(s, name)
+        seen.append(p.rsplit("/", 1)[0])
+        return p
+    session.scratch_path = spy
+    try:
+        friends_job(spark, users, soc, str(tmp_path / "out"), k=2)
+    finally:
+        session.scratch_path = real_scratch
+    assert seen, "the job wrote no intermediates"
+    for folder in seen:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        assert not path.getFileSystem(conf).exists(path)
+    assert len(session._CREATED) == before
+    assert (tmp_path / "out" / "top_pairs").exists()
