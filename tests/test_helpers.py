@@ -93,3 +93,16 @@ def test_blank_lines_are_skipped(spark, tmp_path):
     u = tmp_path / "u.txt"
     u.write_text("7,A,B,C,D,E,F,G,H,I\n\n")
     assert [r.userid for r in parse_profiles(read_lines(spark, str(u))).collect()] == [7]
+
+
+def test_text_sink_fails_when_path_exists(spark, tmp_path):
+    from mutualis.sinks import write_lines
+    df = spark.createDataFrame([("a",), ("b",)], "value string")
+    out = str(tmp_path / "lines")
+    write_lines(df, out)
+    with pytest.raises(Exception):
+        write_lines(df, out)
+    write_lines(df, out, mode="overwrite")
+    assert sorted(r.value for r in spark.read.text(out).collect()) == ["a", "b"]
+    with pytest.raises(ValueError):
+        write_lines(df.withColumn("x", F.lit(1)), str(tmp_path / "two_columns"))
