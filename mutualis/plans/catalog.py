@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import app_id, scratch_path
 from ..sinks import write_lines
 from ..sources import tables, text
 
@@ -43,7 +43,7 @@ _WRITTEN: dict[tuple[str, str, str], str] = {}
 
 def text_form(spark: SparkSession, sf_dir: str, name: str) -> str:
     """Path of the text form ``name`` of the inputs at ``sf_dir`` (written on first use)."""
-    key = (spark.sparkContext.applicationId, sf_dir, name)
+    key = (app_id(spark), sf_dir, name)
     if key not in _WRITTEN:
         path = scratch_path(spark, f"{name}.txt")
         write_lines(_TEXT_FORMS[name](spark, sf_dir), path)

@@ -44,16 +44,34 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
+def _context(spark: SparkSession):
+    try:
+        return spark.sparkContext
+    except Exception:  # e.g. a remote (Connect) session has no local SparkContext
+        return None
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder from ``spark.checkpoint.dir``; set to a new local folder only if unset."""
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    sc = _context(spark)
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir()
+    current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
         current = tempfile.mkdtemp(prefix="mutualis-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", current)
-    if not sc.getCheckpointDir():
+        try:
+            spark.conf.set("spark.checkpoint.dir", current)
+        except Exception:  # a session that refuses core settings at runtime
+            pass
+    if sc is not None:
         sc.setCheckpointDir(current)
-    return sc.getCheckpointDir() or current
+        return sc.getCheckpointDir() or current
+    return current
+
+
+def app_id(spark: SparkSession) -> str:
+    sc = _context(spark)
+    return sc.applicationId if sc is not None else spark.conf.get("spark.app.id", "app")
 
 
 _CREATED: list[str] = []  # scratch folders made by this process, in order

@@ -107,3 +107,27 @@ def test_friends_job_leaves_no_intermediates(spark, tmp_path):
         assert not path.getFileSystem(conf).exists(path)
     assert len(session._CREATED) == before
     assert (tmp_path / "out" / "top_pairs").exists()
+
+
+def test_checkpoint_dir_without_setting_or_context():
+    from mutualis import session
+
+    class Conf(dict):
+        def get(self, k, default=None):
+            return dict.get(self, k, default)
+
+        def set(self, k, v):
+            self[k] = v
+
+    class Remote:  # a session with no local SparkContext and no checkpoint setting
+        conf = Conf()
+
+        @property
+        def sparkContext(self):
+            raise RuntimeError("no context")
+
+    r = Remote()
+    d = session.checkpoint_dir(r)
+    assert d and os.path.isdir(d)
+    assert session.checkpoint_dir(r) == d  # the folder set once is reused
+    assert session.app_id(r) == "app"
