@@ -1,7 +1,7 @@
 """Per-stage task balance of Q1 on the hub graph (or a registered query), from Spark's event log.
 
-Usage: python scripts/task_balance.py [sf_dir] [query]. Writes the event log to a fresh folder
-under /tmp, runs the job once, and prints for every stage that reads at least 50,000 records: the
+Usage: python scripts/task_balance.py [--no-coalesce] [sf_dir] [query | hot_business]. Writes the event log to a fresh folder
+under /tmp, runs the job once, and prints for every stage that reads at least 20,000 records: the
 number of tasks, records read (max / median per task) and task time (max / median). A hot key
 processed by one task shows up as max far above median.
 """
@@ -40,21 +40,44 @@ def balance(log_dir: str) -> list[str]:
     for sid, ts in sorted(tasks.items()):
         recs = [r for r, _ in ts]
         durs = [d for _, d in ts]
-        if sum(recs) < 50_000:
+        if sum(recs) < 20_000:
             continue
         out.append(f"stage {sid:3d}: {len(ts):3d} tasks, {sum(recs):10d} records, per task max/median "
                    f"{max(recs)}/{int(statistics.median(recs))} records, {max(durs)}/{int(statistics.median(durs))} ms")
     return out
 
 
+def hot_business(spark, sf_dir):
+    """Q3 and Q4 over reviews where one business matching the address text holds half of all
+    review lines (every line copied once more under that business's id)."""
+    from pyspark.sql import functions as F
+
+    from mutualis.operators import ratings_for, top_rated
+    from mutualis.sources import tables
+    b = tables.businesses(spark, sf_dir)
+    r = tables.reviews(spark, sf_dir)
+    hot = b.where(F.col("address").contains("red")).agg(F.min("businessid")).first()[0]
+    skewed = r.unionByName(r.select("reviewid", "userid", F.lit(hot).alias("businessid"), "stars"))
+    q3 = ratings_for(b, skewed, "red", match="like").select(F.lit("q3").alias("q"), "userid")
+    q4 = top_rated(skewed, b, 10).select(F.lit("q4").alias("q"), F.col("businessid").alias("userid"))
+    return q3.unionByName(q4)
+
+
 def main():
-    sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
-    name = sys.argv[2] if len(sys.argv) > 2 else None
+    args = sys.argv[1:]
+    # --no-coalesce: keep every shuffle partition, to see how keys spread (at this size AQE would
+    # otherwise merge small partitions into one or two tasks).
+    extra = {"spark.sql.adaptive.coalescePartitions.enabled": "false"} if "--no-coalesce" in args else {}
+    args = [a for a in args if a != "--no-coalesce"]
+    sf_dir = args[0] if args else "/root/testdata/sf0.1"
+    name = args[1] if len(args) > 1 else None
     log_dir = tempfile.mkdtemp(prefix="run-eventlog-")
     spark = local_session(8, 16, app="mutualis-balance", extra={
         "spark.eventLog.enabled": "true", "spark.eventLog.dir": log_dir,
-        "spark.eventLog.compress": "false"})
-    if name:
+        "spark.eventLog.compress": "false", **extra})
+    if name == "hot_business":
+        df = hot_business(spark, sf_dir)
+    elif name:
         from mutualis.plans import QUERIES
         df = QUERIES[name](spark, sf_dir)
     else:
