@@ -1,6 +1,7 @@
 """Benchmark the headline queries and print one JSON line.
 
-Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8), BENCH_RUNS (default 3).
+Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8), BENCH_RUNS (default 3),
+BENCH_SHUFFLE_PARTITIONS (default 2 x cpus; AQE coalesces), BENCH_DRIVER_MEMORY (default 16g).
 Each query is run to completion with the ``noop`` sink (every row computed, nothing collected);
 the reported time per query is the best of BENCH_RUNS runs after one untimed warm-up pass over all
 of them (steady state: JIT-compiled JVM, generated code cached).
@@ -35,7 +36,8 @@ def main():
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     runs = max(1, int(os.environ.get("BENCH_RUNS", "3")))
-    spark = local_session(cores=cpus, shuffle_partitions=max(8, 2 * cpus), app="mutualis-bench",
+    partitions = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", max(8, 2 * cpus)))
+    spark = local_session(cores=cpus, shuffle_partitions=partitions, app="mutualis-bench",
                           driver_memory=os.environ.get("BENCH_DRIVER_MEMORY", "16g"))
     from mutualis.plans import QUERIES
 
