@@ -59,8 +59,9 @@ def attach_profiles(pairs: DataFrame, profiles: DataFrame, how: str = "inner",
                 F.min(F.when(F.col("pos") == 1, F.col("p"))).alias("b")))
     if how == "inner":
         res = res.where(F.col("a").isNotNull() & F.col("b").isNotNull())
+    names = OUT_FIELDS if tuple(fields) == PROFILE_FIELDS else tuple(fields)
     out = [F.col(f"{side}.{src}").alias(f"{side}_{dst}")
-           for side in ("a", "b") for src, dst in zip(fields, OUT_FIELDS)]
+           for side in ("a", "b") for src, dst in zip(fields, names)]
     return res.select("id1", "id2", "n", *out)
 
 

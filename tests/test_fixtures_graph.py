@@ -106,3 +106,11 @@ def test_line_order_and_duplication_do_not_matter(spark, tmp_path):
     e = edges_from_adjacency(parse_adjacency(read_lines(spark, path)))
     assert _rows(mutual_counts(e)) == EXPECTED_Q1
     assert mutual_counts(e).where(F.col("n") > 0).count() == 8
+
+
+def test_attach_profiles_with_other_fields(edges, profiles):
+    from mutualis.operators import attach_profiles, top_pairs
+    res = attach_profiles(top_pairs(mutual_counts(edges), 1), profiles, fields=("city", "username"))
+    assert res.columns == ["id1", "id2", "n", "a_city", "a_username", "b_city", "b_username"]
+    r = res.first()
+    assert (r.a_username, r.b_username) == ("ann", "bob")
