@@ -141,7 +141,8 @@ def array_size(spark, sf_dir):
 
 
 @query("array_remove", f"""{_ADJ}
-SELECT userid, array_to_string(list_filter(friend_list, lambda x: x <> userid), ',') AS ids FROM a""")
+SELECT userid, COALESCE((SELECT string_agg(CAST(x AS VARCHAR), ',' ORDER BY x)
+                         FROM unnest(friend_list) AS t(x) WHERE x <> userid), '') AS ids FROM a""")
 def array_remove(spark, sf_dir):
     """A user's own id taken off its list (every occurrence)."""
     return adjacency(spark, sf_dir).select(
