@@ -54,3 +54,12 @@ def test_counts_read_materialized_edges_once_per_use(spark):
     # The raw edge scan happens only inside the materialization; the plan reads written files.
     p = plan(QUERIES["q1_mutual_counts"](spark, SF_SMALL))
     assert "lineitem.parquet" not in p
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_every_query_plan_is_free_of_cartesian_and_row_python(spark, name):
+    p = plan(QUERIES[name](spark, SF_SMALL))
+    assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
+    assert "BatchEvalPython" not in p  # no row-at-a-time Python anywhere
+    if not name.startswith("udf_"):
+        assert "ArrowEvalPython" not in p  # vectorized Python only on the UDF surface
