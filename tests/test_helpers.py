@@ -106,3 +106,23 @@ def test_text_sink_fails_when_path_exists(spark, tmp_path):
     assert sorted(r.value for r in spark.read.text(out).collect()) == ["a", "b"]
     with pytest.raises(ValueError):
         write_lines(df.withColumn("x", F.lit(1)), str(tmp_path / "two_columns"))
+
+
+def test_permissive_parsing_turns_bad_ids_into_null(spark, tmp_path):
+    from mutualis.sources import parse_adjacency, parse_profiles, read_lines
+    a = tmp_path / "adj.txt"
+    a.write_text("x\t1,y,2\n3\t4\n")
+    adj = {r.userid: r.friend_list for r in parse_adjacency(read_lines(spark, str(a)), permissive=True).collect()}
+    assert adj == {None: [1, None, 2], 3: [4]}
+    with pytest.raises(Exception):
+        parse_adjacency(read_lines(spark, str(a))).collect()
+    u = tmp_path / "u.txt"
+    u.write_text("q,A,B\n")
+    r = parse_profiles(read_lines(spark, str(u)), permissive=True).first()
+    assert r.userid is None and r.firstname == "A" and r.address is None  # short line: missing fields null
+
+
+def test_edges_drop_null_ids(spark):
+    from mutualis.operators import clean_edges
+    df = spark.createDataFrame([(1, 2), (None, 2), (1, None), (1, 2)], "src bigint, dst bigint")
+    assert [tuple(r) for r in clean_edges(df).collect()] == [(1, 2)]
