@@ -54,7 +54,8 @@ SELECT replace(replace('(' || CAST(src AS VARCHAR) || ', ' || CAST(dst AS VARCHA
 def str_replace(spark, sf_dir):
     """Tuple text ``(a, b)`` → ``a, b`` by removing the brackets."""
     e = clean_edges(tables.supplies(spark, sf_dir))
-    tup = F.concat(F.lit("("), F.col("src").cast("string"), F.lit(", "), F.col("dst").cast("string"), F.lit(")"))
+    tup = F.concat(F.lit("("), F.col("src").cast("string"), F.lit(", "), F.col("dst").cast("string"),
+                   F.lit(")"))
     return e.select(F.replace(F.replace(tup, F.lit("("), F.lit("")), F.lit(")"), F.lit("")).alias("pair_key"))
 
 
@@ -158,7 +159,8 @@ def array_append(spark, sf_dir):
                                            ids_text(appended).alias("ids"))
 
 
-@query("array_slice", f"{_ADJ} SELECT userid, array_to_string(list_slice(friend_list, 1, 3), ',') AS first3 FROM a")
+@query("array_slice", f"""{_ADJ}
+SELECT userid, array_to_string(list_slice(friend_list, 1, 3), ',') AS first3 FROM a""")
 def array_slice(spark, sf_dir):
     return adjacency(spark, sf_dir).select("userid", ids_text(F.slice("friend_list", 1, 3)).alias("first3"))
 
@@ -188,7 +190,8 @@ SELECT l_orderkey, l_linenumber,
        NOT (l_discount < 0.05) AS high_discount FROM lineitem""")
 def pred_boolean(spark, sf_dir):
     li = tables.table(spark, sf_dir, "lineitem")
-    flag = ((F.col("l_partkey") != F.col("l_suppkey")) & (F.col("l_quantity") > 25)) | (F.col("l_linenumber") == 1)
+    flag = (((F.col("l_partkey") != F.col("l_suppkey")) & (F.col("l_quantity") > 25))
+            | (F.col("l_linenumber") == 1))
     return li.select("l_orderkey", "l_linenumber", flag.alias("flag"),
                      (~(F.col("l_discount") < 0.05)).alias("high_discount"))
 
@@ -237,7 +240,8 @@ def udf_scalar_float(spark, sf_dir):
 
 
 @query("line_builders", f"""{S.mutual()}
-SELECT CAST(id1 AS VARCHAR) || chr(9) || CAST(id2 AS VARCHAR) || chr(9) || CAST(n AS VARCHAR) AS value FROM c""")
+SELECT CAST(id1 AS VARCHAR) || chr(9) || CAST(id2 AS VARCHAR) || chr(9) || CAST(n AS VARCHAR) AS value
+FROM c""")
 def line_builders(spark, sf_dir):
     from .q_jobs import q1_counts
     return q1_counts(spark, sf_dir).select(tab_line("id1", "id2", "n").alias("value"))

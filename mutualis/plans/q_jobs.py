@@ -94,7 +94,8 @@ def _q4_sql(reviews_sql, dedup, order):
     return f"""WITH r0 AS ({reviews_sql}), r AS ({src}), b AS ({S.BUSINESSES}),
 m AS (SELECT businessid, AVG(stars) AS avg_stars FROM r GROUP BY businessid),
 t AS (SELECT * FROM m ORDER BY {order} LIMIT {K})
-SELECT DISTINCT b.businessid, b.address, b.categories, t.avg_stars FROM b JOIN t ON t.businessid = b.businessid"""
+SELECT DISTINCT b.businessid, b.address, b.categories, t.avg_stars
+FROM b JOIN t ON t.businessid = b.businessid"""
 
 
 @query("q4_top_rated", _q4_sql(S.REVIEWS, False, "avg_stars DESC, businessid"))

@@ -80,7 +80,8 @@ def proj_swap_key(spark, sf_dir):
     """``(pair, n)`` → ``(n, pair)``, the key the count-ranked variant sorts on."""
     c = q1_counts(spark, sf_dir)
     return c.select(F.col("n").alias("key"),
-                    F.concat_ws(", ", F.col("id1").cast("string"), F.col("id2").cast("string")).alias("value"))
+                    F.concat_ws(", ", F.col("id1").cast("string"), F.col("id2").cast("string"))
+                    .alias("value"))
 
 
 @query("pair_canonical_key", f"""WITH s AS ({S.SUPPLIES})
@@ -139,7 +140,8 @@ def filter_like(spark, sf_dir):
 SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem WHERE l_quantity > 45 AND l_linenumber <> 1""")
 def filter_sql_string(spark, sf_dir):
     li = tables.table(spark, sf_dir, "lineitem")
-    return li.where("l_quantity > 45 and l_linenumber != 1").select("l_orderkey", "l_linenumber", "l_quantity")
+    return (li.where("l_quantity > 45 and l_linenumber != 1")
+            .select("l_orderkey", "l_linenumber", "l_quantity"))
 
 
 # ---------------- joins ----------------
@@ -260,7 +262,8 @@ SELECT businessid, SUM(stars) AS total_stars, COUNT(*) AS n_reviews, SUM(stars)
 FROM r GROUP BY businessid""")
 def agg_sum_count(spark, sf_dir):
     r = tables.reviews(spark, sf_dir)
-    return (r.groupBy("businessid").agg(F.sum("stars").alias("total_stars"), F.count(F.lit(1)).alias("n_reviews"))
+    return (r.groupBy("businessid")
+            .agg(F.sum("stars").alias("total_stars"), F.count(F.lit(1)).alias("n_reviews"))
             .withColumn("mean_stars", F.col("total_stars") / F.col("n_reviews")))
 
 

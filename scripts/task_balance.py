@@ -1,8 +1,8 @@
 """Per-stage task balance of Q1 on the hub graph (or a registered query), from Spark's event log.
 
-Usage: python scripts/task_balance.py [--no-coalesce] [sf_dir] [query | hot_business]. Writes the event log to a fresh folder
-under /tmp, runs the job once, and prints for every stage that reads at least 20,000 records: the
-number of tasks, records read (max / median per task) and task time (max / median). A hot key
+Usage: python scripts/task_balance.py [--no-coalesce] [sf_dir] [query | hot_business].
+Writes the event log to a fresh folder under /tmp, runs the job once, and prints for every stage
+that reads at least 20,000 records: the number of tasks, records read (max / median per task) and task time (max / median). A hot key
 processed by one task shows up as max far above median.
 """
 
@@ -43,7 +43,8 @@ def balance(log_dir: str) -> list[str]:
         if sum(recs) < 20_000:
             continue
         out.append(f"stage {sid:3d}: {len(ts):3d} tasks, {sum(recs):10d} records, per task max/median "
-                   f"{max(recs)}/{int(statistics.median(recs))} records, {max(durs)}/{int(statistics.median(durs))} ms")
+                   f"{max(recs)}/{int(statistics.median(recs))} records, "
+                   f"{max(durs)}/{int(statistics.median(durs))} ms")
     return out
 
 
