@@ -7,12 +7,19 @@ Python in Arrow batches, not one at a time.
 
 from __future__ import annotations
 
+import sys
+
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..sources.schemas import OUT_SEP
 
+# Ship these functions to the Python workers by value, so the workers need not import this package
+# (it may not be on their path on a cluster).
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def _as_set(values) -> set:
     return set() if values is None else {v for v in values if v is not None}
