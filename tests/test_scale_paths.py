@@ -131,3 +131,22 @@ def test_checkpoint_dir_without_setting_or_context():
     assert d and os.path.isdir(d)
     assert session.checkpoint_dir(r) == d  # the folder set once is reused
     assert session.app_id(r) == "app"
+
+
+def test_entry_file_works_from_another_directory(tmp_path):
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = f"""
+import importlib.util
+spec = importlib.util.spec_from_file_location("entry_mod", {os.path.join(root, "__spark_entry__.py")!r})
+m = importlib.util.module_from_spec(spec)
+spec.loader.exec_module(m)
+from pyspark.sql import SparkSession
+s = SparkSession.builder.master("local[2]").getOrCreate()
+print("entry", m.entry(s).count())
+print("udf", m.queries()["udf_scalar_float"](s, "/root/testdata/sf0.001").count())
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    res = subprocess.run([sys.executable, "-c", code], cwd=str(tmp_path), env=env, capture_output=True,
+                         text=True, timeout=300)
+    assert res.returncode == 0, res.stderr[-2000:]
+    assert "entry 10" in res.stdout and "udf 200" in res.stdout
