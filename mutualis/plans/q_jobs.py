@@ -171,3 +171,16 @@ def q4_from_text(spark, sf_dir):
     """C6 from the parsed text records."""
     b, r = _text_inputs(spark, sf_dir)
     return top_rated(r, b, K)
+
+
+@query("q4_top_by_key_all_lines", _q4_sql(S.REVIEWS_DUP, False, "businessid DESC"))
+def q4_top_by_key_all_lines(spark, sf_dir):
+    """C8 averaging every line, repeats included (D12 with D13)."""
+    return top_rated(tables.reviews_dup(spark, sf_dir), tables.businesses(spark, sf_dir), K, by="key")
+
+
+@query("q1_keep_zero", f"""{S.mutual()}
+SELECT p.id1, p.id2, COALESCE(c.n, 0) AS n FROM p LEFT JOIN c ON c.id1 = p.id1 AND c.id2 = p.id2""")
+def q1_keep_zero(spark, sf_dir):
+    """C1 keeping reciprocated pairs that share nobody (``n = 0``)."""
+    return mutual_counts(tables.supplies(spark, sf_dir), keep_zero=True)
