@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table_path
-from . import repetition, simhash
+from . import bpe, repetition, shards, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -27,6 +27,16 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
 
+@query
+def op1_karmarkar_karp_shards(spark, sf_dir):
+    return shards.shard_documents(_table(spark, sf_dir, "documents"), parts=8)
+
+
+@query
+def op4_bpe_transducer(spark, sf_dir):
+    return bpe.encode_documents(_table(spark, sf_dir, "documents"), keep=["doc_id"], with_ids=False)
+
+
 @query
 def op6_simhash_pivots(spark, sf_dir):
     near = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
