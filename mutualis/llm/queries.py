@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table_path
-from . import bpe, repetition, shards, simhash
+from . import bpe, repetition, shards, simhash, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -46,3 +46,20 @@ def op6_simhash_pivots(spark, sf_dir):
 @query
 def op7_repetition_rules(spark, sf_dir):
     return repetition.assess(_table(spark, sf_dir, "documents"), keep=["doc_id"])
+
+
+@query
+def op8_warc_round_trip(spark, sf_dir):
+    return warc.archive_round_trip(_table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+ORACLES["op8_warc_round_trip"] = """
+with p as (select page_id, coalesce(html, '') as body from pages),
+q as (select page_id, strlen(body) as payload_bytes, sha256(body) as payload_digest,
+             min(page_id) over (partition by sha256(body)) as first_id from p)
+select page_id, payload_bytes, payload_digest,
+       case when payload_bytes >= 100 and page_id <> first_id then 'revisit' else 'response' end as record_type,
+       case when payload_bytes >= 100 and page_id <> first_id then first_id end as refers_to
+from q
+""".strip()
