@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table_path
-from . import bpe, repetition, shards, simhash, warc
+from . import bpe, mixing, pst, repetition, shards, simhash, suffixdedup, urls, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -32,11 +32,24 @@ def op1_karmarkar_karp_shards(spark, sf_dir):
     return shards.shard_documents(_table(spark, sf_dir, "documents"), parts=8)
 
 
+@query
+def op3_sparse_suffix_dedup(spark, sf_dir):
+    spans = suffixdedup.repeated_spans(_table(spark, sf_dir, "documents"))
+    return spans.select("doc_id", F.explode("spans").alias("s")).select(
+        "doc_id", F.col("s.start").alias("start_word"), F.col("s.end").alias("end_word"),
+        F.col("s.later").alias("removed"), F.col("s.earlier_id").alias("earlier_doc_id"))
+
+
 @query
 def op4_bpe_transducer(spark, sf_dir):
     return bpe.encode_documents(_table(spark, sf_dir, "documents"), keep=["doc_id"], with_ids=False)
 
 
+@query
+def op5_url_boosted_trees(spark, sf_dir):
+    return urls.judge(_table(spark, sf_dir, "pages"), keep=["page_id"])
+
+
 @query
 def op6_simhash_pivots(spark, sf_dir):
     near = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
@@ -63,3 +76,13 @@ select page_id, payload_bytes, payload_digest,
        case when payload_bytes >= 100 and page_id <> first_id then first_id end as refers_to
 from q
 """.strip()
+
+
+@query
+def op9_temperature_mix(spark, sf_dir):
+    return mixing.mix_schedule(_table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_suffix_tree_scores(spark, sf_dir):
+    return pst.score_documents(_table(spark, sf_dir, "documents"))
