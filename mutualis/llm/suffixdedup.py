@@ -98,8 +98,9 @@ def _suffixes(rows: DataFrame, min_words: int) -> DataFrame:
 
 
 def _passages(rows: DataFrame, ranges: DataFrame, min_words: int) -> DataFrame:
-    """``(passage, doc_id, t, at)`` for the passages of some ranges of documents."""
-    per_doc = ranges.groupBy("doc_id", "t").agg(F.collect_list(F.struct("lo", "hi")).alias("ranges"))
+    """``(passage, doc_id, t, at, again)`` for the passages of some ranges of documents; again is
+    carried over from the range."""
+    per_doc = ranges.groupBy("doc_id", "t").agg(F.collect_list(F.struct("lo", "hi", "again")).alias("ranges"))
     per_doc = per_doc.withColumnsRenamed({"doc_id": "_id", "t": "_t"})
     joined = rows.join(per_doc, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("t") == F.col("_t"))).select(
         "doc_id", "t", "text", "ranges")
@@ -109,7 +110,7 @@ def _passages(rows: DataFrame, ranges: DataFrame, min_words: int) -> DataFrame:
         for batch in batches:
             ranges = batch.column("ranges")
             offsets = ranges.offsets.to_numpy()
-            lows, highs = (ranges.values.field(i).to_numpy() for i in (0, 1))
+            lows, highs, agains = (ranges.values.field(i).to_numpy(zero_copy_only=False) for i in range(3))
             for a, b, data, bounds in text_chunks(batch.column("text")):
                 _, _, row, h = hasher.tokens(data, bounds)
                 first = np.zeros(b - a + 1, np.int64)
@@ -123,11 +124,12 @@ def _passages(rows: DataFrame, ranges: DataFrame, min_words: int) -> DataFrame:
                 took = pa.array(of + a)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(passage.view(np.int64)), batch.column("doc_id").take(took),
-                     batch.column("t").take(took), pa.array(at.astype(np.int32))],
-                    names=["passage", "doc_id", "t", "at"])
+                     batch.column("t").take(took), pa.array(at.astype(np.int32)),
+                     pa.array(np.repeat(agains[offsets[a]:offsets[b]], size))],
+                    names=["passage", "doc_id", "t", "at", "again"])
 
     kind = dict(rows.dtypes)["doc_id"]
-    return joined.mapInArrow(run, f"passage long, doc_id {kind}, t int, at int")
+    return joined.mapInArrow(run, f"passage long, doc_id {kind}, t int, at int, again boolean")
 
 
 def repeated_ranges(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
@@ -143,13 +145,14 @@ def repeated_ranges(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     classes = materialize(live.groupBy("whole").agg(F.min("p").alias("low"), F.max("p").alias("high")), "suffix_classes")
     # Within a class all passages agree: every member but the first is a later place of all its
     # passages, and only the first needs to be compared with other classes.
-    members = live.join(classes.where("low <> high").select("whole", "low"), "whole")
-    by_class = members.select("p.*", F.col("low.doc_id").alias("earlier_id"), (F.col("p") != F.col("low")).alias("later"))
-    heads = classes.select("low.*")
+    members = live.join(classes.where("low <> high").select("whole", "low"), "whole").where("p <> low")
+    by_class = members.select("p.*", F.col("low.doc_id").alias("earlier_id"), F.lit(True).alias("later"))
+    heads = classes.select("low.*", (F.col("low") != F.col("high")).alias("again"))
     passages = materialize(_passages(rows, heads, min_words), "passages")
     place = F.struct("doc_id", "t", "at")
-    again = passages.groupBy("passage").agg(F.min(place).alias("low"), F.max(place).alias("high")).where(
-        "low <> high").select("passage", "low")
+    again = passages.groupBy("passage").agg(
+        F.min(place).alias("low"), F.max(place).alias("high"), F.max("again").alias("again")).where(
+        "again or low <> high").select("passage", "low")
     again = materialize(again, "repeated_passages")
     by_passage = passages.join(again, "passage").select(
         "doc_id", "t", F.col("at").alias("lo"), F.col("at").alias("hi"), F.col("low.doc_id").alias("earlier_id"),
