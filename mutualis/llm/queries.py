@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table_path
-from . import bpe, mixing, pst, repetition, shards, simhash, suffixdedup, urls, warc
+from . import bpe, covertree, mixing, pst, repetition, shards, simhash, suffixdedup, urls, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -32,6 +32,22 @@ def op1_karmarkar_karp_shards(spark, sf_dir):
     return shards.shard_documents(_table(spark, sf_dir, "documents"), parts=8)
 
 
+@query
+def op2_cover_tree_topk(spark, sf_dir):
+    return covertree.top_k(_table(spark, sf_dir, "embeddings"))
+
+
+ORACLES["op2_cover_tree_topk"] = """
+with x as (select vec_id, unnest(embedding) as x, generate_subscripts(embedding, 1) as i from embeddings),
+v as (select vec_id, i, cast(floor(256 * cast(x as double)) as bigint) as x from x),
+s as (select q.vec_id as query_id, d.vec_id as vec_id, cast(sum(q.x * d.x) as bigint) as score
+      from v q join v d on q.i = d.i and q.vec_id % 50 = 0 and d.vec_id <> q.vec_id group by 1, 2)
+select query_id, cast(rank as integer) as rank, vec_id, score
+from (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s)
+where rank <= 5
+""".strip()
+
+
 @query
 def op3_sparse_suffix_dedup(spark, sf_dir):
     spans = suffixdedup.repeated_spans(_table(spark, sf_dir, "documents"))
