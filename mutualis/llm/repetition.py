@@ -199,3 +199,10 @@ def assess(docs: DataFrame, text: str = "text", min_words: int = MIN_WORDS,
                 names=[*carried, *names])
 
     return inner.mapInArrow(judge, schema)
+
+
+def keep_good(docs: DataFrame, text: str = "text", **limits) -> DataFrame:
+    """The rows of ``docs`` that the rules keep, with all its columns and no other."""
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    judged = assess(plain, f"c{docs.columns.index(text)}", **limits)
+    return judged.where("kept").select(*plain.columns).toDF(*docs.columns)

@@ -187,6 +187,21 @@ def _spanning(fp: np.ndarray, d: np.ndarray, max_bits: int) -> np.ndarray:
     return np.array(links, np.int64).reshape(-1, 2)
 
 
+def _grouped(docs: DataFrame, doc_id: str, text: str, shingle: int, max_bits: int):
+    """(documents: ``doc_id, fp``; fingerprints: ``fp, component``; groups: ``component, first``).
+    first is a group's smallest (no id, doc_id, text hash); all three are written tables."""
+    named = docs.select(F.col(doc_id).alias("doc_id"), F.hash(F.col(text)).alias("t"), F.col(text).alias("text"))
+    rows = materialize(fingerprints(named, "text", shingle, ["doc_id", "t"]), "fingerprints")
+    low = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "t")).alias("first")
+    nodes = materialize(rows.groupBy("fp").agg(low), "fp_nodes")
+    comp = components(pairs(nodes.select("fp"), max_bits))
+    named = nodes.join(comp, nodes.fp == comp.node, "left").select(
+        "fp", "first", F.coalesce("component", "fp").alias("component"))
+    named = materialize(named, "fp_components")
+    groups = materialize(named.groupBy("component").agg(F.min("first").alias("first")), "fp_groups")
+    return rows, named.select("fp", "component"), groups
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                     shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """One row per document: ``(doc_id, fp, component_id)``; component_id is the smallest id that
@@ -196,26 +211,19 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     zero fingerprint, linked like any other. A null id stays null and is no candidate for
     component_id unless its whole group has none. Repeated rows give repeated rows.
     """
-    named = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    rows = materialize(fingerprints(named, "text", shingle, ["doc_id"]), "fingerprints")
-    nodes = materialize(rows.groupBy("fp").agg(F.min("doc_id").alias("low")), "fp_nodes")
-    links = pairs(nodes.select("fp"), max_bits)
-    comp = components(links)
-    grouped = nodes.join(comp, nodes.fp == comp.node, "left").select(
-        "fp", "low", F.coalesce("component", "fp").alias("component"))
-    grouped = materialize(grouped, "fp_components")
-    lowest = grouped.groupBy("component").agg(F.min("low").alias("component_id"))
-    names = materialize(grouped.join(lowest, "component").select("fp", "component_id"), "fp_names")
-    return rows.join(names, "fp").select("doc_id", "fp", "component_id")
+    rows, named, groups = _grouped(docs, doc_id, text, shingle, max_bits)
+    ids = named.join(groups, "component").select("fp", F.col("first.doc_id").alias("component_id"))
+    return rows.join(materialize(ids, "fp_names"), "fp").select("doc_id", "fp", "component_id")
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
              shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """``docs`` with one document of each linked group: the one with the smallest id (of repeated
-    rows with that id, one). Documents without an id stand only if their group has no other."""
-    near = near_duplicates(docs, doc_id, text, shingle, max_bits)
-    kept = near.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
-        F.col("doc_id").alias("_kept_id"), F.col("fp").alias("_kept_fp"))
-    kept = materialize(kept.distinct(), "kept_ids")
-    out = docs.join(kept.select("_kept_id").distinct(), docs[doc_id].eqNullSafe(F.col("_kept_id")), "left_semi")
-    return out.dropDuplicates([doc_id])
+    """``docs`` with one document of each linked group: the one with the smallest id (of several
+    texts with that id, the one of smallest hash; of repeated rows, one). A document without an id
+    stands only if its group has none with an id."""
+    _, _, groups = _grouped(docs, doc_id, text, shingle, max_bits)
+    kept = groups.select(F.col("first.doc_id").alias("kept_id"), F.col("first.t").alias("kept_t"))
+    packed = docs.select(F.struct(*[f"`{c}`" for c in docs.columns]).alias("row"),
+                         F.col(doc_id).alias("id"), F.hash(F.col(text)).alias("t"))
+    out = packed.join(kept, F.col("id").eqNullSafe(F.col("kept_id")) & (F.col("t") == F.col("kept_t")), "left_semi")
+    return out.dropDuplicates(["id", "t"]).select("row.*")

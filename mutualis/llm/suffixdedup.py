@@ -21,6 +21,7 @@ passage. Rows that repeat both id and text are one document. Null ids order firs
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -231,20 +232,27 @@ def drop_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """``docs`` with every repeated passage cut but at its first place; a document of which no word
     is left is dropped. A column ``n_chars`` is brought up to date."""
     spans = repeated_spans(docs, doc_id, text, min_words)
-    later = spans.select(F.col("doc_id").alias("_id"), F.col("t").alias("_t"),
-                         F.expr("filter(spans, s -> s.later)").alias("_spans")).where("size(_spans) > 0")
-    joined = docs.withColumn("_text_hash", F.hash(F.col(text))).join(
-        later, F.col(doc_id).eqNullSafe(F.col("_id")) & (F.col("_text_hash") == F.col("_t")), "left")
+    later = spans.select(F.col("doc_id").alias("cut_id"), F.col("t").alias("cut_t"), F.expr(
+        "transform(filter(spans, s -> s.later), s -> struct(s.start, s.end))").alias("spans")).where("size(spans) > 0")
+    packed = docs.select(F.struct(*[f"`{c}`" for c in docs.columns]).alias("row"), F.col(doc_id).alias("id"),
+                         F.hash(F.col(text)).alias("t"), F.col(text).alias("old"))
+    joined = packed.join(later, F.col("id").eqNullSafe(F.col("cut_id")) & (F.col("t") == F.col("cut_t")), "left")
 
     @F.pandas_udf("string")
-    def cut(texts, lists):
-        return texts.combine(lists, lambda x, s: x if x is None or s is None else cut_spans(
-            x, [(i["start"], i["end"]) for i in s]))
-
-    out = joined.withColumn("_cut", F.when(F.col("_spans").isNull(), F.col(text)).otherwise(cut(
-        F.when(F.col("_spans").isNotNull(), F.col(text)), F.expr("transform(_spans, s -> struct(s.start, s.end))"))))
-    left = F.col("_spans").isNull() | F.col("_cut").rlike(r"[^\x20\x09-\x0D]")
-    out = out.where(left).withColumn(text, F.col("_cut"))
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.char_length(F.col(text)).cast(dict(docs.dtypes)["n_chars"]))
-    return out.select(*[f"`{c}`" for c in docs.columns])
+    def cut(texts: pd.Series, lists: pd.Series) -> pd.Series:
+        return pd.Series([x if x is None or s is None else cut_spans(x, [(i["start"], i["end"]) for i in s])
+                          for x, s in zip(texts, lists)], dtype=object)
+
+    touched = F.col("spans").isNotNull()
+    out = joined.withColumn("new", F.when(touched, cut(F.when(touched, F.col("old")), "spans")).otherwise(F.col("old")))
+    out = out.where(~touched | F.col("new").rlike(r"[^\x20\x09-\x0D]"))
+    kinds = dict(docs.dtypes)
+
+    def column(c: str):
+        if c == text:
+            return F.col("new").alias(c)
+        if c == "n_chars":
+            return F.when(touched, F.char_length("new")).otherwise(F.col("row")[c]).cast(kinds[c]).alias(c)
+        return F.col("row")[c].alias(c)
+
+    return out.select(*[column(c) for c in docs.columns])
