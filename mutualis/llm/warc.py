@@ -254,7 +254,10 @@ def write_archives(pages: DataFrame, folder: str, page_id: str = "page_id", url:
             out.close()
             yield pa.RecordBatch.from_arrays([pa.array([path]), pa.array([n], pa.int64())], names=["path", "records"])
 
-    return materialize(rows.mapInArrow(write, "path string, records long"), "manifest")
+    manifest, stats = materialize(rows.mapInArrow(write, "path string, records long"), "manifest",
+                                  {"files": F.count(F.lit(1))})
+    # A number that is stated is kept: each task reads one file, however small the manifest is.
+    return manifest.repartition(max(1, stats["files"]))
 
 
 def read_archives(manifest: DataFrame, strict: bool = True) -> DataFrame:
@@ -299,8 +302,7 @@ def read_archives(manifest: DataFrame, strict: bool = True) -> DataFrame:
     def _batch(rows):
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
 
-    files = manifest.select("path").repartition(F.col("path"))
-    return files.mapInArrow(read, schema)
+    return manifest.select("path").mapInArrow(read, schema)
 
 
 def archive_round_trip(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html",
