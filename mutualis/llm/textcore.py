@@ -137,25 +137,32 @@ def row_sums(flags: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 
 
 class Lookup:
-    """Position of 64-bit keys in a sorted array of unique ones, by their top bits then a scan."""
+    """Position of 64-bit values in an array of different ones: mixed, found by their top bits,
+    then compared one by one (a few at most, whatever the values)."""
 
     def __init__(self, keys: np.ndarray):
-        self.keys = keys
+        mixed = mix(keys.astype(np.uint64))
+        self.place = np.argsort(mixed)
+        self.keys = mixed[self.place]
         self.bits = np.uint64(64 - max(10, min(22, int(len(keys)).bit_length() + 2)))
         slots = 1 << (64 - int(self.bits))
-        self.first = np.searchsorted(keys >> self.bits, np.arange(slots + 1, dtype=np.uint64))
+        self.first = np.searchsorted(self.keys >> self.bits, np.arange(slots + 1, dtype=np.uint64))
         self.deepest = int(np.diff(self.first).max()) if len(keys) else 0
 
-    def find(self, h: np.ndarray) -> np.ndarray:
+    def find(self, values: np.ndarray) -> np.ndarray:
         """Index of each value, -1 where it is absent."""
-        out = np.full(len(h), -1, np.int64)
-        if not len(self.keys):
+        out = np.full(len(values), -1, np.int64)
+        if not len(self.keys) or not len(values):
             return out
-        at = self.first[(h >> self.bits).astype(np.int64)]
-        last = len(self.keys) - 1
-        for _ in range(self.deepest):
-            hit = self.keys[np.minimum(at, last)] == h
-            hit &= at <= last
-            out[hit] = at[hit]
-            at = at + 1
+        h = mix(values)
+        slot = (h >> self.bits).astype(np.int64)
+        at, end = self.first[slot], self.first[slot + 1]
+        todo = np.flatnonzero(at < end)
+        for step in range(self.deepest):
+            if not len(todo):
+                break
+            here = at[todo] + step
+            hit = self.keys[here] == h[todo]
+            out[todo[hit]] = self.place[here[hit]]
+            todo = todo[~hit & (here + 1 < end[todo])]
         return out
