@@ -2,7 +2,7 @@
 
 On a cluster the caller owns the session; nothing here overrides a setting that is already there.
 The shared folder is the one the cluster names in ``spark.checkpoint.dir``; a folder of our own is
-made only when that setting is missing (local runs and tests).
+made only when that setting is missing and the master is local (one process).
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ import os
 import tempfile
 import uuid
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 
@@ -28,6 +29,14 @@ TUNING = {
 }
 
 
+def apply_tuning(spark: SparkSession) -> None:
+    """Set what TUNING names and the owner of the session has not set."""
+    given = dict(spark.sparkContext.getConf().getAll()) if _context(spark) is not None else {}
+    for k, v in TUNING.items():
+        if k not in given:
+            spark.conf.set(k, v)
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "mutualis",
                   driver_memory: str = "8g", extra: dict | None = None) -> SparkSession:
     """A local session (tests, bench). UI off; checkpoint folder made under the temp dir."""
@@ -51,18 +60,27 @@ def _context(spark: SparkSession):
         return None
 
 
+def _is_local(sc) -> bool:
+    return sc is not None and sc.master.startswith("local") and not sc.master.startswith("local-cluster")
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder from ``spark.checkpoint.dir``; set to a new local folder only if unset."""
+    """The shared folder from ``spark.checkpoint.dir``.
+
+    Where it is unset, a local master gets a folder of its own (driver and executors are one
+    process); any other master, and a remote session, is an error: a machine-local folder would be
+    a different one on every executor.
+    """
     sc = _context(spark)
     if sc is not None and sc.getCheckpointDir():
         return sc.getCheckpointDir()
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if not _is_local(sc):
+            raise RuntimeError("spark.checkpoint.dir is not set: name a folder that the driver and all "
+                               "executors share (on the command line: --scratch-dir)")
         current = tempfile.mkdtemp(prefix="mutualis-ckpt-")
-        try:
-            spark.conf.set("spark.checkpoint.dir", current)
-        except Exception:  # a session that refuses core settings at runtime
-            pass
+        spark.conf.set("spark.checkpoint.dir", current)
     if sc is not None:
         sc.setCheckpointDir(current)
         return sc.getCheckpointDir() or current
@@ -74,44 +92,67 @@ def app_id(spark: SparkSession) -> str:
     return sc.applicationId if sc is not None else spark.conf.get("spark.app.id", "app")
 
 
-_CREATED: list[str] = []  # scratch folders made by this process, in order
+class Scratch:
+    """The scratch folders of one scope, and the way to delete them."""
 
+    def __init__(self):
+        self.folders: list[str] = []
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared checkpoint folder (never reused)."""
+    def release(self, spark: SparkSession) -> int:
+        """Delete this scope's folders; returns how many were there. DataFrames that read them are
+        of no use afterwards. A remote session cannot delete files: they stay listed."""
+        sc = _context(spark)
+        if sc is None:
+            return 0
+        conf, done = sc._jsc.hadoopConfiguration(), 0
+        while self.folders:
+            folder = self.folders.pop()
+            _LIVE.discard(folder)
+            path = sc._jvm.org.apache.hadoop.fs.Path(folder)
+            done += bool(path.getFileSystem(conf).delete(path, True))
+        return done
+
+
+_LIVE: set[str] = set()  # folders made by this process and not deleted
+_LOOSE = Scratch()       # folders made outside any scope
+# Open scopes of the running thread or task, innermost last.
+_OPEN: ContextVar[tuple[Scratch, ...]] = ContextVar("mutualis_scratch", default=())
+
+
+def scratch_path(spark: SparkSession, name: str, scope: Scratch | None = None) -> str:
+    """A fresh path below the shared checkpoint folder (never reused), in the given scope, else in
+    the innermost open one, else in none."""
     folder = f"{checkpoint_dir(spark).rstrip('/')}/scratch-{uuid.uuid4().hex[:12]}"
-    _CREATED.append(folder)
+    held = scope or (_OPEN.get() or (_LOOSE,))[-1]
+    held.folders.append(folder)
+    _LIVE.add(folder)
     return f"{folder}/{name}"
 
 
-def drop_scratch(spark: SparkSession, since: int = 0) -> int:
-    """Delete the scratch folders made since position ``since`` (see ``scratch_scope``).
+def is_live(path: str) -> bool:
+    """Whether a path from ``scratch_path`` has not been released."""
+    return path.rpartition("/")[0] in _LIVE
 
-    Only for intermediates whose DataFrames are no longer used; returns how many were deleted.
-    """
-    sc = spark.sparkContext
-    jvm, conf = sc._jvm, sc._jsc.hadoopConfiguration()
-    done = 0
-    for folder in _CREATED[since:]:
-        path = jvm.org.apache.hadoop.fs.Path(folder)
-        if path.getFileSystem(conf).delete(path, True):
-            done += 1
-    del _CREATED[since:]
-    return done
+
+def drop_scratch(spark: SparkSession) -> int:
+    """Delete the scratch folders made outside any scope; returns how many were there."""
+    return _LOOSE.release(spark)
 
 
 @contextmanager
 def scratch_scope(spark: SparkSession):
-    """Intermediates written inside the block are deleted when it ends (outputs written inside
-    the block are not intermediates and stay)."""
-    mark = len(_CREATED)
+    """Intermediates that this thread or task writes inside the block (outside inner blocks) are
+    deleted when it ends; what others write, and outputs, stay."""
+    own = Scratch()
+    _OPEN.set((*_OPEN.get(), own))
     try:
-        yield
+        yield own
     finally:
-        drop_scratch(spark, mark)
+        _OPEN.set(tuple(s for s in _OPEN.get() if s is not own))
+        own.release(spark)
 
 
-def materialize(df: DataFrame, name: str, metrics: dict | None = None):
+def materialize(df: DataFrame, name: str, metrics: dict | None = None, scope: Scratch | None = None):
     """Write ``df`` once as parquet below the shared checkpoint folder and read it back.
 
     Used for an intermediate that several later steps read: it is computed once, lineage is cut
@@ -119,7 +160,7 @@ def materialize(df: DataFrame, name: str, metrics: dict | None = None):
     sizes for its join choices. ``metrics`` (name → aggregate column) are observed during the same
     write (``DataFrame.observe``), with no extra job; then ``(df, values)`` is returned.
     """
-    path = scratch_path(df.sparkSession, name)
+    path = scratch_path(df.sparkSession, name, scope)
     obs = None
     if metrics:
         obs = Observation(name)
