@@ -22,6 +22,7 @@ def tab_line(*cols: Column | str, null_text: str = "") -> Column:
     return F.concat_ws(OUT_SEP, *[_text(c, null_text) for c in cols])
 
 
-def pair_line(id1: Column | str, id2: Column | str, n: Column | str) -> Column:
-    """SK3: ``"id1, id2<TAB>n"``."""
-    return F.concat(_text(id1, ""), F.lit(PAIR_KEY_SEP), _text(id2, ""), F.lit(OUT_SEP), _text(n, ""))
+def pair_line(id1: Column | str, id2: Column | str, n: Column | str, null_text: str = "") -> Column:
+    """SK3: ``"id1, id2<TAB>n"``, null as ``null_text``."""
+    return F.concat(_text(id1, null_text), F.lit(PAIR_KEY_SEP), _text(id2, null_text), F.lit(OUT_SEP),
+                    _text(n, null_text))

@@ -39,20 +39,21 @@ def shared_count_udf(list1: pd.Series, list2: pd.Series, id1: pd.Series, id2: pd
     return pd.Series(out, dtype="int32")
 
 
-def _py_text(s: pd.Series) -> pd.Series:
-    """Python ``str()`` of each value (``None`` for null), as the original format helpers give."""
-    return s.map(lambda v: "None" if v is None or (isinstance(v, float) and pd.isna(v)) else str(v))
+@F.pandas_udf(T.StringType())
+def _join_text(*series: pd.Series) -> pd.Series:
+    parts = [s.where(s.notna(), "None").astype(object) for s in series]
+    out = parts[0]
+    for s in parts[1:]:
+        out = out + OUT_SEP + s
+    return out
 
 
 def tab_line_udf(*cols):
-    """Fields joined by tabs with Python text forms (``None`` for null). Returns STRING."""
-    @F.pandas_udf(T.StringType())
-    def _join(*series: pd.Series) -> pd.Series:
-        out = _py_text(series[0])
-        for s in series[1:]:
-            out = out + OUT_SEP + _py_text(s)
-        return out
-    return _join(*cols)
+    """Fields joined by tabs, ``None`` for null, as the original helpers give. Returns STRING.
+
+    Each field becomes text before it leaves the JVM, so a row's text does not depend on the rows it
+    shares a batch with (a batch with a null would turn whole numbers into floats)."""
+    return _join_text(*[(F.col(c) if isinstance(c, str) else c).cast("string") for c in cols])
 
 
 @F.pandas_udf(T.FloatType())

@@ -15,14 +15,18 @@ def edges_from_adjacency(adj: DataFrame, user: str = "userid", friends: str = "f
     return adj.select(F.col(user).alias("src"), F.explode(F.col(friends)).alias("dst"))
 
 
+def proper_edges(edges: DataFrame) -> DataFrame:
+    """Directed edges without self-listings or null ends (D2); repeated edges stay."""
+    return edges.select("src", "dst").where(
+        F.col("src").isNotNull() & F.col("dst").isNotNull() & (F.col("src") != F.col("dst")))
+
+
 def clean_edges(edges: DataFrame) -> DataFrame:
-    """Distinct directed edges without self-listings or null ends.
+    """Distinct proper edges.
 
     One shuffle on ``(src, dst)`` with map-side de-duplication; later joins on the same key reuse it.
     """
-    return (edges.select("src", "dst")
-            .where(F.col("src").isNotNull() & F.col("dst").isNotNull() & (F.col("src") != F.col("dst")))
-            .distinct())
+    return proper_edges(edges).distinct()
 
 
 def out_degrees(edges: DataFrame) -> DataFrame:
@@ -30,25 +34,22 @@ def out_degrees(edges: DataFrame) -> DataFrame:
     return edges.groupBy("src").agg(F.count(F.lit(1)).alias("deg"))
 
 
-def reciprocal_pairs(edges: DataFrame, with_degrees: bool = False) -> DataFrame:
-    """Pairs ``id1 < id2`` listed both ways, met under the canonical key (input: clean edges).
+def reciprocal_pairs(edges: DataFrame) -> DataFrame:
+    """Pairs ``id1 < id2`` listed both ways, met under the canonical key.
 
-    Each clean edge is sent to the key ``(least, greatest)``; a pair is reciprocated when both of
-    its two possible edges arrive. Partial aggregation keeps the shuffle to one row per edge.
-    With ``with_degrees`` the edges must carry ``deg`` (the source's degree) and the result gets
-    ``deg1``/``deg2`` for ``id1``/``id2`` from the same aggregation.
+    Each edge is sent to the key ``(least, greatest)``; a pair is reciprocated when both of its two
+    possible edges arrive. Repeated edges and self-listings do no harm, so the input need not be
+    clean: one shuffle, with at most one row per pair and task.
     """
-    lo, hi = F.least("src", "dst"), F.greatest("src", "dst")
-    aggs = [F.count(F.lit(1)).alias("sides")]
-    if with_degrees:
-        aggs += [F.max(F.when(F.col("src") < F.col("dst"), F.col("deg"))).alias("deg1"),
-                 F.max(F.when(F.col("src") > F.col("dst"), F.col("deg"))).alias("deg2")]
-    return (edges.groupBy(lo.alias("id1"), hi.alias("id2")).agg(*aggs)
-            .where(F.col("sides") == 2).drop("sides"))
+    up = F.col("src") < F.col("dst")
+    return (proper_edges(edges)
+            .groupBy(F.least("src", "dst").alias("id1"), F.greatest("src", "dst").alias("id2"))
+            .agg(F.max(up).alias("up"), F.min(up).alias("only_up"))
+            .where(F.col("up") & ~F.col("only_up")).select("id1", "id2"))
 
 
 def reciprocal_pairs_by_self_join(edges: DataFrame) -> DataFrame:
-    """The same pairs as a self equi-join of the edges with their ends swapped."""
+    """The same pairs as a self equi-join of the (clean) edges with their ends swapped."""
     a = edges.select(F.col("src").alias("id1"), F.col("dst").alias("id2")).where("id1 < id2")
     b = edges.select(F.col("dst").alias("id1"), F.col("src").alias("id2"))
     return a.join(b, ["id1", "id2"], "left_semi")

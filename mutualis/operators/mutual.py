@@ -4,11 +4,17 @@ For ``a < b`` with ``b`` on a's list and ``a`` on b's list:
 ``n(a, b) = |(N(a) ∩ N(b)) minus {a, b}|``, kept when ``n > 0``. A shared id need not list ``a`` or
 ``b`` back, so this is not triangle counting on the reciprocated graph.
 
+``prepare_graph`` writes what both ways of counting read: the reciprocated pairs with the degrees of
+their ends, and the edges whose source is in such a pair (no other edge can matter). Degrees are a
+small written table that is joined to the *pairs*, so a hub's pairs lie on a plain exchange, which
+AQE splits; the edges themselves are never joined to an aggregate.
+
 Two exact ways, routed per pair by the degrees of its two ends:
 
 * **arrays** (both ends have at most ``hub_degree`` ids, and of like number): each end's id set
   is gathered once, joined to its pairs and intersected in generated code. Moves
-  ``deg(a) + deg(b)`` ids per pair, in compact arrays; no array is longer than ``hub_degree``.
+  ``deg(a) + deg(b)`` ids per pair, in compact arrays of about ``hub_degree`` ids at most: where the
+  way is forced on longer lists, they are cut into parts by a hash of the id and counted by part.
 * **probe** (an end above ``hub_degree``, or lists of very unequal length): the list of the
   *smaller* end is expanded to rows and each row is checked against the other end's edges with an
   equi semi-join on ``(other, id)``. Moves ``min(deg(a), deg(b))`` rows per pair, whatever the
@@ -20,11 +26,13 @@ nested-loop join, and no step emits all pairs within a group.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import materialize as materialize_df
-from .edges import clean_edges, out_degrees, reciprocal_pairs
+from ..session import Scratch, materialize
+from .edges import clean_edges, out_degrees, proper_edges, reciprocal_pairs
 
 # Largest list length gathered into one array. Above it a pair goes to the probe way.
 DEFAULT_HUB_DEGREE = 256
@@ -34,31 +42,50 @@ DEFAULT_BALANCE = 4.0
 STRATEGIES = ("auto", "arrays", "probe")
 
 
-def degree_edges(edges: DataFrame, materialize: bool = True) -> DataFrame:
-    """Clean edges with the source's degree, ``(src, dst, deg)``.
+@dataclass
+class Graph:
+    """A prepared graph: ``edges(src, dst)``, distinct, sources in some pair only;
+    ``pairs(id1, id2, deg1, deg2)``; the largest degree of a pair member; the folders of both
+    tables, which ``release`` deletes."""
+    edges: DataFrame
+    pairs: DataFrame
+    largest: int
+    scratch: Scratch
 
-    Every later step reads this table several times (pairs, arrays, both probe joins). With
-    ``materialize`` it is written once as parquet to the shared checkpoint folder, so the distinct
-    over the raw edges runs once and lineage is cut there; a lost executor then re-reads files
-    instead of recomputing the scan and the two shuffles behind them.
-    """
-    e = clean_edges(edges)
-    e_deg = e.join(out_degrees(e), "src")
-    return materialize_df(e_deg, "degree_edges") if materialize else e_deg
+    def release(self, spark: SparkSession) -> int:
+        return self.scratch.release(spark)
 
 
-def _by_arrays(e_deg: DataFrame, pairs: DataFrame, hub_degree: int | None) -> DataFrame:
-    small = e_deg if hub_degree is None else e_deg.where(F.col("deg") <= hub_degree)
-    # Gather lists only for users that are in a pair going this way (the semi-join keys on src,
-    # the partitioning the grouping needs anyway).
+def prepare_graph(edges: DataFrame) -> Graph:
+    """Run the jobs that every count over a directed edge table ``(src, dst)`` shares.
+
+    The edge source is scanned twice: for the pairs (one row per pair and task is shuffled), and for
+    the edges of their members. Nothing else of the edges is written.
+    """
+    held = Scratch()
+    met = materialize(reciprocal_pairs(edges), "pairs_met", scope=held)
+    members = materialize(met.select(F.explode(F.array("id1", "id2")).alias("src")).distinct(), "members", scope=held)
+    own = proper_edges(edges).join(members, "src", "left_semi").distinct()
+    own = materialize(own, "member_edges", scope=held)
+    degrees, seen = materialize(out_degrees(own), "degrees", {"top": F.max("deg")}, scope=held)
+    pairs = met.join(degrees.select(F.col("src").alias("id1"), F.col("deg").alias("deg1")), "id1").join(
+        degrees.select(F.col("src").alias("id2"), F.col("deg").alias("deg2")), "id2")
+    pairs = materialize(pairs.select("id1", "id2", "deg1", "deg2"), "pairs", scope=held)
+    return Graph(own, pairs, int(seen["top"] or 0), held)
+
+
+def _by_arrays(edges: DataFrame, pairs: DataFrame, parts: int) -> DataFrame:
+    """Lists gathered in ``parts`` parts by a hash of the id; counts added up per pair."""
+    part = F.pmod(F.xxhash64("dst"), F.lit(parts)).cast("int") if parts > 1 else F.lit(0)
     members = pairs.select(F.explode(F.array("id1", "id2")).alias("src"))
-    nbrs = (small.join(members, "src", "left_semi")
-            .groupBy("src").agg(F.collect_list("dst").alias("nbrs")))  # rows already distinct
-    n1 = nbrs.select(F.col("src").alias("id1"), F.col("nbrs").alias("n1"))
-    n2 = nbrs.select(F.col("src").alias("id2"), F.col("nbrs").alias("n2"))
+    nbrs = (edges.join(members, "src", "left_semi").groupBy("src", part.alias("part"))
+            .agg(F.collect_list("dst").alias("nbrs")))  # rows already distinct
+    n1 = nbrs.select(F.col("src").alias("id1"), "part", F.col("nbrs").alias("n1"))
+    n2 = nbrs.select(F.col("src").alias("id2"), "part", F.col("nbrs").alias("n2"))
     # Self-listings are gone, so neither a nor b can be in both sets: no exclusion needed.
-    return (pairs.join(n1, "id1").join(n2, "id2")
-            .select("id1", "id2", F.size(F.array_intersect("n1", "n2")).cast("bigint").alias("n")))
+    met = pairs.select("id1", "id2").join(n1, "id1").join(n2, ["id2", "part"])
+    counts = met.select("id1", "id2", F.size(F.array_intersect("n1", "n2")).cast("bigint").alias("n"))
+    return counts if parts == 1 else counts.groupBy("id1", "id2").agg(F.sum("n").alias("n"))
 
 
 def _by_probe(e: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -74,44 +101,29 @@ def _by_probe(e: DataFrame, pairs: DataFrame) -> DataFrame:
             .select(F.least("s", "o").alias("id1"), F.greatest("s", "o").alias("id2"), "n"))
 
 
-def mutual_counts(edges: DataFrame, strategy: str = "auto", hub_degree: int = DEFAULT_HUB_DEGREE,
-                  balance: float = DEFAULT_BALANCE, keep_zero: bool = False,
-                  materialize: bool = True) -> DataFrame:
-    """``(id1, id2, n)`` for reciprocated pairs of a directed edge table ``(src, dst)``.
+def mutual_counts(graph: Graph | DataFrame, strategy: str = "auto", hub_degree: int = DEFAULT_HUB_DEGREE,
+                  balance: float = DEFAULT_BALANCE, keep_zero: bool = False) -> DataFrame:
+    """``(id1, id2, n)`` for the reciprocated pairs of a prepared graph, a lazy plan.
 
+    A directed edge table ``(src, dst)`` is prepared first, which runs jobs (``prepare_graph``).
     ``strategy``: ``auto`` sends a pair the arrays way when both lists are short
     (``max(deg) <= hub_degree``) and of like size (``max(deg) <= balance * min(deg)``), else the
-    probe way; ``arrays`` / ``probe`` force one way (``arrays`` gathers every list, so keep it for
-    graphs whose degrees are known to be bounded).
+    probe way; ``arrays`` / ``probe`` force one way. Both are always planned under ``auto``; a way
+    without pairs reads nothing but the pairs table.
     ``keep_zero`` keeps pairs that share nobody (``n = 0``); the default drops them (F1).
-    ``materialize`` writes the degree-annotated edges and the routed pairs once to the shared
-    checkpoint folder (each is read by several later steps), counting the pairs per way during the
-    write so that an empty way is not planned; the call runs those two jobs before returning the
-    lazy result.
     """
     if strategy not in STRATEGIES:
         raise ValueError(f"strategy must be one of {STRATEGIES}")
-    e_deg = degree_edges(edges, materialize)
-    e = e_deg.select("src", "dst")
+    g = graph if isinstance(graph, Graph) else prepare_graph(graph)
     hi, lo = F.greatest("deg1", "deg2"), F.least("deg1", "deg2")
-    if strategy == "auto":
-        light = (hi <= hub_degree) & (hi <= lo * balance)
+    light = (hi <= hub_degree) & (hi <= lo * balance)
+    if strategy == "arrays":
+        counts = _by_arrays(g.edges, g.pairs, max(1, -(-g.largest // hub_degree)))
+    elif strategy == "probe":
+        counts = _by_probe(g.edges, g.pairs)
     else:
-        light = F.lit(strategy == "arrays")
-    pairs = reciprocal_pairs(e_deg, with_degrees=True).withColumn("light", light)
-    n_light = n_heavy = None
-    if materialize:
-        pairs, seen = materialize_df(pairs, "pairs", metrics={
-            "light": F.count(F.when(F.col("light"), 1)), "heavy": F.count(F.when(~F.col("light"), 1))})
-        n_light, n_heavy = seen["light"], seen["heavy"]
-    parts = []
-    if n_light is None or n_light > 0 or n_heavy == 0:
-        cap = None if strategy == "arrays" else hub_degree
-        parts.append(_by_arrays(e_deg, pairs.where(F.col("light")), cap))
-    if n_heavy is None or n_heavy > 0:
-        parts.append(_by_probe(e, pairs.where(~F.col("light"))))
-    counts = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+        counts = _by_arrays(g.edges, g.pairs.where(light), 1).unionByName(_by_probe(g.edges, g.pairs.where(~light)))
     if keep_zero:
-        return (pairs.select("id1", "id2").join(counts, ["id1", "id2"], "left")
+        return (g.pairs.select("id1", "id2").join(counts, ["id1", "id2"], "left")
                 .select("id1", "id2", F.coalesce("n", F.lit(0)).cast("bigint").alias("n")))
     return counts.where(F.col("n") > 0).select("id1", "id2", F.col("n").cast("bigint").alias("n"))

@@ -2,8 +2,9 @@
 
 The original attaches profiles with a join on ``userid = id1 OR userid = id2`` (a nested-loop
 plan) or with one lookup job per id. Here the k pairs become 2k member rows
-(``posexplode(array(id1, id2))``) and meet the profiles in one equi-join. Only those 2k rows are
-broadcast (bounded by ``k``); the profile table is streamed once and never shuffled.
+(``posexplode(array(id1, id2))``) and meet the profiles in one equi-join. The limit gives the
+planner the size of the 2k rows, so it broadcasts them while they are few, whatever ``k`` asks for;
+then the profile table is streamed once and never shuffled.
 """
 
 from __future__ import annotations
@@ -37,7 +38,7 @@ def attach_profiles(pairs: DataFrame, profiles: DataFrame, how: str = "inner",
 
     ``inner`` keeps a pair only when both members have a profile; ``left`` keeps every pair with
     nulls for a missing member (D8). A member with several profile lines gets the smallest one.
-    One broadcast join (the 2k member rows against the streamed profiles) and one aggregation
+    One join (the 2k member rows against the profiles) and one aggregation
     over at most 2k rows plus matches.
     """
     if how not in HOW:
@@ -48,7 +49,7 @@ def attach_profiles(pairs: DataFrame, profiles: DataFrame, how: str = "inner",
         pairs = materialize(pairs, "ranked_pairs")
     members = pair_members(pairs)
     prof = profiles.select("userid", F.struct(*fields).alias("p"))
-    found = prof.join(F.broadcast(members), "userid").select("id1", "id2", "n", "pos", "p")
+    found = prof.join(members, "userid").select("id1", "id2", "n", "pos", "p")
     if how == "left":
         # The pairs themselves, with no profile, so that a pair whose members both lack one survives.
         bare = pairs.select("id1", "id2", "n", F.lit(None).cast("int").alias("pos"),
@@ -69,4 +70,4 @@ def top_pairs_with_profiles(counts: DataFrame, profiles: DataFrame, k: int = DEF
                             how: str = "inner") -> DataFrame:
     """``(n, a_first, a_last, a_address, b_first, b_last, b_address)`` plus the ids, ranked."""
     res = attach_profiles(top_pairs(counts, k), profiles, how)
-    return sort_bounded(res, [F.col("n").desc()], ["id1", "id2"])  # at most k rows
+    return sort_bounded(res, [F.col("n").desc()], ["id1", "id2"])  # at most k pairs, one row each

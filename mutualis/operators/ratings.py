@@ -37,10 +37,12 @@ def ratings_for(businesses: DataFrame, reviews: DataFrame, pattern: str = DEFAUL
     matched = reviews.join(hits, "businessid", "left_semi")
     # With the usual broadcast of the few matching ids, the distinct is the only shuffle, keyed on
     # (business, user, stars) after a map-side de-duplication. When the ids are too many to
-    # broadcast, the semi-join is partitioned by business; AQE then splits a hot business's
-    # partition (``forceOptimizeSkewedJoin``) and adds the shuffle the distinct needs.
+    # broadcast, the semi-join is partitioned by business. The key of the distinct is one struct, so
+    # that partitioning is not reused and the distinct has its own shuffle (after de-duplicating in
+    # each task); AQE is then free to split a hot business in the join, on any session.
     if per_business:
-        return matched.select("businessid", "userid", "stars").distinct().select("userid", "stars")
+        key = F.struct("businessid", "userid", "stars").alias("line")
+        return matched.select(key).distinct().select("line.userid", "line.stars")
     return matched.select("userid", "stars").distinct()
 
 
@@ -53,24 +55,30 @@ def mean_ratings(reviews: DataFrame, dedup: bool = False) -> DataFrame:
     return r.groupBy("businessid").agg(F.avg("stars").alias("avg_stars"))
 
 
+def of_top_keys(rows: DataFrame, key: str, k: int) -> DataFrame:
+    """The rows of the ``k`` highest keys. Only the keys are ranked (one row per key and task is
+    shuffled); the rows are then picked by a semi-join."""
+    return rows.join(top_k(rows.select(key).where(F.col(key).isNotNull()).distinct(), k, [F.col(key).desc()]),
+                     key, "left_semi")
+
+
 def top_rated(reviews: DataFrame, businesses: DataFrame, k: int = DEFAULT_TOP_K, by: str = "mean",
               dedup: bool = False) -> DataFrame:
     """The top ``k`` businesses with address, categories and mean rating.
 
     ``by='mean'``: highest mean first, ties by id (C6/C7). ``by='key'``: highest business id first,
-    as the key-sorted variant ranks (C8). Only the k chosen ids are broadcast (bounded by ``k``);
-    the business table is streamed once. Repeated business lines are collapsed.
+    as the key-sorted variant ranks (C8); then only the reviews of the k chosen ids are
+    de-duplicated and averaged. The business table is streamed once where the planner broadcasts
+    the k ids. Repeated business lines are collapsed.
     """
     if by not in RANK_BY:
         raise ValueError(f"by must be one of {RANK_BY}")
-    means = mean_ratings(reviews, dedup)
     if by == "mean":
-        top = top_k(means, k, [F.col("avg_stars").desc()], ["businessid"])
+        top = top_k(mean_ratings(reviews, dedup), k, [F.col("avg_stars").desc()], ["businessid"])
     else:
-        top = top_k(means, k, [F.col("businessid").desc()])
-    rows = (businesses.select("businessid", "address", "categories")
-            .join(F.broadcast(top), "businessid").distinct())
+        top = mean_ratings(of_top_keys(reviews, "businessid", k), dedup)
+    rows = (businesses.select("businessid", "address", "categories").join(top, "businessid").distinct())
     order = ([F.col("avg_stars").desc(), F.col("businessid")] if by == "mean"
              else [F.col("businessid").desc()])
-    # At most k ids, each with its distinct business lines: ordered in one partition.
+    # k ids, each with its distinct business lines (one, but for repeated ids).
     return sort_bounded(rows, order, ["address", "categories"])

@@ -29,9 +29,10 @@ def top_k(df: DataFrame, k: int, by: list[Column | str], ties: list[str] = ()) -
 
 
 def sort_bounded(df: DataFrame, by: list[Column | str], ties: list[str] = ()) -> DataFrame:
-    """Order a result already bounded by k rows (after ``top_k``) in one partition.
+    """Order the rows of at most k keys (after ``top_k``) in one partition.
 
-    ``coalesce(1)`` is a narrow step, so this costs no range-partition shuffle; use it only where
-    the row count has a proven bound.
+    ``coalesce(1)`` is a narrow step, so this costs no range-partition shuffle. It is meant for a
+    result that the caller will read as one ordered list: k keys with the few rows each of them has.
+    Where keys can have many rows, use ``orderBy``.
     """
     return df.coalesce(1).sortWithinPartitions(*_order(by, list(ties)))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import shared_count, tab_line
 from ..functions.udfs import reciprocal_udf, shared_count_udf, tab_line_udf, to_float_udf
-from ..operators import clean_edges, edges_from_adjacency, mean_ratings, ratings_for, reciprocal_pairs
+from ..operators import clean_edges, lists, mean_ratings, ratings_for
 from ..sources import tables, text
 from . import sql as S
 from .catalog import adjacency, ids_text, lines, query
@@ -15,24 +15,6 @@ from .q_jobs import PATTERN
 _ADJ = f"WITH a AS ({S.ADJACENCY})"
 
 
-def _pair_blocks(spark, sf_dir):
-    """Reciprocated pairs of the parsed adjacency, one row per id block both members have a line
-    in: ``(id1, id2, blk, l1, l2)``. Lines hold one block of ids each, so a pair's shared ids are
-    the union over blocks of the per-block intersections, and no row holds a whole long list."""
-    adj = adjacency(spark, sf_dir)
-    pairs = reciprocal_pairs(clean_edges(edges_from_adjacency(adj)))
-    l1 = adj.select(F.col("userid").alias("id1"), "blk", F.col("friend_list").alias("l1"))
-    l2 = adj.select(F.col("userid").alias("id2"), "blk", F.col("friend_list").alias("l2"))
-    return pairs.join(l1, "id1").join(l2, ["id2", "blk"]), pairs
-
-
-def _sum_by_pair(per_block, pairs, col):
-    """Per-block counts summed per pair; pairs with no common block get 0."""
-    sums = per_block.groupBy("id1", "id2").agg(F.sum(col).cast("bigint").alias("n"))
-    return pairs.join(sums, ["id1", "id2"], "left").select(
-        "id1", "id2", F.coalesce("n", F.lit(0)).cast("bigint").alias("n"))
-
-
 # Shared ids for every reciprocated pair, zeros included.
 _ALL_COUNTS = f"""{S.mutual()}
 SELECT p.id1, p.id2, COALESCE(c.n, 0) AS n FROM p LEFT JOIN c ON c.id1 = p.id1 AND c.id2 = p.id2"""
@@ -116,29 +98,33 @@ SELECT a.userid, list_contains(a.friend_list, CAST(p.p_size AS BIGINT)) AS lists
 FROM a JOIN part p ON p.p_partkey = a.userid""")
 def array_contains(spark, sf_dir):
     """Does a part's supplier list hold the id equal to its size."""
-    adj = adjacency(spark, sf_dir)
-    p = tables.table(spark, sf_dir, "part").select(F.col("p_partkey").alias("userid"), "p_size")
-    return adj.join(p, "userid").select(
-        "userid", F.array_contains("friend_list", F.col("p_size").cast("bigint")).alias("lists_size"))
+    asked = tables.table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("userid"), F.col("p_size").cast("bigint").alias("id"))
+    return lists.lists_contain(adjacency(spark, sf_dir), asked).select("userid", F.col("found").alias("lists_size"))
 
 
-_PAIR_BLOCKS = f"""{S.mutual()}, a AS ({S.ADJACENCY}),
-pb AS (SELECT p.id1, p.id2, x.blk, x.friend_list AS l1, y.friend_list AS l2
-       FROM p JOIN a x ON x.userid = p.id1 JOIN a y ON y.userid = p.id2 AND y.blk = x.blk)"""
+_UNION_SIZES = f"""{S.mutual()}, a AS ({S.ADJACENCY})
+SELECT p.id1, p.id2, CAST(len(list_distinct(list_concat(x.friend_list, y.friend_list))) AS BIGINT) AS n_union
+FROM p JOIN a x ON x.userid = p.id1 JOIN a y ON y.userid = p.id2"""
 
 
-@query("array_distinct", f"""{_PAIR_BLOCKS}
-SELECT id1, id2, blk, CAST(len(list_distinct(list_concat(l1, l2))) AS BIGINT) AS n_union FROM pb""")
+@query("array_distinct", _UNION_SIZES)
 def array_distinct(spark, sf_dir):
-    """List → set; here the ids listed by either member of a pair, per id block."""
-    pb, _ = _pair_blocks(spark, sf_dir)
-    return pb.select("id1", "id2", "blk", F.size(F.array_distinct(F.concat("l1", "l2"))).cast("bigint")
-                     .alias("n_union"))
+    """List → set; here the number of ids that either member of a pair lists."""
+    adj = adjacency(spark, sf_dir)
+    return lists.union_sizes(adj, lists.listed_pairs(adj)).withColumnRenamed("n", "n_union")
+
+
+@query("array_distinct_narrow", _UNION_SIZES)
+def array_distinct_narrow(spark, sf_dir):
+    """The same over lists cut into many lines and blocks."""
+    adj = adjacency(spark, sf_dir, "adjacency_narrow")
+    return lists.union_sizes(adj, lists.listed_pairs(adj), 8).withColumnRenamed("n", "n_union")
 
 
 @query("array_size", f"{_ADJ} SELECT userid, CAST(len(friend_list) AS BIGINT) AS n_friends FROM a")
 def array_size(spark, sf_dir):
-    return adjacency(spark, sf_dir).select("userid", F.size("friend_list").cast("bigint").alias("n_friends"))
+    return lists.list_sizes(adjacency(spark, sf_dir)).withColumnRenamed("n", "n_friends")
 
 
 @query("array_remove", f"""{_ADJ}
@@ -146,7 +132,7 @@ SELECT userid, COALESCE((SELECT string_agg(CAST(x AS VARCHAR), ',' ORDER BY x)
                          FROM unnest(friend_list) AS t(x) WHERE x <> userid), '') AS ids FROM a""")
 def array_remove(spark, sf_dir):
     """A user's own id taken off its list (every occurrence)."""
-    return adjacency(spark, sf_dir).select(
+    return lists.whole_lists(adjacency(spark, sf_dir)).select(
         "userid", ids_text(F.array_remove("friend_list", F.col("userid"))).alias("ids"))
 
 
@@ -155,14 +141,24 @@ SELECT userid, CAST(len(friend_list) + 1 AS BIGINT) AS n_ids,
        array_to_string(list_append(friend_list, userid), ',') AS ids FROM a""")
 def array_append(spark, sf_dir):
     appended = F.array_append("friend_list", F.col("userid"))
-    return adjacency(spark, sf_dir).select("userid", F.size(appended).cast("bigint").alias("n_ids"),
-                                           ids_text(appended).alias("ids"))
+    return lists.whole_lists(adjacency(spark, sf_dir)).select(
+        "userid", F.size(appended).cast("bigint").alias("n_ids"), ids_text(appended).alias("ids"))
+
 
+_FIRST3 = f"""{_ADJ}
+SELECT userid, array_to_string(list_slice(friend_list, 1, 3), ',') AS first3 FROM a"""
 
-@query("array_slice", f"""{_ADJ}
-SELECT userid, array_to_string(list_slice(friend_list, 1, 3), ',') AS first3 FROM a""")
+
+@query("array_slice", _FIRST3)
 def array_slice(spark, sf_dir):
-    return adjacency(spark, sf_dir).select("userid", ids_text(F.slice("friend_list", 1, 3)).alias("first3"))
+    return lists.first_ids(adjacency(spark, sf_dir), 3).select("userid", ids_text("ids").alias("first3"))
+
+
+@query("array_slice_narrow", _FIRST3)
+def array_slice_narrow(spark, sf_dir):
+    """The same over lists cut into many lines and blocks."""
+    firsts = lists.first_ids(adjacency(spark, sf_dir, "adjacency_narrow"), 3, 8)
+    return firsts.select("userid", ids_text("ids").alias("first3"))
 
 
 @query("array_build", f"""{S.mutual()}
@@ -175,13 +171,24 @@ def array_build(spark, sf_dir):
                                            F.size(arr).cast("bigint").alias("n_ids"))
 
 
+def _intersect_sizes(adj, block):
+    pairs = lists.listed_pairs(adj)
+    met = lists.common_blocks(adj, pairs, block)
+    per_block = met.select("id1", "id2", shared_count("l1", "l2", exclude=["id1", "id2"]).alias("k"))
+    return lists.sum_by_pair(per_block, pairs, "k")
+
+
 @query("array_intersect_size", _ALL_COUNTS)
 def array_intersect_size(spark, sf_dir):
     """A2/X8 in row form: both lists on one row (per id block), intersect, members left out,
     summed per pair; zeros kept."""
-    pb, pairs = _pair_blocks(spark, sf_dir)
-    per_block = pb.select("id1", "id2", shared_count("l1", "l2", exclude=["id1", "id2"]).alias("k"))
-    return _sum_by_pair(per_block, pairs, "k")
+    return _intersect_sizes(adjacency(spark, sf_dir), lists.DEFAULT_BLOCK)
+
+
+@query("array_intersect_size_narrow", _ALL_COUNTS)
+def array_intersect_size_narrow(spark, sf_dir):
+    """The same over lists cut into many lines and blocks."""
+    return _intersect_sizes(adjacency(spark, sf_dir, "adjacency_narrow"), 8)
 
 
 @query("pred_boolean", """
@@ -199,26 +206,26 @@ def pred_boolean(spark, sf_dir):
 # ---------------- UDF surface ----------------
 
 
+def _udf_counts(adj, block):
+    cand = lists.candidate_blocks(adj, block)
+    pairs = cand.where(reciprocal_udf("id1", "l1", "id2", "l2") == 1).select("id1", "id2")
+    met = lists.common_blocks(adj, pairs, block)
+    return lists.sum_by_pair(met.select("id1", "id2", shared_count_udf("l1", "l2", "id1", "id2").alias("k")), pairs, "k")
+
+
 @query("udf_scalar_int", _ALL_COUNTS)
 def udf_scalar_int(spark, sf_dir):
     """The reciprocity test and the shared count as vectorized UDFs returning INT.
 
-    Candidates are the canonical keys of the listed links; the test reads the one line of each
-    member that covers the other's id block; the count is summed over common blocks."""
-    adj = adjacency(spark, sf_dir)
-    e = clean_edges(edges_from_adjacency(adj))
-    cand = e.select(F.least("src", "dst").alias("id1"), F.greatest("src", "dst").alias("id2")).distinct()
-    blk = tables.LIST_BLOCK
-    l1 = adj.select(F.col("userid").alias("id1"), F.col("blk").alias("b2"), F.col("friend_list").alias("l1"))
-    l2 = adj.select(F.col("userid").alias("id2"), F.col("blk").alias("b1"), F.col("friend_list").alias("l2"))
-    rows = (cand.withColumn("b1", F.expr(f"id1 div {blk}")).withColumn("b2", F.expr(f"id2 div {blk}"))
-            .join(l1, ["id1", "b2"]).join(l2, ["id2", "b1"]))
-    pairs = rows.where(reciprocal_udf("id1", "l1", "id2", "l2") == 1).select("id1", "id2")
-    lb1 = adj.select(F.col("userid").alias("id1"), "blk", F.col("friend_list").alias("m1"))
-    lb2 = adj.select(F.col("userid").alias("id2"), "blk", F.col("friend_list").alias("m2"))
-    per_block = (pairs.join(lb1, "id1").join(lb2, ["id2", "blk"])
-                 .select("id1", "id2", shared_count_udf("m1", "m2", "id1", "id2").alias("k")))
-    return _sum_by_pair(per_block, pairs, "k")
+    Candidates are the canonical keys of the listed links; the test reads the one block of each
+    member's list that would hold the other; the count is summed over common blocks."""
+    return _udf_counts(adjacency(spark, sf_dir), lists.DEFAULT_BLOCK)
+
+
+@query("udf_scalar_int_narrow", _ALL_COUNTS)
+def udf_scalar_int_narrow(spark, sf_dir):
+    """The same over lists cut into many lines and blocks."""
+    return _udf_counts(adjacency(spark, sf_dir, "adjacency_narrow"), 8)
 
 
 @query("udf_scalar_string", f"""WITH b AS ({S.BUSINESSES}), r AS ({S.REVIEWS})
@@ -231,6 +238,15 @@ def udf_scalar_string(spark, sf_dir):
     return r.select(tab_line_udf(F.col("userid"), F.col("stars")).alias("value"))
 
 
+@query("udf_scalar_string_nulls", """
+SELECT CAST(p_partkey AS VARCHAR) || chr(9) || COALESCE(CAST(CASE WHEN p_size > 25 THEN p_size END AS VARCHAR), 'None')
+       AS value FROM part""")
+def udf_scalar_string_nulls(spark, sf_dir):
+    """U2 on a whole-number column with nulls: the numbers stay whole."""
+    p = tables.table(spark, sf_dir, "part")
+    return p.select(tab_line_udf("p_partkey", F.when(F.col("p_size") > 25, F.col("p_size"))).alias("value"))
+
+
 @query("udf_scalar_float", f"""WITH r AS ({S.REVIEWS})
 SELECT businessid, AVG(CAST(CAST(stars AS VARCHAR) AS FLOAT)) AS avg_stars FROM r GROUP BY businessid""")
 def udf_scalar_float(spark, sf_dir):

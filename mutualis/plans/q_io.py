@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import pair_line, tab_line
+from ..operators import whole_lists
 from ..session import scratch_path
 from ..sinks import write_lines
 from ..sources import schemas, tables, text
@@ -30,9 +31,10 @@ def src_profile_records(spark, sf_dir):
 
 @query("src_adjacency_lines", f"""WITH a AS ({S.ADJACENCY})
 SELECT userid, array_to_string(friend_list, ',') AS friends, CAST(len(friend_list) AS BIGINT) AS n_friends
-FROM a""")  # one row per line; a part's list may span lines (one per id block)
+FROM a""")
 def src_adjacency_lines(spark, sf_dir):
-    adj = text.parse_adjacency(lines(spark, sf_dir, "adjacency"))
+    """SC3: the parsed lines, a user's lines put together."""
+    adj = whole_lists(text.parse_adjacency(lines(spark, sf_dir, "adjacency")))
     return adj.select("userid", ids_text("friend_list").alias("friends"),
                       F.size("friend_list").cast("bigint").alias("n_friends"))
 

@@ -3,17 +3,17 @@
 from __future__ import annotations
 
 from ..functions import pair_line, tab_line
-from ..operators import edges_from_adjacency, mutual_counts, ratings_for, top_pairs_with_profiles, top_rated
+from ..operators import mutual_counts, ratings_for, top_pairs, top_pairs_with_profiles, top_rated
 from ..sources import tables, text
 from . import sql as S
-from .catalog import adjacency, lines, query
+from .catalog import graph, lines, query
 
 K = 10
 PATTERN = "red"  # address text picked on the test tables (part names)
 
 
 def q1_counts(spark, sf_dir, strategy="auto"):
-    return mutual_counts(tables.supplies(spark, sf_dir), strategy=strategy)
+    return mutual_counts(graph(spark, sf_dir, "supplies"), strategy=strategy)
 
 
 @query("q1_mutual_counts", f"{S.mutual()} SELECT id1, id2, n FROM c")
@@ -24,13 +24,13 @@ def q1_mutual_counts(spark, sf_dir):
 @query("q1_mutual_counts_cosupply", f"{S.mutual(S.COSUPPLY_EDGES)} SELECT id1, id2, n FROM c")
 def q1_mutual_counts_cosupply(spark, sf_dir):
     """Q1 on the symmetric graph: every link reciprocated, supplier ids as hubs (the heavy case)."""
-    return mutual_counts(tables.cosupply(spark, sf_dir))
+    return mutual_counts(graph(spark, sf_dir, "cosupply"))
 
 
 @query("q1_from_text", f"{S.mutual()} SELECT id1, id2, n FROM c")
 def q1_from_text(spark, sf_dir):
     """Q1 end to end from text: adjacency text lines → parsed lists → edges → counts."""
-    return mutual_counts(edges_from_adjacency(adjacency(spark, sf_dir)))
+    return mutual_counts(graph(spark, sf_dir, "text"))
 
 
 @query("q1_mutual_lines", f"""{S.mutual()}
@@ -130,10 +130,32 @@ def q4_top_rated_lines(spark, sf_dir):
 
 @query("q1_arrays", f"{S.mutual()} SELECT id1, id2, n FROM c")
 def q1_arrays(spark, sf_dir):
-    """C1 with every pair the arrays way (lists here are short: supplier ids per part)."""
+    """C1 with every pair the arrays way."""
     return q1_counts(spark, sf_dir, strategy="arrays")
 
 
+_MIXED = S.mutual(S.MIXED_EDGES, f"m AS ({S.MIXED}), ")
+
+
+@query("q1_mixed", f"{_MIXED} SELECT id1, id2, n FROM c")
+def q1_mixed(spark, sf_dir):
+    """C1 on a graph with short lists and hubs: pairs of parts go the arrays way, pairs with a
+    supplier the probe way, in one plan."""
+    return mutual_counts(graph(spark, sf_dir, "mixed"))
+
+
+@query("q1_mixed_arrays", f"{_MIXED} SELECT id1, id2, n FROM c")
+def q1_mixed_arrays(spark, sf_dir):
+    """The same with every pair the arrays way: the hubs' lists are cut into parts."""
+    return mutual_counts(graph(spark, sf_dir, "mixed"), strategy="arrays")
+
+
+@query("q2_mixed", f"{_MIXED} SELECT id1, id2, n FROM c ORDER BY n DESC, id1, id2 LIMIT {K}")
+def q2_mixed(spark, sf_dir):
+    """The pairs that share most on the mixed graph."""
+    return top_pairs(mutual_counts(graph(spark, sf_dir, "mixed")), K)
+
+
 @query("q1_probe", f"{S.mutual()} SELECT id1, id2, n FROM c")
 def q1_probe(spark, sf_dir):
     """C1 with every pair the probe way."""
@@ -183,4 +205,4 @@ def q4_top_by_key_all_lines(spark, sf_dir):
 SELECT p.id1, p.id2, COALESCE(c.n, 0) AS n FROM p LEFT JOIN c ON c.id1 = p.id1 AND c.id2 = p.id2""")
 def q1_keep_zero(spark, sf_dir):
     """C1 keeping reciprocated pairs that share nobody (``n = 0``)."""
-    return mutual_counts(tables.supplies(spark, sf_dir), keep_zero=True)
+    return mutual_counts(graph(spark, sf_dir, "supplies"), keep_zero=True)

@@ -6,12 +6,12 @@ from pyspark.sql import functions as F
 
 from ..functions import canonical_pair, is_reciprocal
 from ..operators import (
-    clean_edges, edges_from_adjacency, mean_ratings, mutual_counts, pair_members, ratings_for,
-    reciprocal_pairs, reciprocal_pairs_by_self_join, sort_desc, top_k, top_pairs,
+    clean_edges, edges_from_adjacency, lists, mean_ratings, mutual_counts, of_top_keys, pair_members,
+    ratings_for, reciprocal_pairs, reciprocal_pairs_by_self_join, sort_desc, top_k, top_pairs,
 )
 from ..sources import tables
 from . import sql as S
-from .catalog import adjacency, query
+from .catalog import adjacency, graph, query
 from .q_jobs import PATTERN, q1_counts
 
 _TOP_PAIRS = "t AS (SELECT id1, id2, n FROM c ORDER BY n DESC, id1, id2 LIMIT 10)"
@@ -68,10 +68,10 @@ def proj_table_alias(spark, sf_dir):
             .select(F.col("l.l_orderkey"), F.col("l.l_linenumber"), F.col("p.p_name")))
 
 
-@query("proj_literal", "SELECT p_partkey AS userid, CAST(0 AS INTEGER) AS check_friendship FROM part")
+@query("proj_literal", "SELECT p_partkey AS userid, CAST(0 AS INTEGER) AS flag FROM part")
 def proj_literal(spark, sf_dir):
     p = tables.table(spark, sf_dir, "part")
-    return p.select(F.col("p_partkey").alias("userid"), F.lit(0).cast("int").alias("check_friendship"))
+    return p.select(F.col("p_partkey").alias("userid"), F.lit(0).cast("int").alias("flag"))
 
 
 @query("proj_swap_key", f"""{S.mutual()}
@@ -96,7 +96,7 @@ def pair_canonical_key(spark, sf_dir):
 
 @query("filter_nonzero", f"{S.mutual()} SELECT id1, id2, n FROM c")
 def filter_nonzero(spark, sf_dir):
-    allp = mutual_counts(tables.supplies(spark, sf_dir), keep_zero=True)
+    allp = mutual_counts(graph(spark, sf_dir, "supplies"), keep_zero=True)
     return allp.where("n <> 0")
 
 
@@ -109,18 +109,17 @@ def filter_pair_order(spark, sf_dir):
 @query("filter_reciprocal", f"WITH e AS ({S.EDGES}) {S.PAIRS}")
 def filter_reciprocal(spark, sf_dir):
     """F3 in its row form: candidate pairs are the distinct canonical keys of the listed links
-    (never a Cartesian product); each candidate row carries, for each member, the one line that
-    covers the other member's id block; the two membership tests filter."""
-    adj = adjacency(spark, sf_dir)
-    e = clean_edges(edges_from_adjacency(adj))
-    lo, hi = canonical_pair("src", "dst")
-    blk = tables.LIST_BLOCK
-    cand = (e.select(lo.alias("id1"), hi.alias("id2")).distinct()
-            .withColumn("b1", F.expr(f"id1 div {blk}")).withColumn("b2", F.expr(f"id2 div {blk}")))
-    l1 = adj.select(F.col("userid").alias("id1"), F.col("blk").alias("b2"), F.col("friend_list").alias("l1"))
-    l2 = adj.select(F.col("userid").alias("id2"), F.col("blk").alias("b1"), F.col("friend_list").alias("l2"))
-    return (cand.join(l1, ["id1", "b2"]).join(l2, ["id2", "b1"])
-            .where(is_reciprocal("id1", "l1", "id2", "l2")).select("id1", "id2"))
+    (never a Cartesian product); each candidate row carries, for each member, the one block of its
+    list that would hold the other member; the two membership tests filter."""
+    cand = lists.candidate_blocks(adjacency(spark, sf_dir))
+    return cand.where(is_reciprocal("id1", "l1", "id2", "l2")).select("id1", "id2")
+
+
+@query("filter_reciprocal_narrow", f"WITH e AS ({S.EDGES}) {S.PAIRS}")
+def filter_reciprocal_narrow(spark, sf_dir):
+    """The same over lists cut into many lines and blocks."""
+    cand = lists.candidate_blocks(adjacency(spark, sf_dir, "adjacency_narrow"), 8)
+    return cand.where(is_reciprocal("id1", "l1", "id2", "l2")).select("id1", "id2")
 
 
 @query("filter_contains", f"""WITH b AS ({S.BUSINESSES})
@@ -170,10 +169,10 @@ SELECT t.id1, t.id2, u.userid, u.p_name AS firstname
 FROM t JOIN (SELECT p_partkey AS userid, p_name FROM part) u ON u.userid IN (t.id1, t.id2)""")
 def join_lookup_broadcast(spark, sf_dir):
     """A short key list (the top pairs' members, bounded by k) looked up in the profile table;
-    the short side is broadcast, the table is streamed once."""
+    the limit tells the planner how short it is."""
     members = pair_members(top_pairs(q1_counts(spark, sf_dir), 10))
     prof = tables.profiles(spark, sf_dir).select("userid", "firstname")
-    return prof.join(F.broadcast(members), "userid").select("id1", "id2", "userid", "firstname")
+    return prof.join(members, "userid").select("id1", "id2", "userid", "firstname")
 
 
 @query("join_or_equi", f"""{S.mutual()}
@@ -230,7 +229,7 @@ def agg_collect_list(spark, sf_dir):
     """A5 on groups bounded by construction (two members per top pair); sorted so order is fixed."""
     members = pair_members(top_pairs(q1_counts(spark, sf_dir), 10))
     prof = tables.profiles(spark, sf_dir).select("userid", "firstname")
-    return (prof.join(F.broadcast(members), "userid").groupBy("id1", "id2", "n")
+    return (prof.join(members, "userid").groupBy("id1", "id2", "n")
             .agg(F.array_join(F.array_sort(F.collect_list("firstname")), "|").alias("names")))
 
 
@@ -286,7 +285,7 @@ def topk_by_value(spark, sf_dir):
 @query("topk_by_key", f"""WITH r AS ({S.REVIEWS})
 SELECT businessid, AVG(stars) AS avg_stars FROM r GROUP BY businessid ORDER BY businessid DESC LIMIT 10""")
 def topk_by_key(spark, sf_dir):
-    return top_k(mean_ratings(tables.reviews(spark, sf_dir)), 10, [F.col("businessid").desc()])
+    return mean_ratings(of_top_keys(tables.reviews(spark, sf_dir), "businessid", 10))
 
 
 @query("topk_pairs", f"{S.mutual()} SELECT id1, id2, n FROM c ORDER BY n DESC, id1, id2 LIMIT 10")

@@ -26,9 +26,9 @@ FROM p JOIN e x ON x.src = p.id1 JOIN e y ON y.src = p.id2 AND y.dst = x.dst
 GROUP BY p.id1, p.id2"""
 
 
-def mutual(edges_sql: str = EDGES) -> str:
-    """``WITH e, p, c`` prefix: edges, pairs, counts."""
-    return f"WITH e AS ({edges_sql}), p AS ({PAIRS}), c AS ({COUNTS})"
+def mutual(edges_sql: str = EDGES, before: str = "") -> str:
+    """``WITH e, p, c`` prefix: edges, pairs, counts (after other CTEs, if given)."""
+    return f"WITH {before}e AS ({edges_sql}), p AS ({PAIRS}), c AS ({COUNTS})"
 
 
 PROFILES = """
@@ -48,11 +48,21 @@ REVIEWS = f"SELECT {_REVIEW_COLS} FROM lineitem"
 
 REVIEWS_DUP = f"{REVIEWS} UNION ALL SELECT {_REVIEW_COLS} FROM lineitem WHERE l_returnflag = 'R'"
 
-# Adjacency lines as parsed from the text form: one per part and block of 1024 supplier ids,
-# distinct ids sorted; a part with no lineitem has one line with an empty list.
+MIXED_EDGES = """
+SELECT DISTINCT src, dst FROM (
+  SELECT a AS src, b AS dst FROM m UNION ALL SELECT b AS src, a AS dst FROM m) u
+WHERE src <> dst"""
+
+# The links of ``mixed`` in one direction.
+MIXED = """
+SELECT l_partkey AS a, lead(l_partkey) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS b
+FROM lineitem QUALIFY b IS NOT NULL
+UNION ALL SELECT l_partkey AS a, l_suppkey + 1000000000 AS b FROM lineitem"""
+
+# A user's whole list: distinct ids ascending; a part with no lineitem has an empty one.
 ADJACENCY = """
-SELECT p_partkey AS userid, l_suppkey // 1024 AS blk,
+SELECT p_partkey AS userid,
        COALESCE(list_sort(list(DISTINCT l_suppkey) FILTER (WHERE l_suppkey IS NOT NULL)),
                 CAST([] AS BIGINT[])) AS friend_list
 FROM part LEFT JOIN lineitem ON l_partkey = p_partkey
-GROUP BY p_partkey, l_suppkey // 1024"""
+GROUP BY p_partkey"""

@@ -6,6 +6,8 @@ reader and the work grows with the tables:
 * ``supplies``   directed graph: part ``l_partkey`` lists supplier ``l_suppkey`` (one row per
                  lineitem, so lists repeat ids and a few parts list themselves).
 * ``cosupply``   the same links in both directions (every link reciprocated; supplier ids are hubs).
+* ``mixed``      parts next to each other in an order, linked both ways (short lists), and every part
+                 linked both ways with its suppliers, whose ids are shifted (hubs).
 * ``profiles``   ``part`` as user profiles (id, name, brand, type, ...).
 * ``businesses`` ``part`` as businesses (id, name as address, brand as categories).
 * ``reviews``    ``lineitem`` as reviews (order-line id, supplier as user, part as business,
@@ -22,8 +24,11 @@ from ..session import table_path
 from . import schemas as S
 
 
-# Fixed parameter: ids per line block in the adjacency text form.
-LIST_BLOCK = 1024
+# Ids per line of the adjacency text form: a long list is written as several lines. Nothing that
+# reads the lines depends on it.
+LINE_IDS = 1024
+# Shift that keeps supplier ids apart from part ids in ``mixed``.
+HUB_SHIFT = 1_000_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,6 +45,17 @@ def cosupply(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.unionByName(e.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
 
 
+def mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Linear in the rows: each line gives two links with its supplier and two with the next part of
+    its order (an order's lines are few)."""
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    after = "lead(l_partkey) over (partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey)"
+    pairs = li.selectExpr("l_partkey as a", f"{after} as b").where("b is not null")
+    pairs = pairs.unionByName(li.select(F.col("l_partkey").alias("a"), (F.col("l_suppkey") + HUB_SHIFT).alias("b")))
+    return pairs.select(F.explode(F.array(F.struct(F.col("a").alias("src"), F.col("b").alias("dst")),
+                                          F.struct(F.col("b").alias("src"), F.col("a").alias("dst")))).alias("e")).select("e.*")
+
+
 def profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = table(spark, sf_dir, "part")
     return p.select(
@@ -93,15 +109,15 @@ def profile_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
                     .alias("value"))
 
 
-def adjacency_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``part<TAB>sorted supplier ids``, one line per part and block of ``LIST_BLOCK`` ids.
+def adjacency_lines(spark: SparkSession, sf_dir: str, line_ids: int = LINE_IDS) -> DataFrame:
+    """``part<TAB>sorted supplier ids``, one line per part and block of ``line_ids`` ids.
 
-    A part's list is split over lines by id block (``id div LIST_BLOCK``), so no line holds more
-    than ``LIST_BLOCK`` distinct ids however many suppliers a part has; the parser unions a user's
-    lines. Parts with no lineitem get one line with an empty list.
+    A part's list is split over lines by id block (``id div line_ids``), so no line holds more
+    than ``line_ids`` distinct ids however many suppliers a part has. Parts with no lineitem get one
+    line with an empty list.
     """
     blocks = (supplies(spark, sf_dir)
-              .groupBy("src", F.expr(f"dst div {LIST_BLOCK}").alias("blk"))
+              .groupBy("src", F.expr(f"dst div {line_ids}").alias("blk"))
               .agg(F.array_sort(F.collect_set("dst")).alias("ids")))
     parts = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("src"))
     ids_text = F.array_join(F.transform(F.col("ids"), lambda x: x.cast("string")), S.FRIEND_SEP)
