@@ -11,9 +11,9 @@ from conftest import SF_SMALL
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 import __spark_entry__ as E  # noqa: E402
+from mutualis.plans import ORACLES, QUERIES  # noqa: E402
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
-NO_ORACLE = set()  # every registered query has SQL
 
 
 def test_entry(spark):
@@ -23,7 +23,8 @@ def test_entry(spark):
 
 
 def test_every_query_has_oracle():
-    assert set(E.queries()) - set(E.oracle_sql()) == NO_ORACLE
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(E.queries()) and set(ORACLES) <= set(E.oracle_sql())
     assert set(E.oracle_sql()) <= set(E.queries())
 
 
@@ -44,10 +45,10 @@ def _norm(rows, cols):
     return sorted((tuple(v(r[i]) for i in order) for r in rows), key=repr)
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_against_oracle(spark, con, name):
-    df = E.queries()[name](spark, SF_SMALL)
-    res = con.execute(E.oracle_sql()[name])
+    df = QUERIES[name](spark, SF_SMALL)
+    res = con.execute(ORACLES[name])
     dcols = [d[0] for d in res.description]
     assert sorted(df.columns) == sorted(dcols)
     assert _norm([tuple(r) for r in df.collect()], df.columns) == _norm(res.fetchall(), dcols)

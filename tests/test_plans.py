@@ -3,8 +3,13 @@ and bounded broadcasts where expected."""
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from conftest import SF_SMALL
-from mutualis.plans import QUERIES
+from mutualis.operators import attach_profiles, mutual, mutual_counts, ratings_for, top_pairs, top_rated
+from mutualis.plans import QUERIES, catalog
+from mutualis.session import materialize
+from mutualis.sources import tables
 
 JOBS = ["q1_mutual_counts", "q1_mutual_counts_cosupply", "q1_from_text", "q1_mutual_lines",
         "q2_top_pairs", "q3_ratings_keyed", "q3_ratings_pairs", "q4_top_rated", "q4_top_rated_dedup",
@@ -38,14 +43,105 @@ def test_scans_read_only_needed_columns(spark):
     assert "ReadSchema: struct<l_partkey:bigint,l_quantity:double>" in p
 
 
-def test_profile_lookup_broadcasts_only_the_pairs(spark):
-    df = QUERIES["q2_top_pairs"](spark, SF_SMALL)
-    p = plan(df)
-    assert "BroadcastExchange" in p
-    assert "BroadcastNestedLoopJoin" not in p
+def final_plan(df):
+    df.write.format("noop").mode("overwrite").save()
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", ["q2_top_pairs", "q4_top_rated", "q4_top_by_key", "join_lookup_broadcast"])
+def test_a_few_pairs_are_broadcast_and_many_are_not_forced(spark):
+    counts = QUERIES["q1_mutual_counts"](spark, SF_SMALL)
+    profiles = tables.profiles(spark, SF_SMALL)
+    assert "BroadcastExchange" in plan(attach_profiles(top_pairs(counts, 10), profiles))
+    many = [attach_profiles(top_pairs(counts, 100_000_000), profiles),
+            top_rated(tables.reviews(spark, SF_SMALL), tables.businesses(spark, SF_SMALL), 100_000_000)]
+    for df in many:
+        assert "strategy=broadcast" not in df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_mixed_graph_goes_both_ways_in_one_plan(spark):
+    g = catalog.graph(spark, SF_SMALL, "mixed")
+    p = plan(mutual_counts(g, hub_degree=64))
+    assert "Union" in p and "array_intersect" in p and "LeftSemi" in p
+    light = (F.greatest("deg1", "deg2") <= 64) & (F.greatest("deg1", "deg2") <= 4 * F.least("deg1", "deg2"))
+    ways = {r["l"]: r["count"] for r in g.pairs.groupBy(light.alias("l")).count().collect()}
+    assert ways[True] > 0 and ways[False] > 0
+
+
+def test_key_ordered_top_k_picks_the_reviews_first(spark):
+    p = plan(QUERIES["topk_by_key"](spark, SF_SMALL))
+    assert "LeftSemi" in p and "TakeOrderedAndProject" in p
+    # The mean is over what the semi-join lets through, not over every business.
+    assert p.index("functions=[avg") < p.index("LeftSemi")
+
+
+SPLIT = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+         "spark.sql.adaptive.forceOptimizeSkewedJoin": "false",
+         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2", "spark.sql.files.maxPartitionBytes": "64k",
+         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k",
+         # A partition is split by the tasks that wrote it, so the written tables need several files.
+         "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+
+
+@pytest.fixture
+def splitting(spark):
+    old = {k: spark.conf.get(k, None) for k in SPLIT}
+    for k, v in SPLIT.items():
+        spark.conf.set(k, v)
+    yield spark
+    for k, v in old.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_hot_business_is_split_without_forcing(splitting):
+    spark = splitting
+    n = 60_000
+    reviews = materialize(spark.range(n).select(
+        F.col("id").cast("string").alias("reviewid"), F.col("id").cast("string").alias("userid"),
+        F.when(F.col("id") % 2 == 0, "hot").otherwise(F.col("id").cast("string")).alias("businessid"),
+        (F.col("id") % 5).cast("double").alias("stars")).repartition(12), "hot_reviews")
+    shops = materialize(reviews.select("businessid").distinct().select(
+        "businessid", F.lit("a red house").alias("address"), F.lit("c").alias("categories")), "hot_shops")
+    df = ratings_for(shops, reviews, "red")
+    assert "skew=true" in final_plan(df)
+    assert df.count() == n
+
+
+def test_hub_is_split_in_the_degree_join(splitting):
+    spark = splitting
+    n = 60_000
+    half = spark.range(n // 2).selectExpr("cast(-1 as bigint) as a", "abs(xxhash64(id)) as b")
+    rest = spark.range(n // 2).selectExpr("abs(xxhash64(id)) as a", "abs(xxhash64(id + 1)) as b")
+    links = half.union(rest).repartition(12)
+    edges = links.selectExpr("a as src", "b as dst").union(links.selectExpr("b as src", "a as dst"))
+    seen = []
+    real = mutual.materialize
+
+    def spy(df, name, *args, **kw):
+        if name == "pairs":
+            seen.append(final_plan(df))
+        return real(df, name, *args, **kw)
+    mutual.materialize = spy
+    try:
+        g = mutual.prepare_graph(edges)
+    finally:
+        mutual.materialize = real
+    assert "skew=true" in seen[0]
+    assert g.pairs.count() == n
+    g.release(spark)
+
+
+def test_only_the_edges_of_pair_members_are_written(spark):
+    g = catalog.graph(spark, SF_SMALL, "supplies")
+    members = {r[0] for r in g.pairs.select(F.explode(F.array("id1", "id2"))).collect()}
+    edges = tables.supplies(spark, SF_SMALL).where("src <> dst").distinct()
+    expected = {tuple(r) for r in edges.collect() if r[0] in members}
+    assert {tuple(r) for r in g.edges.collect()} == expected
+    assert len(expected) < edges.count()
+
+
+@pytest.mark.parametrize("name", ["q2_top_pairs", "q4_top_rated", "join_lookup_broadcast"])
 def test_ranking_runs_once(spark, name):
     assert plan(QUERIES[name](spark, SF_SMALL)).count("TakeOrderedAndProject") == 1
 

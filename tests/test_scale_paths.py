@@ -4,11 +4,12 @@ import os
 import subprocess
 import sys
 
+import pytest
 from pyspark.sql import functions as F
 
-from conftest import write_lines_file
-from mutualis.operators import clean_edges, mutual_counts
-from mutualis.operators.edges import out_degrees, reciprocal_pairs
+from conftest import SF_SMALL, write_lines_file
+from mutualis import session
+from mutualis.operators import mutual_counts, prepare_graph
 from mutualis.session import checkpoint_dir, materialize
 from test_fixtures_graph import GRAPH, PROFILES
 from test_properties import brute_force
@@ -24,21 +25,16 @@ def _hub_graph(spark):
 
 def test_balance_and_hub_limit_route_pairs(spark):
     rows, df = _hub_graph(spark)
-    e = clean_edges(df)
-    e_deg = e.join(out_degrees(e), "src")
-    pairs = reciprocal_pairs(e_deg, with_degrees=True)
-    hub_pairs = pairs.where((F.col("id1") == 1000) | (F.col("id2") == 1000)).count()
-    assert hub_pairs == 120
-    # Every hub pair is unbalanced (120 vs about 4), so every way gives the brute-force answer.
-    for kw in ({}, {"balance": 1000.0}, {"hub_degree": 5}, {"strategy": "probe"}, {"strategy": "arrays"}):
-        got = {tuple(r) for r in mutual_counts(df, **kw).collect()}
+    g = prepare_graph(df)
+    assert g.largest == 120
+    assert g.pairs.where((F.col("id1") == 1000) | (F.col("id2") == 1000)).count() == 120
+    # Every hub pair is unbalanced (120 vs about 4), so every way gives the brute-force answer; the
+    # arrays way cuts the hub's list into 24 parts.
+    for kw in ({}, {"balance": 1000.0}, {"hub_degree": 5}, {"strategy": "probe"}, {"strategy": "arrays"},
+               {"strategy": "arrays", "hub_degree": 5}):
+        got = {tuple(r) for r in mutual_counts(g, **kw).collect()}
         assert got == brute_force(rows), kw
-
-
-def test_unmaterialized_plan_is_also_exact(spark):
-    rows, df = _hub_graph(spark)
-    got = {tuple(r) for r in mutual_counts(df, materialize=False, hub_degree=5).collect()}
-    assert got == brute_force(rows)
+    g.release(spark)
 
 
 def test_intermediates_live_in_the_checkpoint_folder(spark):
@@ -81,37 +77,74 @@ def test_materialize_observes_metrics_in_the_same_write(spark):
     assert out.count() == 100
 
 
-def test_friends_job_leaves_no_intermediates(spark, tmp_path):
+def _exists(spark, folder):
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+
+
+def test_friends_job_leaves_no_intermediates(spark, tmp_path, monkeypatch):
     from mutualis import session
     from mutualis.plans.jobs import friends_job
     users = write_lines_file(tmp_path, "users.txt", PROFILES)
     soc = write_lines_file(tmp_path, "friends.txt", GRAPH)
-    before = len(session._CREATED)
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    seen = []
-    real_scratch = session.scratch_path
-
-    def spy(s, name):
-        p = real_scratch(s, name)
-        seen.append(p.rsplit("/", 1)[0])
-        return p
-    session.scratch_path = spy
-    try:
-        friends_job(spark, users, soc, str(tmp_path / "out"), k=2)
-    finally:
-        session.scratch_path = real_scratch
-    assert seen, "the job wrote no intermediates"
-    for folder in seen:
-        path = jvm.org.apache.hadoop.fs.Path(folder)
-        assert not path.getFileSystem(conf).exists(path)
-    assert len(session._CREATED) == before
+    before, seen, real = set(session._LIVE), [], session.scratch_path
+
+    def spy(*args):
+        seen.append(real(*args).rpartition("/")[0])
+        return f"{seen[-1]}/x"
+    monkeypatch.setattr(session, "scratch_path", spy)
+    friends_job(spark, users, soc, str(tmp_path / "out"), k=2)
+    assert seen and not any(_exists(spark, f) for f in seen)
+    assert session._LIVE == before
     assert (tmp_path / "out" / "top_pairs").exists()
 
 
-def test_checkpoint_dir_without_setting_or_context():
-    from mutualis import session
+def test_interleaved_scopes_keep_each_others_results(spark):
+    from contextlib import ExitStack
+    first, second = ExitStack(), ExitStack()
+    first.enter_context(session.scratch_scope(spark))
+    a = materialize(spark.range(5), "a")
+    second.enter_context(session.scratch_scope(spark))
+    b = materialize(spark.range(6), "b")
+    first.close()
+    assert b.count() == 6 and not _exists(spark, a.inputFiles()[0].rpartition("/")[0])
+    c = materialize(spark.range(7), "c")
+    assert c.count() == 7
+    second.close()
+    assert not any(_exists(spark, x.inputFiles()[0]) for x in (b, c))
+
 
+def test_two_jobs_in_threads(spark, tmp_path):
+    import threading
+
+    from mutualis.plans.jobs import friends_job
+    users = write_lines_file(tmp_path, "users.txt", PROFILES)
+    soc = write_lines_file(tmp_path, "friends.txt", GRAPH)
+    failed = []
+
+    def job(i):
+        try:
+            friends_job(spark, users, soc, str(tmp_path / f"out{i}"), k=1)
+        except Exception as e:
+            failed.append(e)
+    threads = [threading.Thread(target=job, args=(i,)) for i in range(3)]
+    [t.start() for t in threads]
+    [t.join() for t in threads]
+    assert not failed
+
+
+def test_text_forms_and_graphs_are_made_anew_after_release(spark):
+    from mutualis.plans import QUERIES, catalog
+    n = QUERIES["src_text_lines"](spark, SF_SMALL).count()
+    m = QUERIES["q1_from_text"](spark, SF_SMALL).count()
+    session.drop_scratch(spark)
+    assert QUERIES["src_text_lines"](spark, SF_SMALL).count() == n
+    assert catalog.release(spark) > 0
+    assert QUERIES["src_text_lines"](spark, SF_SMALL).count() == n
+    assert QUERIES["q1_from_text"](spark, SF_SMALL).count() == m
+
+
+def test_no_shared_folder_is_an_error_off_a_local_master():
     class Conf(dict):
         def get(self, k, default=None):
             return dict.get(self, k, default)
@@ -126,10 +159,20 @@ def test_checkpoint_dir_without_setting_or_context():
         def sparkContext(self):
             raise RuntimeError("no context")
 
+    class Cluster(Remote):
+        class sparkContext:
+            master = "local-cluster[2,1,1024]"
+
+            @staticmethod
+            def getCheckpointDir():
+                return None
+
+    for kind in (Remote, Cluster):
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            session.checkpoint_dir(kind())
     r = Remote()
-    d = session.checkpoint_dir(r)
-    assert d and os.path.isdir(d)
-    assert session.checkpoint_dir(r) == d  # the folder set once is reused
+    r.conf = Conf({"spark.checkpoint.dir": "hdfs://x/y"})
+    assert session.checkpoint_dir(r) == "hdfs://x/y"
     assert session.app_id(r) == "app"
 
 
