@@ -22,7 +22,9 @@ from __future__ import annotations
 import codecs
 import hashlib
 import json
+import sys
 import unicodedata
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -31,9 +33,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 BLOCK = 1024          # bytes taken in before the buffer is merged again
-CACHE_WORDS = 150_000  # words in each of the two generations of the cache
+CACHE_WORDS = 400_000  # words in each of the two generations of the cache
 DECODE_IDS = 1 << 16  # ids decoded at a time
 _NO_RANK = 1 << 60
+assert array("I").itemsize == 4 and sys.byteorder == "little"
 
 # Lower-case forms that newer Unicode versions add to Python's (15.1).
 NEW_CASES = {
@@ -210,26 +213,35 @@ class Encoder:
         self.young, self.old = {}, {}
 
     def pretoken(self, data: bytes) -> list[int]:
-        step = Transducer(self.t)
+        t = self.t
+        if len(data) <= BLOCK:  # ends within the first block: one step
+            first = t["first"]
+            ids = [first[b] for b in data]
+            ids[-1] = t["last"][data[-1]]
+            return merge_all(ids, t["ranks"])
+        step = Transducer(t)
         return step.push(data) + step.close()
 
     def word(self, word: str) -> bytes:
         """Ids of a stretch of text without white space at which it could be cut, as uint32 bytes."""
         t = self.t
         text = word
-        if not text.isascii():
+        if text.isascii():
+            if t["lower"]:
+                text = text.lower()
+            pieces = self.pieces.findall(text)
+        else:
             if t["form"]:
                 text = unicodedata.normalize(t["form"], text)
-            text = text.replace("Σ", "σ")  # lower-casing looks at one character at a time
             if t["lower"]:
-                text = text.translate(self.cases)
-        if t["lower"]:
-            text = text.lower()
-        shape = text if text.isascii() else self.not_yet.sub("\ue000", text)
-        ids = []
-        for found in self.pieces.finditer(shape):
-            ids += self.pretoken(text[found.start():found.end()].encode())
-        return np.array(ids, "<u4").tobytes()
+                # Lower-casing looks at one character at a time.
+                text = text.replace("Σ", "σ").translate(self.cases).lower()
+            shape = self.not_yet.sub("\ue000", text)
+            pieces = [text[m.start():m.end()] for m in self.pieces.finditer(shape)]
+        if len(pieces) == 1 and pieces[0] == word:
+            return array("I", self.pretoken(word.encode())).tobytes()
+        # A pretoken that stands alone as a word has the same ids, so both share the cache.
+        return b"".join([self._kept(x) for x in pieces])
 
     def _kept(self, word: str) -> bytes:
         got = self.young.get(word)
