@@ -75,12 +75,12 @@ def differencing(weights: list[int], parts: int) -> list[int]:
 def _level(groups: DataFrame, n: int, total: int, level: int):
     """One reduction: (parents: id -> parent, the next level's groups: id, weight)."""
     blocks = max(2, -(-n // BLOCK_GROUPS))
-    bundles = max(2, min(BUNDLES, LAST_GROUPS // (4 * blocks))) if blocks < LAST_GROUPS // 8 else BUNDLES
+    bundles = max(2, min(BUNDLES, BLOCK_GROUPS // 16))
     heavy = F.col("weight") * HEAVY_SHARE > total
     block = F.pmod(F.xxhash64("id", F.lit(level)), F.lit(blocks))
     placed = groups.withColumn("block", F.when(heavy, -1).otherwise(block))
 
-    def bundle(key, rows: pd.DataFrame) -> pd.DataFrame:
+    def bundle(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["weight", "id"], ascending=[False, True], kind="stable")
         part = differencing(rows["weight"].tolist(), bundles)
         name = [f"{level}:{key[0]}:{p}" for p in part]
