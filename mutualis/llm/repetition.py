@@ -1,12 +1,11 @@
 """Quality rules: repetition inside a document, from its suffix array.
 
-Per document: the suffixes (by word) whose first ``min_words`` words occur again in the document
-are sorted by prefix doubling; the longest common prefix (LCP) with each neighbour gives, for every
-suffix, the deepest LCP interval it lies in, that is the longest repeated substring that starts
-there. The spans of those substrings are united; a document is rejected when the united spans cover
-more than ``max_covered`` of its words or a repeated substring has more than ``max_longest`` words.
-Suffixes whose first ``min_words`` words are unique are in no such interval and are left out of the
-sort. Intervals that could be lengthened to the left lie inside the span of the suffix before.
+Per document that repeats any ``min_words`` words: its suffixes (by word) are sorted by prefix
+doubling; the longest common prefix (LCP) with each neighbour gives, for every suffix, the deepest
+LCP interval it lies in, that is the longest repeated substring that starts there. The spans of
+those substrings are united; a document is rejected when the united spans cover more than
+``max_covered`` of its words or a repeated substring has more than ``max_longest`` words. Intervals
+that could be lengthened to the left lie inside the span of the suffix before.
 
 Null text: no words. Texts under 50 words fail the base rule. Rows repeated or without an id are
 judged like any other; a row's verdict depends on its own text only, so the operator is one pass
@@ -43,17 +42,15 @@ def _salted(h: np.ndarray, row: np.ndarray) -> np.ndarray:
         return mix(h + row.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
-def _classes(keys: np.ndarray):
-    """Class number of every key (by key order) and whether the class has two members or more."""
+def _repeated(keys: np.ndarray) -> np.ndarray:
+    """Which keys occur twice."""
     order = np.argsort(keys)
     s = keys[order]
-    new = np.ones(len(s), bool)
-    new[1:] = s[1:] != s[:-1]
-    number = np.cumsum(new) - 1
-    size = np.bincount(number, minlength=1)
-    cls = np.empty(len(s), np.int64)
-    cls[order] = number
-    return cls, size[cls] > 1
+    same = s[1:] == s[:-1]
+    out = np.zeros(len(s), bool)
+    out[order[1:]] = same
+    out[order[:-1]] |= same
+    return out
 
 
 def _united(starts: np.ndarray, lengths: np.ndarray, n: int) -> np.ndarray:
@@ -64,39 +61,65 @@ def _united(starts: np.ndarray, lengths: np.ndarray, n: int) -> np.ndarray:
     return np.cumsum(edge[:n]) > 0
 
 
+def suffix_order(h: np.ndarray, row: np.ndarray, end: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The suffixes that start at words ``at`` (whole documents), sorted word by word within each
+    document, by prefix doubling: suffixes equal in their first ``width`` words are ordered by the
+    rank of what follows; only those still tied are sorted again."""
+    n = len(at)
+    rank = np.full(len(h) + 1, -1, np.int64)
+    order = np.lexsort((h[at], row[at]))
+    new = np.ones(n, bool)
+    x, y = at[order[1:]], at[order[:-1]]
+    new[1:] = (h[x] != h[y]) | (row[x] != row[y])
+    # A suffix's rank is the place where its tied class starts.
+    rank[at[order]] = np.maximum.accumulate(np.where(new, np.arange(n), 0))
+    tied, width = at, 1
+    while True:
+        size = np.bincount(rank[tied], minlength=n)
+        tied = tied[size[rank[tied]] > 1]
+        if not len(tied):
+            break
+        after = tied + width
+        follow = np.where(after < end[tied], rank[np.minimum(after, len(h))], -1)
+        key = rank[tied] * (n + 1) + follow + 1
+        order = np.argsort(key)
+        tied, key = tied[order], key[order]
+        old = rank[tied]
+        place = np.arange(len(tied))
+        in_class = place - np.searchsorted(old, old)
+        new = np.ones(len(tied), bool)
+        new[1:] = key[1:] != key[:-1]
+        start = np.maximum.accumulate(np.where(new, place, 0))
+        rank[tied] = old + in_class[start]
+        width *= 2
+    out = np.empty(n, np.int64)
+    out[rank[at]] = at
+    return out
+
+
 def repeated_substrings(hasher: Hasher, h: np.ndarray, row: np.ndarray, end: np.ndarray,
                         min_words: int, among: np.ndarray | None = None):
     """(word, length): for each suffix in an LCP interval of ``min_words`` or more, the longest.
 
-    ``end[i]`` is the end of word i's document; matches stay inside one document.
+    ``end[i]`` is the end of word i's document; matches stay inside one document. ``among``: words
+    at which alone a repeat can start, if that is known.
     """
     n = len(h)
-    prefix = hasher.word_prefix(h)
     at = np.arange(n) if among is None else among
     at = at[at + min_words <= end[at]]
     if not len(at):
         return at, at
-    cls, again = _classes(_salted(hasher.grams(prefix, at, min_words), row[at]))
-    at, cls = at[again], cls[again]
+    prefix = hasher.word_prefix(h)
+    at = at[_repeated(_salted(hasher.grams(prefix, at, min_words), row[at]))]
     if not len(at):
         return at, at
-    # Prefix doubling over the suffixes that are left: rank by the first `width` words, then by the
-    # rank of what follows. A follower outside the set occurs once, so it is a rank of its own.
-    rank = np.full(n + 1, -1, np.int64)
-    width = min_words
-    while True:
-        _, cls = np.unique(cls, return_inverse=True)
-        rank[at] = cls
-        if cls.max() + 1 == len(at):
-            break
-        nxt = at + width
-        follow = np.where(nxt < end[at], rank[np.minimum(nxt, n)], -1)
-        alone = follow < 0
-        follow[alone] = n + at[alone]
-        cls = cls * (2 * n + 2) + follow
-        width *= 2
-    order = np.argsort(cls)
-    sa = at[order]
+    # Only documents with a repeat are sorted.
+    some = np.zeros(int(row[-1]) + 1, bool)
+    some[row[at]] = True
+    sa = suffix_order(h, row, end, np.flatnonzero(some[row]))
+    starts = np.zeros(n, bool)
+    starts[at] = True
+    sa = sa[starts[sa]]
     a, b = sa[:-1], sa[1:]
     lcp = np.zeros(len(a), np.int64)
     room = np.minimum(end[a] - a, end[b] - b)
@@ -151,8 +174,7 @@ def measure(hasher: Hasher, data: np.ndarray, bounds: np.ndarray, min_words: int
     again = at[:0]
     if len(at):
         prefix = hasher.word_prefix(h)
-        _, twice = _classes(_salted(hasher.grams(prefix, at, 3), row[at]))
-        again = at[twice]
+        again = at[_repeated(_salted(hasher.grams(prefix, at, 3), row[at]))]
     covered = _united(again, np.full(len(again), 3), n)
     out["n_repeat_words"] = np.bincount(row[covered], minlength=rows).astype(np.int64)
 
