@@ -71,12 +71,17 @@ def graph(spark: SparkSession, sf_dir: str, name: str) -> Graph:
     return _PREPARED[key]
 
 
+def release_graphs(spark: SparkSession) -> int:
+    """Delete the prepared graphs; returns how many folders were deleted."""
+    done = sum(g.release(spark) for g in _PREPARED.values())
+    _PREPARED.clear()
+    return done
+
+
 def release(spark: SparkSession) -> int:
     """Delete the text forms and the prepared graphs; returns how many folders were deleted."""
-    done = _KEPT.release(spark) + sum(g.release(spark) for g in _PREPARED.values())
     _WRITTEN.clear()
-    _PREPARED.clear()
-    return done
+    return _KEPT.release(spark) + release_graphs(spark)
 
 
 def lines(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -119,12 +119,17 @@ _LOOSE = Scratch()       # folders made outside any scope
 _OPEN: ContextVar[tuple[Scratch, ...]] = ContextVar("mutualis_scratch", default=())
 
 
+def current_scope() -> Scratch:
+    """The innermost open scope of this thread or task, else the one of folders outside any scope.
+    Taken before a ``scratch_scope`` block, it keeps what the block hands out."""
+    return (_OPEN.get() or (_LOOSE,))[-1]
+
+
 def scratch_path(spark: SparkSession, name: str, scope: Scratch | None = None) -> str:
     """A fresh path below the shared checkpoint folder (never reused), in the given scope, else in
-    the innermost open one, else in none."""
+    the current one."""
     folder = f"{checkpoint_dir(spark).rstrip('/')}/scratch-{uuid.uuid4().hex[:12]}"
-    held = scope or (_OPEN.get() or (_LOOSE,))[-1]
-    held.folders.append(folder)
+    (current_scope() if scope is None else scope).folders.append(folder)
     _LIVE.add(folder)
     return f"{folder}/{name}"
 
