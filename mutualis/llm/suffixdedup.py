@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from ..session import materialize
+from ..session import current_scope, materialize, scratch_scope
 from .textcore import Hasher, mix, text_chunks
 
 MIN_WORDS = 50
@@ -99,9 +99,8 @@ def _suffixes(rows: DataFrame, min_words: int) -> DataFrame:
 
 
 def _passages(rows: DataFrame, ranges: DataFrame, min_words: int) -> DataFrame:
-    """``(passage, doc_id, t, at, again)`` for the passages of some ranges of documents; again is
-    carried over from the range."""
-    per_doc = ranges.groupBy("doc_id", "t").agg(F.collect_list(F.struct("lo", "hi", "again")).alias("ranges"))
+    """``(passage, doc_id, t, at)`` for the passages of some ranges of documents."""
+    per_doc = ranges.groupBy("doc_id", "t").agg(F.collect_list(F.struct("lo", "hi")).alias("ranges"))
     per_doc = per_doc.withColumnsRenamed({"doc_id": "_id", "t": "_t"})
     joined = rows.join(per_doc, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("t") == F.col("_t"))).select(
         "doc_id", "t", "text", "ranges")
@@ -111,7 +110,7 @@ def _passages(rows: DataFrame, ranges: DataFrame, min_words: int) -> DataFrame:
         for batch in batches:
             ranges = batch.column("ranges")
             offsets = ranges.offsets.to_numpy()
-            lows, highs, agains = (ranges.values.field(i).to_numpy(zero_copy_only=False) for i in range(3))
+            lows, highs = (ranges.values.field(i).to_numpy() for i in range(2))
             for a, b, data, bounds in text_chunks(batch.column("text")):
                 _, _, row, h = hasher.tokens(data, bounds)
                 first = np.zeros(b - a + 1, np.int64)
@@ -125,40 +124,42 @@ def _passages(rows: DataFrame, ranges: DataFrame, min_words: int) -> DataFrame:
                 took = pa.array(of + a)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(passage.view(np.int64)), batch.column("doc_id").take(took),
-                     batch.column("t").take(took), pa.array(at.astype(np.int32)),
-                     pa.array(np.repeat(agains[offsets[a]:offsets[b]], size))],
-                    names=["passage", "doc_id", "t", "at", "again"])
+                     batch.column("t").take(took), pa.array(at.astype(np.int32))],
+                    names=["passage", "doc_id", "t", "at"])
 
     kind = dict(rows.dtypes)["doc_id"]
-    return joined.mapInArrow(run, f"passage long, doc_id {kind}, t int, at int, again boolean")
+    return joined.mapInArrow(run, f"passage long, doc_id {kind}, t int, at int")
 
 
 def repeated_ranges(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                     min_words: int = MIN_WORDS) -> DataFrame:
     """``(doc_id, t, lo, hi, earlier_id, later)``: the passages that start at words lo to hi occur
-    again; later: each has an earlier place (then earlier_id is a document that holds it), else this
-    is their first place."""
+    again. later: each has an earlier place, and earlier_id is a document that holds it. A passage
+    that is in no later range of its document is at its first place."""
     rows = _documents(docs, doc_id, text)
-    suffixes = materialize(_suffixes(rows, min_words), "suffixes")
-    shared = suffixes.groupBy("prefix").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("prefix")
-    live = suffixes.join(materialize(shared, "shared_prefixes"), "prefix", "left_semi")
-    live = materialize(live.select("whole", F.struct("doc_id", "t", "lo", "hi").alias("p")), "live_suffixes")
+    held = current_scope()
+    with scratch_scope(docs.sparkSession):
+        suffixes = materialize(_suffixes(rows, min_words), "suffixes")
+        shared = suffixes.groupBy("prefix").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("prefix")
+        live = suffixes.join(materialize(shared, "shared_prefixes"), "prefix", "left_semi")
+        live = live.select("whole", F.struct("doc_id", "t", "lo", "hi").alias("p"))
+        live = materialize(live, "live_suffixes", scope=held)
     classes = materialize(live.groupBy("whole").agg(F.min("p").alias("low"), F.max("p").alias("high")), "suffix_classes")
     # Within a class all passages agree: every member but the first is a later place of all its
     # passages, and only the first needs to be compared with other classes.
-    members = live.join(classes.where("low <> high").select("whole", "low"), "whole").where("p <> low")
-    by_class = members.select("p.*", F.col("low.doc_id").alias("earlier_id"), F.lit(True).alias("later"))
-    heads = classes.select("low.*", (F.col("low") != F.col("high")).alias("again"))
-    passages = materialize(_passages(rows, heads, min_words), "passages")
+    copied = classes.where("low <> high").select("whole", "low")
+    members = live.join(copied, "whole").where("p <> low").select(
+        "p.*", F.col("low.doc_id").alias("earlier_id"), F.lit(True).alias("later"))
+    no_id = F.lit(None).cast(dict(rows.dtypes)["doc_id"]).alias("earlier_id")
+    firsts = copied.select("low.*", no_id, F.lit(False).alias("later"))
+    passages = materialize(_passages(rows, classes.select("low.*"), min_words), "passages")
     place = F.struct("doc_id", "t", "at")
-    again = passages.groupBy("passage").agg(
-        F.min(place).alias("low"), F.max(place).alias("high"), F.max("again").alias("again")).where(
-        "again or low <> high").select("passage", "low")
-    again = materialize(again, "repeated_passages")
+    again = passages.groupBy("passage").agg(F.min(place).alias("low"), F.max(place).alias("high")).where("low <> high")
+    again = materialize(again.select("passage", "low"), "repeated_passages")
     by_passage = passages.join(again, "passage").select(
         "doc_id", "t", F.col("at").alias("lo"), F.col("at").alias("hi"), F.col("low.doc_id").alias("earlier_id"),
         (place != F.col("low")).alias("later"))
-    return by_class.select(*by_passage.columns).union(by_passage)
+    return members.union(firsts).union(by_passage)
 
 
 def _merged(ranges: DataFrame, min_words: int) -> DataFrame:
@@ -171,34 +172,38 @@ def _merged(ranges: DataFrame, min_words: int) -> DataFrame:
     schema = T.StructType([packed.schema["doc_id"], packed.schema["t"], T.StructField("spans", T.ArrayType(span))])
     spans_type = to_arrow_type(T.ArrayType(span))
 
-    def unite(los, his, ids):
-        if not len(los):
-            return [], [], []
-        order = np.argsort(los, kind="stable")
-        los, his, out = los[order], his[order], []
-        reach = np.maximum.accumulate(his + min_words)
-        new = np.ones(len(los), bool)
-        new[1:] = los[1:] > reach[:-1]
-        start = np.flatnonzero(new)
-        stop = np.append(start[1:], len(los)) - 1
-        return los[start], reach[stop], [ids[i] for i in order[start]]
+    def unite(at, earlier):
+        """Spans of the passages at sorted places; ``earlier`` names the document of a later one."""
+        if not len(at):
+            return []
+        start = np.flatnonzero(np.append(True, at[1:] > at[:-1] + min_words))
+        stop = at[np.append(start[1:], len(at)) - 1] + min_words
+        return [{"start": int(x), "end": int(y), "earlier_id": earlier(i) if earlier else None,
+                 "later": earlier is not None}
+                for x, y, i in zip(at[start], stop, start)]
+
+    def places(lo, hi):
+        """Different places of some ranges, and the range of each."""
+        size = hi - lo + 1
+        at = np.repeat(lo, size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+        at, which = np.unique(at, return_index=True)
+        return at, np.repeat(np.arange(len(lo)), size)[which]
 
     def run(batches):
         for batch in batches:
             r = batch.column("r")
             offsets, flat = r.offsets.to_numpy(), r.values
-            lo, hi = flat.field("lo").to_numpy(), flat.field("hi").to_numpy()
-            ids = flat.field("earlier_id").to_pylist()
-            later = flat.field("later").to_numpy(zero_copy_only=False)
+            lo, hi = (flat.field(c).to_numpy().astype(np.int64) for c in ("lo", "hi"))
+            ids, later = flat.field("earlier_id"), flat.field("later").to_numpy(zero_copy_only=False)
             out = []
             for a, b in zip(offsets[:-1], offsets[1:]):
-                spans = []
-                for flag in (True, False):
-                    of = np.flatnonzero(later[a:b] == flag) + a
-                    s, e, names = unite(lo[of], hi[of], [ids[i] for i in of])
-                    spans += [{"start": int(x), "end": int(y), "earlier_id": i if flag else None, "later": flag}
-                              for x, y, i in zip(s, e, names)]
-                out.append(spans)
+                mine = np.arange(a, b)
+                of = mine[later[a:b]]
+                at, which = places(lo[of], hi[of])
+                spans = unite(at, lambda i: ids[int(of[which[i]])].as_py())
+                rest = mine[~later[a:b]]
+                first, _ = places(lo[rest], hi[rest])
+                out.append(spans + unite(np.setdiff1d(first, at, assume_unique=True), None))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("t"), pa.array(out, spans_type)],
                                              names=["doc_id", "t", "spans"])
 
@@ -212,8 +217,10 @@ def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     Spans are word ranges [start, end). ``later``: the words lie in passages that occur at an
     earlier place, earlier_id being a document that holds the span's first passage; the other spans
     hold passages of which this is the first place. Both kinds may overlap."""
-    ranges = materialize(repeated_ranges(docs, doc_id, text, min_words), "repeated_ranges")
-    return materialize(_merged(ranges, min_words), "repeated_spans")
+    held = current_scope()
+    with scratch_scope(docs.sparkSession):
+        ranges = repeated_ranges(docs, doc_id, text, min_words)
+        return materialize(_merged(ranges, min_words), "repeated_spans", scope=held)
 
 
 def cut_spans(text: str, spans: list[tuple[int, int]]) -> str:
@@ -235,7 +242,7 @@ def drop_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     later = spans.select(F.col("doc_id").alias("cut_id"), F.col("t").alias("cut_t"), F.expr(
         "transform(filter(spans, s -> s.later), s -> struct(s.start, s.end))").alias("spans")).where("size(spans) > 0")
     packed = docs.select(F.struct(*[f"`{c}`" for c in docs.columns]).alias("row"), F.col(doc_id).alias("id"),
-                         F.hash(F.col(text)).alias("t"), F.col(text).alias("old"))
+                         F.hash(F.col(text)).alias("t"))
     joined = packed.join(later, F.col("id").eqNullSafe(F.col("cut_id")) & (F.col("t") == F.col("cut_t")), "left")
 
     @F.pandas_udf("string")
@@ -243,8 +250,8 @@ def drop_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         return pd.Series([x if x is None or s is None else cut_spans(x, [(i["start"], i["end"]) for i in s])
                           for x, s in zip(texts, lists)], dtype=object)
 
-    touched = F.col("spans").isNotNull()
-    out = joined.withColumn("new", F.when(touched, cut(F.when(touched, F.col("old")), "spans")).otherwise(F.col("old")))
+    touched, old = F.col("spans").isNotNull(), F.col("row")[text]
+    out = joined.withColumn("new", F.when(touched, cut(F.when(touched, old), "spans")).otherwise(old))
     out = out.where(~touched | F.col("new").rlike(r"[^\x20\x09-\x0D]"))
     kinds = dict(docs.dtypes)
 

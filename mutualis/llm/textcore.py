@@ -10,7 +10,8 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 1 << 21  # text handled at once; a longer document is a chunk of its own
+CHUNK_BYTES = 1 << 18  # text handled at once; a longer document is a chunk of its own
+CHUNK_ROWS = 1024
 _BYTE_BASE = 0x9E3779B97F4A7C15
 _WORD_BASE = 0xD6E8FEB86659FD93
 
@@ -52,19 +53,17 @@ def text_chunks(column, limit: int = CHUNK_BYTES):
     """
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    column = column.cast(pa.large_string()).fill_null("")
-    n = len(column)
-    if n == 0:
-        return
-    bufs = column.buffers()
-    offsets = np.frombuffer(bufs[1], np.int64)[column.offset:column.offset + n + 1]
-    data = np.frombuffer(bufs[2], np.uint8) if bufs[2] is not None else np.zeros(0, np.uint8)
-    a = 0
-    while a < n:
-        b = int(np.searchsorted(offsets, offsets[a] + limit, side="right")) - 1
-        b = min(max(b, a + 1), n)
-        yield a, b, data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a]
-        a = b
+    for top in range(0, len(column), CHUNK_ROWS):
+        part = column.slice(top, CHUNK_ROWS).cast(pa.large_string()).fill_null("")
+        n, bufs = len(part), part.buffers()
+        offsets = np.frombuffer(bufs[1], np.int64)[part.offset:part.offset + n + 1]
+        data = np.frombuffer(bufs[2], np.uint8) if bufs[2] is not None else np.zeros(0, np.uint8)
+        a = 0
+        while a < n:
+            b = int(np.searchsorted(offsets, offsets[a] + limit, side="right")) - 1
+            b = min(max(b, a + 1), n)
+            yield top + a, top + b, data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a]
+            a = b
 
 
 _WS = np.zeros(256, bool)
