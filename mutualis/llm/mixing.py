@@ -25,7 +25,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import current_scope, materialize, scratch_scope
 
 MAX_REPEATS = 2.0
 SEED = 20
@@ -100,6 +100,9 @@ def _plan(rows: DataFrame, target_entropy, max_repeats, budget, seed) -> DataFra
     table = [(s["source"], n, a, wi, x, int(x), int((x - int(x)) * n)) for s, n, wi, x in zip(sums, tokens, w, r)]
     plan = spark.createDataFrame(
         table, "source string, tokens long, exponent double, weight double, ratio double, whole int, rest long")
+    # Written, so that the planner knows its size: it broadcasts it while it is small, and AQE splits
+    # a hot source in the join where it is not.
+    plan = materialize(plan.coalesce(1), "mix_weights")
     part = rows.withColumnRenamed("source", "_source").join(
         plan.select("source", "whole", "rest").where("rest > 0"), F.col("_source").eqNullSafe(F.col("source")))
     part = part.withColumn("order", _order(F.col("whole"), F.col("row_hash"), seed)).select(
@@ -116,8 +119,7 @@ def _plan(rows: DataFrame, target_entropy, max_repeats, budget, seed) -> DataFra
         F.min(F.struct("order", "doc_id")).alias("cut"))
     cut = cut.select(F.when(~F.col("no_source"), F.col("source")).alias("_source"), F.col("cut.order").alias("cut_hash"),
                      F.col("cut.doc_id").alias("cut_id"))
-    plan = plan.join(cut, F.col("source").eqNullSafe(F.col("_source")), "left").drop("_source")
-    return materialize(plan, "mix_plan")
+    return plan.join(cut, F.col("source").eqNullSafe(F.col("_source")), "left").drop("_source")
 
 
 def _taken(rows: DataFrame, plan: DataFrame, seed: int) -> DataFrame:
@@ -144,8 +146,10 @@ def mix_documents(docs: DataFrame, target_entropy: float | None = None, max_repe
                   budget: float | None = None, seed: int = SEED, doc_id: str = "doc_id", source: str = "source",
                   text: str = "text") -> DataFrame:
     """The rows of ``docs``, each as often as the mix takes it, with its columns only."""
-    rows = materialize(docs.select(*_rows(docs, doc_id, source, text)), "mix_rows")
-    plan = _plan(rows, target_entropy, max_repeats, budget, seed)
+    held = current_scope()
+    with scratch_scope(docs.sparkSession):
+        rows = materialize(docs.select(*_rows(docs, doc_id, source, text)), "mix_rows")
+        plan = materialize(_plan(rows, target_entropy, max_repeats, budget, seed), "mix_plan", scope=held)
     whole = F.struct(*[f"`{c}`" for c in docs.columns]).alias("_row")
     keyed = docs.select(whole, *[c for i, c in enumerate(_rows(docs, doc_id, source, text)) if i != 2])
     return _taken(keyed, plan, seed).select("_row.*")
@@ -158,12 +162,14 @@ def mix_schedule(docs: DataFrame, target_entropy: float | None = None, max_repea
     copy, start_token, block)``. start_token is where the document starts in its source's stream;
     block is the block of the mix it starts in: a block takes weight x block_tokens tokens of every
     source, so every block holds the sources at their weights."""
-    rows = materialize(docs.select(*_rows(docs, doc_id, source, text)), "mix_rows")
-    plan = _plan(rows, target_entropy, max_repeats, budget, seed)
-    taken = _taken(rows, plan, seed).withColumn("bucket", _bucket(F.col("order")))
-    taken = materialize(taken.select(
-        "doc_id", "source", F.coalesce("source", F.lit("")).alias("s"), F.col("source").isNull().alias("no_source"),
-        "tokens", "source_tokens", "exponent", "weight", "ratio", "copy", "order", "bucket"), "mix_taken")
+    held = current_scope()
+    with scratch_scope(docs.sparkSession):
+        rows = materialize(docs.select(*_rows(docs, doc_id, source, text)), "mix_rows")
+        plan = materialize(_plan(rows, target_entropy, max_repeats, budget, seed), "mix_plan")
+        taken = _taken(rows, plan, seed).withColumn("bucket", _bucket(F.col("order"))).select(
+            "doc_id", "source", F.coalesce("source", F.lit("")).alias("s"), F.col("source").isNull().alias("no_source"),
+            "tokens", "source_tokens", "exponent", "weight", "ratio", "copy", "order", "bucket")
+        taken = materialize(taken, "mix_taken", scope=held)
     key = ["s", "no_source", "copy", "bucket"]
     sums = taken.groupBy(*key).agg(F.sum("tokens").alias("n"))
     before = sums.selectExpr(*key, "sum(n) over (partition by s, no_source, copy order by bucket) - n as before")
