@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from mutualis.llm import bpe, mixing, repetition, simhash, suffixdedup
-from mutualis.session import materialize, table_path
+from mutualis.session import Scratch, current_scope, materialize, scratch_scope, table_path
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,6 +52,13 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(table_path(sf_dir, "documents"))
+    outer, last = current_scope(), None
     for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), name)
+        own = Scratch()  # the stage's result, kept until the next one has read it
+        with scratch_scope(spark):
+            docs = materialize(stage(spark, docs, sf_dir), name, scope=own)
+        if last is not None:
+            last.release(spark)
+        last = own
+    outer.folders += last.folders
     return docs

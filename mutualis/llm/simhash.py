@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import materialize
+from ..session import current_scope, materialize, scratch_scope
 from .components import components
 
 SHINGLE = 3
@@ -193,11 +193,13 @@ def _grouped(docs: DataFrame, doc_id: str, text: str, shingle: int, max_bits: in
     named = docs.select(F.col(doc_id).alias("doc_id"), F.hash(F.col(text)).alias("t"), F.col(text).alias("text"))
     rows = materialize(fingerprints(named, "text", shingle, ["doc_id", "t"]), "fingerprints")
     low = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "t")).alias("first")
-    nodes = materialize(rows.groupBy("fp").agg(low), "fp_nodes")
-    comp = components(pairs(nodes.select("fp"), max_bits))
-    named = nodes.join(comp, nodes.fp == comp.node, "left").select(
-        "fp", "first", F.coalesce("component", "fp").alias("component"))
-    named = materialize(named, "fp_components")
+    held = current_scope()
+    with scratch_scope(docs.sparkSession):
+        nodes = materialize(rows.groupBy("fp").agg(low), "fp_nodes")
+        comp = components(pairs(nodes.select("fp"), max_bits))
+        named = nodes.join(comp, nodes.fp == comp.node, "left").select(
+            "fp", "first", F.coalesce("component", "fp").alias("component"))
+        named = materialize(named, "fp_components", scope=held)
     groups = materialize(named.groupBy("component").agg(F.min("first").alias("first")), "fp_groups")
     return rows, named.select("fp", "component"), groups
 
@@ -222,8 +224,10 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     texts with that id, the one of smallest hash; of repeated rows, one). A document without an id
     stands only if its group has none with an id."""
     _, _, groups = _grouped(docs, doc_id, text, shingle, max_bits)
-    kept = groups.select(F.col("first.doc_id").alias("kept_id"), F.col("first.t").alias("kept_t"))
+    # The same plain key without nulls for both steps, so that the texts are shuffled once at most.
+    key = [F.col("id").isNull().alias("no_id"), F.coalesce("id", F.lit(0)).alias("some_id"), F.col("t")]
+    kept = groups.select(F.col("first.doc_id").alias("id"), F.col("first.t").alias("t")).select(*key)
     packed = docs.select(F.struct(*[f"`{c}`" for c in docs.columns]).alias("row"),
-                         F.col(doc_id).alias("id"), F.hash(F.col(text)).alias("t"))
-    out = packed.join(kept, F.col("id").eqNullSafe(F.col("kept_id")) & (F.col("t") == F.col("kept_t")), "left_semi")
-    return out.dropDuplicates(["id", "t"]).select("row.*")
+                         F.col(doc_id).alias("id"), F.hash(F.col(text)).alias("t")).select("row", *key)
+    names = ["no_id", "some_id", "t"]
+    return packed.join(kept, names, "left_semi").dropDuplicates(names).select("row.*")
