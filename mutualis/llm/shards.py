@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import current_scope, materialize, scratch_scope
 
 LAST_GROUPS = 32_768   # groups differenced at once on the driver
 BLOCK_GROUPS = 8_192   # groups of a block, about
@@ -124,13 +124,15 @@ def shard_documents(docs: DataFrame, parts: int = 8, doc_id: str = "doc_id", tex
     different slots. law is always ``bytes``, so grown_shard is null.
     """
     raw = F.coalesce(F.col(text), F.lit(""))
-    rows = materialize(docs.select(
-        F.col(doc_id).alias("doc_id"), (F.octet_length(raw) + 1).cast("long").alias("size"),
-        F.crc32(raw.cast("binary")).alias("text_crc32"),
-        F.when(F.col(text).isNull(), "null").otherwise(F.sha2(raw, 256)).alias("id")), "sized")
-    groups = rows.groupBy("id").agg(F.sum("size").alias("weight"))
-    placed = rows.join(assign_groups(groups, parts), "id")
-    placed, stats = materialize(placed.drop("id"), "placed", {"n": F.count(F.lit(1))})
+    held = current_scope()
+    with scratch_scope(docs.sparkSession):
+        rows = materialize(docs.select(
+            F.col(doc_id).alias("doc_id"), (F.octet_length(raw) + 1).cast("long").alias("size"),
+            F.crc32(raw.cast("binary")).alias("text_crc32"),
+            F.when(F.col(text).isNull(), "null").otherwise(F.sha2(raw, 256)).alias("id")), "sized")
+        groups = rows.groupBy("id").agg(F.sum("size").alias("weight"))
+        placed = rows.join(assign_groups(groups, parts), "id").drop("id")
+        placed, stats = materialize(placed, "placed", {"n": F.count(F.lit(1))}, held)
     blocks = max(1, -(-stats["n"] // (SLOT_ROWS * parts)))
     placed = placed.withColumn("block", F.pmod(F.xxhash64("doc_id", "text_crc32"), F.lit(blocks)))
     # Gapless numbers without a window over a whole shard: count each (shard, block), add up the
