@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize, scratch_path
+from ..session import current_scope, materialize, scratch_path, scratch_scope
 
 MIN_REVISIT = 100       # smallest payload (bytes) that may be replaced by a revisit
 READ_BLOCK = 1 << 16    # bytes read from a file at a time
@@ -234,11 +234,8 @@ def write_archives(pages: DataFrame, folder: str, page_id: str = "page_id", url:
     """Write one .warc.gz per task into ``folder`` (a URI that all executors share); returns the
     manifest ``(path, records)``, already written, so it can be read any number of times."""
     rows = pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("url"), F.col(html).alias("html"))
-    again = materialize(revisits(rows, "page_id", "html", min_revisit), "revisits")
-    rows = rows.withColumn("digest", F.sha2(F.coalesce("html", F.lit("")), 256)).join(
-        again.withColumnsRenamed({"page_id": "_page", "digest": "_digest"}),
-        F.col("page_id").eqNullSafe(F.col("_page")) & (F.col("digest") == F.col("_digest")), "left").select(
-        "page_id", "url", "html", "refers_to")
+    held = current_scope()
+    rows = rows.withColumn("digest", F.sha2(F.coalesce("html", F.lit("")), 256))
     folder = _folder(folder)
 
     def write(batches):
@@ -254,8 +251,13 @@ def write_archives(pages: DataFrame, folder: str, page_id: str = "page_id", url:
             out.close()
             yield pa.RecordBatch.from_arrays([pa.array([path]), pa.array([n], pa.int64())], names=["path", "records"])
 
-    manifest, stats = materialize(rows.mapInArrow(write, "path string, records long"), "manifest",
-                                  {"files": F.count(F.lit(1))})
+    with scratch_scope(pages.sparkSession):
+        again = materialize(revisits(rows, "page_id", "html", min_revisit), "revisits").withColumnsRenamed(
+            {"page_id": "_page", "digest": "_digest"})
+        same = F.col("page_id").eqNullSafe(F.col("_page")) & (F.col("digest") == F.col("_digest"))
+        rows = rows.join(again, same, "left").select("page_id", "url", "html", "refers_to")
+        manifest, stats = materialize(rows.mapInArrow(write, "path string, records long"), "manifest",
+                                      {"files": F.count(F.lit(1))}, held)
     # A number that is stated is kept: each task reads one file, however small the manifest is.
     return manifest.repartition(max(1, stats["files"]))
 
