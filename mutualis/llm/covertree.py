@@ -24,14 +24,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import current_scope, materialize, scratch_scope
 
 K = 5
 SCALE = 256
 LEAF = 24               # points of a tree leaf
-BLOCK_ROWS = 4096       # rows of a block, about
+BLOCK_ROWS = 1024       # rows of a block, about
 MAX_CELLS = 1024        # pivots; the bound on what is broadcast and kept by the driver
-QUERY_CHUNK = 4096      # queries that go to a block at once, about
+QUERY_CHUNK = 1024      # queries that go to a block at once, about
 _SLACK = 1e-6           # rounding of the bounds, relative
 
 
@@ -52,7 +52,8 @@ def build(x: np.ndarray) -> Node | None:
         return None
 
     def distance(of: np.ndarray, to: int) -> np.ndarray:
-        return np.sqrt(((x[of] - x[to]) ** 2).sum(axis=1))
+        gap = x[of] - x[to]
+        return np.sqrt(np.einsum("ij,ij->i", gap, gap))
 
     all_points = np.arange(len(x))
     far = distance(all_points, 0)
@@ -270,8 +271,10 @@ def _search_cells(rows: DataFrame, n: int, k: int) -> DataFrame:
     routes = pd.DataFrame([(c, chunk[c], parts[c], int(d), s) for c in here for d, s in to_blocks[c]],
                           columns=["cell", "chunk", "parts", "to_cell", "to_sub"])
     copies = pd.DataFrame([(d, x) for d, xs in to_chunks.items() for x in sorted(xs)], columns=["cell", "chunk"])
-    routes = spark.createDataFrame(routes, "cell int, chunk int, parts int, to_cell int, to_sub int")
-    copies = spark.createDataFrame(copies, "cell int, chunk int")
+    # Written, so that the planner knows their sizes.
+    routes = materialize(spark.createDataFrame(
+        routes, "cell int, chunk int, parts int, to_cell int, to_sub int").coalesce(1), "routes")
+    copies = materialize(spark.createDataFrame(copies, "cell int, chunk int").coalesce(1), "copies")
     sent = asks.join(routes, "cell").where("not (cell = to_cell and sub = to_sub)").select(
         (F.col("chunk") + F.pmod(F.xxhash64("vec_id", F.lit(1)), F.col("parts"))).cast("int").alias("chunk"),
         F.col("to_cell").alias("cell"), F.col("to_sub").alias("sub"), "vec_id", "v",
@@ -285,13 +288,13 @@ def top_k(df: DataFrame, every: int = 50, k: int = K, vec_id: str = "vec_id", ve
     """``(query_id, rank, vec_id, score)``: for each row whose id is divisible by ``every``, its k
     highest inner products over all other ids (all of them if there are fewer)."""
     rows = quantised(df, vec_id, vector).withColumn("is_query", F.col("vec_id") % every == 0)
-    rows = materialize(rows.withColumn("dim", F.size("v")), "vectors")
-    found = None
-    for r in rows.groupBy("dim").agg(F.count(F.lit(1)).alias("n")).orderBy("dim").collect():
-        part = _search_cells(rows.where(F.col("dim") == r["dim"]), r["n"], k)
-        found = part if found is None else found.union(part)
-    if found is None:
-        found = df.sparkSession.createDataFrame([], "query_id long, vec_id long, score long")
+    found = df.sparkSession.createDataFrame([], "query_id long, vec_id long, score long")
+    held = current_scope()
+    with scratch_scope(df.sparkSession):
+        rows = materialize(rows.withColumn("dim", F.size("v")), "vectors")
+        for r in rows.groupBy("dim").agg(F.count(F.lit(1)).alias("n")).orderBy("dim").collect():
+            found = found.union(_search_cells(rows.where(F.col("dim") == r["dim"]), r["n"], k))
+        found = materialize(found, "candidates", scope=held)
     ranked = found.selectExpr(
         "query_id", "row_number() over (partition by query_id order by score desc, vec_id) as rank", "vec_id", "score")
     return ranked.where(F.col("rank") <= k)
