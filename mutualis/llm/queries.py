@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from ..session import table_path
 from . import bpe, covertree, mixing, pst, repetition, shards, simhash, suffixdedup, urls, warc
 
+_WORD = r"[^\x20\x09-\x0D]+"
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -53,7 +55,21 @@ def op3_sparse_suffix_dedup(spark, sf_dir):
     spans = suffixdedup.repeated_spans(_table(spark, sf_dir, "documents"))
     return spans.select("doc_id", F.explode("spans").alias("s")).select(
         "doc_id", F.col("s.start").alias("start_word"), F.col("s.end").alias("end_word"),
-        F.col("s.later").alias("removed"), F.col("s.earlier_id").alias("earlier_doc_id"))
+        F.col("s.later").alias("removed"))
+
+
+ORACLES["op3_sparse_suffix_dedup"] = rf"""
+with d as (select doc_id, regexp_extract_all(text, '{_WORD}') as w from documents),
+p as (select doc_id, w, unnest(range(1, len(w) - 48)) as i from d where len(w) >= 50),
+h as (select doc_id, i - 1 as pos, md5(array_to_string(list_slice(w, i, i + 49), ' ')) as h from p),
+r as (select doc_id, pos, count(*) over (partition by h) as n,
+             row_number() over (partition by h order by doc_id, pos) > 1 as removed from h),
+s as (select doc_id, pos, removed, case when pos <= lag(pos) over (partition by doc_id, removed order by pos) + 50
+                                       then 0 else 1 end as fresh from r where n > 1),
+k as (select *, sum(fresh) over (partition by doc_id, removed order by pos) as span from s)
+select doc_id, cast(min(pos) as integer) as start_word, cast(max(pos) + 50 as integer) as end_word, removed
+from k group by doc_id, removed, span
+""".strip()
 
 
 @query
@@ -74,7 +90,41 @@ def op6_simhash_pivots(spark, sf_dir):
 
 @query
 def op7_repetition_rules(spark, sf_dir):
-    return repetition.assess(_table(spark, sf_dir, "documents"), keep=["doc_id"])
+    judged = repetition.assess(_table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return judged.drop("sa_longest").withColumnRenamed("sa_covered_words", "covered_words")
+
+
+def _repeated_words(n: int) -> str:
+    """Windows of n words that occur twice in a document."""
+    return rf"""(select doc_id, i from (
+    select doc_id, i, count(*) over (partition by doc_id, h) as c from (
+      select doc_id, i, md5(array_to_string(list_slice(w, i, i + {n - 1}), ' ')) as h
+      from (select doc_id, w, unnest(range(1, len(w) - {n - 2})) as i from d where len(w) >= {n}))) where c > 1)"""
+
+
+# The words of all repeats of 8 words or more are those of the repeated 8-word windows, and a repeat
+# of more than 100 words is a repeated 101-word window.
+ORACLES["op7_repetition_rules"] = rf"""
+with d as (select doc_id, coalesce(text, '') as t, regexp_extract_all(coalesce(text, ''), '{_WORD}') as w from documents),
+l as (select doc_id, count(*) - count(distinct line) as n from (
+        select doc_id, unnest(string_split(t, chr(10))) as line from d)
+      where regexp_matches(line, '{_WORD}') group by doc_id),
+a as (select doc_id, count(distinct j) as n from (
+        select doc_id, unnest(range(i, i + 3)) as j from {_repeated_words(3)}) group by doc_id),
+b as (select doc_id, count(distinct j) as n from (
+        select doc_id, unnest(range(i, i + 8)) as j from {_repeated_words(8)}) group by doc_id),
+c as (select distinct doc_id from {_repeated_words(101)}),
+m as (select d.doc_id, cast(len(w) as bigint) as n_words, cast(length(array_to_string(w, '')) as bigint) as word_chars,
+             cast(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) as bigint) as n_symbols,
+             coalesce(l.n, 0) as n_dup_lines, coalesce(a.n, 0) as n_repeat_words, coalesce(b.n, 0) as covered_words,
+             c.doc_id is not null as long_repeat
+      from d left join l on l.doc_id = d.doc_id left join a on a.doc_id = d.doc_id left join b on b.doc_id = d.doc_id
+      left join c on c.doc_id = d.doc_id),
+f as (select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed from m)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, covered_words, base_failed,
+       not base_failed and covered_words <= 0.4 * n_words and not long_repeat as kept
+from f
+""".strip()
 
 
 @query

@@ -165,7 +165,8 @@ def repeated_ranges(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 def _merged(ranges: DataFrame, min_words: int) -> DataFrame:
     """Per document the united word spans: ``(doc_id, t, spans array<struct<start, end,
     earlier_id, later>>)``. Spans of later places come first in their claim on words."""
-    packed = ranges.groupBy("doc_id", "t").agg(F.collect_list(F.struct("lo", "hi", "earlier_id", "later")).alias("r"))
+    packed = ranges.groupBy("doc_id", "t").agg(
+        F.sort_array(F.collect_list(F.struct("lo", "hi", "earlier_id", "later"))).alias("r"))  # same result every run
     span = T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType()),
                          T.StructField("earlier_id", ranges.schema["earlier_id"].dataType),
                          T.StructField("later", T.BooleanType())])

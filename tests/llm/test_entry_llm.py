@@ -22,7 +22,7 @@ def test_one_query_per_operator():
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_against_oracle(spark, name):
     con = duckdb.connect()
-    for t in ("embeddings", "pages"):
+    for t in ("documents", "embeddings", "pages"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SMALL}/{t}.parquet')")
     res = con.execute(ORACLES[name])
     cols = [d[0] for d in res.description]
