@@ -1,20 +1,31 @@
 """Language-model scoring with a probabilistic suffix tree over words.
 
 Training documents give token counts; a document's tokens are its words (A-Z lower-cased) and one
-end token. States are contexts of up to two words. A context's next-token counts are gathered for
-the pairs and triples that make up at least ``share`` of the training tokens, so there are at most
-1/share of each whatever the corpus (the bound on what is broadcast); the counts themselves come
-from every training token. A context becomes a state if its next-token distribution diverges from
-that of its longest shorter state: count x KL divergence of at least ``divergence`` nats.
-
-Smoothing: a state gives a gathered next token n / (c + KAPPA) (n its count there, c the state's)
-and leaves the rest of its mass to the shorter state's distribution; the root is the add-0.1 unigram
+end token. Contexts are the words before a token; they are counted level by level (one word to the
+left a level) over all training tokens, and the tokens that follow one LEAST times or more are
+gathered in written tables keyed by hash. A context becomes a state if its distribution of the
+gathered tokens and of all others together diverges from that of its longest shorter state: count x
+KL divergence of at least ``divergence`` nats.
+
+A context is extended while some longer context could pass that test. An extension's counts are
+parts m of its suffix's counts n, and sum m log(m / (M q)) over parts is at most sum n log(1/q), and
+at most z + sum n max(0, log(n / (z q)) - 1) for any z > 0; a context with either below the
+divergence has no state among its extensions, so nothing is lost by leaving it (``_level``).
+
+Smoothing: a state gives a gathered token n / (c + KAPPA) (n its count there, c the state's) and
+leaves the rest of its mass to the shorter state's distribution; the root is the add-0.1 unigram
 distribution with one unseen token. Every distribution sums to one. A token is scored in the state
-of the longest suffix of the words before it.
+of the longest suffix of the words before it: the root's probability times, for every state on the
+way, the mass it leaves and, for a token gathered there, what it adds. These factors are a written
+table too; its most frequent entries (HEAD_FACTORS) are looked up where the text is, all others are
+joined exactly. Where to look is told by bit sets of bounded size, which may say yes wrongly: the
+joins are exact.
 
-Words are identified by a 64-bit hash. Words that make up at least HEAD_SHARE of the training tokens
-(at most 1/HEAD_SHARE of them) are scored where the text is; the others, which cannot be in a
-gathered pair, only need their count, joined from the vocabulary table.
+Words are identified by a 64-bit hash, contexts and tokens after them likewise. Words that make up at
+least HEAD_SHARE of the training tokens (at most 1/HEAD_SHARE of them) are scored where the text is;
+the others' counts are joined from the vocabulary table.
+
+``fit`` and ``Scorer`` hold the tree of the pairs and triples of a given share in arrays.
 
 Null text is empty: one token, the end. A null id is read as an empty text and so is held out.
 Repeated rows are scored one by one. Without any training token every probability is 1.
@@ -28,14 +39,19 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import current_scope, materialize, scratch_scope
 from .textcore import Hasher, Lookup, text_chunks
 
-SHARE = 1e-5        # of the training tokens: least share of a gathered pair or triple
+SHARE = 1e-5        # of the training tokens: least share of a pair or triple in ``fit``
+LEAST = 2           # least count of a token after a context
+DEPTH = 2           # words of the longest context
+HEAD_FACTORS = 1 << 20  # factors that are broadcast, at most
+SET_BITS = 27       # a bit set has 2^27 bits at most
 HEAD_SHARE = 5e-7   # least share of a word that is broadcast
 DIVERGENCE = 20.0   # nats
 KAPPA = 2.0         # smoothing mass of a state
 ADD = 0.1
+_LEFT = np.uint64(0x1EF7 << 40)  # tells the key of a context from that of the same words as context and token
 END = 0x5EED0F7E47      # the end token's key; words' keys are hashes
 FLUSH = 1 << 21     # keys held in a task before they are added up
 MOST = 1 << 20      # different keys held in a task before they are sent on
@@ -146,9 +162,8 @@ def _states(context: np.ndarray, n: np.ndarray, parent: np.ndarray, total: np.nd
     return is_state, left
 
 
-def fit(train: DataFrame, share: float = SHARE, divergence: float = DIVERGENCE):
-    """(model, vocabulary table) from ``train(text)``; the model is a dict of numpy arrays, bounded
-    by 1/share and 1/HEAD_SHARE entries."""
+def vocabulary(train: DataFrame):
+    """(table ``(key, n)`` of all tokens, model: totals and the head in arrays)."""
     def every():
         return lambda keys, first: keys
 
@@ -156,10 +171,18 @@ def fit(train: DataFrame, share: float = SHARE, divergence: float = DIVERGENCE):
                                {"n": F.sum("n"), "v": F.count(F.lit(1))})
     total, different = int(stats["n"] or 0), int(stats["v"] or 0)
     head_least = max(1.0, HEAD_SHARE * total)
-    least = max(2.0, share * total)
     head, head_n = _bounded(vocab, head_least)
     floor = total + ADD * (different + 1)
-    model = {"total": total, "different": different, "floor": floor, "head": head, "head_n": head_n, "head_least": head_least}
+    return vocab, {"total": total, "different": different, "floor": floor, "head": head, "head_n": head_n,
+                   "head_least": head_least}
+
+
+def fit(train: DataFrame, share: float = SHARE, divergence: float = DIVERGENCE):
+    """(model, vocabulary table) from ``train(text)``; the model is a dict of numpy arrays, bounded
+    by 1/share and 1/HEAD_SHARE entries."""
+    vocab, model = vocabulary(train)
+    head, head_n, floor = model["head"], model["head_n"], model["floor"]
+    least = max(2.0, share * model["total"])
     in_core = head_n >= least
     core, core_n = head[in_core], head_n[in_core]
     sc = train.sparkSession.sparkContext
@@ -242,65 +265,285 @@ class Scorer:
         return in_head, root, p
 
 
+class BitSet:
+    """Top bits of 64-bit hashes: says yes for every member, and for few others."""
+
+    def __init__(self, bits: int, words: np.ndarray):
+        self.bits, self.words = bits, words
+
+    @classmethod
+    def of(cls, hashes: DataFrame, column: str, n: int):
+        bits = min(SET_BITS, max(12, int(n).bit_length() + 4))
+        at = F.shiftrightunsigned(column, 64 - bits)
+        got = hashes.select(at.alias("at")).groupBy(F.shiftright("at", 6).alias("w")).agg(
+            F.bit_or(F.expr("shiftleft(1L, cast(at & 63 as int))")).alias("b")).toPandas()
+        words = np.zeros(1 << (bits - 6), np.uint64)
+        words[got["w"].to_numpy(np.int64)] = got["b"].to_numpy(np.int64).view(np.uint64)
+        return cls(bits, words)
+
+    def has(self, hashes: np.ndarray) -> np.ndarray:
+        at = hashes >> np.uint64(64 - self.bits)
+        return (self.words[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
+
+
+def _walk(hasher: Hasher, keys: np.ndarray, first: np.ndarray, levels: list[dict]):
+    """Per level, from 1 on: positions whose context of that many words is gathered, the contexts'
+    hashes, and a function for the hashes of the last words before and with the token. ``levels``
+    has the bit sets of the levels done; the one after them is the last."""
+    prefix = hasher.word_prefix(keys)
+    back = np.arange(len(keys)) - np.repeat(first[:-1], np.diff(first))  # words before, in the document
+    at = np.arange(len(keys))
+    for d in range(1, len(levels) + 2):
+        at = at[back[at] >= d]
+        context = hasher.grams(prefix, at - d, d)
+        if d == 2:  # a context of two words is a pair of level 1
+            some = levels[0]["pair"].has(context)
+            at, context = at[some], context[some]
+
+        def upto(words, at=at):
+            return hasher.grams(prefix, at - words, words + 1)
+        yield at, context, upto
+        if d <= len(levels):
+            at = at[levels[d - 1]["alive"].has(context)]
+
+
+def _add_rows(parts: list) -> list:
+    """Rows of equal first column added up: the second is a count, the others are the same."""
+    key, n, *rest = [np.concatenate(x) for x in zip(*parts)]
+    order = np.argsort(key)
+    key = key[order]
+    new = np.ones(len(key), bool)
+    new[1:] = key[1:] != key[:-1]
+    at = np.flatnonzero(new)
+    return [key[at], np.add.reduceat(n[order], at) if len(at) else n, *[x[order[at]] for x in rest]]
+
+
+def _followers(train: DataFrame, levels: list[dict], head) -> DataFrame:
+    """``(key, n, ctx, suffix, q)`` of the level after ``levels``: how often a token follows a
+    context. key: context and token; suffix: the same without the first word; q: at level 1 the
+    root's probability where the token is in the head, else 0. Tokens that are not gathered after
+    the context's suffix cannot be gathered after it, and are counted together."""
+    shared = train.sparkSession.sparkContext.broadcast((levels, head))
+    level = len(levels) + 1
+
+    def run(batches):
+        done, (words, root) = shared.value
+        hasher, lookup = Hasher(), Lookup(words) if level == 1 else None
+        parts, held = [], 0
+
+        def send(rows):
+            key, n, ctx, suffix, q = rows
+            return pa.RecordBatch.from_arrays(
+                [pa.array(key.view(np.int64)), pa.array(n), pa.array(ctx.view(np.int64)),
+                 pa.array(suffix.view(np.int64)), pa.array(q)], names=["key", "n", "ctx", "suffix", "q"])
+
+        for batch in batches:
+            for _, _, data, bounds in text_chunks(batch.column(0)):
+                keys, first = sequences(hasher, data, bounds)
+                for at, context, upto in _walk(hasher, keys, first, done):
+                    pass
+                if not len(at):
+                    continue
+                q = np.zeros(len(at))
+                if level == 1:
+                    found = lookup.find(keys[at])
+                    q[found >= 0] = root[found[found >= 0]]
+                suffix, key = keys[at] if level == 1 else upto(level - 1), upto(level)
+                if level > 1:
+                    key = np.where(done[-1]["pair"].has(suffix), key, context ^ _LEFT)
+                parts.append((key, np.ones(len(at), np.int64), context, suffix, q))
+                held += len(at)
+                if held > FLUSH:
+                    parts = [_add_rows(parts)]
+                    held = len(parts[0][0])
+                    if held > MOST:
+                        yield send(parts[0])
+                        parts, held = [], 0
+        if parts:
+            yield send(_add_rows(parts))
+
+    rows = train.mapInArrow(run, "key long, n long, ctx long, suffix long, q double")
+    return rows.groupBy("key").agg(F.sum("n").alias("n"), F.first("ctx").alias("ctx"),
+                                   F.first("suffix").alias("suffix"), F.first("q").alias("q"))
+
+
+def _level(counts: DataFrame, pairs: DataFrame, divergence: float, level: int):
+    """(contexts that are states or extended: ``ctx, c, left, state, alive``; their gathered tokens:
+    ``key, ctx, n, q, p, left, state, alive``; counts). q is the probability in the shorter state, p
+    in the longest state up to the context, left the mass that a state leaves to the shorter one.
+    ``counts(ctx, n)``: partial counts of all contexts. ``pairs``: written ``(key, ctx, n, q)``."""
+    n, q, z = F.col("n"), F.col("q"), 0.9 * divergence
+
+    def over(n, r):  # n max(0, log(r / z) - 1)
+        return n * F.greatest(F.log(r / z) - 1, F.lit(0.0))
+
+    sums = pairs.groupBy("ctx").agg(
+        F.sum("n").alias("kept"), F.sum("q").alias("kept_q"), F.sum(n * F.log(n / q)).alias("g"),
+        F.sum(n * F.log(n)).alias("nl"), F.sum(-n * F.log(q)).alias("most"), F.sum(over(n, n / q)).alias("over"))
+    sums = sums.join(counts.groupBy("ctx").agg(F.sum("n").alias("c")), "ctx")
+    c, kept = F.col("c"), F.col("kept")
+    rest, rest_q = c - kept, F.greatest(1 - F.col("kept_q"), F.lit(1e-12))
+    left = 1 - kept / (c + KAPPA)
+
+    def others(value):  # all other tokens together
+        return F.when(rest > 0, value).otherwise(0.0)
+
+    state = F.col("g") + others(rest * F.log(rest / rest_q)) - c * F.log(c) >= divergence
+    rest_p = left * rest_q
+    # In a state p >= n / (c + KAPPA).
+    bound = F.when(state, F.least(
+        kept * F.log(c + KAPPA) - F.col("nl") - others(rest * F.log(rest_p)),
+        z + over(kept, c + KAPPA) + others(over(rest, rest / rest_p)))).otherwise(F.least(
+            F.col("most") - others(rest * F.log(rest_q)), z + F.col("over") + others(over(rest, rest / rest_q))))
+    kept = sums.select("ctx", "c", left.alias("left"), state.alias("state"), (bound >= divergence).alias("alive"))
+    kept, stats = materialize(kept.where("state or alive"), f"contexts{level}", {
+        "states": F.count(F.when(F.col("state"), 1)), "alive": F.count(F.when(F.col("alive"), 1))})
+    p = F.when(F.col("state"), n / (F.col("c") + KAPPA) + F.col("left") * q).otherwise(q)
+    after = materialize(pairs.join(kept, "ctx").select("key", "ctx", "n", "q", p.alias("p"), "left", "state", "alive"),
+                        f"followers{level}")
+    return kept, after, stats
+
+
+def grow(train: DataFrame, vocab: DataFrame, model: dict, share: float = 0.0, divergence: float = DIVERGENCE,
+         depth: int = DEPTH):
+    """(bit sets of each level, factors). factors: written ``(key, n, value)``, log10 of the mass
+    that a state leaves (its key: the context's) and of what it adds to that for a gathered token."""
+    least = max(LEAST, share * model["total"])
+    levels, factors, before, scope = [], None, None, current_scope()
+    root = (model["head_n"] + ADD) / model["floor"]
+    while len(levels) < depth:
+        level = len(levels) + 1
+        with scratch_scope(train.sparkSession):
+            rows = _followers(train, levels, (model["head"], root) if level == 1 else (None, None))
+            often = (F.col("n") >= least) & (F.col("key") != F.col("ctx").bitwiseXOR(F.lit(int(_LEFT))))
+            rows = materialize(rows.select("ctx", "n", *[F.when(often, F.col(x)).alias(x) for x in ("key", "suffix", "q")]),
+                               f"counts{level}")
+            pairs = rows.where("key is not null")
+            if level == 1:  # a token in the head needs no join
+                pairs = pairs.withColumn("at", F.when(F.col("q") > 0, F.col("key")).otherwise(F.col("suffix")))
+                some = vocab.select(F.col("key").alias("at"), F.col("n").alias("vn"))
+                q = F.when(F.col("q") > 0, F.col("q")).otherwise((F.col("vn") + ADD) / model["floor"])
+                pairs = pairs.join(some, "at", "left").select("key", "ctx", "n", q.alias("q"))
+            else:
+                some = before.select(F.col("key").alias("suffix"), "p")
+                pairs = pairs.join(some, "suffix").select("key", "ctx", "n", F.col("p").alias("q"))
+            pairs, seen = materialize(pairs, f"pairs{level}", {"n": F.count(F.lit(1))})
+            kept, after, stats = _level(rows.select("ctx", "n"), pairs, divergence, level)
+            levels.append({"pair": BitSet.of(pairs, "key", seen["n"]),
+                           "alive": BitSet.of(kept.where("alive"), "ctx", stats["alive"]),
+                           "state": BitSet.of(kept.where("state"), "ctx", stats["states"])})
+            added = after.where("state").select("key", "n", F.log10(F.col("p") / (F.col("left") * F.col("q"))).alias("value"))
+            own = kept.where("state").select(F.col("ctx").bitwiseXOR(F.lit(int(_LEFT))), "c", F.log10("left"))
+            own = materialize(added.union(own), f"factors{level}", scope=scope)
+            before = materialize(after.where("alive").select("key", "p"), f"alive{level}", scope=scope)
+        factors = own if factors is None else factors.union(own)
+        if not stats["alive"]:
+            break
+    return levels, factors
+
+
+def _most_frequent(factors: DataFrame, most: int):
+    """(class, keys, values): the factors of the highest classes of counts, at most ``most`` of
+    them, and the lowest of these classes (null: no class fits)."""
+    kind = F.floor(F.log2("n") * 4)
+    lowest, total = None, 0
+    for r in factors.groupBy(kind.alias("kind")).agg(F.count(F.lit(1)).alias("m")).orderBy(F.desc("kind")).collect():
+        total += r["m"]
+        if total > most:
+            break
+        lowest = r["kind"]
+    if lowest is None:
+        return None, np.zeros(0, np.uint64), np.zeros(0)
+    got = factors.where(kind >= lowest).select("key", "value").toPandas()
+    return lowest, got["key"].to_numpy(np.int64).view(np.uint64), got["value"].to_numpy()
+
+
 def held_out(doc_id: str) -> Column:
     """One document in ten, by its id alone."""
     return F.pmod(F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")), F.lit(10)) == 0
 
 
-def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", share: float = SHARE,
-                    divergence: float = DIVERGENCE) -> DataFrame:
+def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", share: float = 0.0,
+                    divergence: float = DIVERGENCE, depth: int = DEPTH) -> DataFrame:
     """One row per document: ``(doc_id, held_out, n_tokens, n_known, train_tokens, base_score,
     score)``. base_score and score are log10 probabilities of the whole text under the root and
-    under the suffix tree."""
+    under the suffix tree. A state is seen LEAST times, and ``share`` of the training tokens."""
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), held_out(doc_id).alias("held_out"))
-    model, vocab = fit(rows.where("not held_out").select("text"), share, divergence)
-    shared = docs.sparkSession.sparkContext.broadcast({"model": model})
+    train = rows.where("not held_out").select("text")
+    vocab, model = vocabulary(train)
+    spark = docs.sparkSession
+    levels, factors = grow(train, vocab, model, share, divergence, depth)
+    lowest, *often = _most_frequent(factors, HEAD_FACTORS)
+    shared = spark.sparkContext.broadcast({"model": (model["head"], np.log10((model["head_n"] + ADD) / model["floor"])),
+                                           "often": often, "levels": levels})
+    unseen = float(np.log10(ADD / model["floor"])) if model["total"] else 0.0
 
     def run(batches):
         held = shared.value
-        scorer = held.get("scorer")
-        if scorer is None:
-            scorer = held["scorer"] = Scorer(held["model"])
+        if "lookups" not in held:
+            held["lookups"] = Lookup(held["model"][0]), Lookup(held["often"][0])
+        (in_vocab, in_often), word_part = held["lookups"], held["model"][1]
         hasher, number = Hasher(), TaskContext.get().partitionId() << 40
         for batch in batches:
             for a, b, data, bounds in text_chunks(batch.column("text")):
                 keys, first = sequences(hasher, data, bounds)
-                in_head, root, p = scorer.probability(keys, first)
-                unknown = np.flatnonzero(in_head < 0)
-                row = np.searchsorted(first, unknown, side="right") - 1
-                order = np.lexsort((keys[unknown], row))
-                row, key = row[order], keys[unknown][order]
+                n = np.diff(first)
+                of = np.repeat(np.arange(b - a), n)
+                found = in_vocab.find(keys)
+                known = found >= 0
+                base = np.full(len(keys), unseen)
+                base[known] = word_part[found[known]]
+                tree = np.bincount(of, base, b - a)
+                late_row, late_key = [of[~known]], [keys[~known]]
+
+                def factor(row, key):
+                    hit = in_often.find(key)
+                    yes = hit >= 0
+                    late_row.append(row[~yes])
+                    late_key.append(key[~yes])
+                    return np.bincount(row[yes], held["often"][1][hit[yes]], b - a)
+
+                for d, (at, context, upto) in enumerate(_walk(hasher, keys, first, held["levels"][:-1]), 1):
+                    level = held["levels"][d - 1]
+                    some, key = level["state"].has(context), upto(d)
+                    tree += factor(of[at[some]], context[some] ^ _LEFT)
+                    some &= level["pair"].has(key)
+                    tree += factor(of[at[some]], key[some])
+                row, key = np.concatenate(late_row), np.concatenate(late_key)
+                order = np.lexsort((key, row))
+                row, key = row[order], key[order]
                 new = np.ones(len(row), bool)
                 new[1:] = (row[1:] != row[:-1]) | (key[1:] != key[:-1])
                 at = np.flatnonzero(new)
                 times = np.diff(np.append(at, len(row)))
                 offsets = np.searchsorted(row[at], np.arange(b - a + 1)).astype(np.int32)
-                n = np.diff(first)
                 yield pa.RecordBatch.from_arrays([
                     pa.array(np.arange(number, number + b - a)), batch.column("doc_id").slice(a, b - a),
                     batch.column("held_out").slice(a, b - a), pa.array(n),
-                    pa.array(np.add.reduceat(in_head >= 0, first[:-1], dtype=np.int64)),
-                    pa.array(np.add.reduceat(np.log10(root), first[:-1])),
-                    pa.array(np.add.reduceat(np.log10(p), first[:-1])),
+                    pa.array(np.add.reduceat(known, first[:-1], dtype=np.int64)),
+                    pa.array(np.bincount(of, base, b - a)), pa.array(tree),
                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(key[at].view(np.int64))),
-                    pa.ListArray.from_arrays(pa.array(offsets), pa.array(times.astype(np.int64))),
-                ], names=["row", "doc_id", "held_out", "n_tokens", "known", "base", "tree", "rare", "times"])
+                    pa.ListArray.from_arrays(pa.array(offsets), pa.array(times.astype(np.int32))),
+                ], names=["row", "doc_id", "held_out", "n_tokens", "known", "base", "tree", "late", "times"])
                 number += b - a
 
     kind = dict(rows.dtypes)["doc_id"]
     scored = materialize(rows.mapInArrow(
         run, f"row long, doc_id {kind}, held_out boolean, n_tokens long, known long, base double, tree double, "
-        "rare array<long>, times array<long>"), "scored")
-    rare = scored.select("row", F.explode(F.arrays_zip("rare", "times")).alias("z")).select(
-        "row", F.col("z.rare").alias("key"), F.col("z.times").alias("times"))
-    seen = vocab.where(F.col("n") < model["head_least"])
-    part = F.log10((F.coalesce("n", F.lit(0)) + F.lit(ADD)) / F.lit(model["floor"]))
-    sums = rare.join(seen, "key", "left").groupBy("row").agg(
-        F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("rare_known"),
-        F.sum(F.col("times") * part).alias("rare_score"))
-    whole = scored.drop("rare", "times").join(sums, "row", "left")
-    rest = F.coalesce("rare_score", F.lit(0.0))
+        "late array<long>, times array<int>"), "scored")
+    late = scored.select("row", F.explode(F.arrays_zip("late", "times")).alias("z")).select(
+        "row", F.col("z.late").alias("key"), F.col("z.times").alias("times"))
+    # A rare word's part was counted as that of an unseen one.
+    more = F.log10((F.col("n") + F.lit(ADD)) / F.lit(ADD))
+    seen = vocab.where(F.col("n") < model["head_least"]).select(
+        "key", F.lit(1).alias("known"), more.alias("base"), more.alias("tree"))
+    seldom = factors if lowest is None else factors.where(F.floor(F.log2("n") * 4) < lowest)
+    values = seen.union(seldom.select("key", F.lit(0), F.lit(0.0), "value"))
+    sums = late.join(values, "key").groupBy("row").agg(
+        *[F.sum(F.col("times") * F.col(x)).alias(f"late_{x}") for x in ("known", "base", "tree")])
+    whole = scored.drop("late", "times").join(sums, "row", "left")
     return whole.select(
-        "doc_id", "held_out", "n_tokens", (F.col("known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
+        "doc_id", "held_out", "n_tokens", (F.col("known") + F.coalesce("late_known", F.lit(0))).alias("n_known"),
         F.lit(model["total"]).cast("long").alias("train_tokens"),
-        (F.col("base") + rest).alias("base_score"), (F.col("tree") + rest).alias("score"))
+        (F.col("base") + F.coalesce("late_base", F.lit(0.0))).alias("base_score"),
+        (F.col("tree") + F.coalesce("late_tree", F.lit(0.0))).alias("score"))

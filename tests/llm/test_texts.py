@@ -1,8 +1,10 @@
 """Quality rules, SimHash, suffix dedup, BPE and LM scoring against brute force."""
 
 import hashlib
+import math
 import random
 import struct
+from collections import Counter, defaultdict
 
 import brute
 import numpy as np
@@ -297,3 +299,52 @@ def test_no_training_tokens(spark):
     rows = pst.score_documents(frame(spark, ["a b", None], held)).collect()
     assert [(r["train_tokens"], r["base_score"], r["score"]) for r in rows] == [(0, 0.0, 0.0)] * 2
     assert pst.score_documents(frame(spark, [])).count() == 0
+
+
+def _tree_scores(docs, depth, divergence, least=2):
+    """Brute-force suffix tree: every context of up to depth words, states by the divergence test."""
+    tokens = [(i, held, (t or "").lower().split() + [None]) for (i, t), (_, held, *_) in zip(docs, brute.scores(docs))]
+    after, total = defaultdict(Counter), Counter()
+    for _, held, own in tokens:
+        if not held:
+            total.update(own)
+            for p in range(len(own)):
+                for d in range(1, min(depth, p) + 1):
+                    after[tuple(own[p - d:p])][own[p]] += 1
+    n, v, states = sum(total.values()), len(total), {}
+
+    def prob(context, a):
+        for k in range(len(context)):
+            s = states.get(context[k:])
+            if s is not None:
+                return s[0].get(a, 0.0) + s[1] * prob(context[k + 1:], a)
+        return (total[a] + .1) / (n + .1 * (v + 1))
+
+    for s in sorted(after, key=len):
+        c, kept = sum(after[s].values()), {a: m for a, m in after[s].items() if m >= least}
+        if kept:
+            q, rest = {a: prob(s[1:], a) for a in kept}, c - sum(kept.values())
+            gain = sum(m * math.log(m / c / q[a]) for a, m in kept.items())
+            gain += rest * math.log(rest / c / max(1 - sum(q.values()), 1e-12)) if rest else 0
+            if gain >= divergence:
+                states[s] = ({a: m / (c + 2) for a, m in kept.items()}, 1 - sum(kept.values()) / (c + 2))
+    return {i: sum(math.log10(prob(tuple(own[max(0, p - depth):p]), a)) for p, a in enumerate(own))
+            for i, _, own in tokens}, states
+
+
+@pytest.mark.parametrize("head", [pst.HEAD_FACTORS, 0])
+def test_tree_scores_equal_brute_force(spark, monkeypatch, head):
+    monkeypatch.setattr(pst, "HEAD_FACTORS", head)
+    docs = list(enumerate(_corpus()))
+    expected, states = _tree_scores(docs, 2, 5.0)
+    assert {len(s) for s in states} == {1, 2}
+    rows = pst.score_documents(frame(spark, [t for _, t in docs]), divergence=5.0, depth=2).collect()
+    assert {r["doc_id"]: r["score"] for r in rows} == pytest.approx(expected, rel=1e-9)
+
+
+def test_states_do_not_depend_on_the_size_of_the_corpus(spark):
+    """A pair seen a few times is a state, however small its share of the tokens is."""
+    texts = ["left right"] * 4 + [" ".join(f"w{(i * j) % 1009}" for j in range(400)) for i in range(1500)]
+    rows = {r["doc_id"]: r for r in pst.score_documents(frame(spark, texts)).collect()}
+    assert rows[0]["train_tokens"] * pst.SHARE > 5
+    assert rows[0]["score"] > rows[0]["base_score"] + 4
