@@ -10,7 +10,10 @@ KL divergence of at least ``divergence`` nats.
 A context is extended while some longer context could pass that test. An extension's counts are
 parts m of its suffix's counts n, and sum m log(m / (M q)) over parts is at most sum n log(1/q), and
 at most z + sum n max(0, log(n / (z q)) - 1) for any z > 0; a context with either below the
-divergence has no state among its extensions, so nothing is lost by leaving it (``_level``).
+divergence has no state among its extensions, so nothing is lost by leaving it (``_level``). Where the
+contexts to extend hold few of the tokens, several levels are counted in one pass over the text, as
+many as keep the counts below one a training token. The contexts that extend one context need no
+others then, so these levels are tested in a task for each share of the contexts (``_levels``).
 
 Smoothing: a state gives a gathered token n / (c + KAPPA) (n its count there, c the state's) and
 leaves the rest of its mass to the shorter state's distribution; the root is the add-0.1 unigram
@@ -44,7 +47,7 @@ from .textcore import Hasher, Lookup, text_chunks
 
 SHARE = 1e-5        # of the training tokens: least share of a pair or triple in ``fit``
 LEAST = 2           # least count of a token after a context
-DEPTH = 2           # words of the longest context
+DEPTH = 64          # words of a context, at most: a guard, the tests end growth before
 HEAD_FACTORS = 1 << 20  # factors that are broadcast, at most
 SET_BITS = 27       # a bit set has 2^27 bits at most
 HEAD_SHARE = 5e-7   # least share of a word that is broadcast
@@ -286,14 +289,14 @@ class BitSet:
         return (self.words[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
 
 
-def _walk(hasher: Hasher, keys: np.ndarray, first: np.ndarray, levels: list[dict]):
+def _walk(hasher: Hasher, keys: np.ndarray, first: np.ndarray, levels: list[dict], more: int = 1):
     """Per level, from 1 on: positions whose context of that many words is gathered, the contexts'
     hashes, and a function for the hashes of the last words before and with the token. ``levels``
-    has the bit sets of the levels done; the one after them is the last."""
+    has the bit sets of the levels done; ``more`` levels follow them."""
     prefix = hasher.word_prefix(keys)
     back = np.arange(len(keys)) - np.repeat(first[:-1], np.diff(first))  # words before, in the document
     at = np.arange(len(keys))
-    for d in range(1, len(levels) + 2):
+    for d in range(1, len(levels) + more + 1):
         at = at[back[at] >= d]
         context = hasher.grams(prefix, at - d, d)
         if d == 2:  # a context of two words is a pair of level 1
@@ -318,11 +321,12 @@ def _add_rows(parts: list) -> list:
     return [key[at], np.add.reduceat(n[order], at) if len(at) else n, *[x[order[at]] for x in rest]]
 
 
-def _followers(train: DataFrame, levels: list[dict], head) -> DataFrame:
-    """``(key, n, ctx, suffix, q)`` of the level after ``levels``: how often a token follows a
+def _followers(train: DataFrame, levels: list[dict], head, more: int = 1) -> DataFrame:
+    """``(key, n, ctx, suffix, q, base, level)`` of the ``more`` levels after ``levels``: how often a token follows a
     context. key: context and token; suffix: the same without the first word; q: at level 1 the
     root's probability where the token is in the head, else 0. Tokens that are not gathered after
-    the context's suffix cannot be gathered after it, and are counted together."""
+    the context's suffix cannot be gathered after it, and are counted together. base: the
+    part of the context that the levels done have."""
     shared = train.sparkSession.sparkContext.broadcast((levels, head))
     level = len(levels) + 1
 
@@ -332,27 +336,28 @@ def _followers(train: DataFrame, levels: list[dict], head) -> DataFrame:
         parts, held = [], 0
 
         def send(rows):
-            key, n, ctx, suffix, q = rows
+            key, n, ctx, suffix, q, base, number = rows
             return pa.RecordBatch.from_arrays(
                 [pa.array(key.view(np.int64)), pa.array(n), pa.array(ctx.view(np.int64)),
-                 pa.array(suffix.view(np.int64)), pa.array(q)], names=["key", "n", "ctx", "suffix", "q"])
+                 pa.array(suffix.view(np.int64)), pa.array(q), pa.array(base.view(np.int64)), pa.array(number)],
+                names=["key", "n", "ctx", "suffix", "q", "base", "level"])
 
         for batch in batches:
             for _, _, data, bounds in text_chunks(batch.column(0)):
                 keys, first = sequences(hasher, data, bounds)
-                for at, context, upto in _walk(hasher, keys, first, done):
-                    pass
-                if not len(at):
-                    continue
-                q = np.zeros(len(at))
-                if level == 1:
-                    found = lookup.find(keys[at])
-                    q[found >= 0] = root[found[found >= 0]]
-                suffix, key = keys[at] if level == 1 else upto(level - 1), upto(level)
-                if level > 1:
-                    key = np.where(done[-1]["pair"].has(suffix), key, context ^ _LEFT)
-                parts.append((key, np.ones(len(at), np.int64), context, suffix, q))
-                held += len(at)
+                for d, (at, context, upto) in enumerate(_walk(hasher, keys, first, done, more), 1):
+                    if d < level or not len(at):
+                        continue
+                    q = np.zeros(len(at))
+                    suffix, key, base = keys[at], upto(d), context
+                    if level == 1:
+                        found = lookup.find(keys[at])
+                        q[found >= 0] = root[found[found >= 0]]
+                    else:
+                        suffix, base = upto(d - 1), upto(level - 2, at - 1)
+                        key = np.where(done[-1]["pair"].has(upto(level - 1)), key, context ^ _LEFT)
+                    parts.append((key, np.ones(len(at), np.int64), context, suffix, q, base, np.full(len(at), d, np.int32)))
+                    held += len(at)
                 if held > FLUSH:
                     parts = [_add_rows(parts)]
                     held = len(parts[0][0])
@@ -362,9 +367,9 @@ def _followers(train: DataFrame, levels: list[dict], head) -> DataFrame:
         if parts:
             yield send(_add_rows(parts))
 
-    rows = train.mapInArrow(run, "key long, n long, ctx long, suffix long, q double")
-    return rows.groupBy("key").agg(F.sum("n").alias("n"), F.first("ctx").alias("ctx"),
-                                   F.first("suffix").alias("suffix"), F.first("q").alias("q"))
+    rows = train.mapInArrow(run, "key long, n long, ctx long, suffix long, q double, base long, level int")
+    return rows.groupBy("key").agg(F.sum("n").alias("n"), *[
+        F.first(x).alias(x) for x in ("ctx", "suffix", "q", *(("base", "level") if more > 1 else ()))])
 
 
 def _level(counts: DataFrame, pairs: DataFrame, divergence: float, level: int):
@@ -397,27 +402,127 @@ def _level(counts: DataFrame, pairs: DataFrame, divergence: float, level: int):
             F.col("most") - others(rest * F.log(rest_q)), z + F.col("over") + others(over(rest, rest / rest_q))))
     kept = sums.select("ctx", "c", left.alias("left"), state.alias("state"), (bound >= divergence).alias("alive"))
     kept, stats = materialize(kept.where("state or alive"), f"contexts{level}", {
-        "states": F.count(F.when(F.col("state"), 1)), "alive": F.count(F.when(F.col("alive"), 1))})
+        "states": F.count(F.when(F.col("state"), 1)), "alive": F.count(F.when(F.col("alive"), 1)),
+        "tokens": F.sum(F.when(F.col("alive"), F.col("c")))})
     p = F.when(F.col("state"), n / (F.col("c") + KAPPA) + F.col("left") * q).otherwise(q)
     after = materialize(pairs.join(kept, "ctx").select("key", "ctx", "n", "q", p.alias("p"), "left", "state", "alive"),
                         f"followers{level}")
     return kept, after, stats
 
 
+def _test_levels(t: dict, start: int, last: int, divergence: float):
+    """``_level`` for the levels ``start`` to ``last`` of some contexts, in arrays: yields (level,
+    contexts: ctx, c, left, state, alive; pairs: key, n, added, p) of each. ``t`` has the columns of
+    the pairs (key set), of partial counts of contexts (key null) and of what is known of the level
+    before (level start - 1: key, p)."""
+    known = t["level"] == start - 1
+    order = np.argsort(t["key"][known])
+    keys, probs, z = t["key"][known][order], t["q"][known][order], 0.9 * divergence
+
+    def over(n, r):
+        return n * np.maximum(np.log(np.maximum(r, 1e-300) / z) - 1, 0)
+
+    for d in range(start, last + 1):
+        here = t["level"] == d
+        ctx, number = np.unique(t["ctx"][here], return_inverse=True)
+        c = np.bincount(number, t["n"][here], len(ctx))
+        pair = t["paired"][here]
+        key, n, number, suffix = t["key"][here][pair], t["n"][here][pair].astype(float), number[pair], t["suffix"][here][pair]
+        at = np.minimum(np.searchsorted(keys, suffix), max(len(keys) - 1, 0))
+        there = keys[at] == suffix if len(keys) else np.zeros(len(suffix), bool)
+        key, n, number, q = key[there], n[there], number[there], probs[at[there]] if len(keys) else np.zeros(0)
+        if not len(key):
+            return
+
+        def total(x):
+            return np.bincount(number, x, len(ctx))
+
+        kept, rest_q = total(n), np.maximum(1 - total(q), 1e-12)
+        rest, left = c - kept, 1 - kept / (c + KAPPA)
+        some = rest > 0
+        r = np.where(some, rest, 1)
+        state = total(n * np.log(n / q)) + np.where(some, r * np.log(r / rest_q), 0) - c * np.log(c) >= divergence
+        rest_p = left * rest_q
+        in_state = np.minimum(kept * np.log(c + KAPPA) - total(n * np.log(n)) - np.where(some, r * np.log(rest_p), 0),
+                              z + over(kept, c + KAPPA) + np.where(some, over(r, r / rest_p), 0))
+        other = np.minimum(total(-n * np.log(q)) - np.where(some, r * np.log(rest_q), 0),
+                           z + total(over(n, n / q)) + np.where(some, over(r, r / rest_q), 0))
+        state &= kept > 0
+        alive = (np.where(state, in_state, other) >= divergence) & (kept > 0)
+        p = np.where(state[number], n / (c[number] + KAPPA) + left[number] * q, q)
+        take = state | alive
+        mine = take[number]
+        yield (d, (ctx[take], c[take], left[take], state[take], alive[take]),
+               (key[mine], n[mine], np.where(state[number], np.log10(p / (left[number] * q)), np.nan)[mine], p[mine], alive[number][mine]))
+        mine = alive[number]
+        order = np.argsort(key[mine])
+        keys, probs = key[mine][order], p[mine][order]
+
+
+def _levels(counts: DataFrame, before: DataFrame, divergence: float, start: int, last: int):
+    """(contexts ``level, key, n, value, state, alive``, gathered tokens likewise with ``p``) of the
+    levels ``start`` to ``last`` in one written table, and counts. ``counts``: written ``(key, ctx, n,
+    suffix, base, level)``; ``before``: ``(key, ctx, p)`` of the level before."""
+    rows = counts.select("base", "level", "key", "ctx", "n", "suffix", F.lit(0.0).alias("q")).union(before.select(
+        F.col("ctx").alias("base"), F.lit(start - 1), "key", "ctx", F.lit(0), F.lit(0), "p"))
+
+    def run(batches):
+        batches = [b for b in batches if b.num_rows]
+        if not batches:
+            return
+        table = pa.Table.from_batches(batches)
+        t = {x: table.column(x).fill_null(0).to_numpy() for x in table.column_names}
+        t["paired"] = table.column("key").is_valid().to_numpy()
+        for d, (ctx, c, left, state, alive), (key, n, added, p, on) in _test_levels(t, start, last, divergence):
+            own, size = len(ctx), len(ctx) + len(key)
+            yield pa.RecordBatch.from_arrays([
+                pa.array(np.full(size, d, np.int32)), pa.array(np.arange(size) < own), pa.array(np.concatenate([ctx, key])),
+                pa.array(np.concatenate([c, n]).astype(np.int64)), pa.array(np.concatenate([np.log10(left), added])),
+                pa.array(np.concatenate([np.ones(own), p])), pa.array(np.concatenate([state, ~np.isnan(added)])),
+                pa.array(np.concatenate([alive, on]))],
+                names=["level", "own", "key", "n", "value", "p", "state", "alive"])
+
+    out = rows.repartition("base").mapInArrow(
+        run, "level int, own boolean, key long, n long, value double, p double, state boolean, alive boolean")
+    end = F.col("own") & F.col("alive") & (F.col("level") == last)
+    return materialize(out, f"levels{start}", {
+        "pairs": F.count(F.when(~F.col("own"), 1)), "states": F.count(F.when(F.col("own") & F.col("state"), 1)),
+        "on": F.count(F.when(F.col("own") & F.col("alive"), 1)),
+        "alive": F.count(F.when(end, 1)), "tokens": F.sum(F.when(end, F.col("n")))})
+
+
 def grow(train: DataFrame, vocab: DataFrame, model: dict, share: float = 0.0, divergence: float = DIVERGENCE,
          depth: int = DEPTH):
     """(bit sets of each level, factors). factors: written ``(key, n, value)``, log10 of the mass
     that a state leaves (its key: the context's) and of what it adds to that for a gathered token."""
     least = max(LEAST, share * model["total"])
-    levels, factors, before, scope = [], None, None, current_scope()
+    levels, factors, before, scope, more = [], None, None, current_scope(), 1
     root = (model["head_n"] + ADD) / model["floor"]
     while len(levels) < depth:
         level = len(levels) + 1
         with scratch_scope(train.sparkSession):
-            rows = _followers(train, levels, (model["head"], root) if level == 1 else (None, None))
+            rows = _followers(train, levels, (model["head"], root) if level == 1 else (None, None), more)
             often = (F.col("n") >= least) & (F.col("key") != F.col("ctx").bitwiseXOR(F.lit(int(_LEFT))))
-            rows = materialize(rows.select("ctx", "n", *[F.when(often, F.col(x)).alias(x) for x in ("key", "suffix", "q")]),
-                               f"counts{level}")
+            rows = materialize(rows.select("ctx", "n", *(("base", "level") if more > 1 else ()), *[
+                F.when(often, F.col(x)).alias(x) for x in ("key", "suffix", "q")]), f"counts{level}")
+            if more > 1:
+                tested, stats = _levels(rows, before, divergence, level, level + more - 1)
+                own, pair = F.col("own"), ~F.col("own")
+                sets = {"pair": BitSet.of(tested.where(pair), "key", stats["pairs"]),
+                        "alive": BitSet.of(tested.where(own & F.col("alive")), "key", stats["on"]),
+                        "state": BitSet.of(tested.where(own & F.col("state")), "key", stats["states"])}
+                key = F.when(own, F.col("key").bitwiseXOR(F.lit(int(_LEFT)))).otherwise(F.col("key"))
+                factors = factors.union(materialize(
+                    tested.where("state").select(key.alias("key"), "n", "value"), f"factors{level}", scope=scope))
+                levels += [sets] * more
+                if not stats["alive"] or len(levels) >= depth:
+                    break
+                # The contexts of the last level: their pairs come from its counts.
+                ends = tested.where(pair & F.col("alive") & (F.col("level") == level + more - 1)).select("key", "p")
+                before = materialize(rows.select("key", "ctx").join(ends, "key").select("key", "ctx", "p"),
+                                     f"alive{level}", scope=scope)
+                more = min(depth - len(levels), max(2, model["total"] // stats["tokens"]))
+                continue
             pairs = rows.where("key is not null")
             if level == 1:  # a token in the head needs no join
                 pairs = pairs.withColumn("at", F.when(F.col("q") > 0, F.col("key")).otherwise(F.col("suffix")))
@@ -435,10 +540,11 @@ def grow(train: DataFrame, vocab: DataFrame, model: dict, share: float = 0.0, di
             added = after.where("state").select("key", "n", F.log10(F.col("p") / (F.col("left") * F.col("q"))).alias("value"))
             own = kept.where("state").select(F.col("ctx").bitwiseXOR(F.lit(int(_LEFT))), "c", F.log10("left"))
             own = materialize(added.union(own), f"factors{level}", scope=scope)
-            before = materialize(after.where("alive").select("key", "p"), f"alive{level}", scope=scope)
+            before = materialize(after.where("alive").select("key", "ctx", "p"), f"alive{level}", scope=scope)
         factors = own if factors is None else factors.union(own)
         if not stats["alive"]:
             break
+        more = min(depth - len(levels), model["total"] // stats["tokens"])
     return levels, factors
 
 

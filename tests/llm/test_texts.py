@@ -348,3 +348,15 @@ def test_states_do_not_depend_on_the_size_of_the_corpus(spark):
     rows = {r["doc_id"]: r for r in pst.score_documents(frame(spark, texts)).collect()}
     assert rows[0]["train_tokens"] * pst.SHARE > 5
     assert rows[0]["score"] > rows[0]["base_score"] + 4
+
+
+def test_contexts_are_as_long_as_the_text_needs(spark):
+    """The word after the passage is told by the one 6 words before it."""
+    rnd = random.Random(3)
+    texts = [" ".join([*(f"n{rnd.randrange(400)}" for _ in range(20)), f"key{k}", "a b c d e", f"end{k}"])
+             for _ in range(120) for k in range(3)]
+    docs = list(enumerate(texts))
+    expected, states = _tree_scores(docs, 12, 20.0)
+    assert {len(s) for s in states} >= {1, 6}
+    rows = pst.score_documents(frame(spark, texts)).collect()
+    assert {r["doc_id"]: r["score"] for r in rows} == pytest.approx(expected, rel=1e-9)
