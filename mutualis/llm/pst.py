@@ -141,10 +141,10 @@ def _packed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 def _bounded(counts: DataFrame, least: float):
     """The keys counted at least ``least`` times, sorted, with their counts, on the driver: at most
     the number of tokens divided by ``least``."""
-    got = counts.where(F.col("n") >= least).toPandas()
-    keys = got["key"].to_numpy(np.int64).view(np.uint64)
+    got = counts.where(F.col("n") >= least).toArrow()
+    keys = got["key"].to_numpy().view(np.uint64)
     order = np.argsort(keys)
-    return keys[order], got["n"].to_numpy(np.int64)[order]
+    return keys[order], got["n"].to_numpy()[order]
 
 
 def _states(context: np.ndarray, n: np.ndarray, parent: np.ndarray, total: np.ndarray, divergence: float):
@@ -279,9 +279,9 @@ class BitSet:
         bits = min(SET_BITS, max(12, int(n).bit_length() + 4))
         at = F.shiftrightunsigned(column, 64 - bits)
         got = hashes.select(at.alias("at")).groupBy(F.shiftright("at", 6).alias("w")).agg(
-            F.bit_or(F.expr("shiftleft(1L, cast(at & 63 as int))")).alias("b")).toPandas()
+            F.bit_or(F.expr("shiftleft(1L, cast(at & 63 as int))")).alias("b")).toArrow()
         words = np.zeros(1 << (bits - 6), np.uint64)
-        words[got["w"].to_numpy(np.int64)] = got["b"].to_numpy(np.int64).view(np.uint64)
+        words[got["w"].to_numpy()] = got["b"].to_numpy().view(np.uint64)
         return cls(bits, words)
 
     def has(self, hashes: np.ndarray) -> np.ndarray:
@@ -326,7 +326,7 @@ def _followers(train: DataFrame, levels: list[dict], head, more: int = 1) -> Dat
     context. key: context and token; suffix: the same without the first word; q: at level 1 the
     root's probability where the token is in the head, else 0. Tokens that are not gathered after
     the context's suffix cannot be gathered after it, and are counted together. base: the
-    part of the context that the levels done have."""
+    part of the context that the levels done have. What no join needs is 0, which takes no space."""
     shared = train.sparkSession.sparkContext.broadcast((levels, head))
     level = len(levels) + 1
 
@@ -353,9 +353,11 @@ def _followers(train: DataFrame, levels: list[dict], head, more: int = 1) -> Dat
                     if level == 1:
                         found = lookup.find(keys[at])
                         q[found >= 0] = root[found[found >= 0]]
+                        suffix = np.where(found >= 0, np.uint64(0), suffix)
                     else:
                         suffix, base = upto(d - 1), upto(level - 2, at - 1)
-                        key = np.where(done[-1]["pair"].has(upto(level - 1)), key, context ^ _LEFT)
+                        yes = done[-1]["pair"].has(upto(level - 1))
+                        key, suffix = np.where(yes, key, context ^ _LEFT), np.where(yes, suffix, np.uint64(0))
                     parts.append((key, np.ones(len(at), np.int64), context, suffix, q, base, np.full(len(at), d, np.int32)))
                     held += len(at)
                 if held > FLUSH:
@@ -369,7 +371,7 @@ def _followers(train: DataFrame, levels: list[dict], head, more: int = 1) -> Dat
 
     rows = train.mapInArrow(run, "key long, n long, ctx long, suffix long, q double, base long, level int")
     return rows.groupBy("key").agg(F.sum("n").alias("n"), *[
-        F.first(x).alias(x) for x in ("ctx", "suffix", "q", *(("base", "level") if more > 1 else ()))])
+        F.min(x).alias(x) for x in ("ctx", "suffix", "q", *(("base", "level") if more > 1 else ()))])
 
 
 def _level(counts: DataFrame, pairs: DataFrame, divergence: float, level: int):
@@ -560,8 +562,8 @@ def _most_frequent(factors: DataFrame, most: int):
         lowest = r["kind"]
     if lowest is None:
         return None, np.zeros(0, np.uint64), np.zeros(0)
-    got = factors.where(kind >= lowest).select("key", "value").toPandas()
-    return lowest, got["key"].to_numpy(np.int64).view(np.uint64), got["value"].to_numpy()
+    got = factors.where(kind >= lowest).select("key", "value").toArrow()
+    return lowest, got["key"].to_numpy().view(np.uint64), got["value"].to_numpy()
 
 
 def held_out(doc_id: str) -> Column:
