@@ -12,7 +12,7 @@ parts m of its suffix's counts n, and sum m log(m / (M q)) over parts is at most
 at most z + sum n max(0, log(n / (z q)) - 1) for any z > 0; a context with either below the
 divergence has no state among its extensions, so nothing is lost by leaving it (``_level``). Where the
 contexts to extend hold few of the tokens, several levels are counted in one pass over the text, as
-many as keep the counts below one a training token. The contexts that extend one context need no
+many as keep the counts below one for BATCH training tokens. The contexts that extend one context need no
 others then, so these levels are tested in a task for each share of the contexts (``_levels``).
 
 Smoothing: a state gives a gathered token n / (c + KAPPA) (n its count there, c the state's) and
@@ -49,6 +49,7 @@ SHARE = 1e-5        # of the training tokens: least share of a pair or triple in
 LEAST = 2           # least count of a token after a context
 DEPTH = 64          # words of a context, at most: a guard, the tests end growth before
 HEAD_FACTORS = 1 << 20  # factors that are broadcast, at most
+BATCH = 8           # levels are counted together while that gives at most one count for so many tokens
 SET_BITS = 27       # a bit set has 2^27 bits at most
 HEAD_SHARE = 5e-7   # least share of a word that is broadcast
 DIVERGENCE = 20.0   # nats
@@ -523,7 +524,7 @@ def grow(train: DataFrame, vocab: DataFrame, model: dict, share: float = 0.0, di
                 ends = tested.where(pair & F.col("alive") & (F.col("level") == level + more - 1)).select("key", "p")
                 before = materialize(rows.select("key", "ctx").join(ends, "key").select("key", "ctx", "p"),
                                      f"alive{level}", scope=scope)
-                more = min(depth - len(levels), max(2, model["total"] // stats["tokens"]))
+                more = min(depth - len(levels), max(1, model["total"] // (BATCH * stats["tokens"])))
                 continue
             pairs = rows.where("key is not null")
             if level == 1:  # a token in the head needs no join
@@ -546,7 +547,7 @@ def grow(train: DataFrame, vocab: DataFrame, model: dict, share: float = 0.0, di
         factors = own if factors is None else factors.union(own)
         if not stats["alive"]:
             break
-        more = min(depth - len(levels), model["total"] // stats["tokens"])
+        more = min(depth - len(levels), max(1, model["total"] // (BATCH * stats["tokens"])))
     return levels, factors
 
 
