@@ -6,8 +6,8 @@ wins. URLs that a rule decides are the labelled ones: the trees are fitted on th
 rule fits. Everything is DataFrame expressions and the JVM's own tree learner.
 
 Features: lengths, path depth, digit ratio, character entropy, number of query parameters, labels,
-hyphens and digits of the host, and suffix statistics: the smoothed share of blocked URLs among the
-training URLs with the same last host label and the same last two.
+hyphens and digits of the host, and suffix statistics: the smoothed share of blocked URLs among all
+labelled URLs with the same last host label and the same last two.
 
 Null, empty or scheme-less urls have an empty host and path and are judged by the method like any
 other. With labels of one kind only (or none) the method's verdict is that kind (or allow).
@@ -90,14 +90,14 @@ def with_features(df: DataFrame, url: str) -> DataFrame:
 
 
 def _suffix_rates(train: DataFrame, suffix: str, name: str) -> DataFrame:
-    """Smoothed share of blocked URLs per suffix; at most one row per training URL."""
+    """Smoothed share of blocked URLs per suffix."""
     return train.groupBy(suffix).agg(
         ((F.sum("label") + SMOOTHING / 2) / (F.count(F.lit(1)) + SMOOTHING)).alias(name))
 
 
 def _with_rates(df: DataFrame, rates: list[tuple[str, str, DataFrame]]) -> DataFrame:
-    for suffix, name, table in rates:  # the training bound is the tables' proven size
-        df = df.join(F.broadcast(table), suffix, "left").withColumn(name, F.coalesce(name, F.lit(0.5)))
+    for suffix, name, table in rates:  # as many rows as suffixes: the planner chooses the join
+        df = df.join(table, suffix, "left").withColumn(name, F.coalesce(name, F.lit(0.5)))
     return df
 
 
@@ -111,6 +111,7 @@ def judge(pages: DataFrame, url: str = "url", rules=RULES, max_train: int = MAX_
     marked = with_rule(with_parts(named, "_url"), rules)
     labelled = marked.where("_ruled is not null and _url is not null").select(
         "_url", "_host", "_path", "_query", (F.col("_ruled") == "block").cast("double").alias("label")).distinct()
+    labelled = materialize(labelled, "labelled")
     sample = labelled.orderBy(F.xxhash64("_url"), "_url").limit(max_train)
     sample, stats = materialize(sample, "labelled_urls", {"n": F.count(F.lit(1)), "blocked": F.sum("label")})
     n, blocked = stats["n"], stats["blocked"] or 0
@@ -118,9 +119,9 @@ def judge(pages: DataFrame, url: str = "url", rules=RULES, max_train: int = MAX_
         only = "block" if n and blocked else "allow"
         score, judged = F.lit(float(only == "block")), marked
     else:
-        train = with_features(sample, "_url")
-        rates = [("_s1", "f_suffix1", materialize(_suffix_rates(train, "_s1", "f_suffix1"), "suffix1")),
-                 ("_s2", "f_suffix2", materialize(_suffix_rates(train, "_s2", "f_suffix2"), "suffix2"))]
+        train, every = with_features(sample, "_url"), with_features(labelled, "_url")
+        rates = [("_s1", "f_suffix1", materialize(_suffix_rates(every, "_s1", "f_suffix1"), "suffix1")),
+                 ("_s2", "f_suffix2", materialize(_suffix_rates(every, "_s2", "f_suffix2"), "suffix2"))]
         assembler = VectorAssembler(inputCols=FEATURES, outputCol="features")
         train = assembler.transform(_with_rates(train, rates)).select("features", "label")
         model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=STEP, seed=SEED).fit(materialize(train, "train_urls"))

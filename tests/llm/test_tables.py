@@ -369,3 +369,17 @@ def test_components_of_paths_stars_and_loops(spark):
     expected = {i: 0 for i in range(61)} | {i: 100 for i in range(100, 160)} | {300: 300, 301: 300}
     assert got == expected
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_suffix_rates_count_all_labelled_urls(spark, monkeypatch):
+    seen, real = [], urls._suffix_rates
+
+    def spy(rows, suffix, name):
+        seen.append(rows.count())
+        return real(rows, suffix, name)
+
+    monkeypatch.setattr(urls, "_suffix_rates", spy)
+    rows = [(f"http://h{i}.{kind}/p{i}",) for i in range(60) for kind in ("good", "bad", "other")]
+    rules = [("allow", "good", "/"), ("block", "bad", "/")]
+    judged = urls.judge(spark.createDataFrame(rows, "url string"), rules=rules, max_train=40)
+    assert seen == [120, 120] and judged.count() == 180
