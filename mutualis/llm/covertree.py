@@ -262,20 +262,21 @@ def _search_cells(rows: DataFrame, n: int, k: int) -> DataFrame:
             number, size = number + 1, 0
         chunk[c], parts[c], size = number, max(1, -(-q // QUERY_CHUNK)), size + q
         number += parts[c] - 1
-    to_blocks, to_chunks = {}, {}
+    to_cells, to_chunks = {}, {}
     for i, c in enumerate(here):
-        to_blocks[c] = [(int(d), s) for j, d in enumerate(there) if visit[i, j] for s in range(blocks[int(d)])]
+        to_cells[c] = [int(d) for j, d in enumerate(there) if visit[i, j]]
         for j, d in enumerate(there):
             if visit[i, j]:
                 to_chunks.setdefault(int(d), set()).update(range(chunk[c], chunk[c] + parts[c]))
-    routes = pd.DataFrame([(c, chunk[c], parts[c], int(d), s) for c in here for d, s in to_blocks[c]],
-                          columns=["cell", "chunk", "parts", "to_cell", "to_sub"])
+    routes = pd.DataFrame([(c, chunk[c], parts[c], d, blocks[d]) for c in here for d in to_cells[c]],
+                          columns=["cell", "chunk", "parts", "to_cell", "to_blocks"])
     copies = pd.DataFrame([(d, x) for d, xs in to_chunks.items() for x in sorted(xs)], columns=["cell", "chunk"])
     # Written, so that the planner knows their sizes.
     routes = materialize(spark.createDataFrame(
-        routes, "cell int, chunk int, parts int, to_cell int, to_sub int").coalesce(1), "routes")
+        routes, "cell int, chunk int, parts int, to_cell int, to_blocks int").coalesce(1), "routes")
     copies = materialize(spark.createDataFrame(copies, "cell int, chunk int").coalesce(1), "copies")
-    sent = asks.join(routes, "cell").where("not (cell = to_cell and sub = to_sub)").select(
+    routed = asks.join(routes, "cell").withColumn("to_sub", F.explode(F.expr("sequence(0, to_blocks - 1)")))
+    sent = routed.where("not (cell = to_cell and sub = to_sub)").select(
         (F.col("chunk") + F.pmod(F.xxhash64("vec_id", F.lit(1)), F.col("parts"))).cast("int").alias("chunk"),
         F.col("to_cell").alias("cell"), F.col("to_sub").alias("sub"), "vec_id", "v",
         F.lit(False).alias("is_data"), F.lit(True).alias("is_query"), "bar")

@@ -383,3 +383,19 @@ def test_suffix_rates_count_all_labelled_urls(spark, monkeypatch):
     rules = [("allow", "good", "/"), ("block", "bad", "/")]
     judged = urls.judge(spark.createDataFrame(rows, "url string"), rules=rules, max_train=40)
     assert seen == [120, 120] and judged.count() == 180
+
+
+def test_routes_on_the_driver_are_cell_to_cell(spark, monkeypatch):
+    monkeypatch.setattr(covertree, "BLOCK_ROWS", 16)
+    monkeypatch.setattr(covertree, "MAX_CELLS", 2)
+    seen, real = {}, covertree.materialize
+
+    def spy(df, name, *args, **kw):
+        if name == "routes":
+            seen[name] = df.count()
+        return real(df, name, *args, **kw)
+
+    monkeypatch.setattr(covertree, "materialize", spy)
+    rows = [(i, [float((i * 7 + j * 3) % 11) for j in range(4)]) for i in range(400)]
+    got = covertree.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), every=10).count()
+    assert got == 40 * covertree.K and 0 < seen["routes"] <= 4
