@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table_path
-from . import bpe, covertree, mixing, pst, repetition, shards, simhash, suffixdedup, urls, warc
+from . import bpe, collocations, covertree, minhash, mixing, pst, repetition, shards, simhash, suffixdedup, urls, warc
 
 _WORD = r"[^\x20\x09-\x0D]+"
 
@@ -152,3 +152,59 @@ def op9_temperature_mix(spark, sf_dir):
 @query
 def op10_suffix_tree_scores(spark, sf_dir):
     return pst.score_documents(_table(spark, sf_dir, "documents"))
+
+
+_LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+@query
+def op11_minhash_near_duplicates(spark, sf_dir):
+    return minhash.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
+ORACLES["op11_minhash_near_duplicates"] = rf"""
+with recursive d as (select doc_id, regexp_extract_all({_LOWERED}, '{_WORD}') as w from documents),
+s as (select distinct doc_id, md5(x) as x from (
+        select doc_id, unnest(case when len(w) = 0 then [] when len(w) < 5 then [array_to_string(w, ' ')]
+          else list_transform(range(1, len(w) - 3), lambda i: array_to_string(list_slice(w, i, i + 4), ' ')) end) as x from d)),
+n as (select doc_id, count(*) as n from s group by doc_id),
+c as (select a.doc_id as a, b.doc_id as b, count(*) as c from s a join s b on a.x = b.x and a.doc_id <> b.doc_id group by all),
+l as (select a, b from c join n x on x.doc_id = a join n y on y.doc_id = b where 100 * c >= 85 * (x.n + y.n - c)),
+r as (select doc_id as doc, doc_id as reach from d union select r.doc, l.b from r join l on l.a = r.reach),
+m as (select doc, min(reach) as low from r group by doc)
+select d.doc_id, coalesce(n.n, 0) as n_shingles, m.low as component_id, d.doc_id = m.low as kept
+from d join m on m.doc = d.doc_id left join n on n.doc_id = d.doc_id
+""".strip()
+
+
+@query
+def op12_phrase_collocations(spark, sf_dir):
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
+ORACLES["op12_phrase_collocations"] = rf"""
+with d as (select coalesce(lang, 'und') as lang,
+             {_LOWERED} as t from documents),
+p as (select lang, unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')) as piece from d),
+w as (select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w from p),
+g as (select lang, unnest(range(1, len(w) + 1)) as i, w from w),
+e as (select lang, i, w, unnest(range(1, 5)) as m from g),
+f as (select lang, m, array_to_string(list_slice(w, i, i + m - 1), ' ') as phrase, count(*) as f
+      from e where i + m - 1 <= len(w) group by all having count(*) >= 30),
+n as (select lang, cast(sum(len(w)) as bigint) as n from w group by lang),
+c as (select lang, m, phrase, f as a, string_split(phrase, ' ') as w from f where m > 1),
+k as (select *, unnest(range(1, m)) as k from c),
+s as (select k.lang, k.m, k.phrase, k.a, k.k, x.f as l, y.f as r,
+        cast(2000000 * cast(k.a as hugeint) // (x.f + y.f) as bigint) as score
+      from k join f x on x.lang = k.lang and x.phrase = array_to_string(list_slice(k.w, 1, k.k), ' ')
+             join f y on y.lang = k.lang and y.phrase = array_to_string(list_slice(k.w, k.k + 1, k.m), ' ')),
+b as (select *, row_number() over (partition by lang, phrase order by score, k) as low from s qualify low = 1),
+i as (select lang, a, w, m, unnest(range(1, m)) as pos from c),
+j as (select lang, a, w, m, pos, unnest(range(2, m)) as size from i),
+x as (select lang, array_to_string(list_slice(w, pos, pos + size - 1), ' ') as phrase, max(a) as longer
+      from j where pos + size - 1 <= m group by all),
+z as (select b.* from b left join x on x.lang = b.lang and x.phrase = b.phrase
+      where x.longer is null or 100 * cast(x.longer as hugeint) < 80 * cast(b.a as hugeint)),
+o as (select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from z)
+select lang, rank, phrase, a, l, r, n, score from o join n using (lang) where rank <= 2000
+""".strip()

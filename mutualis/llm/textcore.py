@@ -72,17 +72,26 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 32
 
 
+def byte_set(chars: bytes) -> np.ndarray:
+    """Flags of the 256 byte values, set for those in ``chars``."""
+    out = np.zeros(256, bool)
+    out[list(chars)] = True
+    return out
+
+
 class Hasher:
-    """Word spans and hashes; one per task (holds the power tables)."""
+    """Word spans and hashes; one per task (holds the power tables). ``gaps``: flags of the bytes
+    between words (white space, where nothing else is given)."""
 
-    def __init__(self):
+    def __init__(self, gaps: np.ndarray | None = None):
         self.bytes, self.words = Powers(_BYTE_BASE), Powers(_WORD_BASE)
+        self.gaps = _WS if gaps is None else gaps
 
     def spans(self, data: np.ndarray, bounds: np.ndarray):
         """Start and end byte of every word and the row it is in; words end at row ends."""
         n = len(data)
         inside = np.zeros(n + 1, bool)
-        np.logical_not(_WS[data], out=inside[:n])
+        np.logical_not(self.gaps[data], out=inside[:n])
         before = np.zeros(n + 1, bool)  # is the byte before in the same word's reach
         before[1:] = inside[:n]
         before[bounds] = False
