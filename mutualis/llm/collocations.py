@@ -5,6 +5,11 @@ Texts (A-Z lower-cased) are split at ``[.,;:!?\\x0A-\\x0D]`` into pieces, pieces
 on; equal suffixes of a task are one record with a count. Everything is counted per language (null:
 ``und``): a word's key is a 64-bit hash of the word and its language.
 
+Leading pairs are counted first (added up in each task, then by Spark). A suffix is cut before the first
+pair with fewer than ``least`` occurrences, since no phrase across it can have more. The frequent pairs are
+told by a bit set of at most 2^SET_BITS bits: it may say yes wrongly, more often where there are more
+pairs than bits, and then longer suffixes are routed, to the same counts.
+
 Suffixes are routed by their leading words: by the first alone where that is no hot word, else by as
 many as it takes to reach one that is not (hot: at least ``hot_share`` of all words, so there are
 at most 1/hot_share of them, which are broadcast). So one task's share of a route is below
@@ -39,6 +44,7 @@ LIMIT = 2000
 ABSORB = 80          # a longer phrase with so many hundredths of the count takes a shorter one's place
 HOT_SHARE = 1e-4
 HELD = 1 << 20       # suffixes held in a task before equal ones are added up and sent
+SET_BITS = 27
 RUN = 1 << 19        # suffixes sorted at once (more where one route has more)
 _BREAKS = b".,;:!?\n\x0b\x0c\r"
 _CHUNK = 1 << 20
@@ -112,12 +118,56 @@ def _add_up(words: list[np.ndarray], n: np.ndarray):
     return [w[at] for w in words], np.add.reduceat(n[order], at)
 
 
-def _suffixes(rows: DataFrame, hot: np.ndarray) -> DataFrame:
-    """``(route, open, w1.., n)``: suffixes of two words or more; the first ``open`` words made the route."""
-    shared = rows.sparkSession.sparkContext.broadcast(hot)
+def _follows(row: np.ndarray, piece: np.ndarray) -> np.ndarray:
+    """Places of words with a next word in their piece."""
+    return np.flatnonzero((row[1:] == row[:-1]) & (piece[1:] == piece[:-1]))
+
+
+def _leading_pairs(rows: DataFrame) -> DataFrame:
+    """``(pair, n)`` of all neighbouring words of a piece, by a 64-bit key."""
+    def run(batches):
+        held, size = [], 0
+
+        def send():
+            key, n = np.unique(np.concatenate(held), return_counts=True)
+            return pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(n)], names=["pair", "n"])
+
+        for _, _, _, _, row, key, piece in _keyed_words(batches):
+            at = _follows(row, piece)
+            held.append(_fold([key[at], key[at + 1]]))
+            size += len(at)
+            if size > HELD:
+                yield send()
+                held, size = [], 0
+        if size:
+            yield send()
+
+    return rows.mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
+
+
+def _bit_set(hashes: DataFrame, column: str, n: int) -> np.ndarray:
+    """Bits of the hashes' leading bits, 16 to 32 bits for each of ``n`` hashes, 2^SET_BITS at most."""
+    bits = min(SET_BITS, max(12, int(n).bit_length() + 4))
+    at = F.shiftrightunsigned(column, 64 - bits)
+    got = hashes.select(at.alias("at")).groupBy(F.shiftright("at", 6).alias("w")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(at & 63 as int))")).alias("b")).toArrow()
+    out = np.zeros(1 << (bits - 6), np.uint64)
+    out[got["w"].to_numpy()] = got["b"].to_numpy().view(np.uint64)
+    return out
+
+
+def _in_bits(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    at = hashes >> np.uint64(64 - (len(bits).bit_length() + 5))
+    return (bits[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
+
+
+def _suffixes(rows: DataFrame, hot: np.ndarray, often: np.ndarray) -> DataFrame:
+    """``(route, open, w1.., n)``: suffixes of two words or more; the first ``open`` words made the route.
+    often: bit set of the frequent pairs."""
+    shared = rows.sparkSession.sparkContext.broadcast((hot, often))
 
     def run(batches):
-        hot, held, size = shared.value, [], 0
+        (hot, often), held, size = shared.value, [], 0
 
         def send():
             words, n = _add_up([np.concatenate(x) for x in zip(*held)], np.ones(size, np.int64))
@@ -132,13 +182,13 @@ def _suffixes(rows: DataFrame, hot: np.ndarray) -> DataFrame:
                  pa.array(n.astype(np.int32))], names=["route", "open", *WORDS, "n"])
 
         for _, _, _, _, row, key, piece in _keyed_words(batches):
-            new = _alike([row, piece])
-            end = np.append(np.flatnonzero(new), len(key))[np.cumsum(new)]  # where the word's piece ends
-            place = np.arange(len(key))
-            at = np.flatnonzero(place + 1 < end)
-            words = [key[at]]
+            at = _follows(row, piece)
+            at = at[_in_bits(often, _fold([key[at], key[at + 1]]))]
+            on = np.zeros(len(key) + LONGEST, bool)  # is the pair that begins here frequent
+            on[at] = True
+            there, words = np.ones(len(at), bool), [key[at]]
             for i in range(1, LONGEST):
-                there = at + i < end[at]
+                there = there & on[at + i - 1]
                 words.append(np.where(there, key[np.minimum(at + i, len(key) - 1)], np.uint64(0)))
             held.append(words)
             size += len(at)
@@ -163,7 +213,7 @@ def sorted_counts(words: list[np.ndarray], n: np.ndarray, starts: np.ndarray, de
         if first:  # what the routes have in common is a phrase already
             equal, first = np.ones(len(starts), bool), False
         lead = order[starts]
-        ended = np.zeros(len(starts), bool)  # no word at the last place in common: the piece ended
+        ended = np.zeros(len(starts), bool)  # no word at the last place in common
         for i in range(LONGEST):
             here = depth == i + 1
             ended[here] = words[i][lead[here]] == 0
@@ -238,7 +288,9 @@ def phrase_counts(rows: DataFrame, least: int = LEAST, hot_share: float = HOT_SH
         words, seen = materialize(vocabulary(rows), "vocabulary", {"total": F.sum("n")}, scope=scope)
         hot = words.where(F.col("n") >= max(1.0, hot_share * (seen["total"] or 0))).select("key").toArrow()
         hot = np.sort(hot["key"].to_numpy().view(np.uint64))
-        parts = _routed_counts(_suffixes(rows, hot), least)
+        pairs, seen = materialize(_leading_pairs(rows).where(F.col("n") >= least).select("pair"), "pairs",
+                                  {"n": F.count(F.lit(1))})
+        parts = _routed_counts(_suffixes(rows, hot, _bit_set(pairs, "pair", seen["n"])), least)
         counts = parts.groupBy(*WORDS).agg(F.sum("n").alias("n")).where(F.col("n") >= least)
         return words, materialize(counts, "phrases", scope=scope)
 

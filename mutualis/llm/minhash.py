@@ -171,8 +171,10 @@ def _alike(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
-    """The pairs ``(a, b)`` that are linked: their full sets are intersected."""
-    sets = rows.select("row", "keys")
+    """The pairs ``(a, b)`` that are linked: their full sets are intersected. ``pairs``: written; only
+    sets that are in some pair are handed on."""
+    some = pairs.select(F.explode(F.array("a", "b")).alias("row")).distinct()
+    sets = materialize(rows.select("row", "keys").join(materialize(some, "asked"), "row", "left_semi"), "sets")
     one = sets.select(F.col("row").alias("a"), F.col("keys").alias("x"))
     two = sets.select(F.col("row").alias("b"), F.col("keys").alias("y"))
     both = F.size(F.array_intersect("x", "y")).cast("long")
