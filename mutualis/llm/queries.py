@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table_path
-from . import bpe, collocations, covertree, minhash, mixing, pst, repetition, shards, simhash, suffixdedup, urls, warc
+from . import bpe, collocations, conversations, covertree, minhash, mixing, pst, repetition, shards, simhash, suffixdedup, urls, warc
 
 _WORD = r"[^\x20\x09-\x0D]+"
 
@@ -208,3 +208,74 @@ z as (select b.* from b left join x on x.lang = b.lang and x.phrase = b.phrase
 o as (select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from z)
 select lang, rank, phrase, a, l, r, n, score from o join n using (lang) where rank <= 2000
 """.strip()
+
+
+@query
+def op13_conversation_repair(spark, sf_dir):
+    convs = _table(spark, sf_dir, "conversations")
+    return conversations.audit(convs, conversations.damage(convs))
+
+
+def _least(*ways: str) -> str:
+    """The way of least cost, then of the least edits."""
+    return f"list_sort([{', '.join(ways)}])[1]"
+
+
+def _way(cost: str, edit: str, line: str, after: str) -> str:
+    return f"{{'c': {after}.c + {cost}, 'x': '{edit}' || {after}.x, 'r': list_prepend({line}, {after}.r)}}"
+
+
+def _state(after: str, user: str, assistant: str, system: str | None) -> str:
+    """The ways on from a state: delete, or keep or rerole to a role that may follow."""
+    ways = [f"{{'c': {after}.c + 4, 'x': 'D' || {after}.x, 'r': {after}.r}}"]
+    for initial, name, to in (("s", None, system), ("u", "user", user), ("a", "assistant", assistant)):
+        if to:
+            bad = f"case when must or initial <> '{initial}' then 1000000000 else cut end"
+            ways.append(_way(bad, "K", "role || ':' || text", to))
+            if name:
+                ways.append(_way("case when must then 1000000000 else cut + 3 end", "R", f"'{name}:' || text", to))
+    return _least(*ways)
+
+
+def _inserted(e: str, s: str, u: str, a: str) -> str:
+    """The four states as columns, with inserted rows."""
+    return f"""select *, {_least("be", _way("3", "I", "'user:'", "u"))} as e, {_least("bs", _way("3", "I", "'user:'", "u"))} as s
+from (select *, {_least("bu", _way("3", "I", "'assistant:'", "ba"))} as u, {_least("ba", _way("3", "I", "'user:'", "bu"))} as a
+from (select *, {e} as be, {s} as bs, {u} as bu, {a} as ba from"""
+
+
+_END = "{'c': cast(0 as bigint), 'x': '', 'r': cast([] as varchar[])}"
+_NO_END = "{'c': cast(1000000000 as bigint), 'x': '', 'r': cast([] as varchar[])}"
+
+ORACLES["op13_conversation_repair"] = rf"""
+with recursive t as (select list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)),
+        lambda c, x: xor(c >> 1, 3988292384 * (c & 1)))) as t),
+k as (select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+        coalesce(cast(conv_id as varchar), ' ') || ':' || coalesce(cast(turn as varchar), ' ') as key from conversations),
+m as (select conv_id, turn, role, text, xor(list_reduce(list_prepend(4294967295, list_transform(string_split(key, ''), lambda c: cast(ascii(c) as bigint))),
+        lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 20 as kind from k, t),
+d as (select conv_id, turn, case when kind = 4 then 'user' else role end as role,
+        case kind when 1 then '' when 2 then translate(text, '.!?', '') else text end as text,
+        unnest(range(case kind when 0 then 0 when 3 then 2 else 1 end)) as copy from m),
+o as (select *, row_number() over w as i, row_number() over (partition by conv_id, role, text order by turn nulls first, copy) as seen,
+        lag(role[1]) over w || role[1] as two, rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) as body
+      from d window w as (partition by conv_id order by turn nulls first, role, text, copy)),
+f as (select *, case when body = '' then 'blank' when seen > 1 then 'duplicate' when body[-1] not in ('.', '!', '?') then 'truncated' end as fault from o),
+g as (select conv_id, cast(coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as bigint) as gaps,
+        count(*) filter (fault = 'blank') as blank, count(*) filter (fault = 'duplicate') as duplicate,
+        count(*) filter (fault = 'truncated') as truncated, count(*) filter (two not in ('su', 'ua', 'au')) as illegal,
+        max(i) as n from f group by conv_id),
+r as (select conv_id, i, role, text, role[1] as initial, coalesce(fault in ('blank', 'duplicate'), false) as must,
+        case when fault = 'truncated' then 3 else 0 end as cut from f),
+p as (select conv_id, i, e, s, u, a from ({_inserted(_END, _NO_END, _NO_END, _END)} (select conv_id, n + 1 as i from g))))
+      union all
+      select conv_id, i, e, s, u, a from ({_inserted(_state("p.e", "p.u", None, "p.s"), _state("p.s", "p.u", None, None),
+                                                     _state("p.u", None, "p.a", None), _state("p.a", "p.u", None, None))}
+        (select r.*, p from r join p on p.conv_id is not distinct from r.conv_id and p.i = r.i + 1))))),
+z as (select conv_id, e.c as cost, e.x as audit, sha256(array_to_string(e.r, chr(10))) as repaired_sha256 from p where i = 1)
+select c.conv_id, coalesce(gaps, 0) as gaps, coalesce(blank, 0) as blank, coalesce(duplicate, 0) as duplicate,
+       coalesce(truncated, 0) as truncated, coalesce(illegal, 0) as illegal, coalesce(cost, 0) as cost, coalesce(audit, '') as audit,
+       coalesce(repaired_sha256, sha256('')) as repaired_sha256
+from (select distinct conv_id from conversations) c
+left join g on g.conv_id is not distinct from c.conv_id left join z on z.conv_id is not distinct from c.conv_id
+""".strip()
