@@ -43,7 +43,7 @@ PERCENT = 85
 SLOTS = 125
 BAND = 5
 AGREE = 75      # agreeing coordinates of a candidate
-STARS = 2       # star rounds
+STARS = 1       # star rounds
 BLOCK = 256     # members on either side that are compared at once
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _SEEDS = np.arange(1, 2 * SLOTS + 3, dtype=np.uint64) * _STEP  # one for each round, two for names of sets
@@ -235,14 +235,15 @@ def linked(rows: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFram
         buckets = materialize(buckets.select("key", "a"), "buckets")
         members = materialize(members.join(buckets, "key").select("key", "node", "a"), "shared")
         pairs = members.where("node <> a").select("a", F.col("node").alias("b")).distinct()
-        links = None
+        links = labels = None
         for star in range(STARS + 1):
             found = _verified(materialize(_alike(pairs, data, percent), "candidates"), rows, percent)
-            found = materialize(found, "links")
+            found, seen = materialize(found, "links", {"n": F.count(F.lit(1))})
             links = found if links is None else links.union(found)
+            if seen["n"] or labels is None:
+                labels = _labels(links, scope)
             if star == STARS:
                 break
-            labels = _labels(links, current_scope())
             own = labels.withColumnRenamed("node", "a").withColumnRenamed("label", "first")
             named = members.select("key", "node").join(labels, "node", "left").select(
                 "key", "node", F.coalesce("label", "node").alias("label"))
@@ -257,7 +258,7 @@ def linked(rows: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFram
                 pairs = named.where("other").join(mixed, "key").where("node <> a").select("a", F.col("node").alias("b")).distinct()
             else:
                 pairs = _across(named.join(mixed.select("key"), "key", "left_semi"), data, percent)
-        return nodes, _labels(links, scope)
+        return nodes, labels
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SHINGLE,
