@@ -34,18 +34,29 @@ def out_degrees(edges: DataFrame) -> DataFrame:
     return edges.groupBy("src").agg(F.count(F.lit(1)).alias("deg"))
 
 
-def reciprocal_pairs(edges: DataFrame) -> DataFrame:
-    """Pairs ``id1 < id2`` listed both ways, met under the canonical key.
+def distinct_links(edges: DataFrame) -> DataFrame:
+    """``(id1, id2, up, down)``: every unordered pair with a link, once; up: id1 lists id2, down: the other way.
 
-    Each edge is sent to the key ``(least, greatest)``; a pair is reciprocated when both of its two
-    possible edges arrive. Repeated edges and self-listings do no harm, so the input need not be
-    clean: one shuffle, with at most one row per pair and task.
+    Each edge is sent to the key ``(least, greatest)``, at most one row per pair and task. Repeated
+    edges and self-listings do no harm, so the input need not be clean. No id is a key here, so a hub
+    is spread over all tasks.
     """
     up = F.col("src") < F.col("dst")
     return (proper_edges(edges)
             .groupBy(F.least("src", "dst").alias("id1"), F.greatest("src", "dst").alias("id2"))
-            .agg(F.max(up).alias("up"), F.min(up).alias("only_up"))
-            .where(F.col("up") & ~F.col("only_up")).select("id1", "id2"))
+            .agg(F.max(up).alias("up"), F.max(~up).alias("down")))
+
+
+def directed(links: DataFrame) -> DataFrame:
+    """The distinct edges ``(src, dst)`` of distinct links."""
+    both = F.array(F.struct(F.col("id1").alias("src"), F.col("id2").alias("dst"), F.col("up").alias("on")),
+                   F.struct(F.col("id2").alias("src"), F.col("id1").alias("dst"), F.col("down").alias("on")))
+    return links.select(F.explode(both).alias("e")).where("e.on").select("e.src", "e.dst")
+
+
+def reciprocal_pairs(edges: DataFrame) -> DataFrame:
+    """Pairs ``id1 < id2`` listed both ways, met under the canonical key in one shuffle."""
+    return distinct_links(edges).where("up and down").select("id1", "id2")
 
 
 def reciprocal_pairs_by_self_join(edges: DataFrame) -> DataFrame:

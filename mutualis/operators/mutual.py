@@ -5,8 +5,8 @@ For ``a < b`` with ``b`` on a's list and ``a`` on b's list:
 ``b`` back, so this is not triangle counting on the reciprocated graph.
 
 ``prepare_graph`` writes what both ways of counting read: the reciprocated pairs with the degrees of
-their ends, and the edges whose source is in such a pair (no other edge can matter). Degrees are a
-small written table that is joined to the *pairs*, so a hub's pairs lie on a plain exchange, which
+their ends, and the edges whose source is in such a pair (no other edge can matter), bucketed by both
+ends. Degrees are a small written table that is joined to the *pairs*, so a hub's pairs lie on a plain exchange, which
 AQE splits; the edges themselves are never joined to an aggregate.
 
 Two exact ways, routed per pair by the degrees of its two ends:
@@ -31,8 +31,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import Scratch, materialize
-from .edges import clean_edges, out_degrees, proper_edges, reciprocal_pairs
+from ..session import Scratch, materialize, size_setting, write_buckets
+from .edges import directed, distinct_links, out_degrees
+from .member_filter import build, maybe
 
 # Largest list length gathered into one array. Above it a pair goes to the probe way.
 DEFAULT_HUB_DEGREE = 256
@@ -59,14 +60,24 @@ class Graph:
 def prepare_graph(edges: DataFrame) -> Graph:
     """Run the jobs that every count over a directed edge table ``(src, dst)`` shares.
 
-    The edge source is scanned twice: for the pairs (one row per pair and task is shuffled), and for
-    the edges of their members. Nothing else of the edges is written.
+    The edge source is scanned (and text parsed) once: its distinct links are written, the pairs are those
+    that go both ways, and the edges of their members come from the written links. Members that are
+    too many to broadcast are told by a Bloom filter in that scan, so that other edges are not
+    shuffled. The member edges are dealt by both ends: an exchange of their own, so AQE may split a
+    hub in the semi-join before it on any session, and the buckets they are written in, which the
+    probe reads without another one.
     """
-    held = Scratch()
-    met = materialize(reciprocal_pairs(edges), "pairs_met", scope=held)
-    members = materialize(met.select(F.explode(F.array("id1", "id2")).alias("src")).distinct(), "members", scope=held)
-    own = proper_edges(edges).join(members, "src", "left_semi").distinct()
-    own = materialize(own, "member_edges", scope=held)
+    held, spark = Scratch(), edges.sparkSession
+    links = materialize(distinct_links(edges), "links", scope=held)
+    met = links.where("up and down").select("id1", "id2")
+    members, many = materialize(met.select(F.explode(F.array("id1", "id2")).alias("src")).distinct(), "members",
+                                {"n": F.count(F.lit(1))}, scope=held)
+    n = many["n"] or 0
+    own = directed(links)
+    if not _broadcastable(spark, n):
+        own = maybe(own, "src", build(members, "src", n, scope=held), n)
+    own = own.join(members, "src", "left_semi")
+    own = write_buckets(own, "member_edges", ["src", "dst"], held)
     degrees, seen = materialize(out_degrees(own), "degrees", {"top": F.max("deg")}, scope=held)
     pairs = met.join(degrees.select(F.col("src").alias("id1"), F.col("deg").alias("deg1")), "id1").join(
         degrees.select(F.col("src").alias("id2"), F.col("deg").alias("deg2")), "id2")
@@ -74,6 +85,11 @@ def prepare_graph(edges: DataFrame) -> Graph:
     return Graph(own, pairs, int(seen["top"] or 0), held)
 
 
+def _broadcastable(spark: SparkSession, ids: int) -> bool:
+    """Whether the session would broadcast a table of so many ids (about 16 bytes each)."""
+    return 16 * ids <= size_setting(spark, "spark.sql.autoBroadcastJoinThreshold")
+
+
 def _by_arrays(edges: DataFrame, pairs: DataFrame, parts: int) -> DataFrame:
     """Lists gathered in ``parts`` parts by a hash of the id; counts added up per pair."""
     part = F.pmod(F.xxhash64("dst"), F.lit(parts)).cast("int") if parts > 1 else F.lit(0)

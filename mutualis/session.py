@@ -97,6 +97,7 @@ class Scratch:
 
     def __init__(self):
         self.folders: list[str] = []
+        self.tables: list[str] = []  # the catalog's names of bucketed folders
 
     def release(self, spark: SparkSession) -> int:
         """Delete this scope's folders; returns how many were there. DataFrames that read them are
@@ -105,6 +106,8 @@ class Scratch:
         if sc is None:
             return 0
         conf, done = sc._jsc.hadoopConfiguration(), 0
+        while self.tables:
+            spark.sql(f"DROP TABLE IF EXISTS {self.tables.pop()}")
         while self.folders:
             folder = self.folders.pop()
             _LIVE.discard(folder)
@@ -175,5 +178,26 @@ def materialize(df: DataFrame, name: str, metrics: dict | None = None, scope: Sc
     return (out, obs.get) if obs is not None else out
 
 
+def write_buckets(df: DataFrame, name: str, keys: list[str], scope: Scratch | None = None) -> DataFrame:
+    """Like ``materialize``, dealt to ``spark.sql.shuffle.partitions`` buckets by ``keys`` and sorted in
+    each, so that a join on the keys reads them without an exchange. Buckets are known to the catalog
+    only: the folder is an external table until its scope is released."""
+    spark = df.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = scratch_path(spark, name, scope)
+    scope = current_scope() if scope is None else scope
+    table = f"mutualis_{name}_{uuid.uuid4().hex[:12]}"
+    df.repartition(n, *keys).write.bucketBy(n, *keys).sortBy(*keys).option("path", path).saveAsTable(table)
+    scope.tables.append(table)
+    return spark.table(table)
+
+
+def size_setting(spark: SparkSession, key: str) -> int:
+    """A size in bytes from the session's settings (``10MB``, ``64k``, ``-1``)."""
+    text = spark.conf.get(key).strip().lower().removesuffix("b")
+    unit = {"k": 10, "m": 20, "g": 30, "t": 40}.get(text[-1:])
+    return int(text[:-1]) << unit if unit else int(text)
+
+
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")

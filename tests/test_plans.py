@@ -5,8 +5,9 @@ import pytest
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
-from mutualis.operators import attach_profiles, mutual, mutual_counts, ratings_for, top_pairs, top_rated
+from conftest import SF_CHECK, SF_SMALL
+from mutualis.operators import attach_profiles, member_filter, mutual, mutual_counts, ratings_for, top_pairs, top_rated
+from mutualis.operators.edges import directed, distinct_links
 from mutualis.plans import QUERIES, catalog
 from mutualis.session import materialize
 from mutualis.sources import tables
@@ -108,28 +109,75 @@ def test_hot_business_is_split_without_forcing(splitting):
     assert df.count() == n
 
 
-def test_hub_is_split_in_the_degree_join(splitting):
-    spark = splitting
-    n = 60_000
+def _half_on_one_id(spark, n):
     half = spark.range(n // 2).selectExpr("cast(-1 as bigint) as a", "abs(xxhash64(id)) as b")
     rest = spark.range(n // 2).selectExpr("abs(xxhash64(id)) as a", "abs(xxhash64(id + 1)) as b")
     links = half.union(rest).repartition(12)
-    edges = links.selectExpr("a as src", "b as dst").union(links.selectExpr("b as src", "a as dst"))
-    seen = []
-    real = mutual.materialize
-
-    def spy(df, name, *args, **kw):
-        if name == "pairs":
-            seen.append(final_plan(df))
-        return real(df, name, *args, **kw)
-    mutual.materialize = spy
-    try:
-        g = mutual.prepare_graph(edges)
-    finally:
-        mutual.materialize = real
-    assert "skew=true" in seen[0]
-    assert g.pairs.count() == n
+    return links.selectExpr("a as src", "b as dst").union(links.selectExpr("b as src", "a as dst"))
+
+
+def test_hub_is_split_in_the_semi_join_and_the_degree_join(splitting, monkeypatch):
+    """On default settings but for sizes: half of all links are one id's."""
+    spark = splitting
+    n = 60_000
+    seen = {}
+
+    def spy(real):
+        def run(df, name, *args, **kw):
+            if name in ("member_edges", "pairs"):
+                seen[name] = final_plan(df.repartition(8, "src", "dst") if name == "member_edges" else df)
+            return real(df, name, *args, **kw)
+        return run
+    monkeypatch.setattr(mutual, "materialize", spy(mutual.materialize))
+    monkeypatch.setattr(mutual, "write_buckets", spy(mutual.write_buckets))
+    g = mutual.prepare_graph(_half_on_one_id(spark, n))
+    assert "skew=true" in seen["member_edges"] and "LeftSemi" in seen["member_edges"]
+    assert "skew=true" in seen["pairs"]
+    assert g.pairs.count() == n and g.edges.count() == 2 * n
+    g.release(spark)
+
+
+def test_edges_of_others_are_not_shuffled(splitting):
+    """Members too many to broadcast: the scan of the links drops nearly all other edges."""
+    spark = splitting
+    links = materialize(distinct_links(tables.supplies(spark, SF_CHECK)), "some_links")
+    met = links.where("up and down")
+    members = materialize(met.select(F.explode(F.array("id1", "id2")).alias("src")).distinct(), "some_members")
+    n = members.count()
+    every = directed(links)
+    own = every.join(members, "src", "left_semi").count()
+    some = member_filter.maybe(every, "src", member_filter.build(members, "src", n), n)
+    assert "Exchange" not in plan(some)
+    assert own <= some.count() <= own + 0.05 * every.count()
+    assert 0 < own < 0.5 * every.count()
+    assert some.join(members, "src", "left_semi").count() == own
+
+
+def test_member_filter_has_a_size(spark):
+    ids = spark.range(5000).selectExpr("id * 7 as src")
+    bits = member_filter.build(ids, "src", 5000)
+    assert bits.count() == 1 and bits.select(F.size("bits")).first()[0] == member_filter.room(5000) // 64
+    rows = spark.range(35000).withColumnRenamed("id", "src")
+    kept = {r[0] for r in member_filter.maybe(rows, "src", bits, 5000).collect()}
+    assert kept >= set(range(0, 35000, 7)) and len(kept) < 5000 + 0.05 * 30000
+    assert member_filter.room(member_filter.MAX_BITS) == 0 and member_filter.build(ids, "src", member_filter.MAX_BITS) is None
+    assert member_filter.maybe(rows, "src", None, 0).count() == 35000
+
+
+def test_probe_reads_the_member_edges_without_an_exchange(splitting):
+    g = mutual.prepare_graph(tables.cosupply(splitting, SF_SMALL))
+    p = plan(mutual_counts(g, strategy="probe"))
+    # The pairs, the lists they are expanded to, the expanded rows and the hits are dealt; the edges to probe are not.
+    assert "Bucketed: true" in p and p.count("Exchange hashpartitioning") == 4
+    g.release(splitting)
+
+
+def test_released_graph_leaves_no_table(spark):
+    before = {t.name for t in spark.catalog.listTables()}
+    g = mutual.prepare_graph(tables.supplies(spark, SF_SMALL))
+    assert len({t.name for t in spark.catalog.listTables()} - before) == 1
     g.release(spark)
+    assert {t.name for t in spark.catalog.listTables()} == before
 
 
 def test_only_the_edges_of_pair_members_are_written(spark):
