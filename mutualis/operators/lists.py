@@ -8,7 +8,7 @@ user or a pair are aggregated back over the blocks.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .edges import clean_edges, edges_from_adjacency, reciprocal_pairs
@@ -59,9 +59,16 @@ def lists_contain(adj: DataFrame, asked: DataFrame, block: int = DEFAULT_BLOCK)
 
 
 def first_ids(adj: DataFrame, k: int, block: int = DEFAULT_BLOCK) -> DataFrame:
-    """``(userid, ids)``, the k smallest distinct ids of each user's list."""
-    few = list_blocks(adj, block).select("userid", F.slice("ids", 1, k).alias("ids"))
-    few = few.groupBy("userid").agg(F.slice(F.array_sort(F.flatten(F.collect_list("ids"))), 1, k).alias("f"))
+    """``(userid, ids)``, the k smallest distinct ids of each user's list.
+
+    The ids stay rows: the k smallest of each (user, block), then of each user, which the planner limits in
+    each task before the shuffle as well as after it. So no row holds more than k ids, and a user's
+    group k for each block and task at most."""
+    e = edges_from_adjacency(adj).where(F.col("src").isNotNull() & F.col("dst").isNotNull()).distinct()
+    for by in ([F.col("src"), block_of("dst", block)], [F.col("src")]):
+        place = F.row_number().over(Window.partitionBy(*by).orderBy("dst"))
+        e = e.withColumn("place", place).where(F.col("place") <= k).drop("place")
+    few = e.groupBy(F.col("src").alias("userid")).agg(F.array_sort(F.collect_list("dst")).alias("f"))
     none = F.expr("cast(array() as array<bigint>)")
     return users_of(adj).join(few, "userid", "left").select("userid", F.coalesce("f", none).alias("ids"))
 
