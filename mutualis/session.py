@@ -98,6 +98,7 @@ class Scratch:
     def __init__(self):
         self.folders: list[str] = []
         self.tables: list[str] = []  # the catalog's names of bucketed folders
+        self.broadcasts: list = []   # what was sent to the executors for it
 
     def release(self, spark: SparkSession) -> int:
         """Delete this scope's folders; returns how many were there. DataFrames that read them are
@@ -106,6 +107,8 @@ class Scratch:
         if sc is None:
             return 0
         conf, done = sc._jsc.hadoopConfiguration(), 0
+        while self.broadcasts:
+            self.broadcasts.pop().unpersist()  # sent again where something still asks for it
         while self.tables:
             spark.sql(f"DROP TABLE IF EXISTS {self.tables.pop()}")
         while self.folders:
