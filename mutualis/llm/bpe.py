@@ -32,8 +32,11 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from ..session import current_scope
+
 BLOCK = 1024          # bytes taken in before the buffer is merged again
-CACHE_WORDS = 400_000  # words in each of the two generations of the cache
+CACHE_BYTES = 24 << 20  # of each of the two generations of the word cache, about
+ENTRY_BYTES = 160     # of a cached word besides its letters and ids
 DECODE_IDS = 1 << 16  # ids decoded at a time
 _NO_RANK = 1 << 60
 assert array("I").itemsize == 4 and sys.byteorder == "little"
@@ -210,7 +213,7 @@ class Encoder:
         self.added = regex.compile("(" + "|".join(map(regex.escape, sorted(t["added"], key=len, reverse=True))) + ")") if t["added"] else None
         self.not_yet, self.cases = _NOT_YET, NEW_CASES
         self.rare = regex.compile("[\x1c-\x1f]")  # white space to Python's split, not to the tokenizer
-        self.young, self.old = {}, {}
+        self.young, self.old, self.held = {}, {}, 0
 
     def pretoken(self, data: bytes) -> list[int]:
         t = self.t
@@ -250,9 +253,10 @@ class Encoder:
             if got is None:
                 got = self.word(word)
             if len(word) <= 64:
-                if len(self.young) >= CACHE_WORDS:
-                    self.young, self.old = {}, self.young
+                if self.held >= CACHE_BYTES:
+                    self.young, self.old, self.held = {}, self.young, 0
                 self.young[word] = got
+                self.held += ENTRY_BYTES + len(word) + len(got)
         return got
 
     def plain(self, text: str):
@@ -324,6 +328,7 @@ def encode_documents(docs: DataFrame, text: str = "text", tokenizer: str | None
     carried = [c for c in (docs.columns if keep is None else keep) if c not in names]
     kept = docs.select(*[f"`{c}`" for c in carried])
     shared = docs.sparkSession.sparkContext.broadcast(load_tables(tokenizer or default_tokenizer()))
+    current_scope().broadcasts.append(shared)
 
     def run(batches):
         tables = shared.value

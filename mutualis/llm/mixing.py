@@ -143,16 +143,46 @@ def _rows(docs: DataFrame, doc_id: str, source: str, text: str) -> list[Column]:
 
 
 def mix_documents(docs: DataFrame, target_entropy: float | None = None, max_repeats: float | None = MAX_REPEATS,
-                  budget: float | None = None, seed: int = SEED, doc_id: str = "doc_id", source: str = "source",
-                  text: str = "text") -> DataFrame:
-    """The rows of ``docs``, each as often as the mix takes it, with its columns only."""
+                  budget: float | None = None, seed: int = SEED, block_tokens: int = BLOCK_TOKENS,
+                  doc_id: str = "doc_id", source: str = "source", text: str = "text") -> DataFrame:
+    """The rows of ``docs``, each as often as the mix takes it, with its columns only.
+
+    Their order is the mix's: partitions (and the files written of them) hold consecutive blocks of
+    ``mix_schedule``, and a partition its rows by block, then by a hash of source, copy and place."""
     held = current_scope()
     with scratch_scope(docs.sparkSession):
         rows = materialize(docs.select(*_rows(docs, doc_id, source, text)), "mix_rows")
         plan = materialize(_plan(rows, target_entropy, max_repeats, budget, seed), "mix_plan", scope=held)
+        sums = materialize(_sums(_with_bucket(_taken(rows, plan, seed))), "mix_sums", scope=held)
     whole = F.struct(*[f"`{c}`" for c in docs.columns]).alias("_row")
-    keyed = docs.select(whole, *[c for i, c in enumerate(_rows(docs, doc_id, source, text)) if i != 2])
-    return _taken(keyed, plan, seed).select("_row.*")
+    taken = _with_bucket(_taken(docs.select(whole, *_rows(docs, doc_id, source, text)), plan, seed))
+    placed = _placed(taken, sums, block_tokens).withColumn("dealt", F.xxhash64("s", "copy", "order"))
+    return placed.repartitionByRange("block", "dealt").sortWithinPartitions("block", "dealt").select("_row.*")
+
+
+_PART = ["s", "no_source", "copy", "bucket"]
+
+
+def _with_bucket(taken: DataFrame) -> DataFrame:
+    return taken.withColumn("s", F.coalesce("source", F.lit(""))).withColumn("no_source", F.col("source").isNull()).withColumn(
+        "bucket", _bucket(F.col("order")))
+
+
+def _sums(taken: DataFrame) -> DataFrame:
+    """Tokens of a source's copy in each range of the order."""
+    return taken.groupBy(*_PART).agg(F.sum("tokens").alias("n"))
+
+
+def _placed(taken: DataFrame, sums: DataFrame, block_tokens: int) -> DataFrame:
+    """``taken`` with ``start_token`` and ``block``."""
+    before = sums.selectExpr(*_PART, "sum(n) over (partition by s, no_source, copy order by bucket) - n as before")
+    placed = taken.selectExpr("*", f"sum(tokens) over (partition by {', '.join(_PART)} order by `order`, doc_id "
+                              "rows between unbounded preceding and current row) - tokens as inside")
+    placed = placed.join(before, _PART).withColumn(
+        "start_token", F.col("copy") * F.col("source_tokens") + F.col("before") + F.col("inside"))
+    per_block = F.col("weight") * block_tokens
+    return placed.withColumn(
+        "block", F.when(per_block > 0, F.floor(F.col("start_token") / per_block)).otherwise(0).cast("long"))
 
 
 def mix_schedule(docs: DataFrame, target_entropy: float | None = None, max_repeats: float | None = MAX_REPEATS,
@@ -166,19 +196,10 @@ def mix_schedule(docs: DataFrame, target_entropy: float | None = None, max_repea
     with scratch_scope(docs.sparkSession):
         rows = materialize(docs.select(*_rows(docs, doc_id, source, text)), "mix_rows")
         plan = materialize(_plan(rows, target_entropy, max_repeats, budget, seed), "mix_plan")
-        taken = _taken(rows, plan, seed).withColumn("bucket", _bucket(F.col("order"))).select(
-            "doc_id", "source", F.coalesce("source", F.lit("")).alias("s"), F.col("source").isNull().alias("no_source"),
-            "tokens", "source_tokens", "exponent", "weight", "ratio", "copy", "order", "bucket")
+        taken = _with_bucket(_taken(rows, plan, seed)).select(
+            "doc_id", "source", "s", "no_source", "tokens", "source_tokens", "exponent", "weight", "ratio", "copy", "order",
+            "bucket")
         taken = materialize(taken, "mix_taken", scope=held)
-    key = ["s", "no_source", "copy", "bucket"]
-    sums = taken.groupBy(*key).agg(F.sum("tokens").alias("n"))
-    before = sums.selectExpr(*key, "sum(n) over (partition by s, no_source, copy order by bucket) - n as before")
-    placed = taken.selectExpr("*", f"sum(tokens) over (partition by {', '.join(key)} order by `order`, doc_id "
-                              "rows between unbounded preceding and current row) - tokens as inside")
-    placed = placed.join(before, key).withColumn(
-        "start_token", F.col("copy") * F.col("source_tokens") + F.col("before") + F.col("inside"))
-    per_block = F.col("weight") * block_tokens
-    return placed.select(
+    return _placed(taken, _sums(taken), block_tokens).select(
         "doc_id", "source", F.col("tokens").alias("n_tokens"), "exponent", "weight", "ratio", "copy",
-        F.col("start_token").cast("long").alias("start_token"),
-        F.when(per_block > 0, F.floor(F.col("start_token") / per_block)).otherwise(0).cast("long").alias("block"))
+        F.col("start_token").cast("long").alias("start_token"), "block")

@@ -290,6 +290,15 @@ class BitSet:
         return (self.words[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
 
 
+def _plain(levels: list[dict]) -> list[dict]:
+    """The bit sets as numbers and arrays: a broadcast names classes, which workers may not be able to import."""
+    return [{k: (v.bits, v.words) for k, v in level.items()} for level in levels]
+
+
+def _made(levels: list[dict]) -> list[dict]:
+    return [{k: BitSet(*v) for k, v in level.items()} for level in levels]
+
+
 def _walk(hasher: Hasher, keys: np.ndarray, first: np.ndarray, levels: list[dict], more: int = 1):
     """Per level, from 1 on: positions whose context of that many words is gathered, the contexts'
     hashes, and a function for the hashes of the last words before and with the token. ``levels``
@@ -328,11 +337,12 @@ def _followers(train: DataFrame, levels: list[dict], head, more: int = 1) -> Dat
     root's probability where the token is in the head, else 0. Tokens that are not gathered after
     the context's suffix cannot be gathered after it, and are counted together. base: the
     part of the context that the levels done have. What no join needs is 0, which takes no space."""
-    shared = train.sparkSession.sparkContext.broadcast((levels, head))
+    shared = train.sparkSession.sparkContext.broadcast((_plain(levels), head))
     level = len(levels) + 1
 
     def run(batches):
         done, (words, root) = shared.value
+        done = _made(done)
         hasher, lookup = Hasher(), Lookup(words) if level == 1 else None
         parts, held = [], 0
 
@@ -584,13 +594,14 @@ def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     levels, factors = grow(train, vocab, model, share, divergence, depth)
     lowest, *often = _most_frequent(factors, HEAD_FACTORS)
     shared = spark.sparkContext.broadcast({"model": (model["head"], np.log10((model["head_n"] + ADD) / model["floor"])),
-                                           "often": often, "levels": levels})
+                                           "often": often, "levels": _plain(levels)})
     unseen = float(np.log10(ADD / model["floor"])) if model["total"] else 0.0
 
     def run(batches):
         held = shared.value
         if "lookups" not in held:
             held["lookups"] = Lookup(held["model"][0]), Lookup(held["often"][0])
+            held["sets"] = _made(held["levels"])
         (in_vocab, in_often), word_part = held["lookups"], held["model"][1]
         hasher, number = Hasher(), TaskContext.get().partitionId() << 40
         for batch in batches:
@@ -612,8 +623,8 @@ def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                     late_key.append(key[~yes])
                     return np.bincount(row[yes], held["often"][1][hit[yes]], b - a)
 
-                for d, (at, context, upto) in enumerate(_walk(hasher, keys, first, held["levels"][:-1]), 1):
-                    level = held["levels"][d - 1]
+                for d, (at, context, upto) in enumerate(_walk(hasher, keys, first, held["sets"][:-1]), 1):
+                    level = held["sets"][d - 1]
                     some, key = level["state"].has(context), upto(d)
                     tree += factor(of[at[some]], context[some] ^ _LEFT)
                     some &= level["pair"].has(key)

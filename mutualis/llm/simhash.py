@@ -25,6 +25,7 @@ from pyspark.sql import types as T
 
 from ..session import current_scope, materialize, scratch_scope
 from .components import components
+from .textcore import text_name
 
 SHINGLE = 3
 MAX_BITS = 2
@@ -189,8 +190,8 @@ def _spanning(fp: np.ndarray, d: np.ndarray, max_bits: int) -> np.ndarray:
 
 def _grouped(docs: DataFrame, doc_id: str, text: str, shingle: int, max_bits: int):
     """(documents: ``doc_id, fp``; fingerprints: ``fp, component``; groups: ``component, first``).
-    first is a group's smallest (no id, doc_id, text hash); all three are written tables."""
-    named = docs.select(F.col(doc_id).alias("doc_id"), F.hash(F.col(text)).alias("t"), F.col(text).alias("text"))
+    first is a group's smallest (no id, doc_id, name of the text); all three are written tables."""
+    named = docs.select(F.col(doc_id).alias("doc_id"), text_name(text).alias("t"), F.col(text).alias("text"))
     rows = materialize(fingerprints(named, "text", shingle, ["doc_id", "t"]), "fingerprints")
     low = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "t")).alias("first")
     held = current_scope()
@@ -221,13 +222,13 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
              shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """``docs`` with one document of each linked group: the one with the smallest id (of several
-    texts with that id, the one of smallest hash; of repeated rows, one). A document without an id
+    texts with that id, the one of the smallest name; of repeated rows, one). A document without an id
     stands only if its group has none with an id."""
     _, _, groups = _grouped(docs, doc_id, text, shingle, max_bits)
     # The same plain key without nulls for both steps, so that the texts are shuffled once at most.
     key = [F.col("id").isNull().alias("no_id"), F.coalesce("id", F.lit(0)).alias("some_id"), F.col("t")]
     kept = groups.select(F.col("first.doc_id").alias("id"), F.col("first.t").alias("t")).select(*key)
     packed = docs.select(F.struct(*[f"`{c}`" for c in docs.columns]).alias("row"),
-                         F.col(doc_id).alias("id"), F.hash(F.col(text)).alias("t")).select("row", *key)
+                         F.col(doc_id).alias("id"), text_name(text).alias("t")).select("row", *key)
     names = ["no_id", "some_id", "t"]
     return packed.join(kept, names, "left_semi").dropDuplicates(names).select("row.*")

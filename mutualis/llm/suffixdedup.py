@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from ..session import current_scope, materialize, scratch_scope
-from .textcore import Hasher, mix, text_chunks
+from .textcore import TEXT_NAME, Hasher, mix, text_chunks, text_name
 
 MIN_WORDS = 50
 KEY = 8     # words hashed to choose positions
@@ -73,7 +73,7 @@ def retained(hasher: Hasher, h: np.ndarray, end: np.ndarray, min_words: int):
 
 
 def _documents(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    return docs.select(F.col(doc_id).alias("doc_id"), F.hash(F.col(text)).alias("t"), F.col(text).alias("text"))
+    return docs.select(F.col(doc_id).alias("doc_id"), text_name(text).alias("t"), F.col(text).alias("text"))
 
 
 def _suffixes(rows: DataFrame, min_words: int) -> DataFrame:
@@ -95,12 +95,12 @@ def _suffixes(rows: DataFrame, min_words: int) -> DataFrame:
                     names=["doc_id", "t", "lo", "hi", "prefix", "whole"])
 
     kind = dict(rows.dtypes)["doc_id"]
-    return rows.mapInArrow(run, f"doc_id {kind}, t int, lo int, hi int, prefix long, whole long")
+    return rows.mapInArrow(run, f"doc_id {kind}, t {TEXT_NAME}, lo int, hi int, prefix long, whole long")
 
 
 def _passages(rows: DataFrame, ranges: DataFrame, min_words: int) -> DataFrame:
     """``(passage, doc_id, t, at)`` for the passages of some ranges of documents."""
-    per_doc = ranges.groupBy("doc_id", "t").agg(F.collect_list(F.struct("lo", "hi")).alias("ranges"))
+    per_doc = ranges.groupBy("doc_id", "t").agg(F.collect_set(F.struct("lo", "hi")).alias("ranges"))
     per_doc = per_doc.withColumnsRenamed({"doc_id": "_id", "t": "_t"})
     joined = rows.join(per_doc, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("t") == F.col("_t"))).select(
         "doc_id", "t", "text", "ranges")
@@ -128,7 +128,7 @@ def _passages(rows: DataFrame, ranges: DataFrame, min_words: int) -> DataFrame:
                     names=["passage", "doc_id", "t", "at"])
 
     kind = dict(rows.dtypes)["doc_id"]
-    return joined.mapInArrow(run, f"passage long, doc_id {kind}, t int, at int")
+    return joined.mapInArrow(run, f"passage long, doc_id {kind}, t {TEXT_NAME}, at int")
 
 
 def repeated_ranges(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
@@ -166,7 +166,7 @@ def _merged(ranges: DataFrame, min_words: int) -> DataFrame:
     """Per document the united word spans: ``(doc_id, t, spans array<struct<start, end,
     earlier_id, later>>)``. Spans of later places come first in their claim on words."""
     packed = ranges.groupBy("doc_id", "t").agg(
-        F.sort_array(F.collect_list(F.struct("lo", "hi", "earlier_id", "later"))).alias("r"))  # same result every run
+        F.sort_array(F.collect_set(F.struct("lo", "hi", "earlier_id", "later"))).alias("r"))  # same result every run
     span = T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType()),
                          T.StructField("earlier_id", ranges.schema["earlier_id"].dataType),
                          T.StructField("later", T.BooleanType())])
@@ -243,7 +243,7 @@ def drop_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     later = spans.select(F.col("doc_id").alias("cut_id"), F.col("t").alias("cut_t"), F.expr(
         "transform(filter(spans, s -> s.later), s -> struct(s.start, s.end))").alias("spans")).where("size(spans) > 0")
     packed = docs.select(F.struct(*[f"`{c}`" for c in docs.columns]).alias("row"), F.col(doc_id).alias("id"),
-                         F.hash(F.col(text)).alias("t"))
+                         text_name(text).alias("t"))
     joined = packed.join(later, F.col("id").eqNullSafe(F.col("cut_id")) & (F.col("t") == F.col("cut_t")), "left")
 
     @F.pandas_udf("string")

@@ -9,7 +9,17 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import Column
+from pyspark.sql import functions as F
 
+
+def text_name(column: str) -> Column:
+    """128 bits that stand for a text, and whether there is one: ``struct<a:bigint,b:bigint>``."""
+    c = F.col(column)
+    return F.struct(F.xxhash64(c).alias("a"), F.xxhash64(F.lit(1), c.isNull(), F.reverse(c)).alias("b"))
+
+
+TEXT_NAME = "struct<a:bigint,b:bigint>"  # type of a text's name
 CHUNK_BYTES = 1 << 18  # text handled at once; a longer document is a chunk of its own
 CHUNK_ROWS = 1024
 _BYTE_BASE = 0x9E3779B97F4A7C15

@@ -265,3 +265,73 @@ def test_lists_compare_as_strings(monkeypatch, modulus):
         (a, x), (b, y) = rng.choice(made), rng.choice(made)
         assert lists.less(a, b) == (x < y), (x, y)
         assert lists.text(a) == x
+
+
+# -- documents that a short hash takes for one another
+
+@pytest.fixture(scope="module")
+def alike(spark):
+    """A short and a long text, unrelated, that Spark's 32-bit hash takes for one another."""
+    from pyspark.sql import functions as F
+
+    def texts(kind, n):
+        rest = " ".join(f"{kind}{i}" for i in range(n - 1))
+        return spark.range(120_000).select(F.concat(F.col("id").cast("string"), F.lit(kind + " " + rest)).alias(kind)).withColumn(
+            "h", F.hash(kind))
+    met = texts("short", 60).join(texts("long", 206), "h").select("short", "long").first()
+    assert met is not None
+    return met["short"], met["long"]
+
+
+@pytest.mark.parametrize("ids", [(None, None), (7, 7)])
+def test_texts_of_equal_short_hash_are_two_documents(spark, alike, ids):
+    from mutualis.llm import simhash, suffixdedup
+    rows = list(zip(ids, alike))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r["text"] for r in simhash.keep_one(df).collect()} == set(alike)
+    assert simhash.keep_one(df.union(df)).count() == 2
+    # The long one repeats under another id: the short one must stay whole.
+    more = spark.createDataFrame([*rows, (9, alike[1]), (9, alike[1]), (5, alike[1]), (5, alike[1])], "doc_id long, text string")
+    left = suffixdedup.drop_repeats(more).collect()
+    assert [r["text"] for r in left if r["text"] == alike[0]] == [alike[0]]
+    # Repeated rows are one place: both rows of the first document stay.
+    assert sum(r["text"] == alike[1] for r in left) == (1 if ids[0] is None else 2)
+
+
+# -- the mix's rows in the order of its blocks
+
+def test_mixed_rows_lie_block_by_block(spark):
+    from pyspark.sql import functions as F
+
+    from mutualis.llm import mixing
+    docs = spark.range(600).select(
+        F.col("id").alias("doc_id"), F.concat_ws(" ", F.array_repeat(F.lit("w"), (F.col("id") % 17 + 1).cast("int"))).alias("text"),
+        F.when(F.col("id") % 10 < 7, "a").when(F.col("id") % 10 < 9, "b").alias("source"))
+    plan = mixing.mix_schedule(docs, block_tokens=200).collect()
+    blocks = defaultdict(list)
+    for r in plan:
+        blocks[r["doc_id"]].append(r["block"])
+    order = [r["doc_id"] for r in mixing.mix_documents(docs, block_tokens=200).collect()]
+    assert Counter(order) == Counter(r["doc_id"] for r in plan)
+    sizes = Counter(r["block"] for r in plan)
+    at = 0
+    for b in sorted(sizes):
+        here = order[at:at + sizes[b]]
+        at += sizes[b]
+        assert Counter(here) == Counter(r["doc_id"] for r in plan if r["block"] == b)
+    assert len(sizes) > 5
+
+
+def test_broadcasts_hold_plain_data_only(spark):
+    """Workers that cannot import this package can read what op10 sends them."""
+    import pickle
+    import subprocess
+    import sys
+
+    from mutualis.llm import pst
+    levels = [{"pair": pst.BitSet(12, np.arange(64, dtype=np.uint64))}]
+    data = pickle.dumps((pst._plain(levels), None))
+    code = "import sys, pickle; print(pickle.load(sys.stdin.buffer)[0][0]['pair'][0])"
+    res = subprocess.run([sys.executable, "-c", code], input=data, capture_output=True, cwd="/", timeout=60)
+    assert res.stdout.strip() == b"12", res.stderr
+    assert (pst._made(pst._plain(levels))[0]["pair"].words == levels[0]["pair"].words).all()
