@@ -15,11 +15,11 @@ Banding: five coordinates make a band. Sets at 0.85 share none of the 25 bands w
 of 1e-10); all others are verified on the full sets.
 
 Equal sets are one node, whatever the number of copies. Within a bucket not all pairs are made: first every
-member is paired with the bucket's first, a *star* (``STARS`` rounds: then members outside the first one's
-group are paired with the first of these). Only members that are in different groups after that are
-compared each with each, in blocks of ``BLOCK`` on either side (one side: the members outside the first
-group), and pairs emitted where sizes and sketches allow a link. So a bucket is never one task's, and
-a group of near-copies costs a pair a member, yet no pair that could link two groups is left out.
+member is paired with the bucket's first, a *star*, and these pairs are verified. Only members that are in
+different groups after that are compared each with each, in blocks of ``BLOCK`` on either side (one side: the
+members outside the first group); where sizes and sketches allow a link, the sets are intersected there.
+So a bucket is never one task's, and pairs that are handed on are fewer than the members, yet no pair that
+could link two groups is left out.
 
 Null text is empty. Documents without an id are linked like others; they give no name to a group unless it
 has no other. Repeated rows are copies. A text is handled as one chunk of its task whatever its length. An empty
@@ -43,7 +43,6 @@ PERCENT = 85
 SLOTS = 125
 BAND = 5
 AGREE = 75      # agreeing coordinates of a candidate
-STARS = 1       # star rounds
 BLOCK = 256     # members on either side that are compared at once
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _SEEDS = np.arange(1, 2 * SLOTS + 3, dtype=np.uint64) * _STEP  # one for each round, two for names of sets
@@ -188,11 +187,20 @@ def _labels(links: DataFrame, scope: Scratch) -> DataFrame:
         return materialize(components(links).select("node", F.col("component").alias("label")), "labels", scope=scope)
 
 
-def _across(members: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """Pairs ``(a, b)`` of members of a bucket with different labels that could be linked.
+def _near(label, n, marks, x, rest, percent: int) -> np.ndarray:
+    """Members of ``rest`` with another label than x whose size and sketch allow a link with x."""
+    some = rest[label[rest] != label[x]]
+    some = some[100 * np.minimum(n[some], n[x]) >= percent * np.maximum(n[some], n[x])]
+    return some[(marks[some] == marks[x]).sum(axis=1) >= AGREE]
+
+
+def _across(members: DataFrame, nodes: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
+    """Links ``(a, b)`` that join members of a bucket with different labels.
 
     ``members(key, node, label, other)``: other tells the members outside the first one's group. Others are dealt
-    to blocks, all members likewise; a task compares one block of others with one of all members."""
+    to blocks, all members likewise; a task compares one block of others with one of all members. First by
+    sizes and sketches, which gives the members (not the pairs) that have a candidate; then with the sets of
+    these, and of the pairs that are verified those that join two groups are emitted: fewer than the members."""
     count = members.groupBy("key").agg(F.ceil(F.sum(F.col("other").cast("int")) / BLOCK).cast("int").alias("bo"),
                                        F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("ba"))
     near = members.join(count, "key").join(nodes.select("node", "n", "marks"), "node")
@@ -202,23 +210,45 @@ def _across(members: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     right = near.select("*", F.pmod(cell, F.col("ba")).cast("int").alias("j"), F.lit(False).alias("first")).select(
         "*", F.explode(F.sequence(F.lit(0), F.col("bo") - 1)).alias("i"))
     names = ["key", "i", "j", "first", "node", "label", "n", "marks"]
+    cells = left.select(*names).union(right.select(*names))
 
-    def compare(table: pa.Table) -> pa.Table:
+    def sides(table: pa.Table):
         first = table.column("first").to_numpy(zero_copy_only=False)
-        node, label, n = (table.column(c).to_numpy() for c in ("node", "label", "n"))
-        marks = _marks(table.column("marks"))
-        rest, out = np.flatnonzero(~first), [np.zeros((0, 2), np.int64)]
-        for x in np.flatnonzero(first):
-            some = rest[label[rest] != label[x]]
-            some = some[100 * np.minimum(n[some], n[x]) >= percent * np.maximum(n[some], n[x])]
-            some = some[(marks[some] == marks[x]).sum(axis=1) >= AGREE]
-            out.append(np.stack([np.full(len(some), node[x]), node[some]], axis=1))
-        pairs = np.concatenate(out)
-        return pa.table({"a": pairs.min(axis=1) if len(pairs) else pairs[:, 0],
-                         "b": pairs.max(axis=1) if len(pairs) else pairs[:, 1]})
-
-    return left.select(*names).union(right.select(*names)).groupBy("key", "i", "j").applyInArrow(
-        compare, "a long, b long").distinct()
+        label, n = (table.column(c).to_numpy() for c in ("label", "n"))
+        return np.flatnonzero(first), np.flatnonzero(~first), label, n, _marks(table.column("marks"))
+
+    def involved(table: pa.Table) -> pa.Table:
+        one, rest, label, n, marks = sides(table)
+        yes = np.zeros(len(label), bool)
+        for x in one:
+            some = _near(label, n, marks, x, rest, percent)
+            yes[some] = True
+            yes[x] = len(some) > 0
+        return table.filter(pa.array(yes))
+
+    def verify(table: pa.Table) -> pa.Table:
+        one, rest, label, n, marks = sides(table)
+        label, node, keys = label.copy(), table.column("node").to_numpy(), table.column("keys").combine_chunks()
+        sets = [keys[i].values.to_numpy() for i in range(len(keys))]
+        out = []
+        for x in one:
+            for y in _near(label, n, marks, x, rest, percent):
+                if label[x] == label[y]:  # joined meanwhile
+                    continue
+                both = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
+                if 100 * both >= percent * (n[x] + n[y] - both):
+                    out.append((min(node[x], node[y]), max(node[x], node[y])))
+                    label[label == label[y]] = label[x]
+        pairs = np.array(out, np.int64).reshape(-1, 2)
+        return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
+
+    some = cells.groupBy("key", "i", "j").applyInArrow(
+        involved, "key long, i int, j int, first boolean, node long, label long, n long, marks binary")
+    some = materialize(some, "involved")
+    asked = materialize(some.select(F.col("node").alias("row")).distinct(), "asked")
+    sets = rows.select("row", "keys").join(asked, "row", "left_semi").withColumnRenamed("row", "node")
+    return some.join(materialize(sets, "sets"), "node").groupBy("key", "i", "j").applyInArrow(
+        verify, "a long, b long").distinct()
 
 
 def linked(rows: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
@@ -235,29 +265,20 @@ def linked(rows: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFram
         buckets = materialize(buckets.select("key", "a"), "buckets")
         members = materialize(members.join(buckets, "key").select("key", "node", "a"), "shared")
         pairs = members.where("node <> a").select("a", F.col("node").alias("b")).distinct()
-        links = labels = None
-        for star in range(STARS + 1):
-            found = _verified(materialize(_alike(pairs, data, percent), "candidates"), rows, percent)
-            found, seen = materialize(found, "links", {"n": F.count(F.lit(1))})
-            links = found if links is None else links.union(found)
-            if seen["n"] or labels is None:
-                labels = _labels(links, scope)
-            if star == STARS:
-                break
-            own = labels.withColumnRenamed("node", "a").withColumnRenamed("label", "first")
-            named = members.select("key", "node").join(labels, "node", "left").select(
-                "key", "node", F.coalesce("label", "node").alias("label"))
-            lead = buckets.join(own, "a", "left").select("key", F.coalesce("first", "a").alias("lead"))
-            named = named.join(lead, "key").select("key", "node", "label", (F.col("label") != F.col("lead")).alias("other"))
-            named = materialize(named, "labelled")
-            mixed = named.where("other").groupBy("key").agg(F.min("node").alias("a"))
-            mixed, left = materialize(mixed, "mixed", {"n": F.count(F.lit(1))})
-            if not left["n"]:
-                break
-            if star < STARS - 1:
-                pairs = named.where("other").join(mixed, "key").where("node <> a").select("a", F.col("node").alias("b")).distinct()
-            else:
-                pairs = _across(named.join(mixed.select("key"), "key", "left_semi"), data, percent)
+        links = materialize(_verified(materialize(_alike(pairs, data, percent), "candidates"), rows, percent), "links")
+        labels = _labels(links, scope)
+        own = labels.withColumnRenamed("node", "a").withColumnRenamed("label", "first")
+        lead = buckets.join(own, "a", "left").select("key", F.coalesce("first", "a").alias("lead"))
+        named = members.select("key", "node").join(labels, "node", "left").select(
+            "key", "node", F.coalesce("label", "node").alias("label"))
+        named = named.join(lead, "key").select("key", "node", "label", (F.col("label") != F.col("lead")).alias("other"))
+        named = materialize(named, "labelled")
+        mixed, left = materialize(named.where("other").select("key").distinct(), "mixed", {"n": F.count(F.lit(1))})
+        if left["n"]:
+            found = _across(named.join(mixed, "key", "left_semi"), data, rows, percent)
+            found, seen = materialize(found, "more_links", {"n": F.count(F.lit(1))})
+            if seen["n"]:
+                labels = _labels(links.union(found), scope)
         return nodes, labels
 
 

@@ -57,10 +57,9 @@ def near_copies(seed=3):
     return texts
 
 
-@pytest.mark.parametrize("block, stars", [(256, 2), (2, 1)])
-def test_linked_groups(spark, monkeypatch, block, stars):
+@pytest.mark.parametrize("block", [256, 2])
+def test_linked_groups(spark, monkeypatch, block):
     monkeypatch.setattr(minhash, "BLOCK", block)
-    monkeypatch.setattr(minhash, "STARS", stars)
     texts = near_copies()
     rows = [(i * 7 % 1009, t) for i, t in enumerate(texts)] + [(None, texts[5]), (None, "of its own kind here now"), (7, texts[5]), (7, texts[5])]
     df = spark.createDataFrame([(d, t, "n", 1, 2) for d, t in rows], "doc_id long, text string, node string, n int, label int")
