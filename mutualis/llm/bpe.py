@@ -35,7 +35,7 @@ from pyspark.sql import types as T
 from ..session import current_scope
 
 BLOCK = 1024          # bytes taken in before the buffer is merged again
-CACHE_BYTES = 24 << 20  # of each of the two generations of the word cache, about
+CACHE_BYTES = 72 << 20  # of each of the two generations of the word cache, about
 ENTRY_BYTES = 160     # of a cached word besides its letters and ids
 DECODE_IDS = 1 << 16  # ids decoded at a time
 _NO_RANK = 1 << 60
