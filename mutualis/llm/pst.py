@@ -320,76 +320,116 @@ def _walk(hasher: Hasher, keys: np.ndarray, first: np.ndarray, levels: list[dict
             at = at[levels[d - 1]["alive"].has(context)]
 
 
-def _add_rows(parts: list) -> list:
-    """Rows of equal first column added up: the second is a count, the others are the same."""
-    key, n, *rest = [np.concatenate(x) for x in zip(*parts)]
-    order = np.argsort(key)
-    key = key[order]
-    new = np.ones(len(key), bool)
-    new[1:] = key[1:] != key[:-1]
-    at = np.flatnonzero(new)
-    return [key[at], np.add.reduceat(n[order], at) if len(at) else n, *[x[order[at]] for x in rest]]
+def _often(train: DataFrame, levels: list[dict], more: int, least: float):
+    """``(key, n)``, written, and how many: the contexts of the ``more`` levels after ``levels``, and these with a
+    token after them, that are found ``least`` times. A context's key is told apart by ``_LEFT``. Tokens that are
+    not gathered after the context's suffix cannot be gathered after it, and count for the context only."""
+    shared = train.sparkSession.sparkContext.broadcast(_plain(levels))
+    current_scope().broadcasts.append(shared)
+    level = len(levels) + 1
+
+    def run(batches):
+        done, hasher, tally = _made(shared.value), Hasher(), Tally()
+        for batch in batches:
+            for _, _, data, bounds in text_chunks(batch.column(0)):
+                for d, at, context, upto in _after(hasher, data, bounds, done, more):
+                    yield from tally.add(context ^ _LEFT)
+                    yes = done[-1]["pair"].has(upto(level - 1)) if done else np.ones(len(at), bool)
+                    yield from tally.add(upto(d)[yes])
+        yield from tally.flush()
+
+    counts = train.mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    return materialize(counts.where(F.col("n") >= least), f"often{level}", {"m": F.count(F.lit(1))})
+
+
+def _after(hasher: Hasher, data: np.ndarray, bounds: np.ndarray, done: list[dict], more: int):
+    """``_walk`` over a chunk, the levels after the done ones only: (level, positions, contexts, hashes)."""
+    keys, first = sequences(hasher, data, bounds)
+    for d, (at, context, upto) in enumerate(_walk(hasher, keys, first, done, more), 1):
+        if d > len(done) and len(at):
+            yield d, at, context, upto
+
+
+def _different(parts: list) -> list:
+    """Rows of different first columns."""
+    columns = [np.concatenate(x) for x in zip(*parts)]
+    at = np.unique(columns[0], return_index=True)[1]
+    return [x[at] for x in columns]
 
 
-def _followers(train: DataFrame, levels: list[dict], head, more: int = 1) -> DataFrame:
+def _followers(train: DataFrame, levels: list[dict], head, more: int, least: float) -> DataFrame:
     """``(key, n, ctx, suffix, q, base, level)`` of the ``more`` levels after ``levels``: how often a token follows a
-    context. key: context and token; suffix: the same without the first word; q: at level 1 the
-    root's probability where the token is in the head, else 0. Tokens that are not gathered after
-    the context's suffix cannot be gathered after it, and are counted together. base: the
-    part of the context that the levels done have. What no join needs is 0, which takes no space."""
-    shared = train.sparkSession.sparkContext.broadcast((_plain(levels), head))
+    context; key: context and token (null: n is the context's own count); suffix: the same without the first word;
+    q: at level 1 the root's probability where the token is in the head, else 0; base: the part of the context that
+    the levels done have. What no join needs is 0, which takes no space.
+
+    Keys are counted first; only those found ``least`` times are looked up in the text again for the rest of the row."""
+    counts, stats = _often(train, levels, more, least)
+    often = BitSet.of(counts, "key", stats["m"])
+    shared = train.sparkSession.sparkContext.broadcast((_plain([*levels, {"often": often}]), head))
+    current_scope().broadcasts.append(shared)
     level = len(levels) + 1
 
     def run(batches):
         done, (words, root) = shared.value
-        done = _made(done)
+        *done, found_often = _made(done)
+        found_often = found_often["often"]
         hasher, lookup = Hasher(), Lookup(words) if level == 1 else None
         parts, held = [], 0
 
         def send(rows):
-            key, n, ctx, suffix, q, base, number = rows
+            key, ctx, suffix, q, base, number = rows
             return pa.RecordBatch.from_arrays(
-                [pa.array(key.view(np.int64)), pa.array(n), pa.array(ctx.view(np.int64)),
-                 pa.array(suffix.view(np.int64)), pa.array(q), pa.array(base.view(np.int64)), pa.array(number)],
-                names=["key", "n", "ctx", "suffix", "q", "base", "level"])
+                [pa.array(key.view(np.int64)), pa.array(ctx.view(np.int64)), pa.array(suffix.view(np.int64)),
+                 pa.array(q), pa.array(base.view(np.int64)), pa.array(number)],
+                names=["key", "ctx", "suffix", "q", "base", "level"])
 
         for batch in batches:
             for _, _, data, bounds in text_chunks(batch.column(0)):
                 keys, first = sequences(hasher, data, bounds)
                 for d, (at, context, upto) in enumerate(_walk(hasher, keys, first, done, more), 1):
-                    if d < level or not len(at):
+                    if d < level:
                         continue
-                    q = np.zeros(len(at))
-                    suffix, key, base = keys[at], upto(d), context
+                    some = found_often.has(context ^ _LEFT)
+                    at, context = at[some], context[some]
+                    base = upto(level - 2, at - 1) if more > 1 else np.zeros(len(at), np.uint64)
+                    number, none = np.full(len(at), d, np.int32), np.zeros(len(at))
+                    parts.append(_different([(context ^ _LEFT, context, none.astype(np.uint64), none, base, number)]))
+                    key = upto(d, at)
+                    some = found_often.has(key)
+                    if level > 1:
+                        some &= done[-1]["pair"].has(upto(level - 1, at))
+                    at, q = at[some], none[some]
                     if level == 1:
-                        found = lookup.find(keys[at])
-                        q[found >= 0] = root[found[found >= 0]]
-                        suffix = np.where(found >= 0, np.uint64(0), suffix)
+                        suffix = keys[at]
+                        in_head = lookup.find(suffix)
+                        q[in_head >= 0] = root[in_head[in_head >= 0]]
+                        suffix = np.where(in_head >= 0, np.uint64(0), suffix)
                     else:
-                        suffix, base = upto(d - 1), upto(level - 2, at - 1)
-                        yes = done[-1]["pair"].has(upto(level - 1))
-                        key, suffix = np.where(yes, key, context ^ _LEFT), np.where(yes, suffix, np.uint64(0))
-                    parts.append((key, np.ones(len(at), np.int64), context, suffix, q, base, np.full(len(at), d, np.int32)))
-                    held += len(at)
+                        suffix = upto(d - 1, at)
+                    parts.append(_different([(key[some], context[some], suffix, q, base[some], number[some])]))
+                    held += len(parts[-1][0]) + len(parts[-2][0])
                 if held > FLUSH:
-                    parts = [_add_rows(parts)]
+                    parts = [tuple(_different(parts))]
                     held = len(parts[0][0])
                     if held > MOST:
                         yield send(parts[0])
                         parts, held = [], 0
         if parts:
-            yield send(_add_rows(parts))
+            yield send(_different(parts))
 
-    rows = train.mapInArrow(run, "key long, n long, ctx long, suffix long, q double, base long, level int")
-    return rows.groupBy("key").agg(F.sum("n").alias("n"), *[
-        F.min(x).alias(x) for x in ("ctx", "suffix", "q", *(("base", "level") if more > 1 else ()))])
+    rows = train.mapInArrow(run, "key long, ctx long, suffix long, q double, base long, level int")
+    names = ("ctx", "suffix", "q", *(("base", "level") if more > 1 else ()))
+    rows = rows.groupBy("key").agg(*[F.min(x).alias(x) for x in names]).join(counts, "key")
+    pair = F.col("key") != F.col("ctx").bitwiseXOR(F.lit(int(_LEFT)))
+    return rows.select(F.when(pair, F.col("key")).alias("key"), "n", *names)
 
 
 def _level(counts: DataFrame, pairs: DataFrame, divergence: float, level: int):
     """(contexts that are states or extended: ``ctx, c, left, state, alive``; their gathered tokens:
     ``key, ctx, n, q, p, left, state, alive``; counts). q is the probability in the shorter state, p
     in the longest state up to the context, left the mass that a state leaves to the shorter one.
-    ``counts(ctx, n)``: partial counts of all contexts. ``pairs``: written ``(key, ctx, n, q)``."""
+    ``counts(ctx, c)``: the contexts' own counts. ``pairs``: written ``(key, ctx, n, q)``."""
     n, q, z = F.col("n"), F.col("q"), 0.9 * divergence
 
     def over(n, r):  # n max(0, log(r / z) - 1)
@@ -398,7 +438,7 @@ def _level(counts: DataFrame, pairs: DataFrame, divergence: float, level: int):
     sums = pairs.groupBy("ctx").agg(
         F.sum("n").alias("kept"), F.sum("q").alias("kept_q"), F.sum(n * F.log(n / q)).alias("g"),
         F.sum(n * F.log(n)).alias("nl"), F.sum(-n * F.log(q)).alias("most"), F.sum(over(n, n / q)).alias("over"))
-    sums = sums.join(counts.groupBy("ctx").agg(F.sum("n").alias("c")), "ctx")
+    sums = sums.join(counts, "ctx")
     c, kept = F.col("c"), F.col("kept")
     rest, rest_q = c - kept, F.greatest(1 - F.col("kept_q"), F.lit(1e-12))
     left = 1 - kept / (c + KAPPA)
@@ -426,7 +466,7 @@ def _level(counts: DataFrame, pairs: DataFrame, divergence: float, level: int):
 def _test_levels(t: dict, start: int, last: int, divergence: float):
     """``_level`` for the levels ``start`` to ``last`` of some contexts, in arrays: yields (level,
     contexts: ctx, c, left, state, alive; pairs: key, n, added, p) of each. ``t`` has the columns of
-    the pairs (key set), of partial counts of contexts (key null) and of what is known of the level
+    the pairs (key set), of the contexts' own counts (key null) and of what is known of the level
     before (level start - 1: key, p)."""
     known = t["level"] == start - 1
     order = np.argsort(t["key"][known])
@@ -438,8 +478,8 @@ def _test_levels(t: dict, start: int, last: int, divergence: float):
     for d in range(start, last + 1):
         here = t["level"] == d
         ctx, number = np.unique(t["ctx"][here], return_inverse=True)
-        c = np.bincount(number, t["n"][here], len(ctx))
         pair = t["paired"][here]
+        c = np.bincount(number[~pair], t["n"][here][~pair], len(ctx))
         key, n, number, suffix = t["key"][here][pair], t["n"][here][pair].astype(float), number[pair], t["suffix"][here][pair]
         at = np.minimum(np.searchsorted(keys, suffix), max(len(keys) - 1, 0))
         there = keys[at] == suffix if len(keys) else np.zeros(len(suffix), bool)
@@ -514,10 +554,8 @@ def grow(train: DataFrame, vocab: DataFrame, model: dict, share: float = 0.0, di
     while len(levels) < depth:
         level = len(levels) + 1
         with scratch_scope(train.sparkSession):
-            rows = _followers(train, levels, (model["head"], root) if level == 1 else (None, None), more)
-            often = (F.col("n") >= least) & (F.col("key") != F.col("ctx").bitwiseXOR(F.lit(int(_LEFT))))
-            rows = materialize(rows.select("ctx", "n", *(("base", "level") if more > 1 else ()), *[
-                F.when(often, F.col(x)).alias(x) for x in ("key", "suffix", "q")]), f"counts{level}")
+            rows = _followers(train, levels, (model["head"], root) if level == 1 else (None, None), more, least)
+            rows = materialize(rows, f"counts{level}")
             if more > 1:
                 tested, stats = _levels(rows, before, divergence, level, level + more - 1)
                 own, pair = F.col("own"), ~F.col("own")
@@ -546,7 +584,7 @@ def grow(train: DataFrame, vocab: DataFrame, model: dict, share: float = 0.0, di
                 some = before.select(F.col("key").alias("suffix"), "p")
                 pairs = pairs.join(some, "suffix").select("key", "ctx", "n", F.col("p").alias("q"))
             pairs, seen = materialize(pairs, f"pairs{level}", {"n": F.count(F.lit(1))})
-            kept, after, stats = _level(rows.select("ctx", "n"), pairs, divergence, level)
+            kept, after, stats = _level(rows.where("key is null").select("ctx", F.col("n").alias("c")), pairs, divergence, level)
             levels.append({"pair": BitSet.of(pairs, "key", seen["n"]),
                            "alive": BitSet.of(kept.where("alive"), "ctx", stats["alive"]),
                            "state": BitSet.of(kept.where("state"), "ctx", stats["states"])})
