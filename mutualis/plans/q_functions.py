@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import shared_count, tab_line
 from ..functions.udfs import reciprocal_udf, shared_count_udf, tab_line_udf, to_float_udf
-from ..operators import clean_edges, lists, mean_ratings, ratings_for
+from ..operators import clean_edges, edges_from_adjacency, lists, mean_ratings, ratings_for, reciprocal_pairs
 from ..sources import tables, text
 from . import sql as S
 from .catalog import adjacency, ids_text, lines, query
@@ -191,6 +191,21 @@ def array_intersect_size_narrow(spark, sf_dir):
     return _intersect_sizes(adjacency(spark, sf_dir, "adjacency_narrow"), 8)
 
 
+@query("array_intersect_size_bitmap", _ALL_COUNTS)
+def array_intersect_size_bitmap(spark, sf_dir):
+    """The same over lists packed into compressed bitmap blocks."""
+    adj = adjacency(spark, sf_dir)
+    return lists.shared_by_bitmaps(edges_from_adjacency(adj), lists.listed_pairs(adj))
+
+
+@query("array_intersect_size_hubs", f"""{S.mutual(S.COSUPPLY_EDGES)}
+SELECT p.id1, p.id2, COALESCE(c.n, 0) AS n FROM p LEFT JOIN c ON c.id1 = p.id1 AND c.id2 = p.id2""")
+def array_intersect_size_hubs(spark, sf_dir):
+    """The same where every link goes both ways and suppliers list most parts: long, dense lists."""
+    edges = tables.cosupply(spark, sf_dir)
+    return lists.shared_by_bitmaps(edges, reciprocal_pairs(edges))
+
+
 @query("pred_boolean", """
 SELECT l_orderkey, l_linenumber,
        (l_partkey <> l_suppkey AND l_quantity > 25) OR l_linenumber = 1 AS flag,

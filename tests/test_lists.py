@@ -1,6 +1,8 @@
 """Row-form list operators on the one-line-per-user layout: ids in any order, on both sides of the
 block limit, repeated, with empty lists and users on several lines."""
 
+import random
+
 import pytest
 
 from mutualis.functions import is_reciprocal, shared_count
@@ -84,3 +86,40 @@ def test_strict_parsing_does_not_depend_on_the_session(spark, ansi):
             assert got[1] == [] if line == "1" else any(v is None or isinstance(v, list) and None in v for v in got)
     finally:
         spark.conf.set("spark.sql.ansi.enabled", old)
+
+
+def test_bitmaps_equal_sets(spark):
+    """Ids on both sides of 0, of word and block limits and far out, repeated, null and the user's own."""
+    rnd = random.Random(5)
+    ids = [0, 1, -1, 63, 64, -64, -65, 4095, 4096, -4096, -4097, 1 << 40, -(1 << 62), (1 << 63) - 1, -(1 << 63), *range(200, 330)]
+    users = {u: {rnd.choice(ids) for _ in range(rnd.choice([0, 1, 5, 90]))} for u in ids[:24]}
+    users[63] = set(ids)  # dense
+    rows = [(u, x) for u, own in users.items() for x in [*own, *own, u]] + [(None, 1), (1, None)]
+    edges = spark.createDataFrame(rows, "src bigint, dst bigint")
+    blocks = lists.bitmap_blocks(edges).collect()
+    got = {}
+    for r in blocks:
+        words = [i for i in range(64) if r["mask"] >> i & 1]
+        assert len(words) == len(r["words"]) and all(r["words"])
+        for w, bits in zip(words, r["words"]):
+            got.setdefault(r["userid"], []).extend(r["blk"] * 4096 + w * 64 + b for b in range(64) if bits >> b & 1)
+    users = {u: own - {u} for u, own in users.items()}
+    assert {u: sorted(x) for u, x in got.items()} == {u: sorted(own) for u, own in users.items() if own}
+    pairs = [(a, b) for a in users for b in users if a < b]
+    frame = spark.createDataFrame(pairs, "id1 bigint, id2 bigint")
+    counts = {(r["id1"], r["id2"]): r["n"] for r in lists.shared_by_bitmaps(edges, frame).collect()}
+    assert counts == {(a, b): len(users[a] & users[b]) for a, b in pairs}
+    assert any(counts.values()) and not all(counts.values())
+    assert lists.shared_by_bitmaps(edges.limit(0), frame.limit(0)).count() == 0
+
+
+def test_bitmaps_stay_in_built_ins(spark):
+    """A dense list takes a small part of an id array's bytes; no Python and no nested loop in the plan."""
+    edges = spark.range(20_000).selectExpr("id % 2 as src", "id div 2 + 10 as dst")
+    words = sum(1 + len(r["words"]) for r in lists.bitmap_blocks(edges).collect())
+    assert words * 8 < 20_000 * 8 / 50
+    frame = spark.createDataFrame([(0, 1)], "id1 bigint, id2 bigint")
+    out = lists.shared_by_bitmaps(edges, frame)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert not any(x in plan for x in ("Python", "Arrow", "NestedLoop", "Cartesian"))
+    assert [tuple(r) for r in out.collect()] == [(0, 1, 10_000)]
