@@ -12,7 +12,7 @@ parts m of its suffix's counts n, and sum m log(m / (M q)) over parts is at most
 at most z + sum n max(0, log(n / (z q)) - 1) for any z > 0; a context with either below the
 divergence has no state among its extensions, so nothing is lost by leaving it (``_level``). Where the
 contexts to extend hold few of the tokens, several levels are counted in one pass over the text, as
-many as keep the counts below one for BATCH training tokens. The contexts that extend one context need no
+many as keep the positions looked at below one for BATCH training tokens. The contexts that extend one context need no
 others then, so these levels are tested in a task for each share of the contexts (``_levels``).
 
 Smoothing: a state gives a gathered token n / (c + KAPPA) (n its count there, c the state's) and
@@ -42,14 +42,14 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import current_scope, materialize, scratch_scope
+from ..session import Scratch, current_scope, materialize, scratch_scope
 from .textcore import Hasher, Lookup, text_chunks
 
 SHARE = 1e-5        # of the training tokens: least share of a pair or triple in ``fit``
 LEAST = 2           # least count of a token after a context
 DEPTH = 64          # words of a context, at most: a guard, the tests end growth before
 HEAD_FACTORS = 1 << 20  # factors that are broadcast, at most
-BATCH = 8           # levels are counted together while that gives at most one count for so many tokens
+BATCH = 2           # levels are counted together while that gives at most one position for so many tokens
 SET_BITS = 27       # a bit set has 2^27 bits at most
 HEAD_SHARE = 5e-7   # least share of a word that is broadcast
 DIVERGENCE = 20.0   # nats
@@ -550,10 +550,13 @@ def grow(train: DataFrame, vocab: DataFrame, model: dict, share: float = 0.0, di
     that a state leaves (its key: the context's) and of what it adds to that for a gathered token."""
     least = max(LEAST, share * model["total"])
     levels, factors, before, scope, more = [], None, None, current_scope(), 1
+    alive = Scratch()
     root = (model["head_n"] + ADD) / model["floor"]
     while len(levels) < depth:
         level = len(levels) + 1
         with scratch_scope(train.sparkSession):
+            current_scope().folders += alive.folders  # the level before goes when this one is done
+            alive = Scratch()
             rows = _followers(train, levels, (model["head"], root) if level == 1 else (None, None), more, least)
             rows = materialize(rows, f"counts{level}")
             if more > 1:
@@ -571,7 +574,7 @@ def grow(train: DataFrame, vocab: DataFrame, model: dict, share: float = 0.0, di
                 # The contexts of the last level: their pairs come from its counts.
                 ends = tested.where(pair & F.col("alive") & (F.col("level") == level + more - 1)).select("key", "p")
                 before = materialize(rows.select("key", "ctx").join(ends, "key").select("key", "ctx", "p"),
-                                     f"alive{level}", scope=scope)
+                                     f"alive{level}", scope=alive)
                 more = min(depth - len(levels), max(1, model["total"] // (BATCH * stats["tokens"])))
                 continue
             pairs = rows.where("key is not null")
@@ -591,11 +594,12 @@ def grow(train: DataFrame, vocab: DataFrame, model: dict, share: float = 0.0, di
             added = after.where("state").select("key", "n", F.log10(F.col("p") / (F.col("left") * F.col("q"))).alias("value"))
             own = kept.where("state").select(F.col("ctx").bitwiseXOR(F.lit(int(_LEFT))), "c", F.log10("left"))
             own = materialize(added.union(own), f"factors{level}", scope=scope)
-            before = materialize(after.where("alive").select("key", "ctx", "p"), f"alive{level}", scope=scope)
+            before = materialize(after.where("alive").select("key", "ctx", "p"), f"alive{level}", scope=alive)
         factors = own if factors is None else factors.union(own)
         if not stats["alive"]:
             break
         more = min(depth - len(levels), max(1, model["total"] // (BATCH * stats["tokens"])))
+    scope.folders += alive.folders
     return levels, factors
 
 
