@@ -28,8 +28,6 @@ Words are identified by a 64-bit hash, contexts and tokens after them likewise.
 least HEAD_SHARE of the training tokens (at most 1/HEAD_SHARE of them) are scored where the text is;
 the others' counts are joined from the vocabulary table.
 
-``fit`` and ``Scorer`` hold the tree of the pairs and triples of a given share in arrays.
-
 Null text is empty: one token, the end. A null id is read as an empty text and so is held out.
 Repeated rows are scored one by one. Without any training token every probability is 1.
 """
@@ -45,9 +43,8 @@ from pyspark.sql import functions as F
 from ..session import Scratch, current_scope, materialize, scratch_scope
 from .textcore import Hasher, Lookup, text_chunks
 
-SHARE = 1e-5        # of the training tokens: least share of a pair or triple in ``fit``
 LEAST = 2           # least count of a token after a context
-DEPTH = 64          # words of a context, at most: a guard, the tests end growth before
+DEPTH = 64          # words of a context, at most
 HEAD_FACTORS = 1 << 20  # factors that are broadcast, at most
 BATCH = 2           # levels are counted together while that gives at most one position for so many tokens
 SET_BITS = 27       # a bit set has 2^27 bits at most
@@ -120,25 +117,6 @@ def _count(rows: DataFrame, keys_of, name: str) -> DataFrame:
     return rows.mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
 
 
-def _core_at(core: Lookup, keys: np.ndarray, first: np.ndarray):
-    """Core number of every token (-1: not in the core) and of the one and two tokens before it in
-    the same document."""
-    at = core.find(keys)
-    back1, back2 = np.full(len(keys), -1, np.int64), np.full(len(keys), -1, np.int64)
-    back1[1:] = at[:-1]
-    back1[first[:-1]] = -1
-    back2[1:] = back1[:-1]
-    back2[first[:-1]] = -1
-    return at, back1, back2
-
-
-def _packed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """One key for two numbers; the largest key, which is never stored, where one is missing."""
-    key = (a.astype(np.uint64) << np.uint64(32)) | b.astype(np.uint64)
-    key[(a < 0) | (b < 0)] = np.uint64(0xFFFFFFFFFFFFFFFF)
-    return key
-
-
 def _bounded(counts: DataFrame, least: float):
     """The keys counted at least ``least`` times, sorted, with their counts, on the driver: at most
     the number of tokens divided by ``least``."""
@@ -148,24 +126,6 @@ def _bounded(counts: DataFrame, least: float):
     return keys[order], got["n"].to_numpy()[order]
 
 
-def _states(context: np.ndarray, n: np.ndarray, parent: np.ndarray, total: np.ndarray, divergence: float):
-    """Which contexts become states, and the mass that each leaves to the shorter state.
-
-    Per gathered (context, token): the context's number, the count, the shorter state's probability.
-    ``total``: count of each context.
-    """
-    size = len(total)
-    p = n / total[context]
-    kl = np.bincount(context, p * np.log(p / parent), size)
-    rest = np.maximum(1 - np.bincount(context, p, size), 0)
-    rest_parent = np.maximum(1 - np.bincount(context, parent, size), 1e-12)
-    kl += np.where(rest > 0, rest * np.log(np.maximum(rest, 1e-300) / rest_parent), 0)
-    kept = np.bincount(context, n, size)
-    is_state = (kept > 0) & (total * kl >= divergence)
-    left = np.where(is_state, 1 - kept / (total + KAPPA), 1.0)
-    return is_state, left
-
-
 def vocabulary(train: DataFrame):
     """(table ``(key, n)`` of all tokens, model: totals and the head in arrays)."""
     def every():
@@ -181,94 +141,6 @@ def vocabulary(train: DataFrame):
                    "head_least": head_least}
 
 
-def fit(train: DataFrame, share: float = SHARE, divergence: float = DIVERGENCE):
-    """(model, vocabulary table) from ``train(text)``; the model is a dict of numpy arrays, bounded
-    by 1/share and 1/HEAD_SHARE entries."""
-    vocab, model = vocabulary(train)
-    head, head_n, floor = model["head"], model["head_n"], model["floor"]
-    least = max(2.0, share * model["total"])
-    in_core = head_n >= least
-    core, core_n = head[in_core], head_n[in_core]
-    sc = train.sparkSession.sparkContext
-    shared = sc.broadcast(core)
-
-    def two():
-        lookup = Lookup(shared.value)
-
-        def make(keys, first):
-            at, back1, _ = _core_at(lookup, keys, first)
-            both = (at >= 0) & (back1 >= 0)
-            return _packed(back1[both], at[both])
-        return make
-
-    pairs, pair_n = _bounded(_count(train, two, "pairs"), least)
-    s, t = (pairs >> np.uint64(32)).astype(np.int64), (pairs & np.uint64(0xFFFFFFFF)).astype(np.int64)
-    root = (core_n + ADD) / floor
-    state1, left1 = _states(s, pair_n, root[t], core_n, divergence) if len(core) else (np.zeros(0, bool), np.zeros(0))
-    gain1 = np.where(state1[s], pair_n / (core_n[s] + KAPPA), 0.0) if len(pairs) else np.zeros(0)
-    shared2 = sc.broadcast((core, pairs))
-
-    def three():
-        words, contexts = shared2.value
-        words, contexts = Lookup(words), Lookup(contexts)
-
-        def make(keys, first):
-            at, back1, back2 = _core_at(words, keys, first)
-            some = np.flatnonzero((at >= 0) & (back1 >= 0) & (back2 >= 0))
-            context = contexts.find(_packed(back2[some], back1[some]))
-            some, context = some[context >= 0], context[context >= 0]
-            return _packed(context, at[some])
-        return make
-
-    triples, triple_n = _bounded(_count(train, three, "triples"), least)
-    c, u = (triples >> np.uint64(32)).astype(np.int64), (triples & np.uint64(0xFFFFFFFF)).astype(np.int64)
-    if len(triples):
-        # The shorter state's probability of u after the context's second word.
-        word = t[c]
-        found = Lookup(pairs).find(_packed(word, u))
-        shorter = np.where(found >= 0, gain1[found], 0.0) + left1[word] * root[u]
-        state2, left2 = _states(c, triple_n, shorter, pair_n, divergence)
-        gain2 = np.where(state2[c], triple_n / (pair_n[c] + KAPPA), 0.0)
-    else:
-        state2, left2, gain2 = np.zeros(len(pairs), bool), np.ones(len(pairs)), np.zeros(0)
-    model |= {"core": core, "pairs": pairs, "left1": left1, "gain1": gain1, "state1": state1,
-              "triples": triples, "left2": left2, "gain2": gain2, "state2": state2}
-    return model, vocab
-
-
-class Scorer:
-    """Scores chunks with a model; keeps its lookup tables for the worker's later tasks."""
-
-    def __init__(self, model: dict):
-        self.m = model
-        self.head, self.core = Lookup(model["head"]), Lookup(model["core"])
-        self.pairs, self.triples = Lookup(model["pairs"]), Lookup(model["triples"])
-
-    def probability(self, keys: np.ndarray, first: np.ndarray):
-        """(head number or -1, root probability, probability) of every token; for tokens outside
-        the head both without the root's factor."""
-        m = self.m
-        in_head = self.head.find(keys)
-        root = np.ones(len(keys))
-        known = in_head >= 0
-        root[known] = (m["head_n"][in_head[known]] + ADD) / m["floor"]
-        at, back1, back2 = _core_at(self.core, keys, first)
-        p = root.copy()
-        some = np.flatnonzero(back1 >= 0)
-        p[some] *= m["left1"][back1[some]]
-        pair = self.pairs.find(_packed(back1[some], at[some]))
-        hit = pair >= 0
-        p[some[hit]] += m["gain1"][pair[hit]]
-        some = np.flatnonzero((back1 >= 0) & (back2 >= 0))
-        context = self.pairs.find(_packed(back2[some], back1[some]))
-        some, context = some[context >= 0], context[context >= 0]
-        p[some] *= m["left2"][context]
-        triple = self.triples.find(_packed(context, at[some]))
-        hit = triple >= 0
-        p[some[hit]] += m["gain2"][triple[hit]]
-        return in_head, root, p
-
-
 class BitSet:
     """Top bits of 64-bit hashes: says yes for every member, and for few others."""
 

@@ -2,20 +2,25 @@
 
 A sparse suffix array: of every document only the suffixes are retained that start at minimiser
 positions, chosen by content (the smallest hash of KEY words among the places where a passage's
-first HEAD words could hold it), so that equal passages retain suffixes at the same places. Sorted
-by their first words, neighbours that share no prefix as long as every repeat through them must have
-are dropped. The rest are extended to the left and to the right: first by everything that any
+first HEAD words could hold it), so that equal passages retain suffixes at the same places. They are
+sorted (``_array``): by the hash of their first words, as many as every repeat through a suffix must
+share with it, and ties by the hash of all that such a repeat can touch, then by place. In that order
+suffixes with a common prefix of that length are neighbours; one whose prefix is neither that of the
+suffix before it nor of the one after it is dropped. The rest are extended to the left and to the right: first by everything that any
 repeat through the suffix can touch (suffixes equal in all of it are one class), then, for one
 suffix of each class, word by word, as the hashes of the passages through it. So the result is
 exact (up to 64-bit hashes): a passage of ``min_words`` words is repeated if it occurs at two
 places in the table, and its first place, by (doc_id, text hash, position), is the one to keep.
 
-Sorting and comparing is done by Spark's shuffles on the prefix, in tables: a prefix that a third of
-all suffixes share is aggregated on the map side and split in the joins; no list of a passage's
-occurrences is ever built, and copies are not paired with each other.
+The array lies in range partitions of the whole order, so a prefix that a third of all suffixes share
+takes many partitions; a task compares neighbours as a stream, and the first and last suffix of every
+partition are matched with those of the others. Classes are aggregated on the map side; no list of a
+passage's occurrences is ever built, and copies are not paired with each other.
 
 Words are runs outside ASCII white space, compared as they are. Null and short texts have no
-passage. Rows that repeat both id and text are one document. Null ids order first.
+passage. Rows that repeat both id and text are one document. Null ids order first. An empty table
+gives no rows. A very long text is one chunk of a task's memory (its words' hashes, 8 bytes each). Other
+columns of the table, whatever their names, are carried by ``drop_repeats`` and not looked at.
 """
 
 from __future__ import annotations
@@ -98,6 +103,56 @@ def _suffixes(rows: DataFrame, min_words: int) -> DataFrame:
     return rows.mapInArrow(run, f"doc_id {kind}, t {TEXT_NAME}, lo int, hi int, prefix long, whole long")
 
 
+_ORDER = ["prefix", "whole", "doc_id", "t", "lo", "hi"]
+
+
+def _array(suffixes: DataFrame) -> DataFrame:
+    """The sorted suffixes that share their prefix with a neighbour in their partition, and the first and
+    last one of every partition: ``(*_ORDER, edge, alone)``. edge: first or last; alone: no neighbour in the
+    partition shares the prefix."""
+    def run(batches):
+        pending = before = None  # the row that waits for its next one, and the prefix of the row before it
+
+        def rows(batch, last):
+            prefix = batch.column("prefix").to_numpy()
+            shared = np.zeros(len(prefix) + 1, bool)  # with the row before
+            shared[0] = before is not None and prefix[0] == before
+            shared[1:-1] = prefix[1:] == prefix[:-1]
+            edge = np.zeros(len(prefix), bool)
+            edge[0], edge[-1] = before is None, last
+            alone = ~(shared[:-1] | shared[1:])
+            ready = np.arange(len(prefix) if last else len(prefix) - 1)
+            took = ready[(~alone | edge)[ready]]
+            return pa.RecordBatch.from_arrays(
+                [*batch.take(pa.array(took)).columns, pa.array(edge[took]), pa.array(alone[took])],
+                names=[*_ORDER, "edge", "alone"])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            if pending is not None:
+                batch = pa.Table.from_batches([pending, batch]).combine_chunks().to_batches()[0]
+            if batch.num_rows > 1:
+                yield rows(batch, False)
+                before = batch.column("prefix")[batch.num_rows - 2].as_py()
+            pending = batch.slice(batch.num_rows - 1)
+        if pending is not None:
+            yield rows(pending, True)
+
+    array = suffixes.select(*_ORDER).repartitionByRange(*_ORDER).sortWithinPartitions(*_ORDER)
+    kinds = dict(array.dtypes)
+    return array.mapInArrow(run, ", ".join(f"{c} {kinds[c]}" for c in _ORDER) + ", edge boolean, alone boolean")
+
+
+def _neighbours(suffixes: DataFrame, scope) -> DataFrame:
+    """The suffixes that share their prefix with a neighbour, as ``(whole, p)``. Equal prefixes in different
+    partitions stand at these partitions' edges, which are at most two rows of each."""
+    array = materialize(_array(suffixes), "suffix_array", scope=scope)
+    edges = array.where("edge").groupBy("prefix").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("prefix")
+    across = array.where("alone").join(materialize(edges, "array_edges", scope=scope), "prefix", "left_semi")
+    return array.where("not alone").unionByName(across).select("whole", F.struct("doc_id", "t", "lo", "hi").alias("p"))
+
+
 def _passages(rows: DataFrame, ranges: DataFrame, min_words: int) -> DataFrame:
     """``(passage, doc_id, t, at)`` for the passages of some ranges of documents."""
     per_doc = ranges.groupBy("doc_id", "t").agg(F.collect_set(F.struct("lo", "hi")).alias("ranges"))
@@ -140,10 +195,7 @@ def repeated_ranges(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     held = current_scope()
     with scratch_scope(docs.sparkSession):
         suffixes = materialize(_suffixes(rows, min_words), "suffixes")
-        shared = suffixes.groupBy("prefix").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("prefix")
-        live = suffixes.join(materialize(shared, "shared_prefixes"), "prefix", "left_semi")
-        live = live.select("whole", F.struct("doc_id", "t", "lo", "hi").alias("p"))
-        live = materialize(live, "live_suffixes", scope=held)
+        live = _neighbours(suffixes, held)
     classes = materialize(live.groupBy("whole").agg(F.min("p").alias("low"), F.max("p").alias("high")), "suffix_classes")
     # Within a class all passages agree: every member but the first is a later place of all its
     # passages, and only the first needs to be compared with other classes.
