@@ -4,12 +4,16 @@ Differencing: every group starts as a partial partition (its weight in one part,
 others); the two partial partitions with the largest spread are combined, the heaviest part of one
 with the lightest of the other, until one is left.
 
-At scale the groups are reduced level by level. Heavy groups (over 1/HEAVY_SHARE of all bytes, so
+The groups are reduced level by level, at least once, in Spark. Heavy groups (over 1/HEAVY_SHARE of all bytes, so
 fewer than HEAVY_SHARE of them) go on as they are, and so does one block of light groups, for the
 fine balance at the end. The other light groups are dealt into blocks by their hash, and each block
 is differenced, in a task of its own, into BUNDLES bundles of near-equal bytes. Bundles are the
-next level's groups. Once at most LAST_GROUPS are left (a bound, not a sample), the driver
-differences them into the shards, and the parts are joined back down the levels.
+next level's groups. The driver only ever differences what such levels leave: heavy groups, one block
+of light ones and bundles, at most LAST_GROUPS in all (levels are added until that holds). The parts are
+joined back down the levels. Shard numbers depend on BLOCK_GROUPS, BUNDLES and HEAVY_SHARE.
+
+An empty table gives no rows. A text of any length is one row's size and digests; texts are not moved
+beyond the first projection. Other columns of the table, whatever their names, are not looked at.
 """
 
 from __future__ import annotations
@@ -23,7 +27,7 @@ from pyspark.sql import functions as F
 
 from ..session import current_scope, materialize, scratch_scope
 
-LAST_GROUPS = 32_768   # groups differenced at once on the driver
+LAST_GROUPS = 32_768   # heavy groups, light groups of one block and bundles on the driver, at most
 BLOCK_GROUPS = 8_192   # groups of a block, about
 BUNDLES = 64           # bundles a block is reduced to
 HEAVY_SHARE = 4_096    # groups over this part of the bytes are not bundled
@@ -98,12 +102,12 @@ def assign_groups(groups: DataFrame, parts: int) -> DataFrame:
     spark, parents = groups.sparkSession, []
     measured = {"n": F.count(F.lit(1)), "total": F.sum("weight")}
     level, (cur, stats) = 0, materialize(groups.select("id", "weight"), "groups", measured)
-    while stats["n"] > LAST_GROUPS:
-        up, nxt = _level(cur, stats["n"], stats["total"], level)
+    while level == 0 or stats["n"] > LAST_GROUPS:
+        up, nxt = _level(cur, stats["n"], stats["total"] or 0, level)
         parents.append((cur.select("id"), up))
         last, level = stats["n"], level + 1
         cur, stats = materialize(nxt, "groups", measured)
-        if stats["n"] >= last:
+        if stats["n"] > LAST_GROUPS and stats["n"] >= last:
             raise RuntimeError(f"bundling did not reduce {last} groups")
     rows = sorted(((r["weight"], r["id"]) for r in cur.collect()), key=lambda r: (-r[0], r[1]))
     shard = differencing([w for w, _ in rows], parts)

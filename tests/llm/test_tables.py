@@ -34,6 +34,35 @@ def test_differencing_is_tight():
     assert shards.differencing([], 3) == [] and len(set(shards.differencing([5, 5, 5], 3))) == 3
 
 
+@pytest.mark.parametrize("seed,n,parts", [(1, 1, 3), (2, 5, 2), (3, 40, 8), (4, 200, 5), (5, 64, 64)])
+def test_differencing_equals_the_plain_method(seed, n, parts):
+    rnd = random.Random(seed)
+    weights = [rnd.randint(1, 30 if seed == 4 else 10 ** 6) for _ in range(n)]
+    left = [(i, [(0, [])] * (parts - 1) + [(w, [i])]) for i, w in enumerate(weights)]
+    seq = n
+    while len(left) > 1:
+        left.sort(key=lambda x: (x[1][0][0] - x[1][-1][0], x[0]))
+        (_, a), (_, b) = left.pop(0), left.pop(0)
+        both = [(x + y, p + q) for (x, p), (y, q) in zip(a, reversed(b))]
+        left.append((seq, sorted(both, key=lambda x: x[0])))
+        seq += 1
+    expected = {i: k for k, (_, members) in enumerate(left[0][1]) for i in members}
+    assert shards.differencing(weights, parts) == [expected[i] for i in range(n)]
+
+
+def test_groups_are_bundled_on_spark_at_every_size(spark, monkeypatch):
+    whole = []
+    monkeypatch.setattr(shards, "HEAVY_SHARE", 64)  # or nearly all of so small a table would be heavy
+    monkeypatch.setattr(shards, "differencing", lambda w, parts, f=shards.differencing: whole.append(len(w)) or f(w, parts))
+    rows = [(i, f"text {i} " * (i % 50)) for i in range(2000)]
+    out = shards.shard_documents(docs(spark, rows), 8).collect()
+    assert whole[-1] < 1500  # heavy groups, one block of light ones, bundles
+    sums = Counter()
+    for r in out:
+        sums[r["shard"]] += r["size"]
+    assert len(out) == 2000 and max(sums.values()) - min(sums.values()) <= 2
+
+
 @pytest.mark.parametrize("last,block", [(32_768, 8_192), (120, 40)])
 def test_shards_hold_groups_and_balance(spark, monkeypatch, last, block):
     monkeypatch.setattr(shards, "LAST_GROUPS", last)
