@@ -33,9 +33,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from ..session import current_scope
+from .textcore import give_back
 
 BLOCK = 1024          # bytes taken in before the buffer is merged again
-CACHE_BYTES = 72 << 20  # of each of the two generations of the word cache, about
+CACHE_BYTES = 40 << 20  # of each of the two generations of the word cache, about
 ENTRY_BYTES = 160     # of a cached word besides its letters and ids
 DECODE_IDS = 1 << 16  # ids decoded at a time
 _NO_RANK = 1 << 60
@@ -319,7 +320,9 @@ def encode_documents(docs: DataFrame, text: str = "text", tokenizer: str | None
                      keep: list[str] | None = None, with_ids: bool = True) -> DataFrame:
     """The kept columns and ``n_tokens``, ``ids`` (array<int>, if asked for), ``ids_sha256`` (of
     the ids as little-endian unsigned 32-bit numbers) and ``decoded_sha256`` (of the decoded text
-    in UTF-8). Input columns of those names are replaced. One pass, no shuffle."""
+    in UTF-8). Input columns of those names are replaced, other columns are kept as they are, whatever
+    their names. An empty table gives no rows. A very long text is held whole with its ids, its words are
+    encoded one by one. One pass, no shuffle."""
     new = [T.StructField("n_tokens", T.LongType())]
     if with_ids:
         new.append(T.StructField("ids", T.ArrayType(T.IntegerType(), False)))
@@ -331,6 +334,7 @@ def encode_documents(docs: DataFrame, text: str = "text", tokenizer: str | None
     current_scope().broadcasts.append(shared)
 
     def run(batches):
+        give_back()
         tables = shared.value
         encoder = tables.get("encoder")  # kept with the broadcast, for the worker's later tasks
         if encoder is None:

@@ -7,6 +7,8 @@ base, so any window is a difference of two prefix sums) put through an avalanche
 
 from __future__ import annotations
 
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column
@@ -184,3 +186,12 @@ class Lookup:
             out[todo[hit]] = self.place[here[hit]]
             todo = todo[~hit & (here + 1 < end[todo])]
         return out
+
+
+def give_back():
+    """Return memory that earlier tasks of this worker freed to the system, where the system has a way."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
