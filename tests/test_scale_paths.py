@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF_SMALL, write_lines_file
 from mutualis import session
-from mutualis.operators import mutual_counts, prepare_graph
+from mutualis.operators import mutual, mutual_counts, prepare_graph
 from mutualis.session import checkpoint_dir, materialize
 from test_fixtures_graph import GRAPH, PROFILES
 from test_properties import brute_force
@@ -193,3 +193,35 @@ print("udf", m.queries()["udf_scalar_float"](s, "/root/testdata/sf0.001").count(
                          text=True, timeout=300)
     assert res.returncode == 0, res.stderr[-2000:]
     assert "entry 10" in res.stdout and "udf 200" in res.stdout
+
+
+def _closed(rows):
+    return sorted({(a, b) for a, b in rows} | {(b, a) for a, b in rows})
+
+
+def test_closed_graph_lists_only_higher_neighbours(spark):
+    """Every pair with a hub was expanded by its whole short list; a hub's own list is now empty."""
+    rows = _closed([(1000 + h, v) for h in range(3) for v in range(120)] + [(v, (v + 1) % 120) for v in range(120)])
+    g = prepare_graph(spark.createDataFrame(rows, "src bigint, dst bigint"))
+    pairs = g.pairs.count()
+    assert g.largest == 120 and g.longest ** 2 <= 2 * pairs
+    d = {r["u"]: r["d"] for r in g.higher.collect()}
+    assert not set(d) & {1000, 1001, 1002} and sum(d.values()) == pairs
+    sent = mutual._triangles_by_arrays(g, g.longest, 256)
+    assert sent.count() == 3 * 120  # each triangle once
+    for kw in ({}, {"hub_degree": 2}, {"hub_degree": 4}, {"strategy": "arrays", "hub_degree": 1}, {"strategy": "probe"}):
+        assert {tuple(r) for r in mutual_counts(g, **kw).collect()} == brute_force(rows), kw
+    g.release(spark)
+
+
+@pytest.mark.parametrize("one_way", [False, True])
+def test_dense_graph_every_way(spark, one_way):
+    import random
+    rnd = random.Random(11)
+    rows = _closed([(a, b) for a, b in ((rnd.randrange(-20, 20), rnd.randrange(-20, 20)) for _ in range(300)) if a != b])
+    rows += [(rows[0][0], 99)] * one_way
+    g = prepare_graph(spark.createDataFrame(rows * 2, "src bigint, dst bigint"))
+    assert (g.higher is None) == one_way
+    for kw in ({}, {"hub_degree": 3}, {"hub_degree": 8}, {"strategy": "arrays", "hub_degree": 3}, {"strategy": "probe"}):
+        assert {tuple(r) for r in mutual_counts(g, **kw).collect()} == brute_force(rows), kw
+    g.release(spark)
