@@ -123,3 +123,17 @@ def test_bitmaps_stay_in_built_ins(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("Python", "Arrow", "NestedLoop", "Cartesian"))
     assert [tuple(r) for r in out.collect()] == [(0, 1, 10_000)]
+
+
+def test_bitmap_words_go_only_where_masks_meet(spark, monkeypatch):
+    """Lists that share blocks but no word: words were sent to every such pair; pairs in either order."""
+    seen, real = [], lists.sum_by_pair
+    monkeypatch.setattr(lists, "sum_by_pair", lambda per, *args: seen.append(per) or real(per, *args))
+    rows = [(u, 10_000 + 64 * u + x) for u in range(8) for x in range(5)] + [(7, 10_000)]
+    edges = spark.createDataFrame(rows, "src bigint, dst bigint")
+    asked = [(a, b) for a in range(8) for b in range(8) if a != b]
+    out = lists.shared_by_bitmaps(edges, spark.createDataFrame(asked, "id1 bigint, id2 bigint"))
+    assert {tuple(r) for r in out.collect()} == {(a, b, int({a, b} == {0, 7})) for a, b in asked}
+    plan = seen[0]._jdf.queryExecution().optimizedPlan().toString()
+    masks = next(x for x in plan.splitlines() if "AS m1" in x)
+    assert "words" not in masks  # the expanded pairs carry masks alone
