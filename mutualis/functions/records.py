@@ -9,8 +9,10 @@ Empty inputs call nothing and give no record.
 
 from __future__ import annotations
 
+import math
 import sys
 from collections.abc import Callable, Iterable
+from itertools import islice
 
 import pyarrow as pa
 from pyspark import cloudpickle
@@ -36,34 +38,41 @@ def _schema(schema: T.StructType | str) -> T.StructType:
 
 def _rows(batch: pa.RecordBatch):
     names = batch.schema.names
-    make = Row(*names)
     for values in zip(*[c.to_pylist() for c in batch.columns]):
-        yield make(*values)
-
-
-def _batches(results, arrow: pa.Schema):
-    """Arrow batches of (record, result) pairs; a result is a dict, or its fields in order."""
-    held = []
-
-    def send():
-        columns = list(zip(*held))
-        arrays = [pa.array(c, type=f.type) for c, f in zip(columns, arrow)]
-        return pa.RecordBatch.from_arrays(arrays, schema=pa.schema([pa.field(f.name, f.type) for f in arrow]))
-
-    for record, result in results:
-        if isinstance(result, dict):
-            unknown = set(result) - set(arrow.names)
-            if unknown:
-                raise ValueError(f"fields {sorted(unknown)} are not in the stated schema, for {record}")
-            result = tuple(result.get(n) for n in arrow.names)
-        if not isinstance(result, (tuple, list)) or len(result) != len(arrow):
-            raise ValueError(f"expected {len(arrow)} fields ({', '.join(arrow.names)}), got {result!r} for {record}")
-        held.append(result)
-        if len(held) == BATCH:
-            yield send()
-            held = []
+        row = tuple.__new__(Row, values)  # as Row(*names)(*values) does, without its checks
+        row.__fields__ = names
+        yield row
+
+
+def _fit(result, record, arrow: pa.Schema) -> tuple:
+    """A result as its fields in order; given as such or as a dict."""
+    if isinstance(result, dict):
+        unknown = set(result) - set(arrow.names)
+        if unknown:
+            raise ValueError(f"fields {sorted(unknown)} are not in the stated schema, for {record}")
+        result = tuple(result.get(n) for n in arrow.names)
+    if not isinstance(result, (tuple, list)) or len(result) != len(arrow):
+        raise ValueError(f"expected {len(arrow)} fields ({', '.join(arrow.names)}), got {result!r} for {record}")
+    return result
+
+
+def _batch(held: list, arrow: pa.Schema) -> pa.RecordBatch:
+    arrays = [pa.array(c, type=f.type) for c, f in zip(zip(*held), arrow)]
+    return pa.RecordBatch.from_arrays(arrays, schema=pa.schema([pa.field(f.name, f.type) for f in arrow]))
+
+
+def _each(batches, fn: Callable, arrow: pa.Schema):
+    """Arrow batches of all results of ``fn``."""
+    held, width = [], len(arrow)
+    for b in batches:
+        for r in _rows(b):
+            for x in fn(r):
+                held.append(x if type(x) is tuple and len(x) == width else _fit(x, r, arrow))
+                if len(held) == BATCH:
+                    yield _batch(held, arrow)
+                    held = []
     if held:
-        yield send()
+        yield _batch(held, arrow)
 
 
 def flat_map_records(df: DataFrame, fn: Callable[[Row], Iterable], schema: T.StructType | str) -> DataFrame:
@@ -72,7 +81,7 @@ def flat_map_records(df: DataFrame, fn: Callable[[Row], Iterable], schema: T.Str
     arrow = to_arrow_schema(schema)
 
     def run(batches):
-        yield from _batches(((r, x) for b in batches for r in _rows(b) for x in fn(r)), arrow)
+        yield from _each(batches, fn, arrow)
 
     return df.mapInArrow(run, schema)
 
@@ -91,9 +100,54 @@ def filter_records(df: DataFrame, fn: Callable[[Row], bool]) -> DataFrame:
     return df.mapInArrow(run, df.schema)
 
 
-def _key(values: tuple) -> tuple:
-    """The same for keys that Spark groups together: NaN equals NaN, -0.0 equals 0.0."""
-    return tuple("NaN" if isinstance(v, float) and v != v else v for v in values)
+def _keyed(batch: pa.RecordBatch, n: int, real: list[int]):
+    """(key, value) of each record: the first ``n`` columns and the next. Keys are the same where Spark groups
+    them together: -0.0 equals 0.0, and NaN, in the ``real`` columns, is one object, which equals itself."""
+    columns = [c.to_pylist() for c in batch.columns]
+    for i in real:
+        columns[i] = [math.nan if v is not None and v != v else v for v in columns[i]]
+    return zip(zip(*columns[:n]), columns[n])
+
+
+def _pieces(pairs: Iterable, arrow: pa.Schema):
+    """Arrow batches of (key, value) pairs."""
+    pairs = iter(pairs)
+    while held := [(*k, v) for k, v in islice(pairs, BATCH)]:
+        yield _batch(held, arrow)
+
+
+def _merged(batches, fn: Callable, n: int, real: list[int], arrow: pa.Schema):
+    """Arrow batches of the values merged by key, for at most ``HELD`` keys at once."""
+    held, none = {}, object()
+    for b in batches:
+        for k, v in _keyed(b, n, real):
+            before = held.get(k, none)
+            if before is not none:
+                held[k] = fn(before, v)
+                continue
+            if len(held) >= HELD:
+                yield from _pieces(held.items(), arrow)
+                held = {}
+            held[k] = v
+    yield from _pieces(held.items(), arrow)
+
+
+def _merged_in_order(batches, fn: Callable, n: int, real: list[int], arrow: pa.Schema):
+    """The same for records sorted by key: one key is held."""
+    def results():
+        last, total = None, None
+        for b in batches:
+            for k, v in _keyed(b, n, real):
+                if k == last:
+                    total = fn(total, v)
+                    continue
+                if last is not None:
+                    yield last, total
+                last, total = k, v
+        if last is not None:
+            yield last, total
+
+    return _pieces(results(), arrow)
 
 
 def reduce_by_key(df: DataFrame, keys: list[str] | str, value: str, fn: Callable, salts: int = SALTS) -> DataFrame:
@@ -112,41 +166,14 @@ def reduce_by_key(df: DataFrame, keys: list[str] | str, value: str, fn: Callable
     schema, n = rows.schema, len(keys)
     arrow = to_arrow_schema(schema)
 
+    real = [i for i, k in enumerate(keys) if isinstance(schema[k].dataType, T.FractionalType)
+            and not isinstance(schema[k].dataType, T.DecimalType)]
+
     def partial(batches):
-        def results():
-            held = {}
-            for b in batches:
-                for r in _rows(b):
-                    k = _key(r[:n])
-                    if k in held:
-                        held[k] = held[k][0], fn(held[k][1], r[n])
-                        continue
-                    if len(held) >= HELD:
-                        yield from _flat(held)
-                        held = {}
-                    held[k] = r[:n], r[n]
-            yield from _flat(held)
-
-        yield from _batches(results(), arrow)
-
-    def _flat(held):
-        return [(k, (*k, v)) for k, v in held.values()]
+        yield from _merged(batches, fn, n, real, arrow)
 
     def stream(batches):
-        def results():
-            last = None
-            for b in batches:
-                for r in _rows(b):
-                    if last is not None and _key(last[0]) == _key(r[:n]):
-                        last = last[0], fn(last[1], r[n])
-                        continue
-                    if last is not None:
-                        yield last[0], (*last[0], last[1])
-                    last = r[:n], r[n]
-            if last is not None:
-                yield last[0], (*last[0], last[1])
-
-        yield from _batches(results(), arrow)
+        yield from _merged_in_order(batches, fn, n, real, arrow)
 
     once = rows.mapInArrow(partial, schema).withColumn("_share", F.pmod(F.spark_partition_id(), F.lit(int(salts))))
     twice = once.repartition(*keys, "_share").drop("_share").mapInArrow(partial, schema)

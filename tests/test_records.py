@@ -1,8 +1,10 @@
 """Record functions, exact means, bounded smallest-k and list UDFs."""
 
+import cProfile
 import math
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -130,3 +132,25 @@ def test_list_udfs_on_text(spark):
 def test_record_queries_read_the_text_lines(spark):
     assert catalog.lines(spark, SF_SMALL, "adjacency").count() > 0
     assert QUERIES["rec_filter"](spark, SF_SMALL).where("id1 >= id2").count() == 0
+
+
+def _calls(batches):
+    """Python calls that running through the batches makes, and their records."""
+    profile, n = cProfile.Profile(), 0
+    profile.enable()
+    for b in batches:
+        n += b.num_rows
+    profile.disable()
+    return sum(x.callcount for x in profile.getstats()), n
+
+
+def test_little_is_called_for_each_record():
+    """A row, its results and their batch cost a few calls a result, a merge little more than its function."""
+    few = pa.RecordBatch.from_pydict({"id": list(range(1000))})
+    out = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    calls, n = _calls(records._each([few], lambda r: [(r[0], i) for i in range(30)], out))
+    assert n == 30_000 and calls < 6 * n
+    many = pa.RecordBatch.from_pydict({"k": [i % 10 for i in range(20_000)], "v": [1] * 20_000})
+    out = pa.schema([("k", pa.int64()), ("v", pa.int64())])
+    calls, n = _calls(records._merged([many], lambda a, b: a + b, 1, [], out))
+    assert n == 10 and calls < 3 * 20_000
