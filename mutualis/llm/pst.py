@@ -36,12 +36,13 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import Scratch, current_scope, materialize, scratch_scope
-from .textcore import Hasher, Lookup, text_chunks
+from .textcore import Hasher, Lookup, mix, text_chunks
 
 LEAST = 2           # least count of a token after a context
 DEPTH = 64          # words of a context, at most
@@ -58,25 +59,30 @@ FLUSH = 1 << 21     # keys held in a task before they are added up
 MOST = 1 << 20      # different keys held in a task before they are sent on
 
 
-def add_up(keys: np.ndarray, counts: np.ndarray):
-    """Sorted different keys and their total counts."""
+def add_up(keys: np.ndarray, counts: np.ndarray, *columns: np.ndarray):
+    """Sorted different keys, their total counts and their columns."""
     order = np.argsort(keys)
     keys, counts = keys[order], counts[order]
     new = np.ones(len(keys), bool)
     new[1:] = keys[1:] != keys[:-1]
     at = np.flatnonzero(new)
-    return keys[at], np.add.reduceat(counts, at) if len(at) else counts
+    return keys[at], np.add.reduceat(counts, at) if len(at) else counts, *(x[order[at]] for x in columns)
 
 
 class Tally:
-    """Counts 64-bit keys; yields partial counts so that memory stays bounded."""
+    """Counts 64-bit keys with columns that depend on the key; yields partial rows ``(keys, counts,
+    *columns)``, keys sorted, so that memory stays bounded."""
 
     def __init__(self):
         self.parts, self.held = [], 0
 
-    def add(self, keys: np.ndarray):
+    def add(self, keys: np.ndarray, *columns: np.ndarray):
         if len(keys):
-            self.parts.append(add_up(keys, np.ones(len(keys), np.int64)))
+            if columns:
+                keys, at, counts = np.unique(keys, return_index=True, return_counts=True)
+                self.parts.append((keys, counts, *(x[at] for x in columns)))
+            else:
+                self.parts.append(np.unique(keys, return_counts=True))
             self.held += len(self.parts[-1][0])
         if self.held > FLUSH:
             yield from self.flush(MOST)
@@ -84,12 +90,12 @@ class Tally:
     def flush(self, most: int = 0):
         if not self.parts:
             return
-        keys, counts = add_up(np.concatenate([k for k, _ in self.parts]), np.concatenate([c for _, c in self.parts]))
+        rows = add_up(*(np.concatenate(x) for x in zip(*self.parts)))
         self.parts, self.held = [], 0
-        if len(keys) > most:
-            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(counts)], names=["key", "n"])
+        if len(rows[0]) > most:
+            yield rows
         else:
-            self.parts, self.held = [(keys, counts)], len(keys)
+            self.parts, self.held = [rows], len(rows[0])
 
 
 def sequences(hasher: Hasher, data: np.ndarray, bounds: np.ndarray):
@@ -104,17 +110,78 @@ def sequences(hasher: Hasher, data: np.ndarray, bounds: np.ndarray):
     return keys, first
 
 
-def _count(rows: DataFrame, keys_of, name: str) -> DataFrame:
-    """``(key, n)``: how often ``keys_of(tokens, document starts)`` yields each key."""
-    def run(batches):
-        hasher, tally = Hasher(), Tally()
-        make = keys_of()
-        for batch in batches:
-            for _, _, data, bounds in text_chunks(batch.column(0)):
-                yield from tally.add(make(*sequences(hasher, data, bounds)))
-        yield from tally.flush()
+# Rows on their way to the task that adds them up: arrays of many rows of one kind, by the first bits of a hash.
+PACKED = "part int, kind int, key binary, n binary, ctx binary, suffix binary, level binary"
+WORDS, ONCE, MORE, PAIRS, KNOWN, LATE = range(6)  # kinds
+
+
+def _part_bits(spark) -> int:
+    return (4 * int(spark.conf.get("spark.sql.shuffle.partitions"))).bit_length()
+
+
+def _pack(kind: int, bits: int, top: np.ndarray, **columns: np.ndarray) -> pa.RecordBatch:
+    """One row of PACKED for each value of the first ``bits`` bits of ``top``, by which the rows are sorted."""
+    part = top >> np.uint64(64 - bits)
+    at = np.flatnonzero(np.append(True, part[1:] != part[:-1]))
+    ends = np.append(at, len(part))
+
+    def cells(name):
+        if name not in columns:
+            return pa.nulls(len(at), pa.binary())
+        x = np.ascontiguousarray(columns[name])
+        return pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer((ends * x.itemsize).astype(np.int32)), pa.py_buffer(x)])
+
+    return pa.RecordBatch.from_arrays(
+        [pa.array(part[at].astype(np.int32)), pa.array(np.full(len(at), kind, np.int32)),
+         *(cells(x) for x in ("key", "n", "ctx", "suffix", "level"))],
+        names=["part", "kind", "key", "n", "ctx", "suffix", "level"])
+
+
+def _seen(bits: int, keys: np.ndarray, counts: np.ndarray):
+    """Which keys a task found once and which more often, by 32 bits after the part's: enough to leave out
+    nearly all that are found once in all."""
+    for kind, some in ((ONCE, counts == 1), (MORE, counts > 1)):
+        if some.any():
+            yield _pack(kind, bits, keys[some], key=(keys[some] >> np.uint64(32 - bits)).astype(np.uint32))
+
+
+def _unpacked(batches) -> dict:
+    """kind: (parts, columns by name: list of arrays) of a task's PACKED rows."""
+    types = {"key": np.uint64, "n": np.uint32, "ctx": np.uint64, "suffix": np.uint64, "level": np.int16}
+    out: dict = {}
+    for batch in batches:
+        part, kind = batch.column("part").to_numpy(), batch.column("kind").to_numpy()
+        for i in range(batch.num_rows):
+            parts, columns = out.setdefault(int(kind[i]), ([], {x: [] for x in types}))
+            parts.append(int(part[i]))
+            for x, t in types.items():
+                cell = batch.column(x)[i].as_buffer()
+                if cell is not None:
+                    columns[x].append(np.frombuffer(cell, np.uint32 if x == "key" and kind[i] in (ONCE, MORE) else t))
+    return out
+
+
+def _joined(columns: dict, *names: str) -> list[np.ndarray]:
+    return [np.concatenate(columns[x]) for x in names]
+
+
+def _twice(got: dict, bits: int) -> np.ndarray:
+    """First SET_BITS bits of the keys that were found twice or more, of ``_unpacked`` rows."""
+    found = []
+    for kind, times in ((ONCE, 1), (MORE, 2)):
+        if kind in got:
+            parts, columns = got[kind]
+            key = [(np.uint64(p) << np.uint64(32)) | x.astype(np.uint64) for p, x in zip(parts, columns["key"])]
+            found += key * times
+    if not found:
+        return np.zeros(0, np.uint32)
+    found = np.sort(np.concatenate(found))
+    found = found[1:][found[1:] == found[:-1]]
+    return _first_bits(found << np.uint64(32 - bits))
+
 
-    return rows.mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+def _first_bits(keys: np.ndarray) -> np.ndarray:
+    return np.unique((keys >> np.uint64(64 - SET_BITS)).astype(np.uint32))
 
 
 def _bounded(counts: DataFrame, least: float):
@@ -126,19 +193,63 @@ def _bounded(counts: DataFrame, least: float):
     return keys[order], got["n"].to_numpy()[order]
 
 
+def _rows(schema: str, **columns) -> pa.RecordBatch:
+    """A batch of ``schema``; a column that is not given is null. Unsigned arrays are keys."""
+    names = [x.split()[0] for x in schema.split(", ")]
+    size = max(len(x) for x in columns.values() if x is not None)
+    kinds = {"long": pa.int64(), "double": pa.float64(), "binary": pa.binary()}
+
+    def column(x, kind):
+        if x is None:
+            return pa.nulls(size, kind)
+        return x if isinstance(x, pa.Array) else pa.array(x.view(np.int64) if getattr(x, "dtype", None) == np.uint64 else x, kind)
+
+    return pa.RecordBatch.from_arrays([column(columns.get(x.split()[0]), kinds[x.split()[1]]) for x in schema.split(", ")], names=names)
+
+
 def vocabulary(train: DataFrame):
-    """(table ``(key, n)`` of all tokens, model: totals and the head in arrays)."""
-    def every():
-        return lambda keys, first: keys
+    """(table ``(key, n, ctx)`` of all tokens, ctx: the key of a token as a context; model: totals and the head in
+    arrays; set of the pairs of neighbours found twice)."""
+    bits = _part_bits(train.sparkSession)
+    schema = "key long, n long, ctx long, found binary"
+
+    def run(batches):
+        hasher, words, pairs = Hasher(), Tally(), Tally()
+
+        def send(keys, counts):
+            return _pack(WORDS, bits, keys, key=keys, n=counts.astype(np.uint32))
 
-    vocab, stats = materialize(_count(train, every, "words"), "vocabulary",
-                               {"n": F.sum("n"), "v": F.count(F.lit(1))})
+        for batch in batches:
+            for _, _, data, bounds in text_chunks(batch.column(0)):
+                keys, first = sequences(hasher, data, bounds)
+                for got in words.add(keys):
+                    yield send(*got)
+                at = np.flatnonzero(_back(first) >= 1)
+                for got in pairs.add(hasher.grams(hasher.word_prefix(keys), at - 1, 2)):
+                    yield from _seen(bits, *got)
+        for got in words.flush():
+            yield send(*got)
+        for got in pairs.flush():
+            yield from _seen(bits, *got)
+
+    def add(batches):
+        got = _unpacked(batches)
+        if WORDS in got:
+            keys, counts = _joined(got[WORDS][1], "key", "n")
+            keys, counts = add_up(keys, counts.astype(np.int64))
+            yield _rows(schema, key=keys, n=counts, ctx=mix(keys))
+        if len(found := _twice(got, bits)):
+            yield _rows(schema, found=[found.tobytes()])
+
+    table, stats = materialize(train.mapInArrow(run, PACKED).repartition("part").mapInArrow(add, schema), "vocabulary",
+                               {"n": F.sum("n"), "v": F.count("key"), "m": F.sum(F.length("found") / 4)})
+    vocab = table.where("found is null").drop("found")
     total, different = int(stats["n"] or 0), int(stats["v"] or 0)
     head_least = max(1.0, HEAD_SHARE * total)
-    head, head_n = _bounded(vocab, head_least)
+    head, head_n = _bounded(vocab.select("key", "n"), head_least)
     floor = total + ADD * (different + 1)
     return vocab, {"total": total, "different": different, "floor": floor, "head": head, "head_n": head_n,
-                   "head_least": head_least}
+                   "head_least": head_least}, BitSet.found(table.select("found"), stats["m"])
 
 
 class BitSet:
@@ -157,6 +268,26 @@ class BitSet:
         words[got["w"].to_numpy()] = got["b"].to_numpy().view(np.uint64)
         return cls(bits, words)
 
+    @classmethod
+    def found(cls, cells: DataFrame, n):
+        """Of cells of first bits (``_first_bits``), about ``n`` in all; other cells are null."""
+        bits = min(SET_BITS, max(12, int(n or 0).bit_length() + 4))
+
+        def run(batches):
+            for batch in batches:
+                for cell in batch.column(0).drop_null():
+                    at = np.frombuffer(cell.as_buffer(), np.uint32) >> np.uint32(SET_BITS - bits)
+                    word = at >> np.uint32(6)
+                    first = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
+                    b = np.bitwise_or.reduceat(np.uint64(1) << (at & np.uint32(63)).astype(np.uint64), first)
+                    yield pa.RecordBatch.from_arrays([pa.array([word[first].tobytes()], pa.binary()), pa.array([b.tobytes()], pa.binary())],
+                                                     names=["w", "b"])
+
+        words = np.zeros(1 << (bits - 6), np.uint64)
+        for r in cells.where(F.col(cells.columns[0]).isNotNull()).mapInArrow(run, "w binary, b binary").toArrow().to_pylist():
+            words[np.frombuffer(r["w"], np.uint32)] |= np.frombuffer(r["b"], np.uint64)
+        return cls(bits, words)
+
     def has(self, hashes: np.ndarray) -> np.ndarray:
         at = hashes >> np.uint64(64 - self.bits)
         return (self.words[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
@@ -171,12 +302,17 @@ def _made(levels: list[dict]) -> list[dict]:
     return [{k: BitSet(*v) for k, v in level.items()} for level in levels]
 
 
+def _back(first: np.ndarray) -> np.ndarray:
+    """Words before each token, in its document."""
+    return np.arange(first[-1]) - np.repeat(first[:-1], np.diff(first))
+
+
 def _walk(hasher: Hasher, keys: np.ndarray, first: np.ndarray, levels: list[dict], more: int = 1):
     """Per level, from 1 on: positions whose context of that many words is gathered, the contexts'
     hashes, and a function for the hashes of the last words before and with the token. ``levels``
     has the bit sets of the levels done; ``more`` levels follow them."""
     prefix = hasher.word_prefix(keys)
-    back = np.arange(len(keys)) - np.repeat(first[:-1], np.diff(first))  # words before, in the document
+    back = _back(first)
     at = np.arange(len(keys))
     for d in range(1, len(levels) + more + 1):
         at = at[back[at] >= d]
@@ -192,109 +328,84 @@ def _walk(hasher: Hasher, keys: np.ndarray, first: np.ndarray, levels: list[dict
             at = at[levels[d - 1]["alive"].has(context)]
 
 
-def _often(train: DataFrame, levels: list[dict], more: int, least: float):
-    """``(key, n)``, written, and how many: the contexts of the ``more`` levels after ``levels``, and these with a
-    token after them, that are found ``least`` times. A context's key is told apart by ``_LEFT``. Tokens that are
-    not gathered after the context's suffix cannot be gathered after it, and count for the context only."""
-    shared = train.sparkSession.sparkContext.broadcast(_plain(levels))
+def _send(train: DataFrame, value):
+    shared = train.sparkSession.sparkContext.broadcast(value)
     current_scope().broadcasts.append(shared)
-    level = len(levels) + 1
-
-    def run(batches):
-        done, hasher, tally = _made(shared.value), Hasher(), Tally()
-        for batch in batches:
-            for _, _, data, bounds in text_chunks(batch.column(0)):
-                for d, at, context, upto in _after(hasher, data, bounds, done, more):
-                    yield from tally.add(context ^ _LEFT)
-                    yes = done[-1]["pair"].has(upto(level - 1)) if done else np.ones(len(at), bool)
-                    yield from tally.add(upto(d)[yes])
-        yield from tally.flush()
-
-    counts = train.mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-    return materialize(counts.where(F.col("n") >= least), f"often{level}", {"m": F.count(F.lit(1))})
-
+    return shared
 
-def _after(hasher: Hasher, data: np.ndarray, bounds: np.ndarray, done: list[dict], more: int):
-    """``_walk`` over a chunk, the levels after the done ones only: (level, positions, contexts, hashes)."""
-    keys, first = sequences(hasher, data, bounds)
-    for d, (at, context, upto) in enumerate(_walk(hasher, keys, first, done, more), 1):
-        if d > len(done) and len(at):
-            yield d, at, context, upto
 
-
-def _different(parts: list) -> list:
-    """Rows of different first columns."""
-    columns = [np.concatenate(x) for x in zip(*parts)]
-    at = np.unique(columns[0], return_index=True)[1]
-    return [x[at] for x in columns]
-
-
-def _followers(train: DataFrame, levels: list[dict], head, more: int, least: float) -> DataFrame:
-    """``(key, n, ctx, suffix, q, base, level)`` of the ``more`` levels after ``levels``: how often a token follows a
-    context; key: context and token (null: n is the context's own count); suffix: the same without the first word;
-    q: at level 1 the root's probability where the token is in the head, else 0; base: the part of the context that
-    the levels done have. What no join needs is 0, which takes no space.
-
-    Keys are counted first; only those found ``least`` times are looked up in the text again for the rest of the row."""
-    counts, stats = _often(train, levels, more, least)
-    often = BitSet.of(counts, "key", stats["m"])
-    shared = train.sparkSession.sparkContext.broadcast((_plain([*levels, {"often": often}]), head))
-    current_scope().broadcasts.append(shared)
-    level = len(levels) + 1
+def _pairs(train: DataFrame, levels: list[dict], twice: BitSet, model: dict, least: float):
+    """``(key, ctx, n, suffix, q)``, written, of level 1 or 2 (the one after ``levels``): how often a token follows a
+    context, where that is ``least`` times or more. key: context and token; suffix: the same without the first word
+    (level 1: the token); q: at level 1 the root's probability of a token in the head, else null. Then the set of
+    these keys, and for level 1 that of the next level's keys that are found twice. ``twice`` says which keys can be
+    found ``least`` times; no others leave the text."""
+    bits, level = _part_bits(train.sparkSession), len(levels) + 1
+    root = (model["head_n"] + ADD) / model["floor"]
+    shared = _send(train, (_plain([*levels, {"twice": twice}]), (model["head"], root) if level == 1 else None))
+    schema = "key long, ctx long, n long, suffix long, q double, found binary, next binary"
 
     def run(batches):
-        done, (words, root) = shared.value
-        *done, found_often = _made(done)
-        found_often = found_often["often"]
-        hasher, lookup = Hasher(), Lookup(words) if level == 1 else None
-        parts, held = [], 0
-
-        def send(rows):
-            key, ctx, suffix, q, base, number = rows
-            return pa.RecordBatch.from_arrays(
-                [pa.array(key.view(np.int64)), pa.array(ctx.view(np.int64)), pa.array(suffix.view(np.int64)),
-                 pa.array(q), pa.array(base.view(np.int64)), pa.array(number)],
-                names=["key", "ctx", "suffix", "q", "base", "level"])
+        *done, often = _made(shared.value[0])
+        hasher, tally, after = Hasher(), Tally(), Tally()
+
+        def send(keys, counts, ctx, suffix):
+            key = {} if level == 1 else {"key": keys}  # two words give their key
+            return _pack(PAIRS, bits, keys, n=counts.astype(np.uint32), ctx=ctx, suffix=suffix, **key)
 
         for batch in batches:
             for _, _, data, bounds in text_chunks(batch.column(0)):
                 keys, first = sequences(hasher, data, bounds)
-                for d, (at, context, upto) in enumerate(_walk(hasher, keys, first, done, more), 1):
-                    if d < level:
-                        continue
-                    some = found_often.has(context ^ _LEFT)
-                    at, context = at[some], context[some]
-                    base = upto(level - 2, at - 1) if more > 1 else np.zeros(len(at), np.uint64)
-                    number, none = np.full(len(at), d, np.int32), np.zeros(len(at))
-                    parts.append(_different([(context ^ _LEFT, context, none.astype(np.uint64), none, base, number)]))
-                    key = upto(d, at)
-                    some = found_often.has(key)
-                    if level > 1:
-                        some &= done[-1]["pair"].has(upto(level - 1, at))
-                    at, q = at[some], none[some]
-                    if level == 1:
-                        suffix = keys[at]
-                        in_head = lookup.find(suffix)
-                        q[in_head >= 0] = root[in_head[in_head >= 0]]
-                        suffix = np.where(in_head >= 0, np.uint64(0), suffix)
-                    else:
-                        suffix = upto(d - 1, at)
-                    parts.append(_different([(key[some], context[some], suffix, q, base[some], number[some])]))
-                    held += len(parts[-1][0]) + len(parts[-2][0])
-                if held > FLUSH:
-                    parts = [tuple(_different(parts))]
-                    held = len(parts[0][0])
-                    if held > MOST:
-                        yield send(parts[0])
-                        parts, held = [], 0
-        if parts:
-            yield send(_different(parts))
-
-    rows = train.mapInArrow(run, "key long, ctx long, suffix long, q double, base long, level int")
-    names = ("ctx", "suffix", "q", *(("base", "level") if more > 1 else ()))
-    rows = rows.groupBy("key").agg(*[F.min(x).alias(x) for x in names]).join(counts, "key")
-    pair = F.col("key") != F.col("ctx").bitwiseXOR(F.lit(int(_LEFT)))
-    return rows.select(F.when(pair, F.col("key")).alias("key"), "n", *names)
+                if level == 1:
+                    prefix, back = hasher.word_prefix(keys), _back(first)
+                    at = np.flatnonzero(back >= 1)
+                    key = hasher.grams(prefix, at - 1, 2)
+                    some = often["twice"].has(key)
+                    at, key = at[some], key[some]
+                    columns = keys[at - 1], keys[at]
+                    both = np.zeros(len(keys) + 1, bool)
+                    both[at] = True
+                    at = at[both[at - 1] & (back[at] >= 2)]
+                    for got in after.add(hasher.grams(prefix, at - 2, 3)):
+                        yield from _seen(bits, *got)
+                else:
+                    *_, (at, context, upto) = _walk(hasher, keys, first, done)
+                    suffix, key = upto(level - 1), upto(level)
+                    some = done[-1]["pair"].has(suffix)
+                    some[some] = often["twice"].has(key[some])
+                    key, columns = key[some], (context[some], suffix[some])
+                for got in tally.add(key, *columns):
+                    yield send(*got)
+        for got in tally.flush():
+            yield send(*got)
+        for got in after.flush():
+            yield from _seen(bits, *got)
+
+    def add(batches):
+        got = _unpacked(batches)
+        if PAIRS in got:
+            columns = got.pop(PAIRS)[1]
+            n, ctx, suffix = _joined(columns, "n", "ctx", "suffix")
+            key = _joined(columns, "key")[0] if level > 1 else Hasher().pairs(ctx, suffix)
+            key, n, ctx, suffix = add_up(key, n.astype(np.int64), ctx, suffix)
+            some = n >= least
+            key, n, ctx, suffix = key[some], n[some], ctx[some], suffix[some]
+            q = None
+            if level == 1:
+                words, root = shared.value[1]
+                ctx, at = mix(ctx), Lookup(words).find(suffix)
+                q = pa.array(root[at] if len(root) else np.zeros(len(at)), mask=at < 0)
+            if len(key):
+                yield _rows(schema, key=key, ctx=ctx, n=n, suffix=suffix, q=q)
+                yield _rows(schema, found=[_first_bits(key).tobytes()])
+        if len(found := _twice(got, bits)):
+            yield _rows(schema, next=[found.tobytes()])
+
+    table, stats = materialize(
+        train.mapInArrow(run, PACKED).repartition("part").mapInArrow(add, schema), f"counts{level}",
+        {x: F.sum(F.length(x) / 4) for x in ("found", "next")})
+    return (table.where("key is not null").drop("found", "next"), BitSet.found(table.select("found"), stats["found"]),
+            BitSet.found(table.select("next"), stats["next"]) if level == 1 else None)
 
 
 def _level(counts: DataFrame, pairs: DataFrame, divergence: float, level: int):
@@ -337,12 +448,10 @@ def _level(counts: DataFrame, pairs: DataFrame, divergence: float, level: int):
 
 def _test_levels(t: dict, start: int, last: int, divergence: float):
     """``_level`` for the levels ``start`` to ``last`` of some contexts, in arrays: yields (level,
-    contexts: ctx, c, left, state, alive; pairs: key, n, added, p) of each. ``t`` has the columns of
-    the pairs (key set), of the contexts' own counts (key null) and of what is known of the level
-    before (level start - 1: key, p)."""
-    known = t["level"] == start - 1
-    order = np.argsort(t["key"][known])
-    keys, probs, z = t["key"][known][order], t["q"][known][order], 0.9 * divergence
+    contexts: ctx, c, left, state, alive; pairs: key, n, added, p, alive, ctx) of each. ``t`` has the columns of
+    the pairs (paired) and of the contexts' own counts, and what is known of the level before (known:
+    its keys, sorted; p)."""
+    keys, probs, z = t["known"], t["p"], 0.9 * divergence
 
     def over(n, r):
         return n * np.maximum(np.log(np.maximum(r, 1e-300) / z) - 1, 0)
@@ -378,37 +487,76 @@ def _test_levels(t: dict, start: int, last: int, divergence: float):
         take = state | alive
         mine = take[number]
         yield (d, (ctx[take], c[take], left[take], state[take], alive[take]),
-               (key[mine], n[mine], np.where(state[number], np.log10(p / (left[number] * q)), np.nan)[mine], p[mine], alive[number][mine]))
+               (key[mine], n[mine], np.where(state[number], np.log10(p / (left[number] * q)), np.nan)[mine], p[mine], alive[number][mine], ctx[number][mine]))
         mine = alive[number]
         order = np.argsort(key[mine])
         keys, probs = key[mine][order], p[mine][order]
 
 
-def _levels(counts: DataFrame, before: DataFrame, divergence: float, start: int, last: int):
-    """(contexts ``level, key, n, value, state, alive``, gathered tokens likewise with ``p``) of the
-    levels ``start`` to ``last`` in one written table, and counts. ``counts``: written ``(key, ctx, n,
-    suffix, base, level)``; ``before``: ``(key, ctx, p)`` of the level before."""
-    rows = counts.select("base", "level", "key", "ctx", "n", "suffix", F.lit(0.0).alias("q")).union(before.select(
-        F.col("ctx").alias("base"), F.lit(start - 1), "key", "ctx", F.lit(0), F.lit(0), "p"))
+def _levels(train: DataFrame, levels: list[dict], before: DataFrame, divergence: float, more: int, least: float):
+    """(contexts ``level, key, n, value, state, alive``, gathered tokens likewise with ``ctx, p``) of the ``more``
+    levels after ``levels`` in one written table, and counts. ``before``: ``(key, ctx, p)`` of the level before.
+    Contexts and the tokens after them are dealt by what the levels done have of the context, counted and tested there.
+    Tokens that are not gathered after the context's suffix cannot be gathered after it, and count for the context only."""
+    bits, start, last = _part_bits(train.sparkSession), len(levels) + 1, len(levels) + more
+    shared = _send(train, _plain(levels))
 
     def run(batches):
-        batches = [b for b in batches if b.num_rows]
-        if not batches:
+        done, hasher, tally = _made(shared.value), Hasher(), Tally()
+
+        def send(key, n, base, ctx, suffix, level):
+            order = np.lexsort((level, base >> np.uint64(64 - bits)))
+            return _pack(PAIRS, bits, base[order], key=key[order], n=n[order].astype(np.uint32), ctx=ctx[order], suffix=suffix[order], level=level[order])
+
+        for batch in batches:
+            for _, _, data, bounds in text_chunks(batch.column(0)):
+                keys, first = sequences(hasher, data, bounds)
+                for d, (at, context, upto) in enumerate(_walk(hasher, keys, first, done, more), 1):
+                    if d < start or not len(at):
+                        continue
+                    base, none = upto(start - 2, at - 1), np.zeros(len(at), np.uint64)
+                    for got in tally.add(context ^ _LEFT, base, none, none, np.full(len(at), -d, np.int16)):
+                        yield send(*got)
+                    some = done[-1]["pair"].has(upto(start - 1, at))
+                    at, context, base = at[some], context[some], base[some]
+                    for got in tally.add(upto(d, at), base, context, upto(d - 1, at), np.full(len(at), d, np.int16)):
+                        yield send(*got)
+        for got in tally.flush():
+            yield send(*got)
+
+    def pack(batches):
+        for batch in batches:
+            key, ctx = (batch.column(x).to_numpy().view(np.uint64) for x in ("key", "ctx"))
+            order = np.argsort(ctx)
+            if len(order):
+                p = batch.column("p").to_numpy()[order]
+                yield _pack(KNOWN, bits, ctx[order], key=key[order], ctx=p.view(np.uint64))
+
+    def test(batches):
+        got = _unpacked(batches)
+        if PAIRS not in got or KNOWN not in got:
             return
-        table = pa.Table.from_batches(batches)
-        t = {x: table.column(x).fill_null(0).to_numpy() for x in table.column_names}
-        t["paired"] = table.column("key").is_valid().to_numpy()
-        for d, (ctx, c, left, state, alive), (key, n, added, p, on) in _test_levels(t, start, last, divergence):
+        key, n, ctx, suffix, level = _joined(got.pop(PAIRS)[1], "key", "n", "ctx", "suffix", "level")
+        key, n, ctx, suffix, level = add_up(key, n.astype(np.int64), ctx, suffix, level)
+        some = n >= least
+        key, n, ctx, suffix, level = key[some], n[some], ctx[some], suffix[some], level[some]
+        known, p = _joined(got.pop(KNOWN)[1], "key", "ctx")
+        order = np.argsort(known)
+        t = {"key": key, "n": n, "suffix": suffix, "level": np.abs(level), "paired": level > 0,
+             "ctx": np.where(level > 0, ctx, key ^ _LEFT), "known": known[order], "p": p.view(np.float64)[order]}
+        for d, (ctx, c, left, state, alive), (key, n, added, p, on, of) in _test_levels(t, start, last, divergence):
             own, size = len(ctx), len(ctx) + len(key)
             yield pa.RecordBatch.from_arrays([
-                pa.array(np.full(size, d, np.int32)), pa.array(np.arange(size) < own), pa.array(np.concatenate([ctx, key])),
+                pa.array(np.full(size, d, np.int32)), pa.array(np.arange(size) < own),
+                pa.array(np.concatenate([ctx, key]).view(np.int64)), pa.array(np.concatenate([ctx, of]).view(np.int64)),
                 pa.array(np.concatenate([c, n]).astype(np.int64)), pa.array(np.concatenate([np.log10(left), added])),
                 pa.array(np.concatenate([np.ones(own), p])), pa.array(np.concatenate([state, ~np.isnan(added)])),
                 pa.array(np.concatenate([alive, on]))],
-                names=["level", "own", "key", "n", "value", "p", "state", "alive"])
+                names=["level", "own", "key", "ctx", "n", "value", "p", "state", "alive"])
 
-    out = rows.repartition("base").mapInArrow(
-        run, "level int, own boolean, key long, n long, value double, p double, state boolean, alive boolean")
+    rows = train.mapInArrow(run, PACKED).union(before.select("key", "ctx", "p").mapInArrow(pack, PACKED))
+    out = rows.repartition("part").mapInArrow(
+        test, "level int, own boolean, key long, ctx long, n long, value double, p double, state boolean, alive boolean")
     end = F.col("own") & F.col("alive") & (F.col("level") == last)
     return materialize(out, f"levels{start}", {
         "pairs": F.count(F.when(~F.col("own"), 1)), "states": F.count(F.when(F.col("own") & F.col("state"), 1)),
@@ -416,23 +564,22 @@ def _levels(counts: DataFrame, before: DataFrame, divergence: float, start: int,
         "alive": F.count(F.when(end, 1)), "tokens": F.sum(F.when(end, F.col("n")))})
 
 
-def grow(train: DataFrame, vocab: DataFrame, model: dict, share: float = 0.0, divergence: float = DIVERGENCE,
-         depth: int = DEPTH):
+def grow(train: DataFrame, vocab: DataFrame, model: dict, twice: BitSet, share: float = 0.0,
+         divergence: float = DIVERGENCE, depth: int = DEPTH):
     """(bit sets of each level, factors). factors: written ``(key, n, value)``, log10 of the mass
-    that a state leaves (its key: the context's) and of what it adds to that for a gathered token."""
+    that a state leaves (its key: the context's) and of what it adds to that for a gathered token.
+    ``twice``: the pairs of neighbours that are found twice."""
     least = max(LEAST, share * model["total"])
     levels, factors, before, scope, more = [], None, None, current_scope(), 1
     alive = Scratch()
-    root = (model["head_n"] + ADD) / model["floor"]
+    counts = vocab.select("ctx", F.col("n").alias("c"))  # every word is followed by a token
     while len(levels) < depth:
         level = len(levels) + 1
         with scratch_scope(train.sparkSession):
             current_scope().folders += alive.folders  # the level before goes when this one is done
             alive = Scratch()
-            rows = _followers(train, levels, (model["head"], root) if level == 1 else (None, None), more, least)
-            rows = materialize(rows, f"counts{level}")
-            if more > 1:
-                tested, stats = _levels(rows, before, divergence, level, level + more - 1)
+            if level > 2:
+                tested, stats = _levels(train, levels, before, divergence, more, least)
                 own, pair = F.col("own"), ~F.col("own")
                 sets = {"pair": BitSet.of(tested.where(pair), "key", stats["pairs"]),
                         "alive": BitSet.of(tested.where(own & F.col("alive")), "key", stats["on"]),
@@ -443,30 +590,28 @@ def grow(train: DataFrame, vocab: DataFrame, model: dict, share: float = 0.0, di
                 levels += [sets] * more
                 if not stats["alive"] or len(levels) >= depth:
                     break
-                # The contexts of the last level: their pairs come from its counts.
-                ends = tested.where(pair & F.col("alive") & (F.col("level") == level + more - 1)).select("key", "p")
-                before = materialize(rows.select("key", "ctx").join(ends, "key").select("key", "ctx", "p"),
+                before = materialize(tested.where(pair & F.col("alive") & (F.col("level") == len(levels))).select("key", "ctx", "p"),
                                      f"alive{level}", scope=alive)
                 more = min(depth - len(levels), max(1, model["total"] // (BATCH * stats["tokens"])))
                 continue
-            pairs = rows.where("key is not null")
+            pairs, found, after = _pairs(train, levels, twice, model, least)
             if level == 1:  # a token in the head needs no join
-                pairs = pairs.withColumn("at", F.when(F.col("q") > 0, F.col("key")).otherwise(F.col("suffix")))
-                some = vocab.select(F.col("key").alias("at"), F.col("n").alias("vn"))
-                q = F.when(F.col("q") > 0, F.col("q")).otherwise((F.col("vn") + ADD) / model["floor"])
-                pairs = pairs.join(some, "at", "left").select("key", "ctx", "n", q.alias("q"))
+                some = vocab.select(F.col("key").alias("suffix"), ((F.col("n") + ADD) / model["floor"]).alias("q"))
+                tested = pairs.where("q is not null").select("key", "ctx", "n", "q").union(
+                    pairs.where("q is null").drop("q").join(some, "suffix").select("key", "ctx", "n", "q"))
             else:
-                some = before.select(F.col("key").alias("suffix"), "p")
-                pairs = pairs.join(some, "suffix").select("key", "ctx", "n", F.col("p").alias("q"))
-            pairs, seen = materialize(pairs, f"pairs{level}", {"n": F.count(F.lit(1))})
-            kept, after, stats = _level(rows.where("key is null").select("ctx", F.col("n").alias("c")), pairs, divergence, level)
-            levels.append({"pair": BitSet.of(pairs, "key", seen["n"]),
-                           "alive": BitSet.of(kept.where("alive"), "ctx", stats["alive"]),
+                some = before.select(F.col("key").alias("suffix"), F.col("p").alias("q"))
+                tested = pairs.drop("q").join(some, "suffix").select("key", "ctx", "n", "q")
+            tested = materialize(tested, f"pairs{level}")
+            kept, gathered, stats = _level(counts, tested, divergence, level)
+            levels.append({"pair": found, "alive": BitSet.of(kept.where("alive"), "ctx", stats["alive"]),
                            "state": BitSet.of(kept.where("state"), "ctx", stats["states"])})
-            added = after.where("state").select("key", "n", F.log10(F.col("p") / (F.col("left") * F.col("q"))).alias("value"))
+            added = gathered.where("state").select("key", "n", F.log10(F.col("p") / (F.col("left") * F.col("q"))).alias("value"))
             own = kept.where("state").select(F.col("ctx").bitwiseXOR(F.lit(int(_LEFT))), "c", F.log10("left"))
             own = materialize(added.union(own), f"factors{level}", scope=scope)
-            before = materialize(after.where("alive").select("key", "ctx", "p"), f"alive{level}", scope=alive)
+            before = materialize(gathered.where("alive").select("key", "ctx", "p"), f"alive{level}", scope=alive)
+            if level == 1 and stats["alive"]:  # a pair is a context of two words
+                counts, twice = materialize(pairs.select(F.col("key").alias("ctx"), F.col("n").alias("c")), "contexts", scope=alive), after
         factors = own if factors is None else factors.union(own)
         if not stats["alive"]:
             break
@@ -496,6 +641,26 @@ def held_out(doc_id: str) -> Column:
     return F.pmod(F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")), F.lit(10)) == 0
 
 
+def _late(factors: DataFrame, vocab: DataFrame, model: dict, lowest) -> DataFrame:
+    """PACKED rows (ctx: the value's bits) of what is not looked up where the text is: words outside the head (a part
+    that was counted as that of an unseen one) and the other factors."""
+    bits = _part_bits(vocab.sparkSession)
+
+    def packed(kind):
+        def run(batches):
+            for batch in batches:
+                key = batch.column("key").to_numpy().view(np.uint64)
+                order = np.argsort(key)
+                if len(order):
+                    yield _pack(kind, bits, key[order], key=key[order], ctx=batch.column("value").to_numpy()[order].view(np.uint64))
+        return run
+
+    more = F.log10((F.col("n") + F.lit(ADD)) / F.lit(ADD))
+    seen = vocab.where(F.col("n") < model["head_least"]).select("key", more.alias("value"))
+    seldom = factors if lowest is None else factors.where(F.floor(F.log2("n") * 4) < lowest)
+    return seen.mapInArrow(packed(WORDS), PACKED).union(seldom.select("key", "value").mapInArrow(packed(KNOWN), PACKED))
+
+
 def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", share: float = 0.0,
                     divergence: float = DIVERGENCE, depth: int = DEPTH) -> DataFrame:
     """One row per document: ``(doc_id, held_out, n_tokens, n_known, train_tokens, base_score,
@@ -503,14 +668,19 @@ def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     under the suffix tree. A state is seen LEAST times, and ``share`` of the training tokens."""
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), held_out(doc_id).alias("held_out"))
     train = rows.where("not held_out").select("text")
-    vocab, model = vocabulary(train)
+    vocab, model, twice = vocabulary(train)
     spark = docs.sparkSession
-    levels, factors = grow(train, vocab, model, share, divergence, depth)
+    levels, factors = grow(train, vocab, model, twice, share, divergence, depth)
     lowest, *often = _most_frequent(factors, HEAD_FACTORS)
     shared = spark.sparkContext.broadcast({"model": (model["head"], np.log10((model["head_n"] + ADD) / model["floor"])),
                                            "often": often, "levels": _plain(levels)})
     unseen = float(np.log10(ADD / model["floor"])) if model["total"] else 0.0
 
+    bits, kind = _part_bits(spark), dict(rows.dtypes)["doc_id"]
+    own = ["row", "doc_id", "held_out", "n_tokens", "known", "base", "tree"]
+    own_schema = f"row long, doc_id {kind}, held_out boolean, n_tokens long, known long, base double, tree double"
+    packed_names = [x.split()[0] for x in PACKED.split(", ")]
+
     def run(batches):
         held = shared.value
         if "lookups" not in held:
@@ -518,6 +688,16 @@ def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
             held["sets"] = _made(held["levels"])
         (in_vocab, in_often), word_part = held["lookups"], held["model"][1]
         hasher, number = Hasher(), TaskContext.get().partitionId() << 40
+        late, waiting, types = [], 0, None
+
+        def send():
+            key, row, times = (np.concatenate(x) for x in zip(*late))
+            order = np.argsort(key)
+            cells = _pack(LATE, bits, key[order], key=key[order], ctx=row[order], n=times[order])
+            late.clear()
+            return pa.RecordBatch.from_arrays([*cells.columns, *(pa.nulls(cells.num_rows, x) for x in types)],
+                                              names=[*packed_names, *own])
+
         for batch in batches:
             for a, b, data, bounds in text_chunks(batch.column("text")):
                 keys, first = sequences(hasher, data, bounds)
@@ -549,35 +729,60 @@ def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                 new = np.ones(len(row), bool)
                 new[1:] = (row[1:] != row[:-1]) | (key[1:] != key[:-1])
                 at = np.flatnonzero(new)
-                times = np.diff(np.append(at, len(row)))
-                offsets = np.searchsorted(row[at], np.arange(b - a + 1)).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(np.arange(number, number + b - a)), batch.column("doc_id").slice(a, b - a),
-                    batch.column("held_out").slice(a, b - a), pa.array(n),
-                    pa.array(np.add.reduceat(known, first[:-1], dtype=np.int64)),
-                    pa.array(np.bincount(of, base, b - a)), pa.array(tree),
-                    pa.ListArray.from_arrays(pa.array(offsets), pa.array(key[at].view(np.int64))),
-                    pa.ListArray.from_arrays(pa.array(offsets), pa.array(times.astype(np.int32))),
-                ], names=["row", "doc_id", "held_out", "n_tokens", "known", "base", "tree", "late", "times"])
+                late.append((key[at], (row[at] + number).astype(np.uint64), np.diff(np.append(at, len(row))).astype(np.uint32)))
+                waiting += len(at)
+                numbers = np.arange(number, number + b - a)
+                documents = [
+                    pa.array(numbers), batch.column("doc_id").slice(a, b - a), batch.column("held_out").slice(a, b - a),
+                    pa.array(n), pa.array(np.add.reduceat(known, first[:-1], dtype=np.int64)),
+                    pa.array(np.bincount(of, base, b - a)), pa.array(tree)]
+                types = [x.type for x in documents]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array((numbers % (1 << bits)).astype(np.int32)), pa.nulls(b - a, pa.int32()),
+                     *(pa.nulls(b - a, pa.binary()) for _ in packed_names[2:]), *documents], names=[*packed_names, *own])
                 number += b - a
-
-    kind = dict(rows.dtypes)["doc_id"]
-    scored = materialize(rows.mapInArrow(
-        run, f"row long, doc_id {kind}, held_out boolean, n_tokens long, known long, base double, tree double, "
-        "late array<long>, times array<int>"), "scored")
-    late = scored.select("row", F.explode(F.arrays_zip("late", "times")).alias("z")).select(
-        "row", F.col("z.late").alias("key"), F.col("z.times").alias("times"))
-    # A rare word's part was counted as that of an unseen one.
-    more = F.log10((F.col("n") + F.lit(ADD)) / F.lit(ADD))
-    seen = vocab.where(F.col("n") < model["head_least"]).select(
-        "key", F.lit(1).alias("known"), more.alias("base"), more.alias("tree"))
-    seldom = factors if lowest is None else factors.where(F.floor(F.log2("n") * 4) < lowest)
-    values = seen.union(seldom.select("key", F.lit(0), F.lit(0.0), "value"))
-    sums = late.join(values, "key").groupBy("row").agg(
-        *[F.sum(F.col("times") * F.col(x)).alias(f"late_{x}") for x in ("known", "base", "tree")])
-    whole = scored.drop("late", "times").join(sums, "row", "left")
+                if waiting > MOST:
+                    yield send()
+                    waiting = 0
+        if waiting:
+            yield send()
+
+    def find(batches):
+        held, types = {}, None
+        for batch in batches:
+            document = batch.column("kind").is_null()
+            types = [batch.column(x).type for x in own]
+            yield batch.filter(document).select(own)
+            for which, (_, columns) in _unpacked([batch.filter(pc.invert(document))]).items():
+                for x in ("key", "ctx", "n"):
+                    held.setdefault(which, {}).setdefault(x, []).extend(columns[x])
+        if LATE not in held:
+            return
+        key, row, times = _joined(held.pop(LATE), "key", "ctx", "n")
+        row, of = np.unique(row, return_inverse=True)
+        known, words, tree, any_hit = np.zeros(len(row)), np.zeros(len(row)), np.zeros(len(row)), np.zeros(len(row), bool)
+        for which in (WORDS, KNOWN):
+            if which in held:
+                keys, values = _joined(held.pop(which), "key", "ctx")
+                at = Lookup(keys).find(key)
+                hit = at >= 0
+                part = np.bincount(of[hit], times[hit] * values.view(np.float64)[at[hit]], len(row))
+                any_hit[of[hit]] = True
+                tree += part
+                if which == WORDS:
+                    words = part
+                    known = np.bincount(of[hit], times[hit], len(row))
+        numbers = [row.astype(np.int64), known.astype(np.int64), words, tree]
+        row, known, words, tree = (x[any_hit] for x in numbers)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(row), *(pa.nulls(len(row), x) for x in types[1:4]), pa.array(known), pa.array(words), pa.array(tree)], names=own)
+
+    cells = rows.mapInArrow(run, f"{PACKED}, {own_schema}").unionByName(
+        _late(factors, vocab, model, lowest), allowMissingColumns=True)
+    parts = cells.repartition("part").mapInArrow(find, own_schema)
+    whole = materialize(parts.groupBy("row").agg(
+        *[F.first(x, ignorenulls=True).alias(x) for x in own[1:4]], *[F.sum(x).alias(x) for x in own[4:]]), "scored")
     return whole.select(
-        "doc_id", "held_out", "n_tokens", (F.col("known") + F.coalesce("late_known", F.lit(0))).alias("n_known"),
-        F.lit(model["total"]).cast("long").alias("train_tokens"),
-        (F.col("base") + F.coalesce("late_base", F.lit(0.0))).alias("base_score"),
-        (F.col("tree") + F.coalesce("late_tree", F.lit(0.0))).alias("score"))
+        "doc_id", "held_out", "n_tokens", F.col("known").alias("n_known"),
+        F.lit(model["total"]).cast("long").alias("train_tokens"), F.col("base").alias("base_score"),
+        F.col("tree").alias("score"))

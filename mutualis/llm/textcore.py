@@ -148,6 +148,12 @@ class Hasher:
         with np.errstate(over="ignore"):
             return mix((prefix[at + n] - prefix[at]) * down[at])
 
+    def pairs(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+        """Hash of each two words, given by their hashes: as ``grams`` gives it."""
+        up, _ = self.words.get(2)
+        with np.errstate(over="ignore"):
+            return mix(first + second * up[1])
+
 
 def row_sums(flags: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """Sum of ``flags`` over each [bounds[i], bounds[i+1])."""
