@@ -41,7 +41,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import Scratch, current_scope, materialize, scratch_scope
+from ..session import Scratch, current_scope, materialize, scratch_scope, shuffles_dropped
 from .textcore import Hasher, Lookup, mix, text_chunks
 
 LEAST = 2           # least count of a token after a context
@@ -78,11 +78,10 @@ class Tally:
 
     def add(self, keys: np.ndarray, *columns: np.ndarray):
         if len(keys):
-            if columns:
-                keys, at, counts = np.unique(keys, return_index=True, return_counts=True)
-                self.parts.append((keys, counts, *(x[at] for x in columns)))
-            else:
-                self.parts.append(np.unique(keys, return_counts=True))
+            order = np.argsort(keys) if columns else None
+            keys = keys[order] if columns else np.sort(keys)
+            new = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+            self.parts.append((keys[new], np.diff(np.append(new, len(keys))), *(x[order[new]] for x in columns)))
             self.held += len(self.parts[-1][0])
         if self.held > FLUSH:
             yield from self.flush(MOST)
@@ -116,7 +115,7 @@ WORDS, ONCE, MORE, PAIRS, KNOWN, LATE = range(6)  # kinds
 
 
 def _part_bits(spark) -> int:
-    return (4 * int(spark.conf.get("spark.sql.shuffle.partitions"))).bit_length()
+    return (2 * int(spark.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length()
 
 
 def _pack(kind: int, bits: int, top: np.ndarray, **columns: np.ndarray) -> pa.RecordBatch:
@@ -328,6 +327,22 @@ def _walk(hasher: Hasher, keys: np.ndarray, first: np.ndarray, levels: list[dict
             at = at[levels[d - 1]["alive"].has(context)]
 
 
+def _after(hasher: Hasher, keys: np.ndarray, first: np.ndarray, done: list[dict], more: int):
+    """``_walk``, the levels after the done ones only: (level, positions, contexts, hashes). A context that is
+    extended has only such suffixes, so the last level done tells most; the others meet what its set says wrongly."""
+    prefix, back, last = hasher.word_prefix(keys), _back(first), len(done)
+    at = np.flatnonzero(back > last)
+    for d in range(last, 0, -1):
+        at = at[done[d - 1]["alive"].has(hasher.grams(prefix, at - d, d))]
+    for d in range(last + 1, last + more + 1):
+        at = at[back[at] >= d]
+
+        def upto(words, at=at):
+            return hasher.grams(prefix, at - words, words + 1)
+        if len(at):
+            yield d, at, hasher.grams(prefix, at - d, d), upto
+
+
 def _send(train: DataFrame, value):
     shared = train.sparkSession.sparkContext.broadcast(value)
     current_scope().broadcasts.append(shared)
@@ -369,11 +384,13 @@ def _pairs(train: DataFrame, levels: list[dict], twice: BitSet, model: dict, lea
                     for got in after.add(hasher.grams(prefix, at - 2, 3)):
                         yield from _seen(bits, *got)
                 else:
-                    *_, (at, context, upto) = _walk(hasher, keys, first, done)
-                    suffix, key = upto(level - 1), upto(level)
-                    some = done[-1]["pair"].has(suffix)
-                    some[some] = often["twice"].has(key[some])
-                    key, columns = key[some], (context[some], suffix[some])
+                    key, columns = np.zeros(0, np.uint64), ()
+                    for _, at, _, upto in _after(hasher, keys, first, done, 1):
+                        at = at[often["twice"].has(upto(level))]
+                        suffix = upto(level - 1, at)
+                        some = done[-1]["pair"].has(suffix)
+                        at = at[some]
+                        key, columns = upto(level, at), (upto(level - 1, at - 1), suffix[some])
                 for got in tally.add(key, *columns):
                     yield send(*got)
         for got in tally.flush():
@@ -511,9 +528,7 @@ def _levels(train: DataFrame, levels: list[dict], before: DataFrame, divergence:
         for batch in batches:
             for _, _, data, bounds in text_chunks(batch.column(0)):
                 keys, first = sequences(hasher, data, bounds)
-                for d, (at, context, upto) in enumerate(_walk(hasher, keys, first, done, more), 1):
-                    if d < start or not len(at):
-                        continue
+                for d, at, context, upto in _after(hasher, keys, first, done, more):
                     base, none = upto(start - 2, at - 1), np.zeros(len(at), np.uint64)
                     for got in tally.add(context ^ _LEFT, base, none, none, np.full(len(at), -d, np.int16)):
                         yield send(*got)
@@ -666,6 +681,11 @@ def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """One row per document: ``(doc_id, held_out, n_tokens, n_known, train_tokens, base_score,
     score)``. base_score and score are log10 probabilities of the whole text under the root and
     under the suffix tree. A state is seen LEAST times, and ``share`` of the training tokens."""
+    with shuffles_dropped(docs.sparkSession):
+        return _score_documents(docs, doc_id, text, share, divergence, depth)
+
+
+def _score_documents(docs: DataFrame, doc_id: str, text: str, share: float, divergence: float, depth: int) -> DataFrame:
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), held_out(doc_id).alias("held_out"))
     train = rows.where("not held_out").select("text")
     vocab, model, twice = vocabulary(train)
@@ -686,6 +706,8 @@ def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         if "lookups" not in held:
             held["lookups"] = Lookup(held["model"][0]), Lookup(held["often"][0])
             held["sets"] = _made(held["levels"])
+            one = mix(held["model"][0])  # the head's words as contexts: states, and the places of their factors
+            held["one"] = np.where(held["sets"][0]["state"].has(one), held["lookups"][1].find(one ^ _LEFT), -2)
         (in_vocab, in_often), word_part = held["lookups"], held["model"][1]
         hasher, number = Hasher(), TaskContext.get().partitionId() << 40
         late, waiting, types = [], 0, None
@@ -719,9 +741,21 @@ def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
                 for d, (at, context, upto) in enumerate(_walk(hasher, keys, first, held["sets"][:-1]), 1):
                     level = held["sets"][d - 1]
-                    some, key = level["state"].has(context), upto(d)
-                    tree += factor(of[at[some]], context[some] ^ _LEFT)
-                    some &= level["pair"].has(key)
+                    if d == 1:
+                        place = np.where(known[at - 1], held["one"][found[at - 1]] if len(held["one"]) else 0, -1)
+                        direct = at[place >= 0]
+                        tree += np.bincount(of[direct], held["often"][1][place[place >= 0]], b - a)
+                        at, context = at[place == -1], context[place == -1]
+                        some = level["state"].has(context)
+                        at, context = at[some], context[some]
+                        tree += factor(of[at], context ^ _LEFT)
+                        at = np.concatenate([direct, at])
+                    else:
+                        some = level["state"].has(context)
+                        at, context = at[some], context[some]
+                        tree += factor(of[at], context ^ _LEFT)
+                    key = upto(d, at)
+                    some = level["pair"].has(key)
                     tree += factor(of[at[some]], key[some])
                 row, key = np.concatenate(late_row), np.concatenate(late_key)
                 order = np.lexsort((key, row))

@@ -181,6 +181,19 @@ def materialize(df: DataFrame, name: str, metrics: dict | None = None, scope: Sc
     return (out, obs.get) if obs is not None else out
 
 
+@contextmanager
+def shuffles_dropped(spark: SparkSession):
+    """Jobs inside the block delete their shuffle files when they end, not when the driver collects garbage: for frames
+    that run once, as those that ``materialize`` writes."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 def write_buckets(df: DataFrame, name: str, keys: list[str], scope: Scratch | None = None) -> DataFrame:
     """Like ``materialize``, dealt to ``spark.sql.shuffle.partitions`` buckets by ``keys`` and sorted in
     each, so that a join on the keys reads them without an exchange. Buckets are known to the catalog

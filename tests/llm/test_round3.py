@@ -334,3 +334,35 @@ def test_broadcasts_hold_plain_data_only(spark):
     res = subprocess.run([sys.executable, "-c", code], input=data, capture_output=True, cwd="/", timeout=60)
     assert res.stdout.strip() == b"12", res.stderr
     assert (pst._made(pst._plain(levels))[0]["pair"].words == levels[0]["pair"].words).all()
+
+
+def test_two_words_hash_like_their_window():
+    from mutualis.llm import pst, textcore
+    hasher = textcore.Hasher()
+    data = np.frombuffer(b"Aa bb cc bb aa", np.uint8)
+    keys, _ = pst.sequences(hasher, data, np.array([0, len(data)]))
+    assert (hasher.pairs(keys[:-1], keys[1:]) == hasher.grams(hasher.word_prefix(keys), np.arange(5), 2)).all()
+
+
+def test_words_and_contexts_leave_the_text_packed(spark):
+    """op10: no row for each word, context or pair goes through a shuffle."""
+    from mutualis.llm import pst
+    from mutualis.session import scratch_scope
+    texts = [(" ".join(f"w{(i * j) % 1009}" for j in range(400)),) for i in range(200)] + [("left right",)] * 2
+    made = []
+
+    class Train:  # notes what the text pass makes
+        def __init__(self, frame):
+            self.frame, self.sparkSession = frame, frame.sparkSession
+
+        def mapInArrow(self, run, schema):
+            out = self.frame.mapInArrow(run, schema)
+            made.append(out.count())
+            return out
+
+    with scratch_scope(spark):
+        vocab, model, twice = pst.vocabulary(Train(spark.createDataFrame(texts, "text string").coalesce(1)))
+        assert model["total"] == 200 * 401 + 6 and vocab.count() == model["different"]
+    assert made[0] <= 3 << pst._part_bits(spark)
+    left, right = (pst.sequences(pst.Hasher(), np.frombuffer(b"left right", np.uint8), np.array([0, 10]))[0][i:i + 1] for i in (0, 1))
+    assert twice.has(pst.Hasher().pairs(left, right)).all()
