@@ -15,6 +15,10 @@ contexts to extend hold few of the tokens, several levels are counted in one pas
 many as keep the positions looked at below one for BATCH training tokens. The contexts that extend one context need no
 others then, so these levels are tested in a task for each share of the contexts (``_levels``).
 
+Keys leave the text in packed arrays (``_pack``), dealt by the first bits of a hash. Pairs of neighbours and, one
+pass later, three words in a row are first sought by a part of their hashes (``_seen``): only those found twice are
+counted. A word's count is that of the context of one word, a pair's that of the context of two.
+
 Smoothing: a state gives a gathered token n / (c + KAPPA) (n its count there, c the state's) and
 leaves the rest of its mass to the shorter state's distribution; the root is the add-0.1 unigram
 distribution with one unseen token. Every distribution sums to one. A token is scored in the state
