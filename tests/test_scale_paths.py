@@ -225,3 +225,40 @@ def test_dense_graph_every_way(spark, one_way):
     for kw in ({}, {"hub_degree": 3}, {"hub_degree": 8}, {"strategy": "arrays", "hub_degree": 3}, {"strategy": "probe"}):
         assert {tuple(r) for r in mutual_counts(g, **kw).collect()} == brute_force(rows), kw
     g.release(spark)
+
+
+@pytest.mark.parametrize("kw", [{}, {"hub_degree": 4}, {"strategy": "arrays", "hub_degree": 3}, {"strategy": "probe"}])
+def test_closed_graph_in_rounds(spark, monkeypatch, kw):
+    """All triangles were looked for in one job: what it sent lay on disk at once, many times the edges."""
+    import random
+    rnd = random.Random(7)
+    rows = _closed([(a, b) for a, b in ((rnd.randrange(60), rnd.randrange(60)) for _ in range(700)) if a != b])
+    g = prepare_graph(spark.createDataFrame(rows, "src bigint, dst bigint"))
+    assert g.size == len(rows) // 2 and g.wedges == sum(r["d"] * (r["d"] - 1) // 2 for r in g.higher.collect())
+    seen, real = [], mutual.materialize
+
+    def spy(df, name, *args, **more):
+        seen.append((name, spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", None)))
+        return real(df, name, *args, **more)
+    monkeypatch.setattr(mutual, "materialize", spy)
+    monkeypatch.setattr(mutual, "ONE_ROUND", 16)
+    held = len(g.scratch.folders)
+    out = mutual_counts(g, **kw)
+    assert seen.count(("counts", "true")) >= 2  # rounds, whose shuffle files go
+    assert len(g.scratch.folders) == held + 1  # the last counts
+    assert {tuple(r) for r in out.collect()} == brute_force(rows)
+    assert {tuple(r) for r in mutual_counts(g, keep_zero=True, **kw).where("n > 0").collect()} == brute_force(rows)
+    monkeypatch.setattr(mutual, "ROUND_IDS", 1 << 20)  # one round, in the plan
+    seen.clear()
+    assert {tuple(r) for r in mutual_counts(g, **kw).collect()} == brute_force(rows)
+    assert "counts" not in {name for name, _ in seen}
+    g.release(spark)
+
+
+def test_preparing_a_graph_keeps_no_shuffle_files(spark, monkeypatch):
+    """They stayed until the driver collected its garbage."""
+    seen, real = [], mutual.materialize
+    monkeypatch.setattr(mutual, "materialize", lambda *args, **kw: seen.append(
+        spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", None)) or real(*args, **kw))
+    prepare_graph(spark.createDataFrame([(1, 2), (2, 1)], "src bigint, dst bigint")).release(spark)
+    assert seen and set(seen) == {"true"}
