@@ -4,6 +4,7 @@ block limit, repeated, with empty lists and users on several lines."""
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from mutualis.functions import is_reciprocal, shared_count
 from mutualis.functions.udfs import reciprocal_udf, shared_count_udf, tab_line_udf
@@ -137,3 +138,33 @@ def test_bitmap_words_go_only_where_masks_meet(spark, monkeypatch):
     plan = seen[0]._jdf.queryExecution().optimizedPlan().toString()
     masks = next(x for x in plan.splitlines() if "AS m1" in x)
     assert "words" not in masks  # the expanded pairs carry masks alone
+
+
+def test_bitmaps_meet_in_rounds(spark, monkeypatch):
+    """All pairs were expanded in one job: their masks and words lay on disk at once, until the driver collected its garbage."""
+    rnd = random.Random(3)
+    rows = [(u, rnd.randrange(40_000)) for u in range(40) for _ in range(rnd.choice([3, 60, 400]))]
+    edges = spark.createDataFrame(rows, "src bigint, dst bigint")
+    users = {u: {x for v, x in rows if v == u} - {u} for u in range(40)}
+    pairs = [(a, b) for a in range(40) for b in range(40) if a != b]
+    seen, real = [], lists.materialize
+
+    def spy(df, name, *args, **kw):
+        seen.append((name, spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", None)))
+        return real(df, name, *args, **kw)
+    monkeypatch.setattr(lists, "materialize", spy)
+    monkeypatch.setattr(lists, "ROUND_ROWS", 1)
+    out = lists.shared_by_bitmaps(edges, spark.createDataFrame(pairs, "id1 bigint, id2 bigint"))
+    assert seen.count(("shared", "true")) > 3 and {on for _, on in seen} == {"true"}
+    got = [tuple(r) for r in out.collect()]
+    assert sorted(got) == sorted((a, b, len(users[a] & users[b])) for a, b in pairs)
+
+
+def test_bitmap_words_sent_are_those_both_have(spark, monkeypatch):
+    """A dense member's words all went to each pair."""
+    rows = [(0, x) for x in range(8192, 12288)] + [(1, 8192), (1, 8300), (1, 20_000)]
+    blocks = lists.bitmap_blocks(spark.createDataFrame(rows, "src bigint, dst bigint"))
+    sized = spark.createDataFrame([(True, 1, 0)], "few boolean, s bigint, o bigint")
+    assert [tuple(r) for r in lists._met(sized, blocks, 0, 1).collect()] == [(1, 0, 2)]
+    monkeypatch.setattr(lists, "bits_in_common", lambda m1, w1, m2, w2: F.size(w2))
+    assert [tuple(r) for r in lists._met(sized, blocks, 0, 1).collect()] == [(1, 0, 2)]  # 64 before
