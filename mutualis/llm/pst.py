@@ -15,7 +15,8 @@ contexts to extend hold few of the tokens, several levels are counted in one pas
 many as keep the positions looked at below one for BATCH training tokens. The contexts that extend one context need no
 others then, so these levels are tested in a task for each share of the contexts (``_levels``).
 
-Keys leave the text in packed arrays (``_pack``), dealt by the first bits of a hash. Pairs of neighbours and, one
+Keys leave the text in packed arrays (``_pack``), dealt by the first bits of a hash; keys and counts lie there byte by
+byte, first bytes first, as those of sorted keys and small counts compress. Pairs of neighbours and, one
 pass later, three words in a row are first sought by a part of their hashes (``_seen``): only those found twice are
 counted. A word's count is that of the context of one word, a pair's that of the context of two.
 
@@ -26,7 +27,7 @@ of the longest suffix of the words before it: the root's probability times, for
 way, the mass it leaves and, for a token gathered there, what it adds. These factors are a written
 table too; its most frequent entries (HEAD_FACTORS) are looked up where the text is, all others are
 joined exactly. Where to look is told by bit sets of bounded size, which may say yes wrongly: the
-joins are exact.
+joins are exact. A large corpus is scored in ROUNDS, by a hash of the id, as what is joined late would lie on disk at once.
 
 Words are identified by a 64-bit hash, contexts and tokens after them likewise. Words that make up at
 least HEAD_SHARE of the training tokens (at most 1/HEAD_SHARE of them) are scored where the text is;
@@ -61,6 +62,8 @@ _LEFT = np.uint64(0x1EF7 << 40)  # tells the key of a context from that of the s
 END = 0x5EED0F7E47      # the end token's key; words' keys are hashes
 FLUSH = 1 << 21     # keys held in a task before they are added up
 MOST = 1 << 20      # different keys held in a task before they are sent on
+ROUNDS = 4          # in which documents are scored, at most; each sends the table of late factors again
+ROUND_TOKENS = 1 << 25  # training tokens for each of them
 
 
 def add_up(keys: np.ndarray, counts: np.ndarray, *columns: np.ndarray):
@@ -119,7 +122,13 @@ WORDS, ONCE, MORE, PAIRS, KNOWN, LATE = range(6)  # kinds
 
 
 def _part_bits(spark) -> int:
-    return (2 * int(spark.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length()
+    """Parts, many for each task, so that a hash deals them evenly."""
+    return (8 * int(spark.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length()
+
+
+def _by_bytes(kind: int, column: str) -> bool:
+    """Whether a column's cells are byte by byte: not where whole values repeat."""
+    return column in ("key", "n") or (kind, column) == (LATE, "ctx")
 
 
 def _pack(kind: int, bits: int, top: np.ndarray, **columns: np.ndarray) -> pa.RecordBatch:
@@ -132,6 +141,11 @@ def _pack(kind: int, bits: int, top: np.ndarray, **columns: np.ndarray) -> pa.Re
         if name not in columns:
             return pa.nulls(len(at), pa.binary())
         x = np.ascontiguousarray(columns[name])
+        if _by_bytes(kind, name):
+            rows, x = x.view(np.uint8).reshape(len(x), x.itemsize), np.empty_like(x)
+            out = x.view(np.uint8)
+            for a, b in zip(ends[:-1].tolist(), ends[1:].tolist()):
+                out[a * x.itemsize:b * x.itemsize] = rows[a:b].T.ravel()
         return pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer((ends * x.itemsize).astype(np.int32)), pa.py_buffer(x)])
 
     return pa.RecordBatch.from_arrays(
@@ -140,6 +154,19 @@ def _pack(kind: int, bits: int, top: np.ndarray, **columns: np.ndarray) -> pa.Re
         names=["part", "kind", "key", "n", "ctx", "suffix", "level"])
 
 
+def _gathered(batches, *names: str):
+    """The named columns' arrays, of MOST rows or more at a time, as a few rows would make as many cells."""
+    parts, held = [], 0
+    for batch in batches:
+        parts.append([batch.column(x).to_numpy() for x in names])
+        held += batch.num_rows
+        if held >= MOST:
+            yield [np.concatenate(x) for x in zip(*parts)]
+            parts, held = [], 0
+    if held:
+        yield [np.concatenate(x) for x in zip(*parts)]
+
+
 def _seen(bits: int, keys: np.ndarray, counts: np.ndarray):
     """Which keys a task found once and which more often, by 32 bits after the part's: enough to leave out
     nearly all that are found once in all."""
@@ -160,7 +187,10 @@ def _unpacked(batches) -> dict:
             for x, t in types.items():
                 cell = batch.column(x)[i].as_buffer()
                 if cell is not None:
-                    columns[x].append(np.frombuffer(cell, np.uint32 if x == "key" and kind[i] in (ONCE, MORE) else t))
+                    t = np.dtype(np.uint32 if x == "key" and kind[i] in (ONCE, MORE) else t)
+                    if _by_bytes(kind[i], x):
+                        cell = np.ascontiguousarray(np.frombuffer(cell, np.uint8).reshape(t.itemsize, -1).T)
+                    columns[x].append(np.frombuffer(cell, t))
     return out
 
 
@@ -349,11 +379,11 @@ def _after(hasher: Hasher, keys: np.ndarray, first: np.ndarray, done: list[dict]
 
 def _send(train: DataFrame, value):
     shared = train.sparkSession.sparkContext.broadcast(value)
-    current_scope().broadcasts.append(shared)
+    current_scope().spent.append(shared)
     return shared
 
 
-def _pairs(train: DataFrame, levels: list[dict], twice: BitSet, model: dict, least: float):
+def _pairs(train: DataFrame, levels: list[dict], twice: BitSet, model: dict, least: float, scope: Scratch):
     """``(key, ctx, n, suffix, q)``, written, of level 1 or 2 (the one after ``levels``): how often a token follows a
     context, where that is ``least`` times or more. key: context and token; suffix: the same without the first word
     (level 1: the token); q: at level 1 the root's probability of a token in the head, else null. Then the set of
@@ -424,7 +454,7 @@ def _pairs(train: DataFrame, levels: list[dict], twice: BitSet, model: dict, lea
 
     table, stats = materialize(
         train.mapInArrow(run, PACKED).repartition("part").mapInArrow(add, schema), f"counts{level}",
-        {x: F.sum(F.length(x) / 4) for x in ("found", "next")})
+        {x: F.sum(F.length(x) / 4) for x in ("found", "next")}, scope=scope)
     return (table.where("key is not null").drop("found", "next"), BitSet.found(table.select("found"), stats["found"]),
             BitSet.found(table.select("next"), stats["next"]) if level == 1 else None)
 
@@ -544,12 +574,10 @@ def _levels(train: DataFrame, levels: list[dict], before: DataFrame, divergence:
             yield send(*got)
 
     def pack(batches):
-        for batch in batches:
-            key, ctx = (batch.column(x).to_numpy().view(np.uint64) for x in ("key", "ctx"))
-            order = np.argsort(ctx)
-            if len(order):
-                p = batch.column("p").to_numpy()[order]
-                yield _pack(KNOWN, bits, ctx[order], key=key[order], ctx=p.view(np.uint64))
+        for key, ctx, p in _gathered(batches, "key", "ctx", "p"):
+            key, top = key.view(np.uint64), ctx.view(np.uint64) >> np.uint64(64 - bits)
+            order = np.lexsort((key, top))
+            yield _pack(KNOWN, bits, ctx.view(np.uint64)[order], key=key[order], ctx=p[order].view(np.uint64))
 
     def test(batches):
         got = _unpacked(batches)
@@ -590,13 +618,13 @@ def grow(train: DataFrame, vocab: DataFrame, model: dict, twice: BitSet, share:
     ``twice``: the pairs of neighbours that are found twice."""
     least = max(LEAST, share * model["total"])
     levels, factors, before, scope, more = [], None, None, current_scope(), 1
-    alive = Scratch()
+    alive, seen = Scratch(), Scratch()
     counts = vocab.select("ctx", F.col("n").alias("c"))  # every word is followed by a token
     while len(levels) < depth:
         level = len(levels) + 1
         with scratch_scope(train.sparkSession):
-            current_scope().folders += alive.folders  # the level before goes when this one is done
-            alive = Scratch()
+            current_scope().folders += alive.folders + seen.folders  # the level before goes when this one is done
+            alive, seen, raw, former = Scratch(), Scratch(), Scratch(), alive
             if level > 2:
                 tested, stats = _levels(train, levels, before, divergence, more, least)
                 own, pair = F.col("own"), ~F.col("own")
@@ -613,7 +641,7 @@ def grow(train: DataFrame, vocab: DataFrame, model: dict, twice: BitSet, share:
                                      f"alive{level}", scope=alive)
                 more = min(depth - len(levels), max(1, model["total"] // (BATCH * stats["tokens"])))
                 continue
-            pairs, found, after = _pairs(train, levels, twice, model, least)
+            pairs, found, after = _pairs(train, levels, twice, model, least, raw)
             if level == 1:  # a token in the head needs no join
                 some = vocab.select(F.col("key").alias("suffix"), ((F.col("n") + ADD) / model["floor"]).alias("q"))
                 tested = pairs.where("q is not null").select("key", "ctx", "n", "q").union(
@@ -622,20 +650,22 @@ def grow(train: DataFrame, vocab: DataFrame, model: dict, twice: BitSet, share:
                 some = before.select(F.col("key").alias("suffix"), F.col("p").alias("q"))
                 tested = pairs.drop("q").join(some, "suffix").select("key", "ctx", "n", "q")
             tested = materialize(tested, f"pairs{level}")
+            raw.release(train.sparkSession)
+            former.release(train.sparkSession)
             kept, gathered, stats = _level(counts, tested, divergence, level)
             levels.append({"pair": found, "alive": BitSet.of(kept.where("alive"), "ctx", stats["alive"]),
                            "state": BitSet.of(kept.where("state"), "ctx", stats["states"])})
             added = gathered.where("state").select("key", "n", F.log10(F.col("p") / (F.col("left") * F.col("q"))).alias("value"))
             own = kept.where("state").select(F.col("ctx").bitwiseXOR(F.lit(int(_LEFT))), "c", F.log10("left"))
             own = materialize(added.union(own), f"factors{level}", scope=scope)
-            before = materialize(gathered.where("alive").select("key", "ctx", "p"), f"alive{level}", scope=alive)
+            before = materialize(gathered.where("alive").select("key", *["ctx"] * (level > 1), "p"), f"alive{level}", scope=alive)
             if level == 1 and stats["alive"]:  # a pair is a context of two words
-                counts, twice = materialize(pairs.select(F.col("key").alias("ctx"), F.col("n").alias("c")), "contexts", scope=alive), after
+                counts, twice = materialize(tested.select(F.col("key").alias("ctx"), F.col("n").alias("c")), "contexts", scope=seen), after
         factors = own if factors is None else factors.union(own)
         if not stats["alive"]:
             break
         more = min(depth - len(levels), max(1, model["total"] // (BATCH * stats["tokens"])))
-    scope.folders += alive.folders
+    scope.folders += alive.folders + seen.folders
     return levels, factors
 
 
@@ -667,11 +697,10 @@ def _late(factors: DataFrame, vocab: DataFrame, model: dict, lowest) -> DataFram
 
     def packed(kind):
         def run(batches):
-            for batch in batches:
-                key = batch.column("key").to_numpy().view(np.uint64)
+            for key, value in _gathered(batches, "key", "value"):
+                key = key.view(np.uint64)
                 order = np.argsort(key)
-                if len(order):
-                    yield _pack(kind, bits, key[order], key=key[order], ctx=batch.column("value").to_numpy()[order].view(np.uint64))
+                yield _pack(kind, bits, key[order], key=key[order], ctx=value[order].view(np.uint64))
         return run
 
     more = F.log10((F.col("n") + F.lit(ADD)) / F.lit(ADD))
@@ -815,11 +844,16 @@ def _score_documents(docs: DataFrame, doc_id: str, text: str, share: float, dive
         yield pa.RecordBatch.from_arrays(
             [pa.array(row), *(pa.nulls(len(row), x) for x in types[1:4]), pa.array(known), pa.array(words), pa.array(tree)], names=own)
 
-    cells = rows.mapInArrow(run, f"{PACKED}, {own_schema}").unionByName(
-        _late(factors, vocab, model, lowest), allowMissingColumns=True)
-    parts = cells.repartition("part").mapInArrow(find, own_schema)
-    whole = materialize(parts.groupBy("row").agg(
-        *[F.first(x, ignorenulls=True).alias(x) for x in own[1:4]], *[F.sum(x).alias(x) for x in own[4:]]), "scored")
+    whole, rounds = None, max(1, min(ROUNDS, model["total"] // ROUND_TOKENS))
+    for at in range(rounds):
+        some = rows if rounds == 1 else rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(rounds)) == at)
+        cells = some.mapInArrow(run, f"{PACKED}, {own_schema}").unionByName(
+            _late(factors, vocab, model, lowest), allowMissingColumns=True)
+        parts = cells.repartition("part").mapInArrow(find, own_schema)
+        scored = materialize(parts.groupBy("row").agg(
+            *[F.first(x, ignorenulls=True).alias(x) for x in own[1:4]], *[F.sum(x).alias(x) for x in own[4:]]), "scored")
+        whole = scored if whole is None else whole.union(scored)
+    shared.destroy()
     return whole.select(
         "doc_id", "held_out", "n_tokens", F.col("known").alias("n_known"),
         F.lit(model["total"]).cast("long").alias("train_tokens"), F.col("base").alias("base_score"),

@@ -99,6 +99,7 @@ class Scratch:
         self.folders: list[str] = []
         self.tables: list[str] = []  # the catalog's names of bucketed folders
         self.broadcasts: list = []   # what was sent to the executors for it
+        self.spent: list = []        # the same where no frame that is left asks for it
 
     def release(self, spark: SparkSession) -> int:
         """Delete this scope's folders; returns how many were there. DataFrames that read them are
@@ -109,6 +110,8 @@ class Scratch:
         conf, done = sc._jsc.hadoopConfiguration(), 0
         while self.broadcasts:
             self.broadcasts.pop().unpersist()  # sent again where something still asks for it
+        while self.spent:
+            self.spent.pop().destroy()  # its file on the driver too
         while self.tables:
             spark.sql(f"DROP TABLE IF EXISTS {self.tables.pop()}")
         while self.folders:
