@@ -156,6 +156,7 @@ def test_bitmaps_meet_in_rounds(spark, monkeypatch):
     monkeypatch.setattr(lists, "ROUND_ROWS", 1)
     out = lists.shared_by_bitmaps(edges, spark.createDataFrame(pairs, "id1 bigint, id2 bigint"))
     assert seen.count(("shared", "true")) > 3 and {on for _, on in seen} == {"true"}
+    assert seen.count(("bitmap_blocks", "true")) == lists.BLOCK_ROUNDS
     got = [tuple(r) for r in out.collect()]
     assert sorted(got) == sorted((a, b, len(users[a] & users[b])) for a, b in pairs)
 
