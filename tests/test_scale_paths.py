@@ -262,3 +262,19 @@ def test_preparing_a_graph_keeps_no_shuffle_files(spark, monkeypatch):
         spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", None)) or real(*args, **kw))
     prepare_graph(spark.createDataFrame([(1, 2), (2, 1)], "src bigint, dst bigint")).release(spark)
     assert seen and set(seen) == {"true"}
+
+
+@pytest.mark.parametrize("one_way", [False, True])
+def test_many_links_are_written_in_rounds(spark, monkeypatch, one_way):
+    """The member edges' two exchanges, and those of the pairs, lay on disk at once."""
+    rows = _closed([(a, (a * k + k) % 50) for a in range(50) for k in range(1, 9) if a != (a * k + k) % 50]) + [(3, 99)] * one_way
+    df = spark.createDataFrame(rows, "src bigint, dst bigint")
+    names, real = [], mutual.materialize
+    monkeypatch.setattr(mutual, "materialize", lambda df, name, *args, **kw: names.append(name) or real(df, name, *args, **kw))
+    monkeypatch.setattr(mutual, "MANY_LINKS", 10)
+    g = prepare_graph(df)
+    assert names.count("pairs") == mutual.LINK_ROUNDS and (g.higher is None) == one_way
+    assert sorted(tuple(r) for r in g.edges.collect()) == sorted(set(rows)) and g.pairs.count() == g.size
+    for kw in ({}, {"strategy": "probe"}):
+        assert {tuple(r) for r in mutual_counts(g, **kw).collect()} == brute_force(rows), kw
+    g.release(spark)
